@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import packing, quality, secrets, simhash, toxicity
+from sievework.llm import bpe, html_extract, licenses, media, packing, quality, secrets, simhash, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = html_extract.extract(pages, into="text").select("page_id", "url", "text")
+    return found.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack(docs, vocabulary("byte_bpe_50k.json"))
@@ -49,11 +55,31 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, model, into="rules").select("doc_id", "rules.*")
 
 
+def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    read = media.load(media.store(docs))
+    return read.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"), "loaded.*")
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", simhash.as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.digest(docs, vocabulary("word_bpe_49k.json")).select("doc_id", "digest.*")
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan(docs, into="found").select("doc_id", "found.*")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
@@ -64,6 +90,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_best_fit_packing, op3_secret_scan, op4_quality_rules, op7_simhash_near_dedup, op10_toxicity)
+    for f in (
+        op1_html_extraction, op2_best_fit_packing, op3_secret_scan, op4_quality_rules, op5_media_columns, op6_warc,
+        op7_simhash_near_dedup, op8_bpe, op9_license_scan, op10_toxicity,
+    )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_warc": """
+        WITH p AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages
+        ), m AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS first FROM p)
+        SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+               CASE WHEN n >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN n >= 100 AND page_id > first THEN first END AS refers_to
+        FROM m
+    """,
+}

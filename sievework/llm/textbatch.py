@@ -11,6 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import types as T
 
 #: Multiplier of the polynomial hash and its inverse modulo 2**64.
 PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -123,3 +124,11 @@ def bucket(hashes: np.ndarray, bits: int) -> np.ndarray:
 def per_text(values: np.ndarray, texts: np.ndarray, n: int) -> np.ndarray:
     """Sums of values by text number."""
     return np.bincount(texts, weights=values, minlength=n) if len(values) else np.zeros(n)
+
+
+_KINDS = {"bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "string": T.StringType(), "binary": T.BinaryType()}
+
+
+def struct(fields: str) -> T.StructType:
+    """A struct of plain fields, ``name: type, ...``, for UDFs that are made before there is a session."""
+    return T.StructType([T.StructField(n, _KINDS[k]) for n, k in (x.split(": ") for x in fields.split(", "))])
