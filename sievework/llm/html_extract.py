@@ -311,7 +311,8 @@ def labelled_pages(n: int = 300, seed: int = 11) -> list[str]:
 
     pages = []
     for _ in range(n):
-        before = [other(k) for k in rng.choice(["nav", "header", "menu", "ad", "notice", "form", "aside"], rng.integers(0, 5))]
+        bare = rng.random() < 0.3  # a fragment: no head, and often nothing before the article
+        before = [other(k) for k in rng.choice(["nav", "header", "menu", "ad", "notice", "form", "aside"], 0 if bare and rng.random() < 0.7 else rng.integers(0, 5))]
         after = [other(k) for k in rng.choice(["footer", "aside", "side", "ad", "comments", "form", "notice", "nav"], rng.integers(1, 5))]
         body = [paragraph() for _ in range(rng.integers(1, 14))]
         title = f"<h1>{sentence(2, 9)}</h1>" if rng.random() < 0.85 else ""
@@ -321,7 +322,8 @@ def labelled_pages(n: int = 300, seed: int = 11) -> list[str]:
             body.append(other("comments"))
         wrap = rng.choice(["article", "article", "article", "main", 'main><article', 'div class="content"', 'div id="article-body"', 'div class="post-content entry"', 'section class="story text"', 'div role="main"'])
         close = "".join(f"</{re.match(r'[a-z]+', x)[0]}>" for x in reversed(wrap.split("><")))
-        head = f'<!DOCTYPE html><html><head><title data-main="0">{sentence(2, 9)}</title><style>p{{margin:0}}</style><script>var t="</p>";</script></head><body>' if rng.random() < 0.6 else "<body>"
+        head = f'<!DOCTYPE html><html><head><title data-main="0">{sentence(2, 9)}</title><style>p{{margin:0}}</style><script>var t="</p>";</script></head><body>'
+        head = "<body>" if bare else head
         pages.append(head + "".join(before) + f'<{wrap} data-main="1">{title}{"".join(body)}{close}' + "".join(after) + rng.choice(["</body></html>", ""]))
     return pages
 
