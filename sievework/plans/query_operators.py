@@ -170,11 +170,11 @@ def j6(spark, d):
     return out.select("payload_id", "line", "rel_id", "rel_name").unionByName(rest.select("payload_id", "line", "rel_id", "rel_name"))
 
 
-@query("j7_attach_assets", over("v_news", "SELECT 1").rsplit(" SELECT 1", 1)[0] + ", n AS (SELECT url AS news_url, min(seq) AS news_id FROM v_news GROUP BY url), a AS (SELECT l_orderkey AS news_id, arg_min('asset/' || l_partkey, l_linenumber) AS asset_url FROM lineitem WHERE l_linenumber % 2 = 1 GROUP BY l_orderkey) SELECT seq, asset_url FROM v_news LEFT JOIN n ON url = news_url LEFT JOIN a USING (news_id)")
+@query("j7_attach_assets", over("v_news", "SELECT 1").rsplit(" SELECT 1", 1)[0] + ", n AS (SELECT url AS news_url, min(seq) AS news_id FROM v_news GROUP BY url), a AS (SELECT l_orderkey AS news_id, arg_min('asset/' || l_partkey, l_linenumber * 1000000 + l_partkey) AS asset_url FROM lineitem WHERE l_linenumber % 2 = 1 GROUP BY l_orderkey) SELECT seq, asset_url FROM v_news LEFT JOIN n ON url = news_url LEFT JOIN a USING (news_id)")
 def j7(spark, d):
     news = view(spark, d, "v_news")
     items = news.groupBy(F.col("url").alias("news_url")).agg(F.min("seq").alias("news_id"))
-    assets = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("news_id"), F.col("l_linenumber").alias("asset_id"), F.concat(F.lit("asset/"), F.col("l_partkey")).alias("asset_url"), F.when(F.col("l_linenumber") % 2 == 1, "news").otherwise("job").alias("kind"))
+    assets = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("news_id"), (F.col("l_linenumber") * 1000000 + F.col("l_partkey")).alias("asset_id"), F.concat(F.lit("asset/"), F.col("l_partkey")).alias("asset_url"), F.when(F.col("l_linenumber") % 2 == 1, "news").otherwise("job").alias("kind"))
     return J.attach_assets(news.select("seq", F.col("url").alias("news_url")), items, assets).select("seq", "asset_url")
 
 
@@ -236,7 +236,7 @@ def a3(spark, d):
     return A.status_distribution(view(spark, d, "v_event").withColumnRenamed("recurrence", "reason"))
 
 
-_LOG = "SELECT CAST(user_id % 7 AS VARCHAR) AS step, user_id AS source_id, CAST(event_id % 5 AS BIGINT) AS jobs_found, CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS inserted, CASE WHEN event_type = 'click' THEN 1 ELSE 0 END AS updated, CASE WHEN event_type = 'view' THEN 1 ELSE 0 END AS reactivated, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS errors FROM events"
+_LOG = "SELECT CAST(user_id % 7 AS STRING) AS step, user_id AS source_id, CAST(event_id % 5 AS BIGINT) AS jobs_found, CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS inserted, CASE WHEN event_type = 'click' THEN 1 ELSE 0 END AS updated, CASE WHEN event_type = 'view' THEN 1 ELSE 0 END AS reactivated, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS errors FROM events"
 _STEP = "CAST(sum(jobs_found) AS BIGINT) AS scraped, CAST(sum(inserted) AS BIGINT) AS new, CAST(sum(updated + reactivated) AS BIGINT) AS updated, count(*) AS sources, count(*) FILTER (errors > 0) AS sources_with_errors"
 
 
@@ -697,7 +697,7 @@ def s5(spark, d):
 @query("s5k_search_items", over("v_job", "SELECT trim(title) AS title, CASE WHEN job_id % 4 = 0 THEN 'no_hiring_org' WHEN job_id % 4 = 1 THEN 'stale (' || (job_id % 9) * 7 || 'd)' END AS reason FROM v_job WHERE job_id % 4 <> 1 OR (job_id % 9) * 7 > 30"))
 def s5k(spark, d):
     jobs = view(spark, d, "v_job").filter("job_id % 4 <> 1 OR (job_id % 9) * 7 > 30")
-    item = F.to_json(F.array(F.struct(F.concat(F.lit("https://www.linkedin.com/jobs/view/j-"), F.col("job_id")).alias("link"), "title", F.when(F.col("job_id") % 4 == 0, "").otherwise("Acme Ltd.").alias("companyName"), F.when(F.col("job_id") % 4 == 1, F.concat(F.col("job_id") % 9, F.lit(" weeks ago"))).otherwise("Today").alias("postedAt"))))
+    item = F.to_json(F.array(F.struct(F.concat(F.lit("https://www.linkedin.com/jobs/view/j-"), F.col("job_id")).alias("link"), "title", F.when(F.col("job_id") % 4 == 0, "").otherwise("Acme Ltd").alias("companyName"), F.when(F.col("job_id") % 4 == 1, F.concat(F.col("job_id") % 9, F.lit(" weeks ago"))).otherwise("Today").alias("postedAt"))))
     payloads = jobs.select(F.col("job_id").cast("string").alias("source_id"), F.lit("search").alias("platform"), F.lit("ACME").alias("slug"), item.alias("payload"))
     return PL.from_search_items(payloads, now=at(NOW)).select("title", "reason")
 
@@ -769,7 +769,7 @@ def _drained(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
 
     query_ = stream.writeStream.foreachBatch(keep).outputMode(mode).option("checkpointLocation", f"{place}/state").trigger(availableNow=True).start()
     query_.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{place}/rows")
+    return spark.read.schema(stream.schema).parquet(f"{place}/rows").select(*stream.columns)
 
 
 def _event_stream(spark: SparkSession, d: str) -> DataFrame:
