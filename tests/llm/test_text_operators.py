@@ -8,6 +8,7 @@ import pytest
 
 from sievework.llm import packing, quality, secrets, simhash, toxicity
 from sievework.llm.queries import vocabulary
+from tests_helpers import brute_components, brute_fingerprint
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -86,36 +87,6 @@ def test_training_never_sees_held_out_labels(spark, sf_dir):
     assert ids and all(zlib.crc32(str(i).encode()) % 3 != 1 for i in ids)
 
 
-def brute_fingerprint(text):
-    import xxhash
-
-    words = [w.encode() for w in WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))]
-    if not words:
-        return 0
-    shingles = [b" ".join(words)] if len(words) < 3 else [b" ".join(words[k : k + 3]) for k in range(len(words) - 2)]
-    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
-    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
-
-
-def brute_components(rows):
-    root = list(range(len(rows)))
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    for i in range(len(rows)):
-        for j in range(i):
-            if (rows[i][1] ^ rows[j][1]).bit_count() <= 3:
-                a, b = find(i), find(j)
-                root[max(a, b)] = min(a, b)
-    groups = {}
-    for i, (doc, _) in enumerate(rows):
-        groups.setdefault(find(i), []).append(doc)
-    return {i: min((d for d in groups[find(i)] if d is not None), default=None) for i in range(len(rows))}
-
-
 def test_near_duplicates_match_brute_force(spark, odd_docs):
     base = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").limit(250).collect()]
     rows = [(i, t) for i, t in enumerate(base)] + [(r.doc_id, r.text) for r in odd_docs.filter("length(text) < 1000 or text is null").collect()]
