@@ -77,8 +77,13 @@ def assign_batches(df: DataFrame, size: int = 15, bucket: str | None = None, ord
     """Batch number and place inside it. Rows are numbered within a bucket (a column, or a hash of the
     order), so no task sees them all; a batch is (bucket, batch)."""
     named = df.withColumn("bucket", F.col(bucket) if bucket else F.pmod(F.xxhash64(order), F.lit(buckets)))
-    n = F.row_number().over(Window.partitionBy("bucket").orderBy(order)) - 1
-    return named.withColumn("_n", n).withColumn("batch", F.floor(F.col("_n") / size)).withColumn("idx", F.col("_n") % size).drop("_n")
+    if bucket:  # a column's values may be of any size
+        from sievework.operators.ranking import place_in_group
+
+        numbered = place_in_group(named, ["bucket"], [order], "_n").withColumn("_n", F.col("_n") - 1)
+    else:
+        numbered = named.withColumn("_n", F.row_number().over(Window.partitionBy("bucket").orderBy(order)) - 1)
+    return numbered.withColumn("batch", F.floor(F.col("_n") / size)).withColumn("idx", F.col("_n") % size).drop("_n")
 
 
 def group_stories(df: DataFrame, text: str, threshold: float = 0.8, block: str | None = None, size: int = 5, key: str = "seq") -> DataFrame:

@@ -77,6 +77,25 @@ def weekly_pick(news: DataFrame, n: int = 5, story: str = "story_key", source: s
     return out.withColumn("picked", F.col("place").isNotNull())
 
 
+def place_in_group(df: DataFrame, keys: list[str], order: list, into: str = "place") -> DataFrame:
+    """``df`` with each row's place in its group, from 1, however large a group is.
+
+    Rows are dealt by ranges of (keys, order), numbered inside each range, and shifted by the rows of the
+    group in earlier ranges, so a task holds a range and never a whole group. The ranges are written out,
+    since they're read twice. ``order`` must be total for a repeatable result.
+    """
+    from sievework.operators.graphs import cut
+
+    ranges = cut(df.repartitionByRange(*(F.col(k) for k in keys), *(o if isinstance(o, Column) else F.col(o) for o in order)).withColumn("_range", F.spark_partition_id()))
+    sizes = ranges.groupBy(*keys, "_range").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    shifts = sizes.select(*(F.col(k).alias(f"_{k}") for k in keys), F.col("_range").alias("_at"), before.alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_range", *keys).orderBy(*order))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    joined = ranges.withColumn("_inside", inside).join(shifts, [F.col("_range") == F.col("_at"), *same])
+    return joined.withColumn(into, (F.col("_inside") + F.col("_before")).cast("bigint")).select(*df.columns, into)
+
+
 def order_hero(picks: DataFrame, has_image: Column, order: str = "seq", n: int = 5) -> DataFrame:
     """Rows with an image first, else as they come; the first is the hero, four follow."""
     return picks.orderBy(has_image.desc(), order).limit(n).withColumn("place", F.row_number().over(Window.orderBy(has_image.desc(), order)))

@@ -806,6 +806,83 @@ def t7(spark, d):
     return on_time.groupBy(F.lit("on_time").alias("part")).agg(F.count("*").alias("n")).unionByName(late.groupBy(F.lit("late").alias("part")).agg(F.count("*").alias("n")))
 
 
+def _place(spark: SparkSession, name: str) -> str:
+    from uuid import uuid4
+
+    from sievework.operators.graphs import folder
+
+    return f"{folder(spark)}/{name}-{uuid4().hex}"
+
+
+@query("s8_read_csv", over("v_source", "SELECT CAST(source_id AS VARCHAR) AS source_id, name FROM v_source"))
+def s8(spark, d):
+    place = _place(spark, "csv")
+    view(spark, d, "v_source").select("source_id", "name").write.csv(place, header=True)
+    return S.read_csv_table(spark, place)
+
+
+@query("s9_read_latest", over("v_source", "SELECT CAST(source_id AS VARCHAR) AS source_id FROM v_source"))
+def s9(spark, d):
+    place = _place(spark, "latest")
+    sources = view(spark, d, "v_source").select(F.col("source_id").cast("string").alias("source_id"))
+    sources.limit(1).coalesce(1).write.parquet(f"{place}/run_1")
+    sources.coalesce(1).write.parquet(f"{place}/run_2")
+    return S.read_latest(spark, f"{place}/*/part-*.parquet", "parquet")
+
+
+@query("s13_seen_state", over("v_news", "SELECT DISTINCT url FROM v_news"))
+def s13(spark, d):
+    from sievework.sources.sinks import load_seen, save_seen
+
+    place, (old, new) = _place(spark, "seen"), _halves(spark, d)
+    save_seen(old, place)
+    save_seen(M.add_seen(load_seen(spark, place), new), place)
+    return load_seen(spark, place)
+
+
+@query("s14_article_doc", over("v_article", "SELECT link, '2024-01' AS month FROM v_article"))
+def s14(spark, d):
+    from sievework.sources.sinks import write_article_doc
+
+    place = _place(spark, "doc")
+    articles = view(spark, d, "v_article").select("title", "link")
+    write_article_doc(articles, articles.limit(0), place, "2024-01-31T00:00:00")
+    return spark.read.schema("link string, month string").json(f"{place}/articles").select("link", "month")
+
+
+@query("s15_jobs_csv", over("v_job", "SELECT CAST(job_id AS VARCHAR) AS job_id, source FROM v_job"))
+def s15(spark, d):
+    from sievework.sources.sinks import write_jobs_csv
+
+    place = _place(spark, "jobs")
+    write_jobs_csv(view(spark, d, "v_job").select("job_id", "source", "relevancy"), place)
+    return S.read_csv_table(spark, place).select("job_id", "source")
+
+
+@query("s16_unsent", over("v_news", "SELECT seq, DATE '2024-01-31' AS day FROM v_news WHERE score < 2"))
+def s16(spark, d):
+    from sievework.sources.sinks import write_unsent
+
+    place = _place(spark, "unsent")
+    write_unsent(view(spark, d, "v_news").filter("score < 2").select("seq"), place, "2024-01-31")
+    return spark.read.parquet(place).select("seq", F.col("day").cast("date").alias("day"))
+
+
+@query("t3_stream_upsert", over("v_news", f"SELECT url, greatest(coalesce(max(score) FILTER (published_at >= {_CUT}), 0), coalesce(arg_max(score, published_at) FILTER (published_at < {_CUT}), 0)) AS score FROM v_news GROUP BY url"))
+def t3(spark, d):
+    """The later half of the news, as a stream, is merged into the earlier half."""
+    from sievework.sources.sinks import publish_version, read_version
+
+    place, (old, _) = _place(spark, "hub"), _halves(spark, d)
+    columns = ["seq", "url", "source", "published_at", "story_key", "score", "status"]
+    publish_version(_stored(old).select(*columns), f"{place}/table")
+    events = _event_stream(spark, d)
+    events.createOrReplaceTempView("events")
+    later = spark.sql(VIEWS["v_news"]).filter(F.col("published_at") >= F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")).select(*columns)
+    T.stream_upsert(later, f"{place}/table", lambda e, i: M.upsert_news(e, i).drop("change"), f"{place}/state").awaitTermination()
+    return read_version(spark, f"{place}/table").select("url", "score")
+
+
 # Flagship ------------------------------------------------------------------------------------------
 
 

@@ -15,8 +15,14 @@ from sievework.operators import ranking as O
 from sievework.operators.dedupe import in_window
 
 
+def _listed(df: DataFrame, section: Column, order: list, line: Column) -> DataFrame:
+    """Lines of sections that may hold any number of rows, numbered inside each without gathering one in a task."""
+    rows = df.withColumn("section", section).withColumn("line", line)
+    return O.place_in_group(rows, ["section"], order).select("section", "place", "line")
+
+
 def _numbered(df: DataFrame, section: Column | str, order: list, line: Column) -> DataFrame:
-    """Lines of sections, numbered inside each."""
+    """Lines of short sections (figures, top lists), numbered inside each."""
     rows = df.withColumn("section", F.lit(section) if isinstance(section, str) else section)
     place = F.row_number().over(Window.partitionBy("section").orderBy(*order))
     return rows.withColumn("place", place.cast("bigint")).withColumn("line", line).select("section", "place", "line")
@@ -34,7 +40,7 @@ def research_digest(scored: DataFrame, jobs: DataFrame, failed: DataFrame, core:
     s = F.coalesce(F.col("score").try_cast("int"), F.lit(0))
     tier = F.when(s.between(3, 5), F.concat(F.lit("tier "), s)).when(s.between(1, 2), "low")
     line = F.concat_ws(" | ", s.cast("string"), escape_md("source"), escape_md("url"))
-    articles = _numbered(scored.withColumn("section", tier).filter(F.col("section").isNotNull()), F.col("section"), [F.desc("published_at"), "seq"], line)
+    articles = _listed(scored.withColumn("section", tier).filter(F.col("section").isNotNull()), F.col("section"), [F.desc("published_at"), "seq"], line)
     top = O.top_jobs(jobs, core, n_jobs)
     longlist = _numbered(top, "jobs", ["job_id"], F.concat_ws(" | ", escape_md("title"), escape_md("company"), F.coalesce(escape_md("location_raw"), F.lit(""))))
     mix = _numbered(A.source_mix(scored), "sources", [F.desc("n"), "source"], F.concat(F.col("source"), F.lit(": "), F.col("n").cast("string")))
@@ -45,18 +51,18 @@ def research_digest(scored: DataFrame, jobs: DataFrame, failed: DataFrame, core:
 def newsletter_source(news: DataFrame, jobs: DataFrame, events: DataFrame, now: Column, today: Column) -> DataFrame:
     """R2: news of 30 days by score, approved jobs by level and company, and events of 90 days by month."""
     recent = in_window(news.filter(F.col("score") >= 3), "published_at", now, 30)
-    news_lines = _numbered(recent.withColumn("section", F.concat(F.lit("score "), F.col("score"))), F.col("section"), [F.desc("published_at"), "seq"], meta_line(F.col("source"), F.date_format("published_at", "yyyy-MM-dd"), F.col("url")))
+    news_lines = _listed(recent.withColumn("section", F.concat(F.lit("score "), F.col("score"))), F.col("section"), [F.desc("published_at"), "seq"], meta_line(F.col("source"), F.date_format("published_at", "yyyy-MM-dd"), F.col("url")))
     approved = jobs.filter(F.col("status") == "approved").withColumn("section", F.concat(F.lit("jobs "), F.coalesce("seniority", F.lit("Other"))))
-    job_lines = _numbered(approved, F.col("section"), ["company", "job_id"], meta_line(F.col("company"), F.col("title"), F.col("location_raw")))
+    job_lines = _listed(approved, F.col("section"), ["company", "job_id"], meta_line(F.col("company"), F.col("title"), F.col("location_raw")))
     coming = events.filter((F.col("status") == "verified") & F.col("event_date").between(today, F.date_add(today, 90)))
-    event_lines = _numbered(coming.withColumn("section", F.concat(F.lit("events "), month_bucket(F.col("event_date")))), F.col("section"), ["event_date", "event_id"], F.concat(event_date_text(F.col("event_date"), F.col("event_date")), F.lit(" "), F.col("name")))
+    event_lines = _listed(coming.withColumn("section", F.concat(F.lit("events "), month_bucket(F.col("event_date")))), F.col("section"), ["event_date", "event_id"], F.concat(event_date_text(F.col("event_date"), F.col("event_date")), F.lit(" "), F.col("name")))
     return news_lines.unionByName(job_lines).unionByName(event_lines)
 
 
 def weekly_pick_report(news: DataFrame, now: Column, n: int = 5) -> DataFrame:
     """Picks of the last seven days, alternates and totals."""
     week = O.weekly_pick(in_window(news, "published_at", now, 7), n)
-    lines = _numbered(week, F.when(F.col("picked"), "picked").otherwise("alternates"), [F.asc_nulls_last("place"), F.desc("score"), F.desc("published_at"), "seq"], meta_line(F.col("source"), F.col("score").cast("string"), F.col("url")))
+    lines = _listed(week.withColumnRenamed("place", "_place"), F.when(F.col("picked"), "picked").otherwise("alternates"), [F.asc_nulls_last("_place"), F.desc("score"), F.desc("published_at"), "seq"], meta_line(F.col("source"), F.col("score").cast("string"), F.col("url")))
     totals = week.agg(F.count("*").alias("in_window"), F.count_if("picked").alias("picked"))
     return lines.unionByName(_facts(totals, "totals"))
 
