@@ -788,6 +788,24 @@ def t2(spark, d):
     return _drained(T.stream_new_urls(stream, "ts", "url", delay="3650 days").select("url"), "t2")
 
 
+def _fetch_stream(spark: SparkSession, d: str) -> DataFrame:
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    _event_stream(spark, d).createOrReplaceTempView("events")
+    return spark.sql(VIEWS["v_fetch"])
+
+
+@query("t4_stream_liveness", over("v_fetch", "SELECT source_id, CAST(floor(epoch(max(ts))) AS BIGINT) AS last_attempt, coalesce(CAST(floor(epoch(max(CASE WHEN upserted > 0 THEN ts END))) AS BIGINT), 0) AS last_success FROM v_fetch GROUP BY source_id"))
+def t4(spark, d):
+    found = _drained(T.stream_liveness(_fetch_stream(spark, d)), "t4", "update")
+    return found.groupBy("source_id").agg(F.max("last_attempt").alias("last_attempt"), F.max("last_success").alias("last_success"))
+
+
+@query("t5_stream_breaker", over("v_fetch", "SELECT 1").rsplit(" SELECT 1", 1)[0] + """, i AS (SELECT *, sum(CASE WHEN outcome = 'success' THEN 1 ELSE 0 END) OVER (PARTITION BY source_id ORDER BY seq) AS island FROM v_fetch),
+    f AS (SELECT *, row_number() OVER (PARTITION BY source_id, island ORDER BY seq) AS k FROM i WHERE outcome = 'failure') SELECT source_id, seq AS abort_at FROM f WHERE k = 3""")
+def t5(spark, d):
+    return _drained(T.stream_breaker(_fetch_stream(spark, d)), "t5")
+
+
 @query("t6_intake_day", "SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, count(*) AS n FROM events GROUP BY 1")
 def t6(spark, d):
     return T.intake_counts(table(spark, d, "events"), "ts").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
