@@ -600,7 +600,11 @@ def x1(spark, d):
     return scored.select("seq", F.col("score").cast("bigint").alias("score")).unionByName(missing.select("seq", F.lit(None).cast("bigint").alias("score")))
 
 
-@query("x2_classify_rows")
+_SENIOR = "CASE " + " ".join(f"WHEN contains(lower(title), '{k}') THEN '{k}'" for k in W.SENIORITY) + " ELSE 'mid' END"
+_FUNCTION = "CASE " + " ".join(f"WHEN contains(lower(title), '{f.split(' ')[0].lower()[:6]}') THEN '{f}'" for f in W.FUNCTIONS) + " ELSE 'Other' END"
+
+
+@query("x2_classify_rows", over("v_job", f"SELECT job_id, {_SENIOR} AS seniority, {_FUNCTION} AS job_function, NOT {any_of('title', W.SCORE_UNRELATED)} AS relevant FROM v_job"))
 def x2(spark, d):
     return E.classify_rows(view(spark, d, "v_job")).select("job_id", "reply.seniority", "reply.job_function", "reply.relevant")
 
@@ -613,12 +617,12 @@ def x3(spark, d):
     return E.extract_events(pages)
 
 
-@query("x4_enrich_rows")
+@query("x4_enrich_rows", over("v_article", r"SELECT seq, left(regexp_replace(lower(title), '^\s+|\s+$', '', 'g'), 150) AS summary FROM v_article"))
 def x4(spark, d):
     return E.enrich_rows(view(spark, d, "v_article").select("seq", "title", F.lit("").alias("snippet"))).select("seq", "summary")
 
 
-@query("x5_excerpt_rows")
+@query("x5_excerpt_rows", r"SELECT doc_id, nullif(regexp_replace(regexp_replace(left(text, 400), '\.[^.]*$', ''), '^\s+|\s+$', '', 'g'), '') AS excerpt FROM documents")
 def x5(spark, d):
     return E.excerpt_rows(table(spark, d, "documents"))
 
