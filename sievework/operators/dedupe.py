@@ -91,9 +91,10 @@ def group_stories(df: DataFrame, text: str, threshold: float = 0.8, block: str |
 
     Equal shingle sets are one set first. Candidates share a rare shingle: sets are ordered by how often a
     shingle occurs, and two sets of similarity t must share one of their first (1 - t) * n + 1 shingles
-    (prefix filter), which is exact. Labels then spread along the links, written out each round.
+    (prefix filter), which is exact. Pairs inside a component that is known already aren't made, so a crowd
+    of near copies costs a star and not all its pairs. Labels spread along the links, written out each round.
     """
-    from sievework.operators.graphs import connected
+    from sievework.operators.graphs import connected, cut
 
     words = F.split(norm_key(text), " ")
     grams = F.when(F.size(words) <= size, F.array(F.array_join(words, " "))).otherwise(
@@ -110,14 +111,24 @@ def group_stories(df: DataFrame, text: str, threshold: float = 0.8, block: str |
         .filter((F.col("turn") <= F.col("m") - F.ceil(F.lit(threshold) * F.col("m") - 1e-9) + 1) & (F.col("n") > 1))
         .select("_id", "b", "g", "m")
     )
-    left, right = prefix.select("b", "g", F.col("_id").alias("x"), F.col("m").alias("mx")), prefix.select("b", "g", F.col("_id").alias("y"), F.col("m").alias("my"))
-    near = left.join(right, ["b", "g"]).filter((F.col("x") < F.col("y")) & (F.least("mx", "my") >= threshold * F.greatest("mx", "my"))).select("x", "y").distinct()
-    found = (
-        near.join(sets.select(F.col("_id").alias("x"), F.col("s").alias("sx")), "x").join(sets.select(F.col("_id").alias("y"), F.col("s").alias("sy")), "y")
-        .withColumn("both", F.size(F.array_intersect("sx", "sy")))
-        .filter(F.col("both") >= threshold * (F.size("sx") + F.size("sy") - F.col("both")))
-        .select(F.col("x").alias("a"), F.col("y").alias("b"))
-    )
+    prefix = cut(prefix)
+
+    def verified(near: DataFrame) -> DataFrame:
+        """Pairs (x, y) of sets that resemble one another."""
+        sx, sy = sets.select(F.col("_id").alias("x"), F.col("s").alias("sx")), sets.select(F.col("_id").alias("y"), F.col("s").alias("sy"))
+        both = near.distinct().join(sx, "x").join(sy, "y").withColumn("both", F.size(F.array_intersect("sx", "sy")))
+        return both.filter(F.col("both") >= threshold * (F.size("sx") + F.size("sy") - F.col("both"))).select(F.col("x").alias("a"), F.col("y").alias("b"))
+
+    # First each set with the least set that shares a shingle: crowds of near copies become one component.
+    head = prefix.groupBy("b", "g").agg(F.min("_id").alias("x"))
+    stars = cut(verified(prefix.join(head, ["b", "g"]).filter(F.col("x") < F.col("_id")).select("x", F.col("_id").alias("y"))))
+    joined = connected(stars)
+    # Then pairs of different components only, which is all that can still change anything.
+    rooted = prefix.join(joined, prefix["_id"] == joined["node"], "left").select("b", "g", "_id", "m", F.coalesce("root", "_id").alias("r"))
+    left = rooted.select("b", "g", F.col("_id").alias("x"), F.col("m").alias("mx"), F.col("r").alias("rx"))
+    right = rooted.select("b", "g", F.col("_id").alias("y"), F.col("m").alias("my"), F.col("r").alias("ry"))
+    apart = (F.col("x") < F.col("y")) & (F.col("rx") != F.col("ry")) & (F.least("mx", "my") >= threshold * F.greatest("mx", "my"))
+    found = stars.union(verified(left.join(right, ["b", "g"]).filter(apart).select("x", "y")))
     labels = connected(found)
     named = sets.join(labels, sets["_id"] == labels["node"], "left").select("_id", F.coalesce("root", "_id").alias("root"), "first")
     story = named.groupBy("root").agg(F.min("first").alias("story"))
