@@ -135,11 +135,11 @@ def accept_all(bits: int = BITS) -> Model:
     return Model(zero, zero, 0.0, 0.0, 5.0, bits)
 
 
-def fit(texts: list[str], labels: list[int], bits: int = BITS, passes: int = 6) -> Model:
+def fit(texts: list[str] | pa.Array | pa.ChunkedArray, labels: list[int], bits: int = BITS, passes: int = 6) -> Model:
     """Logistic regression by Adagrad on four fifths of the rows, calibrated on the rest."""
     if len(set(labels)) < 2 or len(labels) < 20:
         return accept_all(bits)
-    data, offsets = tb.utf8(pa.array(texts, pa.large_string()))
+    data, offsets = tb.utf8(pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts)
     n, rows = 1 << bits, []
     for _, part, marks in tb.slices(data, offsets):
         words, grams = tb.Words(part, marks), _grams(part, marks, bits)
@@ -204,7 +204,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     texts = docs.select("doc_id", "text").filter(F.length("text") <= TRAIN_CHARS)
     got = texts.join(F.broadcast(marked), "doc_id").select("turn", "doc_id", "text", "quality").toArrow()  # at most rows
     got = got.sort_by([("turn", "ascending"), ("doc_id", "ascending"), ("text", "ascending")]).slice(0, rows)
-    return fit(got["text"].to_pylist(), [int(x > 0) for x in got["quality"].to_pylist()])
+    return fit(got["text"], [int(x > 0) for x in got["quality"].to_pylist()])
 
 
 def judge_batch(column: pa.Array, model: Model, threshold: float) -> pa.StructArray:

@@ -59,7 +59,7 @@ def _lowered(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return tb.utf8(pc.utf8_lower(column.cast(pa.large_string())))
 
 
-def fit(texts: list[str | None], labels: list[int], *, alpha=1.0, beta=1.0, l1=3.0, l2=0.1, passes=8, least=3, settled=0.005, bits=BITS) -> Model:
+def fit(texts: list[str | None] | pa.Array | pa.ChunkedArray, labels: list[int], *, alpha=1.0, beta=1.0, l1=3.0, l2=0.1, passes=8, least=3, settled=0.005, bits=BITS) -> Model:
     """FTRL-proximal over the rows in the given order, ``passes`` times.
 
     Features in fewer than ``least`` rows are left out: the L1 penalty would hold them at zero. After
@@ -70,7 +70,7 @@ def fit(texts: list[str | None], labels: list[int], *, alpha=1.0, beta=1.0, l1=3
     z, s, w = np.zeros(n), np.zeros(n), np.zeros(n)
     bias_z = bias_s = bias = 0.0
     rows: list[np.ndarray] = []
-    data, offsets = _lowered(pa.array(texts, pa.large_string()))
+    data, offsets = _lowered(pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts)
     for _, part, marks in tb.slices(data, offsets):
         owner, feature = _features(part, marks, bits)
         key = np.unique(owner * n + feature)
@@ -134,7 +134,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     texts = docs.select("doc_id", "text").filter(F.length("text") <= TRAIN_CHARS)
     got = texts.join(F.broadcast(marked), "doc_id").select("turn", "doc_id", "text", "toxic").toArrow()  # at most rows
     got = got.sort_by([("turn", "ascending"), ("doc_id", "ascending"), ("text", "ascending")]).slice(0, 2 * rows)
-    return fit(got["text"].to_pylist(), [int(x) for x in got["toxic"].to_pylist()])
+    return fit(got["text"], [int(x) for x in got["toxic"].to_pylist()])
 
 
 def scorer(model: Model):
