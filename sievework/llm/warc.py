@@ -21,6 +21,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import re
+import zlib
 from typing import Iterator
 from urllib.parse import quote
 
@@ -129,8 +130,9 @@ def split_http(block: bytes) -> tuple[bytes, bytes, int | None]:
     return head, block[len(head) :], int(found[1]) if found else None
 
 
-def records(arcs: DataFrame, payloads: bool = True) -> DataFrame:
-    """RECORDS of ARC archives; without ``payloads`` the payload and header columns are null."""
+def records(arcs: DataFrame, payloads: bool = True, packed: bool = False) -> DataFrame:
+    """RECORDS of ARC archives; without ``payloads`` the payload and header columns are null, and ``packed``
+    ones are compressed (zlib), for frames that are shuffled."""
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,7 +142,7 @@ def records(arcs: DataFrame, payloads: bool = True) -> DataFrame:
                     head, body, key = split_http(block)
                     rows.append({
                         "page_id": key, "url": fields["URL"], "ip": fields["IP-address"], "date": fields["Archive-date"], "mime": fields["Content-type"],
-                        "http": head if payloads else None, "payload": body if payloads else None,
+                        "http": head if payloads else None, "payload": (zlib.compress(body, 1) if packed else body) if payloads else None,
                         "digest": hashlib.sha256(body).hexdigest(), "payload_bytes": len(body),
                     })
                 yield pa.RecordBatch.from_pylist(rows, schema=_RECORDS)
@@ -197,7 +199,7 @@ def convert(arcs: DataFrame) -> DataFrame:
     narrow = records(arcs, payloads=False).filter(F.col("page_id").isNotNull() & (F.col("payload_bytes") >= LEAST)).select("page_id", "digest")
     shared = narrow.groupBy("digest").agg(F.min("page_id").alias("first"), F.max("page_id").alias("other")).filter("other > first").select("digest", "first")
     later = narrow.join(shared, "digest").filter(F.col("page_id") > F.col("first")).select("page_id", "digest", "first").distinct()
-    rows = records(arcs).join(later, ["page_id", "digest"], "left").select("page_id", "url", "ip", "date", "mime", "http", "payload", "digest", "first")
+    rows = records(arcs, packed=True).join(later, ["page_id", "digest"], "left").select("page_id", "url", "ip", "date", "mime", "http", "payload", "digest", "first")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -213,7 +215,7 @@ def convert(arcs: DataFrame) -> DataFrame:
 
         for batch in batches:
             for key, url, ip, date, mime, http, payload, digest, first in zip(*(batch.column(k).to_pylist() for k in range(9)), strict=True):
-                block = http if first is not None else http + payload
+                block = http if first is not None else http + zlib.decompress(payload)
                 headers = [
                     ("WARC-Record-ID", f"<{record_id(key, digest)}>"), ("WARC-Date", iso_date(date)), ("WARC-Target-URI", url), ("WARC-IP-Address", ip),
                     ("WARC-Payload-Digest", f"sha256:{digest}"), ("WARC-Block-Digest", f"sha256:{hashlib.sha256(block).hexdigest()}"),
