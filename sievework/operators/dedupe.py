@@ -96,9 +96,11 @@ def group_stories(df: DataFrame, text: str, threshold: float = 0.8, block: str |
     from sievework.operators.graphs import connected
 
     words = F.split(norm_key(text), " ")
-    grams = F.when(F.size(words) <= size, F.array(F.array_join(words, " "))).otherwise(
-        F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - size + 1, F.lit(1))), lambda i: F.array_join(F.slice(words, i, size), " "))
-    )
+    grams = words
+    for k in range(1, size):  # whole arrays beside one another: the text is split a few times a row, not once a shingle
+        shifted = F.slice(words, k + 1, F.greatest(F.size(words) - k, F.lit(0)))
+        grams = F.zip_with(grams, shifted, lambda a, b: F.concat(a, F.lit(" "), b))
+    grams = F.when(F.size(words) <= size, F.array(F.array_join(words, " "))).otherwise(F.filter(grams, lambda g: g.isNotNull()))
     hashed = F.sort_array(F.array_distinct(F.transform(grams, lambda g: F.xxhash64(g))))
     blocked = df.withColumn("_set", hashed).withColumn("_block", F.col(block).cast("string") if block else F.lit(""))
     blocked = blocked.withColumn("_id", F.xxhash64("_set", "_block"))
