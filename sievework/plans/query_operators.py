@@ -695,7 +695,10 @@ _PLATFORM = "CASE job_id % 10 " + " ".join(f"WHEN {i} THEN '{p}'" for i, p in en
 
 @query("s5_normalise_payloads", over("v_job", f"SELECT {_PLATFORM} AS platform, source_id, trim(title) AS title, CASE WHEN job_id % 10 = 6 THEN NULL ELSE location_raw END AS location_raw, CASE WHEN job_id % 10 IN (5, 8) THEN NULL ELSE summary END AS summary FROM v_job"))
 def s5(spark, d):
-    return PL.normalise_payloads(*_payloads(spark, d)).select("platform", "source_id", "title", "location_raw", "summary")
+    from sievework.operators.graphs import cut
+
+    landed, details = _payloads(spark, d)  # written out, as landed payloads are: each platform's reader scans them
+    return PL.normalise_payloads(cut(landed), details).select("platform", "source_id", "title", "location_raw", "summary")
 
 
 @query("s5k_search_items", over("v_job", "SELECT trim(title) AS title, CASE WHEN job_id % 4 = 0 THEN 'no_hiring_org' WHEN job_id % 4 = 1 THEN 'stale (' || (job_id % 9) * 7 || 'd)' END AS reason FROM v_job WHERE job_id % 4 <> 1 OR (job_id % 9) * 7 > 30"))
