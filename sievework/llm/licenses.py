@@ -1,22 +1,25 @@
-"""License scans: MinHash bands over overlapping windows, then exact shingle containment.
+"""License scans: MinHash bands choose a template's anchors, then exact shingle containment.
 
 Texts and templates are lower-cased and cut into words of letters and digits, and words into shingles
-of SHINGLE words (all of a shorter template's words). For a template of n shingles a text is cut into
-windows of n + stride shingles, each ``stride`` (half of n) after the one before, so a copy lies whole
-within one window and at least 0.8 * n of the at most 1.7 * n shingles of window and template together
-are shared. Each of BANDS bands is one MinHash value, so a window of that similarity meets its template
-with probability 1 - (1 - 0.8 / 1.7) ** 16, over 0.9999. Windows that meet a template are compared with
-it shingle by shingle, as words; a match has CONTAINMENT of the template's shingles or more.
-
-Defined cases: null and empty texts match nothing; a text shorter than a window is one window; a
-template found several times counts once a place (overlapping windows of one place are merged);
+of SHINGLE words (all of a shorter template's words). A match has CONTAINMENT of the template's distinct
+shingles or more, however far apart they lie. A band is one permutation of the shingles, and its least
+shingle of a template is an anchor. There are BANDS bands or more: so many that a template has more anchors
+than a match may lack, and every text with a match holds an anchor. Texts that hold one are compared with
+the template shingle by shingle, as words.
+
+A place is the shortest run of template shingles that holds enough of them, and the missing ones that follow
+or precede it. Runs without a gap over the template's length come first; then what is left over is joined
+across any gap, so words inserted into a copy don't hide it.
+
+Defined cases: null and empty texts match nothing; a template found several times counts once a place;
 repeated rows get equal results; other columns pass through.
 """
 
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from collections import Counter
+from dataclasses import dataclass, replace
 from functools import lru_cache
 from typing import Iterator
 
@@ -28,7 +31,7 @@ from pyspark.sql import functions as F
 
 from sievework.llm import textbatch as tb
 
-SHINGLE, CONTAINMENT, BANDS = 5, 0.8, 16
+SHINGLE, CONTAINMENT, BANDS, MOST_BANDS = 5, 0.8, 16, 240
 RESULT = "struct<n_matches: bigint, licenses: string, best: double, spans: string>"
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 
@@ -82,11 +85,9 @@ def shingles(words: list[bytes], size: int) -> list[bytes]:
 
 def minhashes(hashes: np.ndarray, band: int) -> np.ndarray:
     """One permutation of 64-bit values, as 32 bits."""
+    salt = np.uint64(int.from_bytes(bytes((37 * band + 11 * k) % 251 + 1 for k in range(8)), "little"))
     with np.errstate(over="ignore"):
-        return ((hashes ^ _SALTS[band]) * tb.PRIME >> np.uint64(32)).astype(np.uint32)
-
-
-_SALTS = np.array([int.from_bytes(bytes((37 * b + 11 * k) % 251 + 1 for k in range(8)), "little") for b in range(BANDS)], dtype=np.uint64)
+        return ((hashes ^ salt) * tb.PRIME >> np.uint64(32)).astype(np.uint32)
 
 
 @dataclass(frozen=True)
@@ -95,12 +96,19 @@ class Template:
     size: int  # words of a shingle
     n: int  # shingles
     words: frozenset
-    bands: tuple[int, ...]
+    often: Counter  # how often the template has each shingle
+    hashes: np.ndarray
+    anchors: np.ndarray
 
     @property
     def stride(self) -> int:
         return max(1, self.n // 2)
 
+    @property
+    def least(self) -> int:
+        """The fewest distinct shingles of a match."""
+        return next(k for k in range(1, len(self.words) + 1) if k / len(self.words) >= CONTAINMENT)
+
 
 def build(templates: dict[str, str]) -> list[Template]:
     out = []
@@ -113,77 +121,100 @@ def build(templates: dict[str, str]) -> list[Template]:
         view = np.frombuffer(data, np.uint8)
         _, hashes = tb.Words(view, np.array([0, len(view)]), tb.ALNUM).windows(*range(size))
         own = shingles(words, size)
-        out.append(Template(name, size, len(own), frozenset(own), tuple(int(minhashes(hashes, b).min()) for b in range(BANDS))))
+        made = Template(name, size, len(own), frozenset(own), Counter(own), np.unique(hashes), hashes[:0])
+        out.append(replace(made, anchors=_anchors(made)))
     return out
 
 
+def _anchors(t: Template) -> np.ndarray:
+    """The least shingle of each band, over BANDS bands and then until more are known than a match may lack;
+    after MOST_BANDS all shingles."""
+    found: set[int] = set()
+    for band in range(MOST_BANDS):
+        if band >= BANDS and len(found) > len(t.words) - t.least:
+            return np.array(sorted(found), dtype=np.uint64)
+        found.add(int(t.hashes[minhashes(t.hashes, band).argmin()]))
+    return t.hashes
+
+
 @lru_cache(maxsize=1)
 def default_templates() -> list[Template]:
     return build(TEMPLATES)
 
 
-def _windows(counts: np.ndarray, n: int, stride: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, first shingle, one after the last) of every window; ``counts`` are the texts' numbers of shingles."""
-    long = n + stride
-    each = np.where(counts > 0, np.maximum(0, -(-(counts - long) // stride)) + 1, 0)
-    text = np.repeat(np.arange(len(counts)), each)
-    begin = np.concatenate([[0], np.cumsum(counts)[:-1]])
-    place = np.arange(len(text)) - np.repeat(np.concatenate([[0], np.cumsum(each)[:-1]]), each)
-    first = begin[text] + place * stride
-    return text, first, np.minimum(first + long, begin[text] + counts[text])
+def _taken(ids: list, s: int, e: int, low: int, high: int, often: Counter) -> tuple[int, int]:
+    """The run [s, e) with the shingles after and before it that it still lacks."""
+    have = Counter(ids[s:e])
+    while e < high and have[ids[e]] < often[ids[e]]:
+        have[ids[e]] += 1
+        e += 1
+    while s > low and have[ids[s - 1]] < often[ids[s - 1]]:
+        s -= 1
+        have[ids[s]] += 1
+    return s, e
+
+
+def _runs(ids: list, low: int, high: int, t: Template) -> Iterator[tuple[int, int]]:
+    """Runs within [low, high) that hold enough distinct shingles, from left to right."""
+    have: Counter = Counter()
+    s = e = low
+    while e < high:
+        have[ids[e]] += 1
+        e += 1
+        if len(have) < t.least:
+            continue
+        while have[ids[s]] > 1:
+            have[ids[s]] -= 1
+            s += 1
+        s, e = _taken(ids, s, e, low, high, t.often)
+        yield s, e
+        low = s = e
+        have = Counter()
+
+
+def places(at: list[int], ids: list, t: Template) -> list[tuple[int, int]]:
+    """[first, end) of the runs of a text's template shingles ``ids`` at ``at`` that are matches."""
+    cuts = [0, *(k for k in range(1, len(at)) if at[k] - at[k - 1] > t.n), len(at)]
+    dense = [run for low, high in zip(cuts, cuts[1:]) for run in _runs(ids, low, high, t)]
+    out, low = [], 0
+    for k, (s, e) in enumerate(dense):
+        s, e = _taken(ids, s, e, low, dense[k + 1][0] if k + 1 < len(dense) else len(at), t.often)
+        out += [*_runs(ids, low, s, t), (s, e)]
+        low = e
+    return out + [*_runs(ids, low, len(at), t)]
 
 
 def scan_slice(data: np.ndarray, offsets: np.ndarray, templates: list[Template]) -> list[list[tuple[str, float, int, int]]]:
     """(template, containment, first byte, end byte) of each match of each text of a lower-cased slice."""
     found: list[list[tuple[str, float, int, int]]] = [[] for _ in range(len(offsets) - 1)]
     words = tb.Words(data, offsets, tb.ALNUM)
+    low = np.uint64(0xFFFF)
     for size in sorted({t.size for t in templates}):
         first_word, hashes = words.windows(*range(size))
-        if not len(hashes):
-            continue
-        counts = np.bincount(words.texts[first_word], minlength=len(found))
-        groups: dict[int, list[Template]] = {}
-        for t in templates:
-            if t.size == size:
-                groups.setdefault(t.n, []).append(t)
-        cuts = {n: _windows(counts, n, group[0].stride) for n, group in groups.items()}
-        hits: dict[int, set[tuple[int, int]]] = {n: set() for n in groups}
-        for band in range(BANDS):
-            values = minhashes(hashes, band)
-            padded = np.append(values, np.uint32(0xFFFFFFFF))
-            for n, group in groups.items():
-                _, first, end = cuts[n]
-                edges = np.empty(2 * len(first), dtype=np.int64)
-                edges[::2], edges[1::2] = first, end
-                least = np.minimum.reduceat(padded, edges)[::2]
-                for k, t in enumerate(group):
-                    hits[n].update((int(w), k) for w in np.flatnonzero(least == t.bands[band]))
-        for n, group in groups.items():
-            texts, first, end = cuts[n]
-            for w, k in sorted(hits[n]):
-                t, a, b = group[k], int(first[w]), int(end[w])
-                own = [
-                    b" ".join(data[words.starts[i + j] : words.ends[i + j]].tobytes() for j in range(size)) for i in first_word[a:b].tolist()
-                ]
-                shared = [i for i, s in enumerate(own) if s in t.words]
-                part = len({own[i] for i in shared}) / len(t.words)
-                if part >= CONTAINMENT:
-                    start = int(words.starts[first_word[a + shared[0]]] - offsets[texts[w]])
-                    stop = int(words.ends[first_word[a + shared[-1]] + size - 1] - offsets[texts[w]])
-                    found[texts[w]].append((t.name, part, start, stop))
-    return [_merged(x) for x in found]
-
-
-def _merged(matches: list[tuple[str, float, int, int]]) -> list[tuple[str, float, int, int]]:
-    """Overlapping matches of one template as one, by place."""
-    out: list[tuple[str, float, int, int]] = []
-    for name, part, start, stop in sorted(matches, key=lambda x: (x[0], x[2])):
-        if out and out[-1][0] == name and start < out[-1][3]:
-            _, before, begin, end = out[-1]
-            out[-1] = (name, max(part, before), begin, max(stop, end))
-        else:
-            out.append((name, part, start, stop))
-    return sorted(out, key=lambda x: (x[2], x[0]))
+        group = [t for t in templates if t.size == size]
+        known = np.unique(np.concatenate([t.hashes for t in group]))
+        maybe = np.zeros(1 << 16, dtype=bool)
+        maybe[known & low] = True
+        hits = np.flatnonzero(maybe[hashes & low])
+        hits = hits[np.isin(hashes[hits], known)]
+        texts = words.texts[first_word[hits]]
+        for t in group:
+            own = np.isin(hashes[hits], t.hashes)
+            held = np.bincount(texts[own], minlength=len(found))
+            anchored = np.bincount(texts[own & np.isin(hashes[hits], t.anchors)], minlength=len(found))
+            for text in np.flatnonzero((anchored > 0) & (held >= t.least)).tolist():
+                a, b = np.searchsorted(texts, [text, text + 1])
+                at, ids = [], []
+                for i in hits[a:b][own[a:b]].tolist():
+                    k = first_word[i]
+                    s = b" ".join(data[words.starts[k + j] : words.ends[k + j]].tobytes() for j in range(size))
+                    if s in t.words:
+                        at.append(int(k))
+                        ids.append(s)
+                for s, e in places(at, ids, t):
+                    start, stop = words.starts[at[s]] - offsets[text], words.ends[at[e - 1] + size - 1] - offsets[text]
+                    found[text].append((t.name, len(set(ids[s:e])) / len(t.words), int(start), int(stop)))
+    return [sorted(x, key=lambda m: (m[2], m[0])) for x in found]
 
 
 def scan(docs: DataFrame, templates: list[Template] | None = None, text: str = "text", into: str = "licenses") -> DataFrame:

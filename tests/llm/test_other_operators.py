@@ -262,6 +262,29 @@ def test_licenses_match_brute_force(spark, odd_docs, no_docs):
     assert licenses.scan(no_docs).count() == 0
 
 
+def test_licenses_find_copies_with_inserted_words_at_every_alignment():
+    templates = {t.name: t for t in licenses.default_templates()}
+    for name in ("MIT", "GPL-3.0", "BSD"):
+        t, words = templates[name], licenses.TEMPLATES[name].split()
+        texts = []
+        for inserted in (60, 80, 2000):
+            for lead in range(0, 200, 5):
+                at = len(words) // 2 if lead % 2 else len(words) // 8 + lead % 50
+                texts.append(" ".join(["stone"] * lead + words[:at] + ["river"] * inserted + words[at:] + ["cloud"] * 50))
+        texts.append(" ".join(["stone"] * 30 + [w for i, x in enumerate(words) for w in ([x] if i % 25 else [x, *["river"] * 200])]))
+        texts.append(" ".join(words[: len(words) // 2] + ["river"] * 400))
+        texts.append(" ".join(words + words + ["river"] * 900 + words))
+        data = [x.lower().encode() for x in texts]
+        offsets = np.cumsum([0, *map(len, data)])
+        found = licenses.scan_slice(np.frombuffer(b"".join(data), np.uint8), offsets, [t])
+        for text, matches in zip(data, found, strict=True):
+            part = len(t.words & set(licenses.shingles(licenses._WORD.findall(text), t.size))) / len(t.words)
+            assert bool(matches) == (part >= 0.8)
+            if matches:
+                assert max(m[1] for m in matches) == part
+        assert len(found[-1]) == 3 and all(len(m) == 1 for m in found[:-3]) and not found[-2]
+
+
 def test_word_hashes_depend_on_bytes_only():
     data = np.frombuffer(b"ab cd ab xab abx", np.uint8)
     words = textbatch.Words(data, np.array([0, 5, len(data)]))
