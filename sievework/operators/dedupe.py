@@ -6,6 +6,13 @@ before the shuffle, so a group that holds a third of all rows sends one row from
 
 from __future__ import annotations
 
+import math
+from functools import lru_cache
+from hashlib import blake2b
+from typing import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -86,41 +93,120 @@ def assign_batches(df: DataFrame, size: int = 15, bucket: str | None = None, ord
     return numbered.withColumn("batch", F.floor(F.col("_n") / size)).withColumn("idx", F.col("_n") % size).drop("_n")
 
 
+_PRIME = 0x9E3779B97F4A7C15
+_SAMPLE, _COMMON, _TILE = 16, 65_536, 1_024
+
+
+@lru_cache(maxsize=4)
+def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """2**bits powers of an odd number and of its inverse modulo 2**64."""
+    inverse = pow(_PRIME, -1, 1 << 64)
+    steps = [np.full(1 << bits, k, np.uint64) for k in (_PRIME, inverse)]
+    for step in steps:
+        step[0] = 1
+    return np.cumprod(steps[0]), np.cumprod(steps[1])
+
+
+def _shingles(text: bytes, size: int) -> np.ndarray:
+    """The distinct 64-bit hashes, in order, of runs of ``size`` words of a text with single spaces; of the whole text if it's shorter."""
+    view = np.frombuffer(text, np.uint8)
+    spaces = np.flatnonzero(view == 32)
+    starts, ends = np.concatenate([[0], spaces + 1]), np.append(spaces, len(view))
+    size = min(size, len(starts))
+    starts, ends = starts[: len(starts) - size + 1], ends[size - 1 :]
+    up, down = _powers((len(view) + 1).bit_length())
+    sums = np.zeros(len(view) + 1, np.uint64)
+    np.cumsum((view + np.uint64(1)) * up[: len(view)], out=sums[1:])
+    value = (sums[ends] - sums[starts]) * down[starts]
+    value = (value ^ (value >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return np.unique((value ^ (value >> np.uint64(32))).view(np.int64))
+
+
+def _prefix(own: np.ndarray, threshold: float, common: np.ndarray, often: np.ndarray) -> np.ndarray:
+    """The shingles of which a set of this similarity shares one: the first by (how common, hash)."""
+    n = len(own) - math.ceil(threshold * len(own) - 1e-9) + 1
+    if not len(common):
+        return own[:n]
+    at = np.minimum(np.searchsorted(common, own), len(common) - 1)
+    return own[np.lexsort((own, np.where(common[at] == own, often[at], 0)))[:n]]
+
+
+def _set_id(own: np.ndarray, block: str | None) -> int:
+    return int.from_bytes(blake2b(own.tobytes() + repr(block).encode(), digest_size=8).digest(), "little", signed=True)
+
+
 def group_stories(df: DataFrame, text: str, threshold: float = 0.8, block: str | None = None, size: int = 5, key: str = "seq") -> DataFrame:
     """Rows with ``story``, the smallest key of texts that resemble one another (Jaccard of word shingles).
 
-    Equal shingle sets are one set first. Candidates share a rare shingle: sets are ordered by how often a
-    shingle occurs, and two sets of similarity t must share one of their first (1 - t) * n + 1 shingles
-    (prefix filter), which is exact. Labels then spread along the links, written out each round.
+    Equal shingle sets are one set first. Two sets of similarity t must share one of their first
+    (1 - t) * n + 1 shingles in any order that is the same for all sets (prefix filter), which is exact; the
+    order here puts shingles last that are common in a sample of the texts. First each set is compared with the
+    least set that shares a shingle, so a crowd of near copies becomes one component; then only pairs of different
+    components are made, large groups of them in tiles. Labels spread along the links, written out each round.
     """
-    from sievework.operators.graphs import connected
-
-    words = F.split(norm_key(text), " ")
-    grams = words
-    for k in range(1, size):  # whole arrays beside one another: the text is split a few times a row, not once a shingle
-        shifted = F.slice(words, k + 1, F.greatest(F.size(words) - k, F.lit(0)))
-        grams = F.zip_with(grams, shifted, lambda a, b: F.concat(a, F.lit(" "), b))
-    grams = F.when(F.size(words) <= size, F.array(F.array_join(words, " "))).otherwise(F.filter(grams, lambda g: g.isNotNull()))
-    hashed = F.sort_array(F.array_distinct(F.transform(grams, lambda g: F.xxhash64(g))))
-    blocked = df.withColumn("_set", hashed).withColumn("_block", F.col(block).cast("string") if block else F.lit(""))
-    blocked = blocked.withColumn("_id", F.xxhash64("_set", "_block"))
-    sets = blocked.groupBy("_id").agg(F.first("_set").alias("s"), F.first("_block").alias("b"), F.min(key).alias("first"))
-    counts = sets.select("_id", "b", F.explode("s").alias("g")).groupBy("b", "g").agg(F.count("*").alias("n"))
-    prefix = (
-        sets.select("_id", "b", F.size("s").alias("m"), F.explode("s").alias("g")).join(counts, ["b", "g"])
-        .withColumn("turn", F.row_number().over(Window.partitionBy("_id").orderBy("n", "g")))
-        .filter((F.col("turn") <= F.col("m") - F.ceil(F.lit(threshold) * F.col("m") - 1e-9) + 1) & (F.col("n") > 1))
-        .select("_id", "b", "g", "m")
-    )
-    left, right = prefix.select("b", "g", F.col("_id").alias("x"), F.col("m").alias("mx")), prefix.select("b", "g", F.col("_id").alias("y"), F.col("m").alias("my"))
-    near = left.join(right, ["b", "g"]).filter((F.col("x") < F.col("y")) & (F.least("mx", "my") >= threshold * F.greatest("mx", "my"))).select("x", "y").distinct()
-    found = (
-        near.join(sets.select(F.col("_id").alias("x"), F.col("s").alias("sx")), "x").join(sets.select(F.col("_id").alias("y"), F.col("s").alias("sy")), "y")
-        .withColumn("both", F.size(F.array_intersect("sx", "sy")))
-        .filter(F.col("both") >= threshold * (F.size("sx") + F.size("sy") - F.col("both")))
-        .select(F.col("x").alias("a"), F.col("y").alias("b"))
-    )
-    labels = connected(found)
+    from sievework.operators.graphs import connected, cut
+
+    whole, blocks = norm_key(text), F.col(block).cast("string") if block else F.lit("")
+
+    @F.arrow_udf("array<bigint>")
+    def shingles(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            yield pa.array([_shingles(t.encode(), size) for t in batch.to_pylist()], pa.list_(pa.int64()))
+
+    sample = df.select(whole.alias("t")).filter(F.pmod(F.xxhash64("t"), F.lit(_SAMPLE)) == 0)
+    counts = sample.select(F.explode(shingles("t")).alias("g")).groupBy("g").agg(F.count("*").alias("n")).filter("n > 3")
+    known = counts.orderBy(F.desc("n"), "g").limit(_COMMON).collect()
+    known = sorted((r.g, r.n) for r in known)
+    order = df.sparkSession.sparkContext.broadcast((np.array([g for g, _ in known], np.int64), np.array([n for _, n in known], np.int64)))
+
+    @F.arrow_udf("struct<id: bigint, m: int, rare: array<bigint>>")
+    def described(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, names in columns:
+            ids, sizes, rare = [], [], []
+            for t, b in zip(texts.to_pylist(), names.to_pylist(), strict=True):
+                own = _shingles(t.encode(), size)
+                ids.append(_set_id(own, b))
+                sizes.append(len(own))
+                rare.append(_prefix(own, threshold, *order.value))
+            yield pa.StructArray.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int32()), pa.array(rare, pa.list_(pa.int64()))], ["id", "m", "rare"])
+
+    @F.arrow_udf("struct<id: bigint, s: array<bigint>>")
+    def full(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, names in columns:
+            own = [_shingles(t.encode(), size) for t in texts.to_pylist()]
+            ids = [_set_id(o, b) for o, b in zip(own, names.to_pylist(), strict=True)]
+            yield pa.StructArray.from_arrays([pa.array(ids, pa.int64()), pa.array(own, pa.list_(pa.int64()))], ["id", "s"])
+
+    rows = df.withColumn("_block", blocks).withColumn("_about", described(whole, blocks))
+    sets = cut(rows.groupBy(F.col("_about.id").alias("_id")).agg(F.first("_block").alias("b"), F.first("_about.m").alias("m"), F.first("_about.rare").alias("rare"), F.min(key).alias("first")))
+    spread = sets.select("_id", "b", "m", F.explode("rare").alias("g"))
+    heads = spread.groupBy("b", "g").agg(F.min("_id").alias("x"), F.min_by("m", "_id").alias("mx"), F.count("*").alias("n")).filter("n > 1")
+    prefix = cut(spread.join(heads.select(F.col("b").alias("hb"), F.col("g").alias("hg"), "x", "mx", "n"), F.col("b").eqNullSafe(F.col("hb")) & (F.col("g") == F.col("hg"))).drop("hb", "hg"))
+    alike = F.least("mx", "my") >= threshold * F.greatest("mx", "my")
+
+    def verified(near: DataFrame) -> DataFrame:
+        """Those of the pairs (x, y) of sets that resemble one another."""
+        near = cut(near.distinct())
+        ids = near.select(F.col("x").alias("_id")).union(near.select("y")).distinct()
+        firsts = sets.join(ids, "_id", "left_semi").select(F.col("first").alias("_first"), F.col("_id").alias("_want"))
+        texts = df.select(F.col(key).alias("_key"), whole.alias("t"), blocks.alias("b")).join(firsts, F.col("_key").eqNullSafe(F.col("_first")))
+        held = texts.select("_want", full("t", "b").alias("f")).filter(F.col("f.id") == F.col("_want"))  # a key may have several texts
+        held = cut(held.select("_want", F.col("f.s").alias("s")).dropDuplicates(["_want"]))
+        sx, sy = held.select(F.col("_want").alias("x"), F.col("s").alias("sx")), held.select(F.col("_want").alias("y"), F.col("s").alias("sy"))
+        both = near.join(sx, "x").join(sy, "y").withColumn("both", F.size(F.array_intersect("sx", "sy")))
+        return both.filter(F.col("both") >= threshold * (F.size("sx") + F.size("sy") - F.col("both"))).select(F.col("x").alias("a"), F.col("y").alias("b"))
+
+    stars = cut(verified(prefix.filter("x < _id").withColumn("my", F.col("m")).filter(alike).select("x", F.col("_id").alias("y"))))
+    roots = connected(stars)
+    rooted = prefix.join(roots, prefix["_id"] == roots["node"], "left").withColumn("r", F.coalesce("root", "_id"))
+    rooted = rooted.withColumn("tiles", F.ceil(F.col("n") / _TILE).cast("int"))
+    left = rooted.select("b", "g", F.pmod(F.xxhash64("_id"), "tiles").cast("int").alias("tile"), F.col("_id").alias("x"), F.col("m").alias("mx"), F.col("r").alias("rx"))
+    right = rooted.select("b", "g", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"), F.col("_id").alias("y"), F.col("m").alias("my"), F.col("r").alias("ry"))
+    right = right.withColumnsRenamed({"b": "b2", "g": "g2", "tile": "tile2"})
+    met = F.col("b").eqNullSafe(F.col("b2")) & (F.col("g") == F.col("g2")) & (F.col("tile") == F.col("tile2"))
+    apart = left.join(right, met & (F.col("x") < F.col("y")) & (F.col("rx") != F.col("ry")) & alike).select("x", "y")
+    labels = connected(stars.union(verified(apart)))
     named = sets.join(labels, sets["_id"] == labels["node"], "left").select("_id", F.coalesce("root", "_id").alias("root"), "first")
     story = named.groupBy("root").agg(F.min("first").alias("story"))
-    return blocked.join(named.join(story, "root").select("_id", "story"), "_id").drop("_id", "_set", "_block")
+    ids = named.join(story, "root").select(F.col("_id").alias("_set"), "story")
+    return rows.withColumn("_id", F.col("_about.id")).join(ids, F.col("_id") == F.col("_set")).drop("_id", "_set", "_block", "_about")
