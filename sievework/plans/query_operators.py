@@ -635,11 +635,25 @@ def x6(spark, d):
 # Sources -------------------------------------------------------------------------------------------
 
 
+FEED_ITEMS, PAYLOAD_ITEMS = 256, 1000  # of a landed feed or payload page, at most
+
+
+def _page(items: int):
+    """A number that at most so many rows share: of a run of rows in one partition. A source is landed page by page."""
+    return F.floor(F.monotonically_increasing_id() / items)
+
+
+def _xml_text(name: str):
+    """Text as XML holds it: marks escaped, characters that XML doesn't allow replaced."""
+    text = F.regexp_replace(F.coalesce(F.col(name), F.lit("")), "[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\uFFFE\\uFFFF]", "\ufffd")
+    return F.replace(F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+
+
 @query("s1_read_feed_items", over("v_article", "SELECT source AS feed, count(*) AS n, min(link) AS first_link FROM v_article WHERE seq % 20 <> 0 GROUP BY source"))
 def s1(spark, d):
-    a = view(spark, d, "v_article").withColumn("t", F.regexp_replace(F.left("title", F.lit(80)), "[^A-Za-z ]", "x"))
-    item = F.concat(F.lit("<item><title>"), F.col("t"), F.lit("</title>"), F.when(F.col("seq") % 20 != 0, F.concat(F.lit("<link>"), F.col("link"), F.lit("</link>"))).otherwise(""), F.lit("</item>"))
-    xml = a.groupBy(F.col("source").alias("feed")).agg(F.concat(F.lit("<rss><channel>"), F.array_join(F.collect_list(item), ""), F.lit("</channel></rss>")).alias("xml"))
+    a = view(spark, d, "v_article").withColumn("t", _xml_text("title")).withColumn("page", _page(FEED_ITEMS))
+    item = F.concat(F.lit("<item><title>"), F.col("t"), F.lit("</title>"), F.when(F.col("seq") % 20 != 0, F.concat(F.lit("<link>"), _xml_text("link"), F.lit("</link>"))).otherwise(""), F.lit("</item>"))
+    xml = a.groupBy(F.col("source").alias("feed"), "page").agg(F.concat(F.lit("<rss><channel>"), F.array_join(F.collect_list(item), ""), F.lit("</channel></rss>")).alias("xml"))
     return S.read_feed_items(xml).groupBy("feed").agg(F.count("*").alias("n"), F.min("link").alias("first_link"))
 
 
@@ -677,12 +691,11 @@ def _payloads(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
         "phenom": s(id=c["job_id"], applyUrl=c["url"], title=c["title"], locationName=c["location_raw"], description=c["summary"]),
     }
     wrap = {"greenhouse": '{"jobs": %s}', "ashby": '{"jobs": %s}', "bamboohr": '{"result": %s}', "teamtailor": '{"data": %s, "included": []}', "workday": '{"jobPostings": %s}', "rippling": '{"items": %s}', "phenom": '{"status": "success", "data": {"results": %s}}'}
-    out = None
-    for p in _PLATFORMS:
-        made = jobs.filter(F.col("platform") == p).groupBy("source_id", "platform").agg(F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(item[p])), ","), F.lit("]")).alias("payload"))
-        made = made.withColumn("payload", F.format_string(wrap.get(p, "%s"), "payload"))
-        out = made if out is None else out.unionByName(made)
-    out = out.select("source_id", "platform", F.lit("acme").alias("slug"), F.lit("https://acme.example.org").alias("base_url"), "payload")
+    case = lambda of: F.coalesce(*(F.when(F.col("platform") == p, of(p)) for p in _PLATFORMS))
+    paged = jobs.withColumn("page", _page(PAYLOAD_ITEMS)).withColumn("item", case(lambda p: F.to_json(item[p])))
+    made = paged.groupBy("source_id", "platform", "page").agg(F.concat(F.lit("["), F.array_join(F.collect_list("item"), ","), F.lit("]")).alias("items"))
+    made = made.withColumn("payload", case(lambda p: F.format_string(wrap.get(p, "%s"), "items")))
+    out = made.select("source_id", "platform", F.lit("acme").alias("slug"), F.lit("https://acme.example.org").alias("base_url"), "payload")
     own = jobs.filter("platform IN ('personio', 'workday')")
     page = F.concat(F.lit('<script type="application/ld+json">'), F.to_json(s(**{"@type": F.lit("JobPosting"), "description": c["summary"]})), F.lit("</script>"))
     where = F.when(F.col("platform") == "personio", F.concat(F.lit("https://acme.jobs.personio.com/job/"), F.col("job_id"))).otherwise(F.concat(F.lit("https://acme.example.org/job/"), F.col("job_id")))
@@ -720,7 +733,7 @@ def s5l(spark, d):
 @query("s6_board_results", over("v_job", "SELECT title, company, coalesce(location_raw, '') AS location FROM v_job"))
 def s6(spark, d):
     item = F.struct("title", F.struct(F.col("company").alias("display_name")).alias("company"), F.struct(F.col("location_raw").alias("display_name")).alias("location"))
-    pages = view(spark, d, "v_job").groupBy("source_id").agg(F.concat(F.lit('{"results": ['), F.array_join(F.collect_list(F.to_json(item)), ","), F.lit("]}")).alias("payload"))
+    pages = view(spark, d, "v_job").groupBy("source_id", _page(PAYLOAD_ITEMS).alias("page")).agg(F.concat(F.lit('{"results": ['), F.array_join(F.collect_list(F.to_json(item)), ","), F.lit("]}")).alias("payload"))
     return S.normalise_board_results(pages).select("title", "company", "location")
 
 

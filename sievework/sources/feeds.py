@@ -17,10 +17,10 @@ _ENTRY = "struct<title: string, link: array<struct<_href: string>>, updated: str
 
 def read_feed_items(xml_df: DataFrame, payload: str = "xml", feed: str = "feed") -> DataFrame:
     """Items of RSS texts, and entries of Atom texts where there is no item; rows without title or link go."""
-    parsed = xml_df.withColumn("r", F.from_xml(col(payload), f"channel struct<item: array<{_ITEM}>>")).withColumn("a", F.from_xml(col(payload), f"entry array<{_ENTRY}>"))
+    parsed = xml_df.withColumn("r", F.from_xml(col(payload), f"channel struct<item: array<{_ITEM}>>, entry array<{_ENTRY}>"))
     rss = F.transform(F.coalesce("r.channel.item", F.array().cast(f"array<{_ITEM}>")), lambda i: F.struct(i["title"].alias("title"), i["link"].alias("link"), i["pubDate"].alias("pub_date"), i["description"].alias("snippet")))
     atom = F.transform(
-        F.coalesce("a.entry", F.array().cast(f"array<{_ENTRY}>")),
+        F.coalesce("r.entry", F.array().cast(f"array<{_ENTRY}>")),
         lambda e: F.struct(e["title"].alias("title"), F.try_element_at(e["link"], F.lit(1))["_href"].alias("link"), F.coalesce(e["published"], e["updated"]).alias("pub_date"), e["summary"].alias("snippet")),
     )
     rows = parsed.select(feed, F.posexplode(F.when(F.size(rss) > 0, rss).otherwise(atom)).alias("seq", "i")).select(feed, "seq", "i.*")

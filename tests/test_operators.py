@@ -225,6 +225,37 @@ def test_breaker_and_liveness_streams(spark, tmp_path):
     assert alive[1].last_success < alive[1].last_attempt and alive[2].last_success == 0 and alive[2].alert
 
 
+def test_hot_sources_land_in_pages_with_whole_titles(spark, tmp_path, monkeypatch):
+    import duckdb
+
+    from __spark_entry__ import oracle_sql
+    from sievework.plans import query_operators as plans
+
+    titles = {i: f"<b> & \x01 ]]> {i} " + "whole title " * 40 + "end" for i in range(1, 3001)}
+    docs = spark.createDataFrame([(i, t, "en", "hot" if i % 3 else f"src{i % 4}") for i, t in titles.items()], "doc_id bigint, text string, lang string, source string")
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    names = spark.range(1, 10_001).selectExpr("id * 100 AS p_partkey", "'name ' || id AS p_name", "'b' AS p_brand", "'t' AS p_type", "CAST(id % 50 AS INT) AS p_size")  # all of source 0
+    names.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    seen = {}
+
+    def spy(module, name):
+        run = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda df, *a: seen.setdefault(name, (df, run(df, *a)))[1])
+
+    spy(plans.S, "read_feed_items"), spy(plans.S, "normalise_board_results"), spy(plans.PL, "normalise_payloads")
+    with duckdb.connect() as db:
+        for name in ("documents", "part"):
+            db.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+        for name, query in (("s1_read_feed_items", plans.s1), ("s5_normalise_payloads", plans.s5), ("s6_board_results", plans.s6)):
+            want = db.execute(oracle_sql()[name]).fetchall()
+            assert sorted(map(repr, map(tuple, query(spark, str(tmp_path)).collect()))) == sorted(map(repr, want))
+    feeds, items = seen["read_feed_items"]
+    assert {r.title.replace("\ufffd", "\x01") for r in items.collect()} <= set(titles.values())
+    assert max(r.xml.count("<item>") for r in feeds.collect()) <= plans.FEED_ITEMS
+    for name, mark in (("normalise_board_results", '"title":'), ("normalise_payloads", "name ")):
+        assert max(r.payload.count(mark) for r in seen[name][0].collect()) <= 2 * plans.PAYLOAD_ITEMS
+
+
 def test_late_rows(spark):
     rows = spark.createDataFrame([(1, "2024-01-10 00:00:00"), (2, "2024-01-01 00:00:00"), (3, None)], "k int, ts string")
     fine, late = T.split_late(rows, "ts", 72, F.lit("2024-01-10").cast("timestamp"))
