@@ -39,6 +39,34 @@ def test_failure_runs(spark):
     assert sorted((r.began, r.abort_at, r.length) for r in O.failure_runs(log).collect()) == [(1, 4, 3), (9, 11, 3)]
 
 
+def test_failure_runs_deal_a_hot_source_in_ranges(spark, monkeypatch):
+    import random
+
+    from sievework.operators import graphs
+
+    rng, written, cut = random.Random(2), [], graphs.cut
+    monkeypatch.setattr(graphs, "cut", lambda df: written.append(cut(df)) or written[-1])
+    rows = [(1, k, rng.choice(["failure"] * 5 + ["success", "neutral"])) for k in range(3000)] + [(2, k, "failure") for k in range(3000)] + [(None, k, "failure") for k in range(5)]
+    want, run = [], {}
+    for source, k, outcome in rows + [(s, None, "success") for s in (1, 2, None)]:
+        if outcome == "failure":
+            run.setdefault(source, []).append(k)
+        elif outcome == "success":
+            done = run.pop(source, [])
+            want += [(source, done[0], done[2], len(done))] if len(done) >= 3 else []
+    rng.shuffle(rows)
+    log = spark.createDataFrame(rows, "source_id bigint, seq bigint, outcome string")
+    got = O.failure_runs(log).select("source_id", "began", "abort_at", "length").collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        again = O.failure_runs(log).select("source_id", "began", "abort_at", "length").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted(map(repr, map(tuple, again))) == sorted(map(repr, want))
+    assert written[-1].filter("source_id = 2").select("_range").distinct().count() > 1
+
+
 def test_upserting_twice_is_upserting_once(spark, sf_dir):
     news = view(spark, sf_dir, "v_news")
     cut = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
