@@ -8,8 +8,10 @@ bytes takes O(n log n) steps even if it is a whole document without white space.
 Texts are normalised as the vocabulary file says (NFC, white space, lower case), special tokens are
 taken out of the raw text first, and words are cached by task in a dictionary of bounded size.
 
+Decoding maps ids back to tokens. Where the file names no decoder, as here, tokens are joined by spaces.
+
 Defined cases: a null or empty text has no ids and decodes to nothing; repeated texts get equal rows;
-columns with other names aren't touched.
+other columns pass through, but for one with the name of the new column, which is replaced.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import struct
 import unicodedata
 from functools import lru_cache
 from typing import Iterator
@@ -82,7 +85,11 @@ def merge(symbols: list[int], pairs: dict[tuple[int, int], tuple[int, int]]) ->
             k >>= 1
             while k:
                 a, b = tree[2 * k], tree[2 * k + 1]
-                tree[k] = a if a < b else b
+                if b < a:
+                    a = b
+                if tree[k] == a:
+                    break  # nothing above depends on what changed
+                tree[k] = a
                 k >>= 1
     return [s for s in symbols if s >= 0]
 
@@ -98,7 +105,7 @@ class Codec:
         model = held["model"]
         vocab, self.suffix = model["vocab"], model["end_of_word_suffix"] or ""
         self.special = {x["content"]: x["id"] for x in held["added_tokens"]}
-        self.tokens = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
+        self.shown = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
         joins = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         self.pairs = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(joins)}
         letters = byte_letters()
@@ -106,51 +113,49 @@ class Codec:
         self.final = [vocab[x + self.suffix] for x in letters]
         self.split_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self.word = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACES}\p{{L}}\p{{N}}]+")
-        self.words: dict[str, tuple[bytes, str]] = {}
-        self.chunks: dict[str, tuple[bytes, str]] = {}
+        self.words: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
 
-    def _word(self, word: str) -> tuple[bytes, str]:
+    def _word(self, word: str) -> bytes:
         if (found := self.words.get(word)) is not None:
             return found
         data = word.encode()
         symbols = [self.inner[b] for b in data]
         symbols[-1] = self.final[data[-1]]
         ids = merge(symbols, self.pairs)
-        found = np.array(ids, dtype="<u4").tobytes(), " ".join([self.tokens[i] for i in ids])
+        found = struct.pack(f"<{len(ids)}I", *ids)
         if len(word) <= 64:
             if len(self.words) >= CACHE_WORDS:
                 self.words.clear()
             self.words[word] = found
         return found
 
-    def _chunk(self, chunk: str) -> tuple[bytes, str]:
+    def _chunk(self, chunk: str) -> bytes:
         """A run without white space, normalised."""
         plain = chunk if chunk.isascii() else unicodedata.normalize("NFC", chunk).replace("Σ", "σ")
-        words = [self._word(w) for w in self.word.findall(plain.lower())]
-        found = b"".join([w[0] for w in words]), " ".join([w[1] for w in words])
+        found = b"".join([self._word(w) for w in self.word.findall(plain.lower())])
         if len(chunk) <= 64:
             if len(self.chunks) >= CACHE_WORDS:
                 self.chunks.clear()
             self.chunks[chunk] = found
         return found
 
-    def encode(self, text: str | None) -> tuple[bytes, str]:
-        """(little-endian 32-bit ids, decoded text). Without a decoder in the file, decoding joins tokens by spaces."""
-        ids, shown = [], []
+    def encode(self, text: str | None) -> bytes:
+        """Little-endian unsigned 32-bit ids."""
+        ids = []
         for k, part in enumerate(self.split_special.split(text or "")):
             if k % 2:
                 ids.append(self.special[part].to_bytes(4, "little"))
-                shown.append(part)
                 continue
             held, make = self.chunks.get, self._chunk
             runs = _CHUNK.findall(part) if _SEPARATORS.search(part) else part.split()
-            found = [held(c) or make(c) for c in runs]
-            ids += [x[0] for x in found]
-            shown += [x[1] for x in found if x[1]]
-        return b"".join(ids), " ".join(shown)
+            ids += [held(c) or make(c) for c in runs]
+        return b"".join(ids)
 
     def decode(self, ids: list[int]) -> str:
-        return " ".join(self.tokens[i] for i in ids)
+        """The text of ids. The file names no decoder, so tokens are joined by spaces; ids that it doesn't know are left out."""
+        shown = self.shown
+        return " ".join([shown[i] for i in ids if i in shown])
 
 
 @lru_cache(maxsize=2)
@@ -165,7 +170,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", into: str = "encoded"
     def ids(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         use = codec(path)
         for column in columns:
-            yield pa.array([np.frombuffer(use.encode(x.as_py())[0], "<u4").astype(np.int32) for x in column], pa.list_(pa.int32()))
+            yield pa.array([np.frombuffer(use.encode(x.as_py()), "<u4").astype(np.int32) for x in column], pa.list_(pa.int32()))
 
     return docs.withColumn(into, ids(F.col(text).cast("string")))
 
@@ -183,7 +188,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "encoded", into: str = "dec
 
 
 def digest(docs: DataFrame, path: str, text: str = "text", into: str = "digest") -> DataFrame:
-    """``docs`` with the struct RESULT of each text in the new column ``into``."""
+    """``docs`` with the struct RESULT of each text in the new column ``into``: its ids, and the text that they decode to."""
 
     @F.arrow_udf(f"struct<{RESULT}>")
     def digests(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -191,10 +196,10 @@ def digest(docs: DataFrame, path: str, text: str = "text", into: str = "digest")
         for column in columns:
             n, a, b = [], [], []
             for x in column:
-                ids, shown = use.encode(x.as_py())
+                ids = use.encode(x.as_py())
                 n.append(len(ids) // 4)
                 a.append(hashlib.sha256(ids).hexdigest())
-                b.append(hashlib.sha256(shown.encode()).hexdigest())
+                b.append(hashlib.sha256(use.decode(np.frombuffer(ids, "<u4").tolist()).encode()).hexdigest())
             yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())], ["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.withColumn(into, digests(F.col(text).cast("string")))

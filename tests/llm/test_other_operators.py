@@ -197,9 +197,9 @@ def test_bpe_equals_the_tokenizers_library(spark, odd_docs):
     texts += ["İSTANBUL ΣΑΣ", "é ẋ́ ̂", "<|endoftext|>HI<|startoftext|> a", "a\x1cb \x1d c\x85d\xa0e", "I'll we've 'S x's", "漢字 🙂 12,345½", "Å Ω ﬁ Ǆ", "a​b‍c"]
     for text in texts:
         ids = library.encode(text, add_special_tokens=False).ids
-        data, shown = own.encode(text)
+        data = own.encode(text)
         assert np.frombuffer(data, "<u4").tolist() == ids
-        assert shown == library.decode(ids, skip_special_tokens=False) == own.decode(ids)
+        assert library.decode(ids, skip_special_tokens=False) == own.decode(ids)
 
 
 @settings(max_examples=60, deadline=None)
