@@ -1,12 +1,14 @@
 """Quality rules: counted base rules, then a calibrated n-gram classifier with fixed thresholds.
 
 Base counts take words as runs without ASCII white space. The classifier is a logistic regression
-over hashed word unigrams and character trigrams (relative frequencies), trained on labelled rows,
-calibrated by Platt's method on labelled rows that training didn't use, and scored in Arrow batches.
+over hashed word unigrams, word pairs and character trigrams (relative frequencies of each kind),
+trained on labelled rows, calibrated by Platt's method on labelled rows that training didn't use, and
+scored in Arrow batches.
 
 Defined cases: a null or empty text has no words and fails the base rules; a repeated row gets the
-same result; columns with any other names pass through; without labels of both kinds the classifier
-accepts every row, so that the base rules alone decide.
+same result; other columns pass through, but for one named as ``judge`` is told to name its own, which
+it replaces; without labels of both kinds the classifier accepts every row, so that the base rules
+alone decide; of labelled rows with one id only the least text is learnt.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ _SYMBOL[list(b"#*$%&|<>")] = True
 _SPACE = b" \t\n\r\x0b\f"
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-RESULT = ", ".join(f"{c}: bigint" for c in COUNTS) + ", base_failed: boolean, quality: double, kept: boolean"
+RESULT = ", ".join(f"{c}: bigint" for c in COUNTS) + ", base_failed: boolean, kept: boolean, quality: double"
 
 
 def count_dup_lines(text: bytes) -> int:
@@ -109,9 +111,10 @@ def _grams(data: np.ndarray, offsets: np.ndarray, bits: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Model:
-    """Weights of word and of character features, bias, and the calibration's slope and shift."""
+    """Weights of word, word pair and character features, bias, and the calibration's slope and shift."""
 
     word: np.ndarray
+    pair: np.ndarray
     char: np.ndarray
     bias: float
     slope: float
@@ -123,8 +126,12 @@ class Model:
         grams = _grams(data, offsets, self.bits)
         sums = np.concatenate([[0.0], np.cumsum(np.append(self.char, np.float32(0))[grams], dtype=np.float64)])
         chars = (sums[offsets[1:]] - sums[offsets[:-1]]) / np.maximum(np.diff(offsets) - 2, 1)
-        found = tb.per_text(self.word[tb.bucket(words.hashes, self.bits)], words.texts, n)
-        return self.bias + chars + found / np.maximum(np.bincount(words.texts, minlength=n), 1)
+        first, pairs = words.windows(0, 1)
+        total = self.bias + chars
+        for weights, hashes, texts in ((self.word, words.hashes, words.texts), (self.pair, pairs, words.texts[first])):
+            found = tb.per_text(weights[tb.bucket(hashes, self.bits)], texts, n)
+            total += found / np.maximum(np.bincount(texts, minlength=n), 1)
+        return total
 
     def probability(self, margin: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -35, 35)))
@@ -132,7 +139,7 @@ class Model:
 
 def accept_all(bits: int = BITS) -> Model:
     zero = np.zeros(1 << bits, np.float32)
-    return Model(zero, zero, 0.0, 0.0, 5.0, bits)
+    return Model(zero, zero, zero, 0.0, 0.0, 5.0, bits)
 
 
 def fit(texts: list[str] | pa.Array | pa.ChunkedArray, labels: list[int], bits: int = BITS, passes: int = 6) -> Model:
@@ -143,14 +150,15 @@ def fit(texts: list[str] | pa.Array | pa.ChunkedArray, labels: list[int], bits:
     n, rows = 1 << bits, []
     for _, part, marks in tb.slices(data, offsets):
         words, grams = tb.Words(part, marks), _grams(part, marks, bits)
-        feature = tb.bucket(words.hashes, bits)
-        at = np.searchsorted(words.texts, np.arange(len(marks)))
+        first, pairs = words.windows(0, 1)
+        kinds = [(tb.bucket(words.hashes, bits), words.texts), (tb.bucket(pairs, bits), words.texts[first])]
+        at = [np.searchsorted(texts, np.arange(len(marks))) for _, texts in kinds]
         for i in range(len(marks) - 1):
             own = grams[marks[i] : marks[i + 1]]
-            rows.append([_frequencies(feature[at[i] : at[i + 1]]), _frequencies(own[own >= 0])])
+            rows.append([*(_frequencies(f[a[i] : a[i + 1]]) for (f, _), a in zip(kinds, at, strict=True)), _frequencies(own[own >= 0])])
     y = np.array(labels, dtype=float)
-    w, g2, bias = np.zeros(2 * n), np.full(2 * n, 1e-6), 0.0
-    joined = [(np.concatenate([a[0], b[0] + n]), np.concatenate([a[1], b[1]])) for a, b in rows]
+    w, g2, bias = np.zeros(3 * n), np.full(3 * n, 1e-6), 0.0
+    joined = [(np.concatenate([f + k * n for k, (f, _) in enumerate(x)]), np.concatenate([v for _, v in x])) for x in rows]
     order = np.random.default_rng(7).permutation(len(y))
     learn, rest = order[len(y) // 5 :], order[: len(y) // 5]
     for turn in range(passes):
@@ -164,7 +172,8 @@ def fit(texts: list[str] | pa.Array | pa.ChunkedArray, labels: list[int], bits:
             bias -= 0.02 * rate * g
     margin = np.array([w[at] @ x + bias for at, x in (joined[i] for i in rest)])
     slope, shift = platt(margin, y[rest])
-    return Model(w[:n].astype(np.float32), w[n:].astype(np.float32), float(bias), slope, shift, bits)
+    word, pair, char = w.astype(np.float32).reshape(3, n)
+    return Model(word, pair, char, float(bias), slope, shift, bits)
 
 
 def _frequencies(feature: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -192,7 +201,7 @@ def platt(margin: np.ndarray, y: np.ndarray, steps: int = 200) -> tuple[float, f
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     """Fits on at most ``rows`` labelled rows, each of at most TRAIN_CHARS characters.
 
-    The sample is the rows with the smallest hashes of their ids; only it reaches the driver. A
+    The sample is the ids with the smallest hashes, one row for each; only it reaches the driver. A
     document with several labels counts as good only if all say so.
     """
     marked = (
@@ -202,8 +211,10 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
         .orderBy("turn", "doc_id").limit(rows)
     )
     texts = docs.select("doc_id", "text").filter(F.length("text") <= TRAIN_CHARS)
-    got = texts.join(F.broadcast(marked), "doc_id").select("turn", "doc_id", "text", "quality").toArrow()  # at most rows
-    got = got.sort_by([("turn", "ascending"), ("doc_id", "ascending"), ("text", "ascending")]).slice(0, rows)
+    got = (
+        texts.join(F.broadcast(marked), "doc_id").groupBy("turn", "doc_id", "quality").agg(F.min("text").alias("text"))
+        .orderBy("turn", "doc_id").limit(rows).toArrow()
+    )
     return fit(got["text"], [int(x > 0) for x in got["quality"].to_pylist()])
 
 
@@ -218,13 +229,13 @@ def judge_batch(column: pa.Array, model: Model, threshold: float) -> pa.StructAr
         counts[rows] = base_counts(part, marks, words)
         p[rows] = model.probability(model.margins(part, marks, words))
     failed = base_failed(counts)
-    columns = [*(pa.array(counts[:, k]) for k in range(len(COUNTS))), pa.array(failed), pa.array(p), pa.array(~failed & (p >= threshold))]
+    columns = [*(pa.array(counts[:, k]) for k in range(len(COUNTS))), pa.array(failed), pa.array(~failed & (p >= threshold)), pa.array(p)]
     return pa.StructArray.from_arrays(columns, [x.split(":")[0] for x in RESULT.split(", ")])
 
 
 def judge(docs: DataFrame, model: Model, threshold: float = THRESHOLD, into: str = "quality_rules") -> DataFrame:
     """``docs`` with a struct of the counts, the probability and the verdict in the new column ``into``."""
-    held = docs.sparkSession.sparkContext.broadcast(model)  # two arrays of 2**BITS numbers, whatever the corpus
+    held = docs.sparkSession.sparkContext.broadcast(model)  # three arrays of 2**BITS numbers, whatever the corpus
 
     @F.arrow_udf(f"struct<{RESULT}>")
     def rules(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
