@@ -10,14 +10,19 @@ Labelled pages are pages whose elements carry ``data-main="1"`` or ``"0"``; leaf
 of the nearest such ancestor. ``labelled_pages`` makes a bounded, fixed set in many layouts; any other
 set can be passed to ``train``.
 
-Defined cases: null and empty pages, and pages without text, give an empty text; markup that is broken
-or cut off is read as far as it goes; scripts, styles, comments and form controls are never text;
-repeated pages give equal texts; other columns of the input pass through.
+Pages are read forward only and elements hold a link to their parent, so time and space grow with the
+page's length however broken or deeply nested it is.
+
+Defined cases: null and empty pages, and pages without text, give an empty text; a tag that the page's
+end cuts off is dropped with what it holds; a quote that nothing closes ends with its tag; a ``<`` that
+begins no tag is text; scripts, styles, comments and form controls are never text; repeated pages give
+equal texts; other columns pass through, but for one with the name of the new column, which is replaced.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
 from html import unescape
@@ -36,76 +41,141 @@ BLOCK = frozenset(
 SILENT = frozenset("script style noscript template svg math iframe object textarea select button canvas audio video".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _SPACE = frozenset("br img td wbr input".split())
+_USED = frozenset(["class", "id", "role", "data-main", "hidden", "style"])
+_END_OF = {tag: re.compile(rf"</{tag}\s*+>", re.IGNORECASE) for tag in SILENT}
 #: A new element of the first kind closes an open one of the second.
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
-_TAG = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^<>]*(?:>|\Z)|</?\Z""",
-    re.DOTALL,
-)
-_NAMED = re.compile(r"""(?:^|\s)(class|id|role|data-main)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none""", re.IGNORECASE)
+#: An attribute's name and, after an equals sign, the quote that opens its value or the bare value.
+_ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+("|'|[^\s>"'][^\s>]*+)?+)?+""")
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
+_GAP = re.compile(r"[\s/]*+")
+_NONE = re.compile(r"display\s*+:\s*+none", re.IGNORECASE)
 _TOKEN = re.compile(r"[a-z]+")
+_LONG_REFERENCE = re.compile(r"&#(?:[0-9]{8,}|[xX][0-9a-fA-F]{8,});?")
 _END = tuple(".!?…:;\"'”’»)]")
-_MEMORY = 50_000
 
 
-@dataclass(slots=True)
+@dataclass(slots=True, eq=False)
+class Node:
+    """An open element: its tag, the feature names that no ancestor has, and the label that it or an ancestor states."""
+
+    tag: str
+    fresh: list[str]
+    parent: Node | None
+    label: int | None
+
+
+@dataclass(slots=True, eq=False)
 class Block:
-    path: str
+    node: Node
     text: str
     linked: int
-    label: int | None = None
+
+    @property
+    def label(self) -> int | None:
+        return self.node.label
+
+
+def read_tag(html: str, at: int, last_quotes: dict[str, int]) -> tuple[int, dict[str, str], bool] | None:
+    """(end, attributes, self-closing) of a tag whose name ends at ``at``; None if the page ends inside it.
+
+    Reads forward only. A quote that nothing closes (``last_quotes`` tells where the last of each kind is) ends with
+    the tag, at the next ``>``.
+    """
+    held: dict[str, str] = {}
+    n = len(html)
+    while True:
+        begin, at = at, _GAP.match(html, at).end()
+        if at >= n:
+            return None
+        if html[at] == ">":
+            return at + 1, held, html[at - 1] == "/" and at > begin
+        m = _ATTRIBUTE.match(html, at)
+        name, value, at = m[1], m[2] or "", m.end()
+        if value in ("'", '"'):
+            end = html.find(value, at) if at <= last_quotes[value] else -1
+            if end < 0:
+                end = html.find(">", at)
+                return (end + 1, held, False) if end >= 0 else None
+            value, at = html[at:end], end + 1
+        if len(name) < 10 and (key := name.lower()) in _USED:
+            held.setdefault(key, value)
 
 
 def leaf_blocks(html: str | None) -> list[Block]:
-    """Leaf blocks with text, in page order. A path lists tags and attribute words from the root."""
+    """Leaf blocks with text, in page order, in time and space proportional to the page."""
     out: list[Block] = []
     if not html:
         return out
-    stack: list[tuple[str, str, int | None]] = [("", "", None)]
+    stack = [Node("", [], None, None)]
+    names: set[str] = set()  # feature names of the open elements
+    opened: Counter[str] = Counter()
+    last_quotes = {q: html.rfind(q) for q in "'\""}
     parts: list[str] = []
     linked = anchors = at = 0
+    n = len(html)
 
     def flush() -> None:
         nonlocal linked
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append(Block(stack[-1][1], text, linked, stack[-1][2]))
+                out.append(Block(stack[-1], text, linked))
             parts.clear()
         linked = 0
 
     def add(raw: str) -> None:
         nonlocal linked
         if raw:
-            text = unescape(raw) if "&" in raw else raw
+            text = decoded(raw) if "&" in raw else raw
             parts.append(text)
             if anchors:
                 linked += len(text.strip())
 
-    find = _TAG.search
-    while (m := find(html, at)) is not None:
-        add(html[at : m.start()])
-        at = m.end()
-        name = m[2]
-        if name is None:
+    def close() -> None:
+        gone = stack.pop()
+        names.difference_update(gone.fresh)
+        opened[gone.tag] -= 1
+
+    begin = 0  # of the text that isn't added yet
+    while (at := html.find("<", at)) >= 0:
+        mark = html[at + 1 : at + 2]
+        if mark in ("!", "?"):
+            add(html[begin:at])
+            end = html.find("-->", at + 4) if html.startswith("<!--", at) else html.find(">", at)
+            begin = at = n if end < 0 else end + (3 if html.startswith("-->", end) else 1)
             continue
-        tag = name.lower()
-        if m[1]:
+        closing = mark == "/"
+        m = _NAME.match(html, at + 1 + closing)
+        if m is None:  # no tag but text
+            at += 1
+            continue
+        add(html[begin:at])
+        begin = at = m.end()
+        tag = m[0].lower() if len(m[0]) < 16 else ""
+        if html.startswith(">", at):
+            begin = at = at + 1
+            attributes, closed = {}, False
+        elif (found := read_tag(html, at, last_quotes)) is not None:
+            begin, attributes, closed = found
+            at = begin
+        else:
+            begin = n
+            break
+        if closing:
             if tag == "a":
                 anchors = max(0, anchors - 1)
             elif tag in BLOCK:
                 flush()
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] == tag:
-                        del stack[i:]
-                        break
+                if opened[tag]:
+                    while stack[-1].tag != tag:
+                        close()
+                    close()
             continue
-        attributes = m[3]
         if tag in SILENT:
-            if not attributes.endswith("/"):
-                end = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(html, at)
-                at = end.end() if end else len(html)
+            if not (closed and tag in ("svg", "math")):
+                end = _END_OF[tag].search(html, at)
+                begin = at = n if end is None else end.end()
             parts.append(" ")
             continue
         if tag == "a":
@@ -116,33 +186,41 @@ def leaf_blocks(html: str | None) -> list[Block]:
             continue
         flush()
         anchors = 0
-        if stack[-1][0] == "p" or tag in _CLOSES and stack[-1][0] in _CLOSES[tag]:
-            stack.pop()
-        if tag not in VOID:
-            path, label = stack[-1][1] + ">" + tag, stack[-1][2]
-            if attributes:
-                for key, value in _NAMED.findall(attributes):
-                    if key.lower() == "data-main":
-                        label = int(value.strip("\"'") == "1")
-                    else:
-                        path += "".join("." + t for t in _TOKEN.findall(value.lower()))
-                if _HIDDEN.search(attributes):
-                    path += ".hidden"
-            stack.append((tag, path, label))
-    add(html[at:])
+        top = stack[-1].tag
+        if top == "p" or tag in _CLOSES and top in _CLOSES[tag]:
+            close()
+        if tag in VOID:
+            continue
+        own, label = ["tag:" + tag], stack[-1].label
+        if attributes:
+            for key in ("class", "id", "role"):
+                if value := attributes.get(key):
+                    own += {"word:" + t[0] for t in _TOKEN.finditer(value.lower())}
+            if "data-main" in attributes:
+                label = int(attributes["data-main"] == "1")
+            if "hidden" in attributes or _NONE.search(attributes.get("style", "")):
+                own.append("word:hidden")
+        fresh = sorted(set(own) - names)
+        names.update(fresh)
+        opened[tag] += 1
+        stack.append(Node(tag, fresh, stack[-1], label))
+    add(html[begin:])
     flush()
     return out
 
 
-def path_features(path: str) -> list[str]:
-    names: set[str] = set()
-    elements = path.split(">")
-    for element in elements:
-        tag, *words = element.split(".")
-        if tag:
-            names.add("tag:" + tag)
-        names.update("word:" + w for w in words)
-    return [*sorted(names), "leaf:" + elements[-1].split(".")[0]]
+def decoded(raw: str) -> str:
+    """Text with its character references resolved; numbers beyond any code point become U+FFFD."""
+    return unescape(_LONG_REFERENCE.sub("\ufffd", raw) if "&#" in raw else raw)
+
+
+def node_features(node: Node) -> list[str]:
+    """Tags and attribute words of an element and its ancestors, and its own tag."""
+    names, at = [], node
+    while at is not None:
+        names += at.fresh
+        at = at.parent
+    return [*sorted(names), "leaf:" + node.tag]
 
 
 def text_features(block: Block) -> tuple[int, int, int]:
@@ -161,22 +239,30 @@ class Model:
 
 
 class Scorer:
-    """A model with the emissions of paths and of text buckets that it has met (bounded)."""
+    """A model that labels and extracts."""
 
     def __init__(self, model: Model) -> None:
-        self.model, self.paths, self.texts = model, {}, {}
-
-    def emission(self, block: Block) -> float:
-        path = self.paths.get(block.path)
-        if path is None:
-            if len(self.paths) >= _MEMORY:
-                self.paths.clear()
-            path = self.paths[block.path] = sum(self.model.weight.get(x, 0.0) for x in path_features(block.path))
-        key = text_features(block)
-        text = self.texts.get(key)
-        if text is None:
-            text = self.texts[key] = sum(self.model.weight.get(f"text:{k}:{v}", 0.0) for k, v in enumerate(key))
-        return path + text
+        self.model, self.texts = model, {}
+
+    def emissions(self, blocks: list[Block]) -> list[float]:
+        """Each block's weight for main. An element's sum is its parent's and its own new features'."""
+        weight = self.model.weight
+        sums: dict[int, float] = {}
+        out = []
+        for block in blocks:
+            chain, at = [], block.node
+            while at is not None and id(at) not in sums:
+                chain.append(at)
+                at = at.parent
+            for node in reversed(chain):
+                before = sums[id(node.parent)] if node.parent is not None else 0.0
+                sums[id(node)] = before + sum(weight.get(x, 0.0) for x in node.fresh)
+            key = text_features(block)
+            text = self.texts.get(key)
+            if text is None:
+                text = self.texts[key] = sum(weight.get(f"text:{k}:{v}", 0.0) for k, v in enumerate(key))
+            out.append(sums[id(block.node)] + weight.get("leaf:" + block.node.tag, 0.0) + text)
+        return out
 
     def viterbi(self, blocks: list[Block]) -> list[int]:
         """The most likely labels; of equal ones, other."""
@@ -185,8 +271,7 @@ class Scorer:
         (oo, om), (mo, mm) = self.model.step
         other, main = self.model.start
         back = []
-        for k, block in enumerate(blocks):
-            e = self.emission(block)
+        for k, e in enumerate(self.emissions(blocks)):
             if k == 0:
                 main += e
                 continue
@@ -215,7 +300,7 @@ def fit(pages: list[str], passes: int = 100, rate: float = 3.0, decay: float = 2
             continue
         rows = []
         for b in blocks:
-            own = path_features(b.path) + [f"text:{k}:{v}" for k, v in enumerate(text_features(b))]
+            own = node_features(b.node) + [f"text:{k}:{v}" for k, v in enumerate(text_features(b))]
             rows.append(np.array([names.setdefault(x, len(names)) for x in own]))
         owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
         chains.append((np.concatenate(rows), owner, np.array([b.label for b in blocks])))

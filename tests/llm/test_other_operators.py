@@ -57,6 +57,40 @@ def test_odd_pages(spark, scorer):
     assert html_extract.extract(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<a" * 200_000, "<a '" * 200_000, '<a x="' * 200_000 + ">", "<a" + "b" * 5_000_000 + ">", '<p class="' + "ab cd " * 800_000 + '">x</p>', "<div>x" * 200_000,
+        "<section>" + "<div>" * 100_000 + "</section>" * 100_000, "<div>" * 100_000 + "</ul>" * 100_000, "<!--" * 200_000, "<script>" * 200_000, "</script " * 100_000,
+        "<p>&" + "#" * 200_000, "<p>&#" + "9" * 200_000 + ";", "<p class" + " " * 200_000 + "=" * 200_000, "<" * 1_000_000, "<!" * 200_000, "<p style='" + "display:" * 100_000 + "'>x",
+    ],
+    ids=range(17),
+)
+def test_broken_and_deep_pages_take_linear_time_and_space(scorer, page):
+    import time
+    import tracemalloc
+
+    start = time.process_time()
+    scorer.extract(page)
+    assert time.process_time() - start < 4
+    tracemalloc.start()
+    scorer.extract(page[: len(page) // 2])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150_000_000
+
+
+def test_broken_markup_is_read_as_far_as_it_goes(scorer):
+    def blocks(page):
+        return [b.text for b in html_extract.leaf_blocks(page)]
+
+    assert blocks("<p>a < b <3 <p title='x>y'>two</p><p class=\"z>three</p><p>four <a href='u") == ["a < b <3", "two", "three", "four"]
+    assert blocks("<p>x&#99999999999999;y&#x41;z</p><svg/>after<svg><p>no</svg><p>end") == ["x\ufffdyAz", "after", "end"]
+    assert blocks("<div hidden class=a id='b c' ROLE=d>t") == ["t"]
+    node = html_extract.leaf_blocks("<div class=a><p class='a b'>t")[0].node
+    assert html_extract.node_features(node) == ["tag:div", "tag:p", "word:a", "word:b", "leaf:p"]
+
+
 def test_viterbi_is_the_best_of_all_paths(scorer):
     from itertools import product
 
@@ -64,10 +98,12 @@ def test_viterbi_is_the_best_of_all_paths(scorer):
     blocks = html_extract.leaf_blocks(page)[:9]
     model = scorer.model
 
+    emissions = scorer.emissions(blocks)
+
     def value(path):
         total = model.start[path[0]]
         for k, label in enumerate(path):
-            total += scorer.emission(blocks[k]) * label + (model.step[path[k - 1]][label] if k else 0)
+            total += emissions[k] * label + (model.step[path[k - 1]][label] if k else 0)
         return total
 
     best = max(product((0, 1), repeat=len(blocks)), key=value)
