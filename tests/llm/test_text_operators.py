@@ -178,6 +178,54 @@ def test_packing_is_gapless_and_whole(spark, odd_docs, no_docs):
     assert packing.pack(no_docs, path).count() == 0
 
 
+@pytest.mark.parametrize("leaves", [32, 512])
+def test_merges_stay_small(leaves):
+    """What a merge receives doesn't grow with the leaves, and the bins stay within one in a hundred of the least number."""
+    rng = np.random.default_rng(4)
+    total = bins = 0
+    level = []
+    for leaf in range(leaves):
+        sizes = np.minimum(rng.lognormal(6, 1.2, 400).astype(int) + 1, packing.SIZE).tolist()
+        total += sum(sizes)
+        made = packing._bin_rows([(n, []) for n in sizes], False, leaf).to_pylist()
+        bins += sum(r["done"] for r in made)
+        level.append([(r["fill"], []) for r in made if not r["done"]])
+    while len(level) > 1:
+        groups = [sum(level[k : k + packing.FAN], []) for k in range(0, len(level), packing.FAN)]
+        assert max(map(len, groups)) <= packing.FAN * (1 + packing.HOSTS)
+        level = []
+        for items in groups:
+            made = packing._bin_rows(items, len(groups) == 1, 0).to_pylist()
+            bins += sum(r["done"] for r in made)
+            level.append([(r["fill"], []) for r in made if not r["done"]])
+    assert not level[0] and bins <= 1.01 * -(-total // packing.SIZE)
+
+
+@pytest.mark.parametrize("flush", [7, 50_000])
+def test_tasks_pack_in_parts(flush):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(["stone"] * int(n)) for n in rng.integers(0, 3000, 300)] + [None, ""]
+    batches = [pa.record_batch([pa.array(range(k, k + 2), pa.int64()), pa.array(texts[k : k + 2])], ["doc_id", "text"]) for k in range(0, len(texts), 2)]
+    path = vocabulary("byte_bpe_50k.json")
+    bins = [row for b in packing.pack_batches(batches, path, 3, True, flush) for row in b.to_pylist()]
+    pieces = [p for b in bins for p in b["pieces"]]
+    assert all(b["done"] and b["leaf"] == 3 for b in bins)
+    assert Counter((p["doc_id"], p["piece"], p["length"]) for p in pieces) == Counter(
+        (i, k, n) for i, t in enumerate(texts) for k, (_, n) in enumerate(packing.pieces_of(len(packing.token_ids(t, path)) + 1))
+    )
+    for b in bins:
+        at = 0
+        for p in sorted(b["pieces"], key=lambda p: p["offset"]):
+            assert p["offset"] == at
+            at += p["length"]
+        assert at == b["fill"] <= packing.SIZE
+
+
+def test_other_vocabularies_are_refused():
+    with pytest.raises(ValueError):
+        packing.encoder(vocabulary("word_bpe_49k.json"))
+
+
 def test_packing_is_tight(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(20)
     rows = packing.pack(docs, vocabulary("byte_bpe_50k.json"))
