@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sievework.llm import packing, quality, secrets, simhash, toxicity
 from sievework.llm.queries import vocabulary
+from sievework.llm.skew import shared_folder
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -51,8 +52,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows. Between stages the documents are Parquet in the shared checkpoint folder."""
-    from sievework.llm.simhash import shared_folder
-
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     root = f"{shared_folder(spark)}/pipeline-{uuid4().hex}"
     for k, (name, stage) in enumerate(STAGES):

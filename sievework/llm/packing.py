@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm.bpe import byte_letters
-from sievework.llm.simhash import cut
+from sievework.llm.skew import cut
 
 SIZE = 2048
 #: Bins with at most so many free tokens are emitted at once.

@@ -5,23 +5,25 @@ Each shingle is hashed by XXH64 (seed 42); bit b of the fingerprint is 1 if more
 hashes have it. Two fingerprints are linked at RADIUS or fewer differing bits, and groups are the
 connected components of the links.
 
-Fingerprints that differ in at most three bits agree in one of four 16-bit quarters. So distinct
-fingerprints are dealt by (quarter, value); within a group they are ordered by population count and
-cut into tiles, and tiles are compared with numpy exclusive-or and bit counts. Tile pairs whose
-counts are more than RADIUS apart are skipped, which loses nothing. A group of over TILE
-fingerprints is split into tiles by population count and, within a count, by hash; each pair of
-tiles is then a task's unit of its own, so that no group has to fit one task. A unit emits a
-spanning forest of its links, at most one row per fingerprint, never all pairs.
+Fingerprints are cut into five segments. Three differing bits leave two segments alike, so distinct
+fingerprints are dealt by each pair of segments: ten keys of about 26 bits, whose groups stay small up
+to billions of fingerprints. Within a group they are ordered by population count and cut into tiles, and
+tiles are compared with numpy exclusive-or and bit counts. Tile pairs whose counts are more than RADIUS
+apart are skipped, which loses nothing. A group of over TILE fingerprints is split into tiles by
+population count and, within a count, by hash; each pair of tiles is then a task's unit of its own, so
+that no group has to fit one task. A unit emits a spanning forest of its links, at most one row per
+fingerprint, never all pairs.
 
 Defined cases: null and empty texts have fingerprint zero and are linked like any other; texts of
 one or two words are one shingle; repeated rows have one fingerprint; ids may be null (they join a
-component but never name it); columns with other names are left alone.
+component but never name it); other columns are left alone, but for one with the name of the new
+column, which is replaced. ``keep_one`` keeps rows without an id; of rows with one id it keeps one, the
+same at every run: that with the least hash of its columns (maps left out).
 """
 
 from __future__ import annotations
 
-import tempfile
-from itertools import repeat
+from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 from xxhash import xxh64_intdigest
 
-RADIUS, QUARTERS, WORDS, SEED = 3, 4, 3, 42
+from sievework.llm.skew import cut, join_hot
+
+RADIUS, WORDS, SEED = 3, 3, 42
+#: (first bit, bits) of the segments.
+SEGMENTS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 #: Fingerprints of one tile.
 TILE = 2048
 _CHUNK = 1 << 15
@@ -74,6 +80,9 @@ def forest(left: np.ndarray, right: np.ndarray | None = None, radius: int = RADI
     Rows are cut into tiles by population count; a pair of tiles out of reach is skipped.
     """
     same = right is None
+    if same and len(left) == 2:
+        p, q = sorted(left.tolist())
+        return [(p, q)] if p != q and ((p ^ q) & (1 << 64) - 1).bit_count() <= radius else []
     sides = []
     for side in (left,) if same else (left, right):
         counts = np.bitwise_count(side.view(np.uint64))
@@ -118,8 +127,11 @@ def _units(batches):
         bucket, unit, side, value = columns
         if not len(bucket):
             continue
-        cut = np.flatnonzero((bucket[1:] != bucket[:-1]) | (unit[1:] != unit[:-1])) + 1
-        for i, j in zip([0, *cut], [*cut, len(bucket)], strict=True):
+        alike = np.concatenate([[True], (bucket[1:] == bucket[:-1]) & (unit[1:] == unit[:-1]), [True]])
+        grouped = alike[:-1] | alike[1:]  # one that stands alone, and not at the batch's ends, has nobody to meet
+        bucket, unit, side, value = (x[grouped] for x in columns)
+        ends = np.flatnonzero((bucket[1:] != bucket[:-1]) | (unit[1:] != unit[:-1])) + 1
+        for i, j in zip([0, *ends], [*ends, len(bucket)], strict=True):
             if key is not None and (bucket[i], unit[i]) != key:
                 yield done()
                 left, right = [], []
@@ -153,21 +165,18 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
 def links(prints: DataFrame, tile: int = TILE) -> DataFrame:
     """Links (a, b) that connect what RADIUS connects, from a frame of distinct values ``fp``.
 
-    The table of groups larger than one tile is what is broadcast: there are at most 4 * 65,536
-    groups, each with at most 65 population counts, however many fingerprints there are.
+    The table of groups larger than one tile has at most one row for TILE rows dealt; AQE sees its size and
+    broadcasts it only if it is small.
     """
-    quarter = F.explode(F.sequence(F.lit(0), F.lit(QUARTERS - 1)))
-    dealt = prints.select("fp", quarter.alias("q")).select(
-        "fp", F.bit_count("fp").alias("ones"),
-        (F.col("q") * 65536 + F.expr("shiftrightunsigned(fp, 16 * q)").bitwiseAND(0xFFFF)).cast("int").alias("bucket"),
-    )
-    sizes = dealt.groupBy("bucket", "ones").agg(F.count("*").alias("n"))
+    segments = [F.expr(f"shiftrightunsigned(fp, {at})").bitwiseAND((1 << bits) - 1) for at, bits in SEGMENTS]
+    keys = [F.lit(k << 26) + segments[a] * (1 << 13) + segments[b] for k, (a, b) in enumerate(combinations(range(len(SEGMENTS)), 2))]
+    dealt = prints.select("fp", F.bit_count("fp").alias("ones"), F.explode(F.array(*keys)).alias("bucket"))
+    crowded = dealt.groupBy("bucket").agg(F.count("*").alias("total")).filter(F.col("total") > tile).select("bucket")
     hot = (
-        sizes.groupBy("bucket")
-        .agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("ones", F.ceil(F.col("n") / tile).cast("int").alias("m")))).alias("tiles"))
-        .filter(F.col("total") > tile).select("bucket", "tiles")
+        dealt.join(crowded, "bucket", "left_semi").groupBy("bucket", "ones").agg(F.count("*").alias("n"))
+        .groupBy("bucket").agg(F.map_from_entries(F.collect_list(F.struct("ones", F.ceil(F.col("n") / tile).cast("int").alias("m")))).alias("tiles"))
     )
-    known = dealt.join(F.broadcast(hot), "bucket", "left")
+    known = dealt.join(hot, "bucket", "left")
     # A tile of a large group is (ones, part); its number orders them. It meets itself and each tile within reach.
     part = F.pmod(F.xxhash64("fp"), F.try_element_at("tiles", F.col("ones"))).cast("int")
     known = known.withColumn("mine", F.when(F.col("tiles").isNotNull(), F.col("ones") * 1_000_000 + part))
@@ -193,39 +202,25 @@ def links(prints: DataFrame, tile: int = TILE) -> DataFrame:
     return sent.mapInArrow(_compare, "a bigint, b bigint").distinct()
 
 
-def components(pairs: DataFrame, spark: SparkSession, most: int = 60) -> DataFrame:
+def components(pairs: DataFrame, spark: SparkSession) -> DataFrame:
     """(fp, root): the smallest value connected with each value that has a link.
 
     Each round hands every value the least label among its neighbours and jumps along labels, so
-    the rounds are about the logarithm of the longest chain. The state is written out every round.
+    the rounds are about the logarithm of the longest chain. The state is written out every round; labels
+    only fall, so the rounds end.
     """
     both = cut(pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))), spark)
     state = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("fp"), F.least("a", "m").alias("root")), spark)
-    for _ in range(most):
-        near = both.join(state, both["b"] == state["fp"]).groupBy("a").agg(F.min("root").alias("near"))
-        lower = state.join(near, state["fp"] == near["a"], "left").select("fp", "root", F.least("root", "near").alias("next"))
+    while True:
+        near = join_hot(both, state.withColumnRenamed("fp", "b"), "b").groupBy("a").agg(F.min("root").alias("near"))
+        lower = cut(state.join(near, state["fp"] == near["a"], "left").select("fp", "root", F.least("root", "near").alias("next")), spark)
         # jump: take the label of the label
-        labels = lower.select(F.col("fp").alias("at"), F.col("next").alias("jump"))
-        moved = lower.join(labels, lower["next"] == labels["at"], "left").select("fp", F.least("next", "jump").alias("root"), (F.least("next", "jump") < F.col("root")).alias("moved"))
-        state = cut(moved, spark)
+        labels = lower.select(F.col("fp").alias("next"), F.col("next").alias("jump"))
+        moved = join_hot(lower, labels, "next", "left").select("fp", "root", F.least("next", "jump").alias("label"))
+        state = cut(moved.select("fp", F.col("label").alias("root"), (F.col("label") < F.col("root")).alias("moved")), spark)
         if state.filter("moved").limit(1).count() == 0:
             return state.select("fp", "root")
         state = state.select("fp", "root")
-    raise RuntimeError("components didn't settle")
-
-
-def cut(df: DataFrame, spark: SparkSession) -> DataFrame:
-    """``df`` written to the shared checkpoint folder, read back without its lineage."""
-    shared_folder(spark)
-    return df.checkpoint(eager=True)
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder: the session's own setting, or a temporary one where it has none, as in tests."""
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
-    return context.getCheckpointDir()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -236,27 +231,35 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 
 def resolve(printed: DataFrame) -> DataFrame:
-    """Components of a frame (doc_id, fingerprint)."""
+    """Components of a written frame (doc_id, fingerprint)."""
+    named, head = _heads(printed, F.col("doc_id"))
+    named = cut(named.select(F.col("fp").alias("fingerprint"), "root"), printed.sparkSession)
+    ids = cut(join_hot(named, head.withColumnRenamed("first", "component_id"), "root").select("fingerprint", "component_id"), printed.sparkSession)
+    return join_hot(printed, ids, "fingerprint").select("doc_id", "fingerprint", "component_id")
+
+
+def _heads(printed: DataFrame, first: Column) -> tuple[DataFrame, DataFrame]:
+    """(fp, first, root) of each fingerprint and (root, first) of each component, with the least ``first``."""
     spark = printed.sparkSession
-    least = printed.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("doc_id").alias("first"))
-    least = cut(least, spark)
+    least = cut(printed.groupBy(F.col("fingerprint").alias("fp")).agg(F.min(first).alias("first")), spark)
     root = components(links(least.select("fp")), spark)
     named = least.join(root, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    head = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    return (
-        printed.join(named.join(head, "root").select(F.col("fp").alias("fingerprint"), "component_id"), "fingerprint")
-        .select("doc_id", "fingerprint", "component_id")
-    )
+    return named, named.groupBy("root").agg(F.min("first").alias("first"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each component: the row with the smallest id; the columns stay as they are.
 
-    Rows without an id stay, for nothing can name them; of rows with equal ids one stays.
+    Only (id, hash of the row, fingerprint) is grouped; texts move once, by id and hash, after equal rows of a
+    task have become one.
     """
-    names, mark = docs.columns, "_kept"
-    while mark in names:
-        mark = "_" + mark
-    found = near_duplicates(docs.filter(F.col("doc_id").isNotNull())).filter(F.col("doc_id") == F.col("component_id"))
-    kept = docs.join(found.select(F.col("doc_id").alias(mark)).distinct(), F.col("doc_id") == F.col(mark), "left_semi")
-    return kept.dropDuplicates(["doc_id"]).select(*names).unionByName(docs.filter(F.col("doc_id").isNull()))
+    names, taken = docs.columns, {c.lower() for c in docs.columns}
+    mark = next(m for m in ("_" * k + "mark" for k in range(len(taken) + 1)) if m not in taken)
+    plain = [F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    held = docs.filter(F.col("doc_id").isNotNull()).withColumn(mark, F.xxhash64(*plain))
+    printed = held.select("doc_id", F.col(mark).alias("mark"), F.col("text").alias("text"))
+    printed = cut(fingerprints(printed).select("doc_id", "mark", "fingerprint"), docs.sparkSession)
+    _, head = _heads(printed, F.struct("doc_id", "mark"))
+    chosen = head.select(F.col("first.doc_id").alias("doc_id"), F.col("first.mark").alias(mark))
+    kept = held.dropDuplicates(["doc_id", mark]).join(chosen, ["doc_id", mark], "left_semi").select(*(f"`{c}`" for c in names))
+    return kept.unionByName(docs.filter(F.col("doc_id").isNull()))

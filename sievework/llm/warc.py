@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.simhash import cut, shared_folder
+from sievework.llm.skew import cut, shared_folder
 
 LEAST = 100
 #: Payload bytes of one archive, and the time that records carry (the pages have none).
