@@ -46,6 +46,7 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", count("assign"), count("access"), count("hex"),
         F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
         F.size(F.filter("spans", lambda x: x["live"])).cast("bigint").alias("n_live"),
+        F.array_join(F.transform("spans", lambda x: F.concat_ws(":", x["n_owners"].cast("string"), x["n_repositories"].cast("string"))), ",").alias("owners_repositories"),
     )
 
 

@@ -2,15 +2,17 @@
 
 Base kinds (assign, access, hex) are found by fixed patterns, leftmost and non-overlapping within a
 kind. Wider kinds (``WIDER``) are candidates only. Every candidate's value is hashed, and over the
-whole corpus each hash is counted by distinct owners and distinct repositories: a value that many
-owners hold is a widely copied example, one that few hold looks like a live credential of theirs.
-Spans of a base kind always stay; spans of a wider kind are added if they look live.
+whole corpus each hash is counted by distinct owners and distinct repositories. A value of
+EXAMPLE_OWNERS owners, or of EXAMPLE_REPOSITORIES repositories that aren't all one owner's, is a widely
+copied example; any other looks like a live credential of those who hold it, in however many of their
+own repositories. Spans of a base kind always stay; spans of a wider kind are added if they look live.
 
 A repository is (owner, repository columns); for ``documents`` the owner is the source and the
 repository its source and language.
 
 Defined cases: null and empty texts have no spans; offsets are code points; a null owner is an
-owner of its own; repeated rows have equal spans and count once; other columns pass through.
+owner of its own; repeated rows have equal spans and count once; other columns pass through, but for one
+with the name of the new column, which is replaced.
 """
 
 from __future__ import annotations
@@ -24,24 +26,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from sievework.llm.simhash import cut
+from sievework.llm.skew import cut, join_hot
 
 #: Base kinds in the order that breaks ties.
 KINDS = ("assign", "access", "hex")
 #: A value with at least so many distinct owners is a widely copied example.
 EXAMPLE_OWNERS = 5
+#: So is one in so many repositories of two owners or more.
+EXAMPLE_REPOSITORIES = 10
 
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 _ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]+")
 _HEX_RUN = re.compile(r"[0-9a-f]{24,}")
-#: Further credential shapes: (kind, text that must occur, pattern).
+#: Further credential shapes: (kind, lower-case text that must occur, pattern).
 WIDER = (
-    ("private_key", "-----BEGIN", re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----[^-]*-----END [A-Z ]*PRIVATE KEY-----")),
-    ("jwt", "eyJ", re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")),
-    ("url_login", "://", re.compile(r"[a-z][a-z0-9+.-]{1,15}://[^\s:/@]{1,64}:([^\s:/@]{3,128})@")),
-    ("bearer", "earer ", re.compile(r"\b[Bb]earer [A-Za-z0-9._~+/-]{20,}=*")),
+    ("private_key", "-----begin", re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----(?:(?!-----BEGIN ).)*?-----END \1-----", re.DOTALL)),
+    ("jwt", "eyj", re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")),
+    ("url_login", "://", re.compile(r"\b[a-z][a-z0-9+.-]{1,15}+://[^\s:/@]++:(?P<value>[^\s:/@]{3,}+)@", re.IGNORECASE)),
+    ("bearer", "bearer ", re.compile(r"\bbearer [A-Za-z0-9._~+/-]{20,}+=*+", re.IGNORECASE)),
 )
 
 
@@ -58,8 +62,9 @@ def base_spans(text: str) -> list[tuple[str, int, int, str]]:
 
 
 def wider_spans(text: str) -> list[tuple[str, int, int, str]]:
-    """Candidates of further kinds; the value is the first group, or else the whole match."""
-    return [(kind, m.start(), m.end(), m[m.lastindex or 0]) for kind, must, pattern in WIDER if must in text for m in pattern.finditer(text)]
+    """Candidates of further kinds; the value is the group of that name, or else the whole match."""
+    low = text.lower()
+    return [(kind, m.start(), m.end(), m.groupdict().get("value") or m[0]) for kind, must, pattern in WIDER if must in low for m in pattern.finditer(text)]
 
 
 def _scan(text: str | None) -> list[dict]:
@@ -96,6 +101,11 @@ def ownership(found: DataFrame, owner: list[str], repository: list[str]) -> Data
     return by_owner.groupBy("value").agg(F.count("*").alias("n_owners"), F.sum("n").alias("n_repositories"))
 
 
+def is_example(owners: str = "n_owners", repositories: str = "n_repositories") -> Column:
+    """True for values that are widely copied."""
+    return (F.col(owners) >= EXAMPLE_OWNERS) | (F.col(owners) > 1) & (F.col(repositories) >= EXAMPLE_REPOSITORIES)
+
+
 def scan(docs: DataFrame, key: list[str], owner: list[str], repository: list[str], text: str = "text") -> DataFrame:
     """``key`` columns, one row per row of ``docs``, with ``spans``: an array of
     (kind, first, last, n_owners, n_repositories, live) by place and kind."""
@@ -104,10 +114,10 @@ def scan(docs: DataFrame, key: list[str], owner: list[str], repository: list[str
     base = docs.select(*(F.col(c).alias(n) for c, n in names.items()), F.col(text).alias("text"))
     found = candidates(base).drop("text").withColumn("row", F.monotonically_increasing_id())
     found = cut(found, spark)  # the scan of the texts is needed twice; only spans are written
-    owned = ownership(found, [names[c] for c in owner], [names[c] for c in repository])
+    owned = cut(ownership(found, [names[c] for c in owner], [names[c] for c in repository]), spark)
     spans = (
-        found.select("row", F.explode("candidates").alias("c")).select("row", "c.*").join(owned, "value")
-        .withColumn("live", F.col("n_owners") < EXAMPLE_OWNERS)
+        join_hot(found.select("row", F.explode("candidates").alias("c")).select("row", "c.*"), owned, "value")
+        .withColumn("live", ~is_example())
         .filter(F.col("kind").isin(*KINDS) | F.col("live"))
         .withColumn("turn", _turn(F.col("kind")))
         .groupBy("row").agg(F.sort_array(F.collect_list(F.struct("first", "turn", "kind", "last", "n_owners", "n_repositories", "live"))).alias("spans"))
@@ -132,10 +142,11 @@ def redact(docs: DataFrame, owner: list[str], repository: list[str], text: str =
     hit = cut(whole.filter(F.size("candidates") > 0).withColumn("row", F.monotonically_increasing_id()), spark)
     names = {c: f"k{i}" for i, c in enumerate(dict.fromkeys(owner + repository))}
     held = hit.select(*(F.col(f"doc.`{c}`").alias(n) for c, n in names.items()), "candidates")
-    common = ownership(held, [names[c] for c in owner], [names[c] for c in repository]).filter(F.col("n_owners") >= EXAMPLE_OWNERS)
+    owned = ownership(held, [names[c] for c in owner], [names[c] for c in repository])
+    common = cut(owned.filter(is_example()).select("value", F.lit(True).alias("example")), spark)
     live = (
-        hit.select("row", F.explode("candidates").alias("c")).select("row", "c.*")
-        .join(common.select("value"), "value", "left_anti")
+        join_hot(hit.select("row", F.explode("candidates").alias("c")).select("row", "c.*"), common, "value", "left")
+        .filter(F.col("example").isNull())
         .groupBy("row").agg(F.sort_array(F.collect_list(F.struct("first", "last", "kind"))).alias("live"))
     )
 

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 
 from sievework.llm import packing, quality, secrets, simhash, toxicity
-from sievework.llm.queries import vocabulary
+from sievework.llm.queries import op3_secret_scan, vocabulary
 from tests_helpers import brute_components, brute_fingerprint
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -112,6 +112,31 @@ def test_links_of_crowded_groups(spark, tile):
     assert {v: roots.get(v, v) for v in values} == {v: want[i] for i, v in enumerate(values)}
 
 
+def test_keep_one_is_repeatable(spark):
+    """Of rows with one id and different texts one stays, the same whatever the partitions; equal rows become one."""
+    words = "lorem ipsum dolor sit amet consectetur adipiscing elit".split()
+    rows = [(1, f"{w} {w[::-1]} {w * 2} {k}", {"a": k}) for k, w in enumerate(words)] * 3 + [(None, "x", None), (2, "only one here", {"b": 1})] * 2
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, MARK map<string, int>")
+    seen = set()
+    for n in (1, 3, 7):
+        kept = simhash.keep_one(frame.repartition(n))
+        assert kept.columns == frame.columns
+        got = sorted((r.doc_id or 0, r.text) for r in kept.collect())
+        assert [k for k, _ in got] == [0, 0, 1, 2]
+        seen.add(tuple(got))
+    assert len(seen) == 1
+
+
+def test_fingerprints_in_reach_share_two_segments():
+    rng = np.random.default_rng(6)
+    for value in rng.integers(0, 2**63, 200).tolist():
+        other = value
+        for bit in rng.choice(64, 3, replace=False).tolist():
+            other ^= 1 << bit
+        assert sum((value ^ other) >> at & (1 << bits) - 1 == 0 for at, bits in simhash.SEGMENTS) >= 2
+    assert sum(bits for _, bits in simhash.SEGMENTS) == 64
+
+
 def test_keep_one(spark, odd_docs, no_docs):
     kept = simhash.keep_one(odd_docs)
     assert kept.columns == odd_docs.columns
@@ -178,6 +203,47 @@ def test_packing_is_gapless_and_whole(spark, odd_docs, no_docs):
     assert packing.pack(no_docs, path).count() == 0
 
 
+def test_secret_query_matches_brute_force(spark, sf_dir, odd_docs, tmp_path):
+    """Counts, digest and spans of the query against patterns written out here and counts of owners in dictionaries."""
+    import hashlib
+
+    key = "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A\n\nab+/==\n-----END RSA PRIVATE KEY-----"
+    shared, wide = "https://bob:" + "p" * 200 + "@host", "BEARER " + "t0ken." * 5
+    made = [(100 + i, f"é {shared} x", "en", f"s{i}") for i in range(5)] + [(200 + i, f"{key} and {wide}", f"l{i}", "one") for i in range(12)]
+    made += [(300 + i, f"Bearer {'q' * 30}", f"l{i % 6}", f"t{i // 6}") for i in range(12)] + [(400, "eyJ" + "a" * 9 + "." + "b" * 9 + "." + "c" * 9 + " ftp://u:pw3@h", None, None)]
+    base = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source")
+    docs = base.unionByName(spark.createDataFrame(made, "doc_id bigint, text string, lang string, source string")).unionByName(odd_docs.select("doc_id", "text", "lang", "source"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    kinds = {
+        "assign": (r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A, 2, 6),
+        "access": ("AKIA[A-Z0-9]+", 0, 0, 20), "hex": ("[0-9a-f]+", 0, 0, 24),
+        "private_key": ("-----BEGIN RSA PRIVATE KEY-----.*?-----END RSA PRIVATE KEY-----", re.S, 0, 0),
+        "jwt": (r"eyJ[\w-]{8,}\.[\w-]{8,}\.[\w-]{8,}", re.A, 0, 0), "url_login": (r"(?:https|ftp)://[^\s:/@]+:([^\s:/@]{3,})@", 0, 1, 0),
+        "bearer": (r"\bbearer [A-Za-z0-9._~+/-]{20,}=*", re.I, 0, 0),
+    }
+    found, owners, places = [], {}, {}
+    for row in docs.collect():
+        spans = []
+        for turn, (kind, (pattern, flags, group, least)) in enumerate(kinds.items()):
+            spans += [(m.start(), turn, kind, m.end(), m[group]) for m in re.finditer(pattern, row.text or "", flags) if len(m[group]) >= least]
+        for x in spans:
+            owners.setdefault(x[4], set()).add(row.source)
+            places.setdefault(x[4], set()).add((row.source, row.lang))
+        found.append((row.doc_id, sorted(spans)))
+    want = Counter()
+    for key, spans in found:
+        copied = {x for x in spans if len(owners[x[4]]) >= 5 or len(owners[x[4]]) > 1 and len(places[x[4]]) >= 10}
+        first = [x for x in spans if x[1] < 3]
+        shown = [x for x in spans if x[1] < 3 or x not in copied]
+        text = [",".join(f"{x[2]}:{x[0]}:{x[3]}" for x in part) for part in (first, shown)]
+        counts = Counter(x[2] for x in first)
+        want[key, counts["assign"], counts["access"], counts["hex"], hashlib.sha256(text[0].encode()).hexdigest(), text[1]] += 1
+    got = op3_secret_scan(spark, str(tmp_path))
+    assert Counter(map(tuple, got.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans").collect())) == want
+    spans = {r.doc_id: r.spans for r in got.collect()}
+    assert spans[100] == spans[300] == "" and "private_key" in spans[200] and "bearer" in spans[200] and "jwt" in spans[400] and "url_login" in spans[400]
+
+
 @pytest.mark.parametrize("leaves", [32, 512])
 def test_merges_stay_small(leaves):
     """What a merge receives doesn't grow with the leaves, and the bins stay within one in a hundred of the least number."""
