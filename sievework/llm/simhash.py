@@ -17,8 +17,8 @@ fingerprint, never all pairs.
 Defined cases: null and empty texts have fingerprint zero and are linked like any other; texts of
 one or two words are one shingle; repeated rows have one fingerprint; ids may be null (they join a
 component but never name it); other columns are left alone, but for one with the name of the new
-column, which is replaced. ``keep_one`` keeps rows without an id; of rows with one id it keeps one, the
-same at every run: that with the least hash of its columns (maps left out).
+column, which is replaced. ``keep_one`` keeps rows without an id, and of each group the row with the
+least id; of those with that id the least hash of the columns (maps left out) decides, at every run alike.
 """
 
 from __future__ import annotations

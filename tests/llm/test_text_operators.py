@@ -113,16 +113,16 @@ def test_links_of_crowded_groups(spark, tile):
 
 
 def test_keep_one_is_repeatable(spark):
-    """Of rows with one id and different texts one stays, the same whatever the partitions; equal rows become one."""
+    """One row of each group stays, the same whatever the partitions, though rows share their id; equal rows become one."""
     words = "lorem ipsum dolor sit amet consectetur adipiscing elit".split()
-    rows = [(1, f"{w} {w[::-1]} {w * 2} {k}", {"a": k}) for k, w in enumerate(words)] * 3 + [(None, "x", None), (2, "only one here", {"b": 1})] * 2
-    frame = spark.createDataFrame(rows, "doc_id bigint, text string, MARK map<string, int>")
+    rows = [(1, f"{w} {w[::-1]} {w * 2} {k}", "a", {"a": k}) for k, w in enumerate(words)] * 3 + [(None, "x", "", None), (2, "only one here", "b", {"b": 1}), (2, "only one here", "c", {"b": 1})] * 2
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, source string, MARK map<string, int>")
     seen = set()
     for n in (1, 3, 7):
         kept = simhash.keep_one(frame.repartition(n))
         assert kept.columns == frame.columns
-        got = sorted((r.doc_id or 0, r.text) for r in kept.collect())
-        assert [k for k, _ in got] == [0, 0, 1, 2]
+        got = sorted((r.doc_id or 0, r.text, r.source) for r in kept.collect())
+        assert [x[0] for x in got] == [0, 0, *[1] * len(words), 2]
         seen.add(tuple(got))
     assert len(seen) == 1
 
