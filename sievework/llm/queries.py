@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievework.llm import bpe, html_extract, licenses, media, packing, quality, secrets, simhash, toxicity, warc
+from sievework.llm.skew import shared_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,9 +60,12 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files are stored as a Parquet column in the shared folder; all that is returned comes from the stored column."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    read = media.load(media.store(docs))
-    return read.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"), "loaded.*")
+    folder = f"{shared_folder(spark)}/media-{uuid4().hex}"
+    sized = docs.withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint"))
+    media.store(sized).select("doc_id", "n_bytes", "media").write.parquet(folder)
+    return media.load(spark.read.parquet(folder)).select("doc_id", "n_bytes", "loaded.*")
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

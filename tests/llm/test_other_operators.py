@@ -141,11 +141,8 @@ def test_another_decoder_reads_the_same_luma(spark):
 
 def test_tables_with_many_codes_and_restarts_decode():
     """A hand-made scan with zero runs, end-of-band runs and restarts goes through the general reader."""
-    high = wide = 1
     frame = media._segment(0xC2, bytes([8, 0, 8, 0, 16, 1, 1, 0x11, 0]))
     tables = media._segment(0xC4, media._table(0, 0, {4: [*range(9)]}) + media._table(1, 0, {4: [0x01, 0x11, 0x00, 0x10, 0xF0, 0x02]}))
-    assert high and wide
-
     def bits(text):
         text = text.replace(" ", "")
         return int(text + "1" * (-len(text) % 8), 2).to_bytes((len(text) + 7) // 8, "big")
@@ -165,6 +162,60 @@ def test_tables_with_many_codes_and_restarts_decode():
     assert data[1, 17] == 5 and not data[1, 1:17].any() and not data[1, 18:].any()
 
 
+@pytest.mark.parametrize("density", [0.0, 0.003, 0.05, 0.5, 1.0])
+def test_sparse_and_dense_scans_round_trip(density):
+    """Zero runs of over fifteen, ends of bands over many blocks, and new and corrected coefficients, in restart segments."""
+    rng = np.random.default_rng(int(1000 * density))
+    blocks, values = 40, rng.choice([-150, -9, -3, -2, -1, 1, 2, 3, 7, 120], (40, 64))
+    data = np.where(rng.random((blocks, 64)) < density, values, 0).astype(np.int16)
+    data[7:20, 1:] *= rng.integers(0, 2)
+    frame = media._segment(0xC2, bytes([8, 0, 8, (8 * blocks) >> 8, 8 * blocks & 255, 1, 1, 0x11, 0]))
+    dht = media._segment(0xC4, b"".join(media._table(k >> 4, k & 15, t) for k, t in media.tables().items()))
+    stored = b"\xff\xd8" + media._QUANT + frame + dht + media._segment(0xDD, b"\0\x10")
+    for low, high, before, left in ((1, 63, 0, 2), (1, 63, 2, 1), (1, 40, 1, 0), (41, 63, 1, 0)):
+        rows = [np.arange(i, min(i + 16, blocks)).reshape(-1, 1) for i in range(0, blocks, 16)]
+        parts = media._coded_segments(data, ((0,), low, high, before, left), rows)
+        stored += media._segment(0xDA, bytes([1, 1, 1 if before else 0, low, high, before << 4 | left]))
+        stored += b"".join((bytes([0xFF, 0xD0 + k - 1]) if k else b"") + x.replace(b"\xff", b"\xff\0") for k, x in enumerate(parts))
+    got = media.decode(stored + b"\xff\xd9").components[0]["data"]
+    assert np.array_equal(got[:, 1:], data[:, 1:])
+
+
+def test_own_tables_are_complete_prefix_codes():
+    for lengths in media.tables().values():
+        assert max(lengths) <= 16 and sum(len(v) / 2**n for n, v in lengths.items()) < 1
+    assert {s for v in media.tables()[0x10].values() for s in v} >= {run << 4 | size for run in range(16) for size in range(1, 9)} | {n << 4 for n in range(16)}
+
+
+def test_sides_hold_what_a_cell_can():
+    wide, high = media.sides((1 << 31) // media.UNIT)
+    assert 16 * max(wide, high) < 65536 and wide * high * 6 * media.UNIT >= 1 << 31
+
+
+def test_damaged_media_are_null(spark):
+    text = " ".join(f"word{i}" for i in range(3000)).encode()
+    whole = media.encode(media.pad(text), len(text))
+    rng = np.random.default_rng(1)
+    files = [None, b"", b"no file", whole[:-2], whole[: len(whole) // 2], whole.replace(b"\xff\xc2", b"\xff\xc0"), whole[:700], b"\xff\xd8\xff\xd9"]
+    for _ in range(60):
+        at = int(rng.integers(0, len(whole) - 40))
+        files.append(whole[:at] + rng.bytes(int(rng.integers(1, 30))) + whole[at + 20 :])
+    found = media.decode_many([*files, whole])
+    assert all(isinstance(x, ValueError) for x in found[:8]) and media.payload_of(found[-1])[0] == media.pad(text)
+    frame = spark.createDataFrame([(i, bytearray(x) if x is not None else None) for i, x in enumerate([*files[:8], whole])], "i int, media binary")
+    rows = media.tensors(media.load(frame)).orderBy("i").collect()
+    assert all(r.loaded is None and r.tensor is None for r in rows[:8]) and rows[8].loaded.payload_bytes == len(media.pad(text))
+
+
+def test_tensors_are_stored_and_read_back(spark, odd_docs, tmp_path):
+    stored = media.store(odd_docs.filter("doc_id < 7"))
+    rows = media.store_tensors(stored, f"{tmp_path}/tensors").collect()
+    assert len(rows) == 7
+    for r in rows:
+        want = media.tensor(media.decode(bytes(r.media)))
+        assert want.shape == (r.tensor.height, r.tensor.width, 3) and want.tobytes() == bytes(r.tensor.pixels)
+
+
 def test_media_query_matches_brute_force(spark, odd_docs, no_docs, tmp_path):
     odd_docs.write.parquet(f"{tmp_path}/documents.parquet")
     rows = op5_media_columns(spark, str(tmp_path)).collect()
