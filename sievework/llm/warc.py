@@ -1,19 +1,25 @@
 """WARC archives from legacy ARC archives.
 
-``to_arc`` writes pages as ARC files of version 1 or 2. ``records`` parses ARC files by the field line
+``to_arc`` writes pages as ARC files of version 1 or 2. ``parse_arc`` reads ARC files by the field line
 of their version block and the declared lengths. ``convert`` turns the records into WARC: it makes
 record identifiers, ISO timestamps, record types and SHA-256 digests that say what the ARC lines said,
 and writes a payload that several records share once, as a response that the others revisit.
 ``read`` parses WARC files. An archive is a row with a binary column, so Spark commits and repeats it
-like any other output.
+like any other output; each record is a gzip member of its own, so readers can jump to it.
 
 Payloads of at least LEAST bytes are shared; the response is the record with the smallest id. All that
-is grouped by digest is (id, digest, length); payloads move once, by id, so copies of one page don't
-meet in one task.
+is grouped by digest is (id, digest); records move once, by id and already in their final form, so
+copies of one page don't meet in one task.
+
+Any ARC file can be converted: HTTP heads with or without Content-Length and with either line end,
+``dns:`` records (responses of type text/dns), and records of other schemes (resources). Records that
+``to_arc`` didn't write have no page id and are never revisits.
 
 Defined cases: a null payload is empty; repeated rows of one id and payload are all responses if the id
 is the smallest, or else all revisits; a row without id is always a response; a null address becomes
-``urn:none`` and white space in an address is percent-encoded; other columns aren't stored.
+``urn:none`` and white space in an address is percent-encoded; a null archive has no records; an archive
+that ends inside a record, or whose field line is of no known version, is an error; other columns
+aren't stored.
 """
 
 from __future__ import annotations
@@ -21,7 +27,6 @@ from __future__ import annotations
 import gzip
 import hashlib
 import re
-import zlib
 from typing import Iterator
 from urllib.parse import quote
 
@@ -29,10 +34,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.skew import cut, shared_folder
+from sievework.llm.skew import cut, join_hot, shared_folder
 
 LEAST = 100
-#: Payload bytes of one archive, and the time that records carry (the pages have none).
+#: Bytes of one archive (of payloads, or of compressed records), and the time that records carry (the pages have none).
 ARCHIVE_BYTES = 4 << 20
 CAPTURED = "20240101000000"
 #: Field lines of the two versions of ARC.
@@ -42,21 +47,31 @@ FIELDS = {
 }
 ARCHIVES = "archive: string, content: binary"
 _ARCHIVES = pa.schema([("archive", pa.string()), ("content", pa.binary())])
-RECORDS = "page_id: bigint, url: string, ip: string, date: string, mime: string, http: binary, payload: binary, digest: string, payload_bytes: bigint"
-_RECORDS = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("ip", pa.string()), ("date", pa.string()), ("mime", pa.string()), ("http", pa.binary()), ("payload", pa.binary()), ("digest", pa.string()), ("payload_bytes", pa.int64())])
 FOUND = "page_id: bigint, payload_bytes: bigint, payload_digest: string, record_type: string, refers_to: bigint"
+_FOUND = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
 _ID_HEADER = b"X-Page-Id"
+#: A revisit's payload has this many bytes.
+_SIZE_HEADER = "X-Payload-Bytes"
+
+
+def member(data: bytes) -> bytes:
+    return gzip.compress(data, 4, mtime=0)
+
+
+def content_of(archive: bytes | None) -> bytes:
+    """Uncompressed content of an archive of gzip members, or of one that isn't compressed."""
+    return gzip.decompress(archive) if archive and archive.startswith(b"\x1f\x8b") else archive or b""
 
 
 # ARC -----------------------------------------------------------------------------------------------
 
 
-def arc_file(name: str, version: int, rows: list[tuple[int | None, str | None, bytes]]) -> bytes:
-    """An ARC file: a version block, then a header line and so many bytes for each row."""
+def arc_file(name: str, version: int, rows: list[tuple[int | None, str | None, bytes]]) -> list[bytes]:
+    """An ARC file's parts: a version block, then a header line and so many bytes for each row."""
     intro = f"{version} 0 curator\n{FIELDS[version]}\n".encode()
     tail = f"text/plain {len(intro)}" if version == 1 else f"text/plain 200 - - 0 {name} {len(intro)}"
-    out = [f"filedesc://{name} 0.0.0.0 {CAPTURED} {tail}\n".encode(), intro]
-    at = sum(map(len, out))
+    out = [f"filedesc://{name} 0.0.0.0 {CAPTURED} {tail}\n".encode() + intro + b"\n"]
+    at = len(out[0])
     for key, url, body in rows:
         own = b"" if key is None else _ID_HEADER + f": {key}\r\n".encode()
         block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n" + own + b"Content-Length: %d\r\n\r\n" % len(body) + body
@@ -64,32 +79,34 @@ def arc_file(name: str, version: int, rows: list[tuple[int | None, str | None, b
         fields = [where, "0.0.0.0", CAPTURED, "text/html"]
         if version == 2:
             fields += ["200", "-", "-", str(at), name]
-        line = f"\n{' '.join(fields)} {len(block)}\n".encode()
-        out += [line, block]
-        at += len(line) + len(block)
-    return b"".join([*out, b"\n"])
+        out.append(f"{' '.join(fields)} {len(block)}\n".encode() + block + b"\n")
+        at += len(out[-1])
+    return out
 
 
 def parse_arc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(fields by name, block) of each record, read by the version block's field line and declared lengths."""
+    """(fields by name, block) of each record, read by the version block's field line and declared lengths.
+    Files that follow one another in ``data`` each have a version block."""
     names: list[str] = []
     at = 0
     while True:
-        while data[at : at + 1] == b"\n":
+        while data[at : at + 1] in (b"\n", b"\r"):
             at += 1
         if at >= len(data):
             return
-        end = data.index(b"\n", at)
-        line = data[at:end].decode("utf-8", "replace")
+        end = data.find(b"\n", at)
+        if end < 0:
+            raise ValueError("the archive ends inside a header line")
+        line = data[at:end].decode("utf-8", "replace").rstrip("\r")
         size = int(line.rsplit(" ", 1)[1])
         block = data[end + 1 : end + 1 + size]
         if len(block) < size:
             raise ValueError(f"the archive ends inside a record of {size} bytes")
         at = end + 1 + size
-        if not names:
-            version, fields = block.decode().split("\n")[:2]
+        if line.startswith("filedesc:") or not names:
+            version, fields = block.decode().splitlines()[:2]
             names = fields.split(" ")
-            if names != FIELDS[int(version.split(" ", 1)[0])].split(" "):
+            if names != FIELDS.get(int(version.split(" ", 1)[0]), "").split(" "):
                 raise ValueError(f"unknown field line {fields!r}")
             continue
         yield dict(zip(names, line.rsplit(" ", len(names) - 1), strict=True)), block
@@ -106,7 +123,7 @@ def to_arc(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: s
 
         def file() -> pa.RecordBatch:
             name = f"legacy-{part:05d}-{made:05d}.arc.gz"
-            content = gzip.compress(arc_file(name, 1 + (part + made) % 2, held), 1, mtime=0)
+            content = b"".join(map(member, arc_file(name, 1 + (part + made) % 2, held)))
             return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([content], pa.binary())], schema=_ARCHIVES)
 
         for batch in batches:
@@ -123,33 +140,15 @@ def to_arc(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: s
 
 
 def split_http(block: bytes) -> tuple[bytes, bytes, int | None]:
-    """(headers with their blank line, payload, page id)."""
-    end = block.find(b"\r\n\r\n") + 4
-    head = block[:end] if end >= 4 else b""
-    found = re.search(rb"\r\n" + _ID_HEADER + rb": (-?\d+)\r\n", head)
+    """(head with its blank line, payload, page id) of an HTTP message; other blocks are all payload."""
+    if not block.startswith(b"HTTP/"):
+        return b"", block, None
+    blank = re.search(rb"\r?\n\r?\n", block)
+    head = block[: blank.end()] if blank else block
+    found = re.search(rb"\n" + _ID_HEADER + rb": *(-?\d{1,19})\r?\n", head, re.IGNORECASE)
     return head, block[len(head) :], int(found[1]) if found else None
 
 
-def records(arcs: DataFrame, payloads: bool = True, packed: bool = False) -> DataFrame:
-    """RECORDS of ARC archives; without ``payloads`` the payload and header columns are null, and ``packed``
-    ones are compressed (zlib), for frames that are shuffled."""
-
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for content in batch.column(0):
-                rows = []
-                for fields, block in parse_arc(gzip.decompress(content.as_py())):
-                    head, body, key = split_http(block)
-                    rows.append({
-                        "page_id": key, "url": fields["URL"], "ip": fields["IP-address"], "date": fields["Archive-date"], "mime": fields["Content-type"],
-                        "http": head if payloads else None, "payload": (zlib.compress(body, 1) if packed else body) if payloads else None,
-                        "digest": hashlib.sha256(body).hexdigest(), "payload_bytes": len(body),
-                    })
-                yield pa.RecordBatch.from_pylist(rows, schema=_RECORDS)
-
-    return arcs.select("content").mapInArrow(parse, RECORDS)
-
-
 # WARC ----------------------------------------------------------------------------------------------
 
 
@@ -169,6 +168,9 @@ def id_of(record: str) -> int:
 
 
 def iso_date(stamp: str) -> str:
+    """The time of a stamp of up to 14 digits; what it lacks is taken from the start of 1970."""
+    stamp = stamp if stamp.isdigit() else ""
+    stamp = stamp[:14] + "19700101000000"[len(stamp[:14]) :]
     return f"{stamp[:4]}-{stamp[4:6]}-{stamp[6:8]}T{stamp[8:10]}:{stamp[10:12]}:{stamp[12:14]}Z"
 
 
@@ -194,12 +196,71 @@ def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         yield headers, block
 
 
+def converted(fields: dict[str, str], block: bytes) -> tuple[int | None, str, int, bytes]:
+    """(page id, payload digest, payload bytes, WARC record) of an ARC record: a response, or a resource where no server answered."""
+    head, payload, key = split_http(block)
+    digest = hashlib.sha256(payload).hexdigest()
+    url, mime = fields["URL"], fields["Content-type"]
+    kind, content = "response", "application/http; msgtype=response"
+    if not head:
+        kind, content = ("response", "text/dns") if url.startswith("dns:") else ("resource", mime if "/" in mime else "application/octet-stream")
+    own = record_id(key, digest)
+    if key is None:  # nothing but its place and time tells it from others of one payload
+        mark = hashlib.sha256("\n".join(fields.values()).encode()).digest()
+        own = record_id(int.from_bytes(mark[:8], "big"), digest)
+    headers = [
+        ("WARC-Record-ID", f"<{own}>"), ("WARC-Date", iso_date(fields["Archive-date"])), ("WARC-Target-URI", url), ("WARC-IP-Address", fields["IP-address"]),
+        ("WARC-Payload-Digest", f"sha256:{digest}"), ("WARC-Block-Digest", f"sha256:{hashlib.sha256(block).hexdigest()}"),
+        ("WARC-Identified-Payload-Type", mime), ("Content-Type", content),
+    ]
+    return key, digest, len(payload), warc_record(kind, headers, block)
+
+
+def as_revisit(record: bytes, first: int) -> bytes:
+    """A response record as one that revisits the response of another page."""
+    headers, block = next(parse_warc(record))
+    head, payload, _ = split_http(block)
+    digest = headers["WARC-Payload-Digest"].removeprefix("sha256:")
+    del headers["WARC-Type"], headers["Content-Length"]
+    headers["WARC-Block-Digest"] = f"sha256:{hashlib.sha256(head).hexdigest()}"
+    headers["WARC-Refers-To"] = f"<{record_id(first, digest)}>"
+    headers["WARC-Profile"] = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+    headers[_SIZE_HEADER] = str(len(payload))
+    return warc_record("revisit", list(headers.items()), head)
+
+
+RECORDS = "page_id: bigint, digest: string, payload_bytes: bigint, record: binary"
+_RECORDS = pa.schema([("page_id", pa.int64()), ("digest", pa.string()), ("payload_bytes", pa.int64()), ("record", pa.binary())])
+
+
+def records(arcs: DataFrame, whole: bool = True) -> DataFrame:
+    """A row for each record of ARC archives, with its WARC record as a gzip member; without ``whole`` that is null."""
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column(0):
+                rows = []
+                for fields, block in parse_arc(content_of(content.as_py())):
+                    if whole:
+                        key, digest, size, record = converted(fields, block)
+                        rows.append({"page_id": key, "digest": digest, "payload_bytes": size, "record": member(record)})
+                    else:
+                        _, body, key = split_http(block)
+                        rows.append({"page_id": key, "digest": hashlib.sha256(body).hexdigest(), "payload_bytes": len(body)})
+                yield pa.RecordBatch.from_pylist(rows, schema=_RECORDS)
+
+    return arcs.select("content").mapInArrow(parse, RECORDS)
+
+
 def convert(arcs: DataFrame) -> DataFrame:
-    """WARC archives (archive, gzipped content) of all records of ARC archives."""
-    narrow = records(arcs, payloads=False).filter(F.col("page_id").isNotNull() & (F.col("payload_bytes") >= LEAST)).select("page_id", "digest")
+    """WARC archives (archive, content) of all records of ARC archives."""
+    spark = arcs.sparkSession
+    narrow = cut(records(arcs, whole=False).filter(F.col("page_id").isNotNull() & (F.col("payload_bytes") >= LEAST)).select("page_id", "digest"), spark)
     shared = narrow.groupBy("digest").agg(F.min("page_id").alias("first"), F.max("page_id").alias("other")).filter("other > first").select("digest", "first")
-    later = narrow.join(shared, "digest").filter(F.col("page_id") > F.col("first")).select("page_id", "digest", "first").distinct()
-    rows = records(arcs, packed=True).join(later, ["page_id", "digest"], "left").select("page_id", "url", "ip", "date", "mime", "http", "payload", "digest", "first")
+    later = join_hot(narrow, cut(shared, spark), "digest").filter(F.col("page_id") > F.col("first")).select(F.col("page_id").alias("key"), "digest", "first").distinct()
+    # Records without an id meet nobody; a hash of their own deals them over all tasks.
+    found = records(arcs).withColumn("key", F.coalesce("page_id", F.xxhash64("record"))).withColumn("digest", F.when(F.col("page_id").isNull(), "").otherwise(F.col("digest")))
+    rows = found.join(later, ["key", "digest"], "left").select("record", "first")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -210,20 +271,12 @@ def convert(arcs: DataFrame) -> DataFrame:
             name = f"converted-{part:05d}-{made:05d}.warc.gz"
             intro = b"software: curator\r\nformat: WARC File Format 1.1\r\n"
             start = [("WARC-Record-ID", f"<{record_id(made, hashlib.sha256(name.encode()).hexdigest())}>"), ("WARC-Date", iso_date(CAPTURED)), ("WARC-Filename", name), ("Content-Type", "application/warc-fields")]
-            content = gzip.compress(b"".join([warc_record("warcinfo", start, intro), *held]), 1, mtime=0)
+            content = b"".join([member(warc_record("warcinfo", start, intro)), *held])
             return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([content], pa.binary())], schema=_ARCHIVES)
 
         for batch in batches:
-            for key, url, ip, date, mime, http, payload, digest, first in zip(*(batch.column(k).to_pylist() for k in range(9)), strict=True):
-                block = http if first is not None else http + zlib.decompress(payload)
-                headers = [
-                    ("WARC-Record-ID", f"<{record_id(key, digest)}>"), ("WARC-Date", iso_date(date)), ("WARC-Target-URI", url), ("WARC-IP-Address", ip),
-                    ("WARC-Payload-Digest", f"sha256:{digest}"), ("WARC-Block-Digest", f"sha256:{hashlib.sha256(block).hexdigest()}"),
-                    ("WARC-Identified-Payload-Type", mime), ("Content-Type", "application/http; msgtype=response"),
-                ]
-                if first is not None:
-                    headers += [("WARC-Refers-To", f"<{record_id(first, digest)}>"), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")]
-                held.append(warc_record("response" if first is None else "revisit", headers, block))
+            for record, first in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                held.append(record.as_py() if first is None else member(as_revisit(gzip.decompress(record.as_py()), first)))
                 size += len(held[-1])
                 if size >= ARCHIVE_BYTES:
                     yield file()
@@ -235,29 +288,29 @@ def convert(arcs: DataFrame) -> DataFrame:
 
 
 def read(warcs: DataFrame) -> DataFrame:
-    """FOUND: a row for each response or revisit record. Digests of stored payloads and blocks are checked."""
+    """FOUND: a row for each response, revisit or resource record. Digests of stored payloads and blocks are checked."""
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
         for batch in batches:
             for content in batch.column(0):
                 rows = []
-                for headers, block in parse_warc(gzip.decompress(content.as_py())):
-                    if headers["WARC-Type"] not in ("response", "revisit"):
+                for headers, block in parse_warc(content_of(content.as_py())):
+                    kind, refers = headers["WARC-Type"], headers.get("WARC-Refers-To")
+                    if kind not in ("response", "revisit", "resource"):
                         continue
-                    head, body, key = split_http(block)
-                    size = int(re.search(rb"\r\nContent-Length: (\d+)\r\n", head)[1])
-                    digest, refers = headers["WARC-Payload-Digest"].removeprefix("sha256:"), headers.get("WARC-Refers-To")
-                    if headers["WARC-Type"] == "response" and (len(body) != size or hashlib.sha256(body).hexdigest() != digest):
-                        raise ValueError(f"the payload of {headers['WARC-Record-ID']} isn't what its header says")
-                    rows.append({"page_id": key, "payload_bytes": size, "payload_digest": digest, "record_type": headers["WARC-Type"], "refers_to": id_of(refers.strip("<>")) if refers else None})
-                yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                    _, body, key = split_http(block)
+                    digest = headers["WARC-Payload-Digest"].removeprefix("sha256:")
+                    if "sha256:" + hashlib.sha256(block).hexdigest() != headers["WARC-Block-Digest"] or kind != "revisit" and hashlib.sha256(body).hexdigest() != digest:
+                        raise ValueError(f"{headers['WARC-Record-ID']} isn't what its digests say")
+                    size = int(headers[_SIZE_HEADER]) if kind == "revisit" else len(body)
+                    rows.append({"page_id": key, "payload_bytes": size, "payload_digest": digest, "record_type": kind, "refers_to": id_of(refers.strip("<>")) if refers else None})
+                yield pa.RecordBatch.from_pylist(rows, schema=_FOUND)
 
     return warcs.select("content").mapInArrow(parse, FOUND)
 
 
 def archive(pages: DataFrame, folder: str | None = None) -> DataFrame:
-    """Pages as WARC archives below ``folder`` (the shared checkpoint folder by default), read back."""
+    """Pages as WARC archives below ``folder`` (the shared checkpoint folder by default), which stay there, read back."""
     from uuid import uuid4
 
     spark = pages.sparkSession

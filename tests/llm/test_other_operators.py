@@ -258,11 +258,60 @@ def test_archive_matches_brute_force(spark):
 @pytest.mark.parametrize("version", [1, 2])
 def test_arc_versions_parse(version):
     rows = [(1, "http://x/é z", b"a\n\nb"), (None, None, b""), (3, "u", b"\n")]
-    found = list(warc.parse_arc(warc.arc_file("n.arc", version, rows)))
+    found = list(warc.parse_arc(b"".join(warc.arc_file("n.arc", version, rows))))
     assert [warc.split_http(b)[1:] for _, b in found] == [(body, key) for key, _, body in rows]
     assert found[0][0]["URL"] == "http://x/%C3%A9%20z" and ("Result-code" in found[0][0]) == (version == 2)
     with pytest.raises(ValueError):
-        list(warc.parse_arc(warc.arc_file("n.arc", version, rows)[:-4]))
+        list(warc.parse_arc(b"".join(warc.arc_file("n.arc", version, rows))[:-4]))
+
+
+def test_foreign_archives_are_converted(spark):
+    """Heads without a length and with bare line ends, dns and other schemes, short stamps, two files in one, one of them not compressed."""
+    import gzip
+
+    fields = "URL IP-address Archive-date Content-type Archive-length"
+    blocks = [
+        ("http://a/x y", "199701020304", "text/html", b"HTTP/1.0 200 OK\nServer: old\n\n<p>hello</p>" + b"z" * 200),
+        ("http://b/", "19970102030405", "text/html", b"HTTP/1.0 200 OK\r\nServer: old\r\n\r\n<p>hello</p>" + b"z" * 200),
+        ("http://empty/", "19970102030405", "text/html", b"HTTP/1.0 304 Not Modified"), ("dns:a.org", "19970102030405", "text/dns", b"19970102030405\na.org. 10 IN A 1.2.3.4\n"),
+        ("ftp://c/file", "never", "no-type", b"\x00\x01WARC/1.1\r\n\r\n"), ("http://d/", "19970102030405", "text/html", b""),
+    ]
+
+    def file(name):
+        intro = f"1 0 elsewhere\n{fields}\n".encode()
+        out = f"filedesc://{name} 0.0.0.0 19970101000000 text/plain {len(intro)}\n".encode() + intro
+        for url, stamp, mime, block in blocks:
+            out += f"\n{url} 1.2.3.4 {stamp} {mime} {len(block)}\n".encode() + block
+        return out + b"\n"
+
+    rows = [("a", gzip.compress(file("a") + file("b"))), ("c", file("c")), ("none", None)]
+    warcs = warc.convert(spark.createDataFrame([(n, bytearray(c) if c else None) for n, c in rows], "archive string, content binary")).collect()
+    found = [x for w in warcs for x in warc.parse_warc(gzip.decompress(bytes(w.content))) if x[0]["WARC-Type"] != "warcinfo"]
+    assert Counter((h["WARC-Target-URI"], h["WARC-Type"], h["Content-Type"], h["WARC-Date"], b) for h, b in found) == Counter(
+        {
+            ("http://a/x y", "response", "application/http; msgtype=response", "1997-01-02T03:04:00Z", blocks[0][3]): 3,
+            ("http://b/", "response", "application/http; msgtype=response", "1997-01-02T03:04:05Z", blocks[1][3]): 3,
+            ("http://empty/", "response", "application/http; msgtype=response", "1997-01-02T03:04:05Z", blocks[2][3]): 3,
+            ("dns:a.org", "response", "text/dns", "1997-01-02T03:04:05Z", blocks[3][3]): 3,
+            ("ftp://c/file", "resource", "application/octet-stream", "1970-01-01T00:00:00Z", blocks[4][3]): 3,
+            ("http://d/", "resource", "text/html", "1997-01-02T03:04:05Z", b""): 3,
+        }
+    )
+    back = warc.read(spark.createDataFrame([(w.archive, w.content) for w in warcs], "archive string, content binary")).collect()
+    assert Counter(r.payload_bytes for r in back) == Counter({212: 6, 0: 6, len(blocks[3][3]): 3, len(blocks[4][3]): 3}) and all(r.page_id is None for r in back)
+
+
+def test_records_are_gzip_members(spark):
+    import zlib as z
+
+    pages = spark.createDataFrame([(i, "u", "text " * 40) for i in range(5)], "page_id bigint, url string, html string")
+    for w in [*warc.to_arc(pages.coalesce(1)).collect(), *warc.convert(warc.to_arc(pages.coalesce(1))).collect()]:
+        members, data = 0, bytes(w.content)
+        while data:
+            one = z.decompressobj(31)
+            one.decompress(data)
+            members, data = members + 1, one.unused_data
+        assert members == 6
 
 
 @settings(max_examples=50, deadline=None)
