@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sievework.llm import packing, quality, secrets, simhash, toxicity
 from sievework.llm.queries import vocabulary
-from sievework.llm.skew import shared_folder
+from sievework.llm.skew import remove, shared_folder
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -51,7 +51,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows. Between stages the documents are Parquet in the shared checkpoint folder."""
+    """The last stage's rows. Between stages the documents are Parquet in the shared checkpoint folder; a stage's
+    output is deleted when its successor's is written, so only what the last stage reads stays."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     root = f"{shared_folder(spark)}/pipeline-{uuid4().hex}"
     for k, (name, stage) in enumerate(STAGES):
@@ -59,4 +60,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if k + 1 < len(STAGES):
             docs.write.parquet(f"{root}/{k}-{name}")
             docs = spark.read.parquet(f"{root}/{k}-{name}")
+            if k:
+                remove(spark, f"{root}/{k - 1}-{STAGES[k - 1][0]}")
     return docs

@@ -28,6 +28,12 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder of intermediate results, wherever Spark keeps it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def join_hot(rows: DataFrame, table: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """``rows`` (without null keys) joined with ``table``, which has one row for each ``key``.
 
