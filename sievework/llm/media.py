@@ -44,7 +44,7 @@ UNIT = 64
 #: The byte whose coefficient is zero, amid the small letters.
 CENTRE = 105
 #: Units of a restart interval, and blocks or bytes of segments that are worked on together.
-RESTART, GROUP_BLOCKS, GROUP_BYTES = 128, 8192, 1 << 20
+RESTART, GROUP_BLOCKS, GROUP_BYTES = 128, 8192, 1 << 21
 #: Segments that are read together; fewer are read one by one.
 ABREAST = 24
 MOST_PIXELS = 1 << 28
@@ -524,17 +524,22 @@ def decode_many(files: list[bytes | None]) -> list[Image | ValueError]:
             firsts.append(total)
             scans.append([])
     coefficients = np.zeros((total, 64), np.int16)
-    for turn in range(max(map(len, scans), default=0)):
+    # First scans meet no coefficient twice, so they are read together; refining ones follow in their order.
+    for turn in range(-1, max(map(len, scans), default=0)):
         kinds: dict[tuple, list[_Job]] = defaultdict(list)
         for k, own in enumerate(scans):
-            if turn >= len(own) or isinstance(found[k], ValueError):
+            if isinstance(found[k], ValueError):
                 continue
             try:
-                for job in _jobs(k, found[k], own[turn], firsts[k]):
-                    dc = job.band[0] == 0
-                    if not (dc and job.before) and any(t is None for t in job.tables):
-                        raise ValueError("a scan without its tables")
-                    kinds[(dc, job.before > 0, tuple(map(id, job.tables if dc and not job.before else job.tables[:1])))].append(job)
+                for scan in own if turn < 0 else own[turn : turn + 1]:
+                    refining = scan[0][-1] >> 4 > 0
+                    if refining == (turn < 0):
+                        continue
+                    for job in _jobs(k, found[k], scan, firsts[k]):
+                        dc = job.band[0] == 0
+                        if not (dc and refining) and any(t is None for t in job.tables):
+                            raise ValueError("a scan without its tables")
+                        kinds[(dc, refining, tuple(map(id, job.tables if dc and not refining else job.tables[:1])))].append(job)
             except (ValueError, IndexError, StopIteration) as error:
                 found[k] = ValueError(f"unreadable: {error}")
         for (dc, refining, _), jobs in kinds.items():
@@ -583,7 +588,7 @@ class _Ahead:
     def take(self, at: np.ndarray, bits: np.ndarray) -> np.ndarray:
         """The next ``bits`` bits (25 at most), as numbers."""
         word = self.words[np.minimum(at >> 3, len(self.words) - 1)].astype(np.int64)
-        return (word >> (32 - (at & 7) - bits) & (1 << bits) - 1).astype(np.int32)
+        return (word >> (32 - (at & 7) - bits)).astype(np.int32) & (1 << bits) - 1
 
     def places(self, step: np.ndarray) -> np.ndarray:
         """Where each symbol of each segment begins, up to its end or to what is no code."""
@@ -669,6 +674,7 @@ def _refine_dc(coefficients: np.ndarray, jobs: list[_Job]) -> set[int]:
 
 
 def _first_ac(coefficients: np.ndarray, jobs: list[_Job]) -> set[int]:
+    jobs = sorted(jobs, key=lambda j: (j.band, j.left))
     table = jobs[0].tables[0]
     ahead = _Ahead([j.raw for j in jobs])
     at = ahead.places(table.step)
@@ -682,40 +688,45 @@ def _first_ac(coefficients: np.ndarray, jobs: list[_Job]) -> set[int]:
     bits = np.where(ends, run, size)
     value = ahead.take(at + length, bits)
     # How far each symbol moves on, counting coefficients of the band over all blocks; then what ends of bands add.
-    moved = np.cumsum(np.where(ends, 0, run + 1))
+    moved = np.cumsum(np.where(ends, 0, run + 1), dtype=np.int32)
     stops = np.flatnonzero(ends)
     skipped = (1 << run[stops]) + value[stops]
     from_, shift, bad = [], [], set()
     of_stops = np.searchsorted(stops, cuts).tolist()
     known, stop_list, skip_list = moved[stops].tolist(), stops.tolist(), skipped.tolist()
+    reached = [0, *moved[np.maximum(np.array(cuts[1:]) - 1, 0)].tolist()]
+    base = 0  # rows of the jobs before
     for k, job in enumerate(jobs):
         wide = job.band[1] - job.band[0] + 1
-        limit = wide * len(job.rows)
-        off = -int(moved[cuts[k] - 1]) if cuts[k] else 0
+        off = -reached[k] if cuts[k] else 0
         from_.append(cuts[k])
-        shift.append(off)
+        shift.append(off + base * wide)
         for j in range(of_stops[k], of_stops[k + 1]):
             here = known[j] + off
             off += (here // wide + skip_list[j]) * wide - here
             from_.append(stop_list[j] + 1)
-            shift.append(off)
-        final = int(moved[cuts[k + 1] - 1]) + off if cuts[k + 1] > cuts[k] else 0
-        if final != limit:
+            shift.append(off + base * wide)
+        final = reached[k + 1] + off if cuts[k + 1] > cuts[k] else 0
+        if final != wide * len(job.rows):
             bad.add(job.file)
-    place = moved + np.repeat(shift, np.diff([*from_, len(at)])) - 1
-    who = np.repeat(np.arange(len(jobs)), np.diff(cuts))
-    wides = np.array([j.band[1] - j.band[0] + 1 for j in jobs])
-    lows = np.array([j.band[0] for j in jobs])
-    lefts = np.array([j.left for j in jobs])
-    rows = np.concatenate([j.rows[:, 0] for j in jobs])
-    bases = np.cumsum([0, *(len(j.rows) for j in jobs[:-1])])
+        base += len(job.rows)
+    place = moved + np.repeat(np.array(shift, np.int32), np.diff([*from_, len(at)])) - 1
     kept = size > 0
-    if bad:
-        kept &= ~np.isin(who, [k for k, j in enumerate(jobs) if j.file in bad])
-    kept = np.flatnonzero(kept)
-    who, place, size = who[kept], place[kept], size[kept]
-    block, k = np.divmod(place, wides[who])
-    coefficients[rows[bases[who] + block], lows[who] + k] = _signed(value[kept], size) << lefts[who]
+    for k, job in enumerate(jobs):
+        if job.file in bad:
+            kept[cuts[k] : cuts[k + 1]] = False
+    value = _signed(value, size)
+    rows = np.concatenate([j.rows[:, 0] for j in jobs])
+    flat, a = coefficients.reshape(-1), 0
+    while a < len(jobs):  # runs of jobs of one band
+        b, job = a, jobs[a]
+        while b < len(jobs) and (jobs[b].band, jobs[b].left) == (job.band, job.left):
+            b += 1
+        mine = slice(cuts[a], cuts[b])
+        some = kept[mine]
+        block, k = np.divmod(place[mine][some], np.int32(job.band[1] - job.band[0] + 1))
+        flat[64 * rows[block].astype(np.int64) + (k + job.band[0])] = value[mine][some] << job.left
+        a = b
     return bad
 
 
