@@ -12,7 +12,8 @@ or precede it. Runs without a gap over the template's length come first; then wh
 across any gap, so words inserted into a copy don't hide it.
 
 Defined cases: null and empty texts match nothing; a template found several times counts once a place;
-repeated rows get equal results; other columns pass through.
+repeated rows get equal results; texts that share most of their words (the notices of one family) can each be
+found in one place; other columns pass through, but for one with the name of the new column, which is replaced.
 """
 
 from __future__ import annotations
@@ -40,6 +41,14 @@ _AS_IS = (
     "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
     "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."
 )
+_BSD_AS_IS = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, "
+    "THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
+    "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+    "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF "
+    "LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, "
+    "EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
 TEMPLATES = {
     "MIT": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
@@ -63,16 +72,64 @@ TEMPLATES = {
         "PARTICULAR PURPOSE."
     ),
     "GPL-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
-    "BSD": (
+    "GPL-2.0": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
+        "by the Free Software Foundation; either version 2 of the License, or (at your option) any later version. This program is distributed in "
+        "the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A "
+        "PARTICULAR PURPOSE."
+    ),
+    "LGPL-2.1": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+        "published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version. This library is "
+        "distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS "
+        "FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details."
+    ),
+    "AGPL-3.0": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is "
+        "distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS "
+        "FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details."
+    ),
+    "MPL-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this "
+        "file, You can obtain one at http://mozilla.org/MPL/2.0/."
+    ),
+    "BSD-2-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions "
+        "are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+        "documentation and/or other materials provided with the distribution. " + _BSD_AS_IS
+    ),
+    "BSD-3-Clause": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions "
         "are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
         "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
-        "documentation and/or other materials provided with the distribution."
+        "documentation and/or other materials provided with the distribution. Neither the name of the copyright holder nor the names of its "
+        "contributors may be used to endorse or promote products derived from this software without specific prior written permission. " + _BSD_AS_IS
+    ),
+    "BSD-notice": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions "
+        "are met"
     ),
     "ISC": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
         "the above copyright notice and this permission notice appear in all copies."
     ),
+    "Zlib": (
+        "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages "
+        "arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial "
+        "applications, and to alter it and redistribute it freely, subject to the following restrictions"
+    ),
+    "BSL-1.0": "Distributed under the Boost Software License, Version 1.0.",
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or "
+        "distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."
+    ),
+    "CC0-1.0": (
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the "
+        "public domain worldwide. This software is distributed without any warranty."
+    ),
+    "CC-BY-SA-4.0-notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     "CC-BY-4.0-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0.",
     "all-rights-reserved": "All rights reserved.",
