@@ -14,7 +14,9 @@ from sievework.functions.text import col, host, names_match, norm_company, strip
 
 
 def contains_any(c: Column | str, terms: list[str]) -> Column:
-    """Any term is in the text, case folded. One pattern, however many terms."""
+    """Any term is in the text, case folded. One pattern, however many terms; no terms are in no text."""
+    if not terms:
+        return F.lit(False)
     return F.lower(F.coalesce(col(c), F.lit(""))).rlike("|".join(re.escape(t.lower()) for t in terms))
 
 
@@ -108,7 +110,7 @@ def url_allowed(url: Column | str, allow: str | None = None, block: str | None =
     return F.coalesce(fine, F.lit(False))
 
 
-def usable_page(final_url: Column | str, root_domain: Column | str | None = None) -> Column:
+def usable_page(final_url: Column | str) -> Column:
     """Neither a login page nor a home page."""
     path = F.regexp_extract(col(final_url), "^[a-zA-Z]+://[^/?#]*([^?#]*)", 1)
     path = F.when(path == "", "/").otherwise(path)

@@ -124,7 +124,8 @@ def strip_tracking(url: Column | str) -> Column:
 
 
 def absolute_url(href: Column | str, base: Column | str) -> Column:
-    """an address seen from a page: with scheme, with host, from the root, or beside the page."""
+    """an address seen from a page: with scheme, with host, from the root, or beside the page. Dot segments
+    of a path without a host are resolved, and none leads above the root."""
     href, base = strip(href), col(base)
     scheme = F.regexp_extract(base, "^([a-zA-Z]+:)", 1)
     root = F.regexp_extract(base, "^([a-zA-Z]+://[^/?#]+)", 1)
@@ -134,13 +135,26 @@ def absolute_url(href: Column | str, base: Column | str) -> Column:
         F.when(href == "", base)
         .when(href.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:"), href)
         .when(href.startswith("//"), F.concat(scheme, href))
-        .when(href.startswith("/"), F.concat(root, href))
+        .when(href.startswith("/"), F.concat(root, _without_dots(href)))
         .when(href.startswith("#"), F.concat(F.regexp_replace(base, "#.*$", ""), href))
         .when(href.startswith("?"), F.concat(F.regexp_replace(base, "[?#].*$", ""), href))
-        .otherwise(F.concat(folder, F.regexp_replace(href, r"^(?:\./)+", "")))
+        .otherwise(F.concat(root, _without_dots(F.concat(F.substring(folder, F.length(root) + 1, F.length(folder)), href))))
     )
 
 
+def _without_dots(path: Column) -> Column:
+    """A path from the root, with query and fragment, without dot segments."""
+    own, rest = F.regexp_extract(path, "^([^?#]*)", 1), F.regexp_extract(path, "^[^?#]*(.*)$", 1)
+    parts = F.split(F.substring(own, 2, 1 << 30), "/")
+    empty = F.array().cast("array<string>")
+    kept = F.aggregate(
+        parts, empty,
+        lambda done, x: F.when(x == ".", done).when(x == "..", F.when(F.size(done) > 0, F.slice(done, F.lit(1), F.size(done) - 1)).otherwise(empty)).otherwise(F.concat(done, F.array(x))),
+    )
+    end = F.when(own.rlike(r"/\.\.?$") & (F.size(kept) > 0), "/").otherwise("")
+    return F.when(own.rlike(r"/\.\.?(?:/|$)"), F.concat(F.lit("/"), F.array_join(kept, "/"), end, rest)).otherwise(path)
+
+
 def slug_variants(name: Column | str, website: Column | str) -> Column:
     """slugs to try, most likely first."""
     low, root = F.lower(F.coalesce(col(name), F.lit(""))), F.split_part(host(website), F.lit("."), F.lit(1))
@@ -156,12 +170,17 @@ def url_escape(c: Column) -> Column:
 
 
 def board_slug(html: Column | str, final_url: Column | str) -> Column:
-    """F16: (platform, slug) of the first job board that a page points to; null if none."""
+    """F16: (platform, slug) of the first job board that a page points to, or that its text is marked with (the slug
+    may then be empty); null if none."""
     text = F.concat_ws("\n", col(html), col(final_url))
     steps = []
     for platform, pattern in W.BOARD_PATTERNS:
         slug = F.lower(F.regexp_extract(text, pattern, 1))
         steps.append(F.when((F.length(slug) >= 2) & ~slug.isin(*W.NO_SLUGS), F.struct(F.lit(platform).alias("platform"), slug.alias("slug"))))
+    page = F.coalesce(col(html), F.lit(""))
+    marked = page.rlike("(?i)" + "|".join(m.replace(".", r"\.") for m in W.TEAMTAILOR_MARKERS))
+    slug = F.lower(F.regexp_extract(page, r"(?i)https?://([a-z0-9-]+)\.teamtailor\.com", 1))
+    steps.append(F.when(marked, F.struct(F.lit("teamtailor").alias("platform"), slug.alias("slug"))))
     return F.coalesce(*steps)
 
 

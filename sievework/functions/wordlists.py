@@ -118,7 +118,9 @@ PUBLISHERS = {
     "thejournal.ie": "The Journal", "techcentral.ie": "TechCentral", "irishtechnews.ie": "Irish Tech News", "businessplus.ie": "Business Plus",
     "thinkbusiness.ie": "Think Business", "enterprise-ireland.com": "Enterprise Ireland", "sportireland.ie": "Sport Ireland", "bebeez.eu": "Bebeez",
     "eu-startups.com": "EU-Startups", "sifted.eu": "Sifted", "techcrunch.com": "TechCrunch", "theathletic.com": "The Athletic", "espn.com": "ESPN",
-    "reuters.com": "Reuters", "bloomberg.com": "Bloomberg", "forbes.com": "Forbes", "ft.com": "Financial Times", "sportspro.com": "SportsPro",
+    "reuters.com": "Reuters", "bloomberg.com": "Bloomberg", "forbes.com": "Forbes", "ft.com": "Financial Times", "sportstechx.com": "SportsTechX",
+    "sportspro.com": "SportsPro", "sbcnews.co.uk": "SBC News", "sustainhealth.fit": "Sustain Health Magazine", "mshale.com": "Mshale",
+    "sportstourismnews.com": "Sports Tourism News",
 }
 
 # Tracking parameters of addresses.
@@ -133,6 +135,8 @@ BOARD_PATTERNS = [
     ("breezy", r"(?i)([a-z0-9-]+)\.breezy\.hr"), ("smartrecruiters", r"(?i)https?://([a-z0-9_-]+)\.smartrecruiters\.com"),
     ("smartrecruiters", r"(?i)careers\.smartrecruiters\.com/([a-z0-9_-]+)"),
 ]
+# Text of pages that Teamtailor serves under a company's own host.
+TEAMTAILOR_MARKERS = ["career site by teamtailor", "cdn.teamtailor.com", "teamtailor-jobs", "teamtailor.com/t/"]
 NO_SLUGS = ["embed", "widget", "jobs", "careers", "apply", "external", "api", "en", "us", "oops", "error", "404", "notfound"]
 WORKDAY = r"(?i)https?://([a-z0-9][a-z0-9-]*)\.wd(\d+)\.myworkdayjobs\.com(?:/[a-z]{2}-[a-z]{2})?/([^/\s\"'<>?#]+)"
 API_TEMPLATES = [

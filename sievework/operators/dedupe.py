@@ -80,15 +80,21 @@ def in_window(df: DataFrame, ts: str, now: Column, days_back: int = 0, days_ahea
     return df.filter(F.col(ts).between(now - F.expr(f"interval {days_back} days"), now + F.expr(f"interval {days_ahead} days")))
 
 
-def assign_batches(df: DataFrame, size: int = 15, bucket: str | None = None, order: str = "seq", buckets: int = 64) -> DataFrame:
-    """Batch number and place inside it. Rows are numbered within a bucket (a column, or a hash of the
-    order), so no task sees them all; a batch is (bucket, batch)."""
-    named = df.withColumn("bucket", F.col(bucket) if bucket else F.pmod(F.xxhash64(order), F.lit(buckets)))
-    if bucket:  # a column's values may be of any size
-        from sievework.operators.ranking import place_in_group
+def one_of(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row of each key where rows have no order: that with the least hash of all its columns, at every run."""
+    return _first(df, [F.col(k) for k in keys], [F.xxhash64(F.to_json(F.struct("*")))])
+
 
-        numbered = place_in_group(named, ["bucket"], [order], "_n").withColumn("_n", F.col("_n") - 1)
+def assign_batches(df: DataFrame, size: int = 15, bucket: str | None = None, order: str = "seq") -> DataFrame:
+    """Batch number and place inside it. Rows are numbered within a bucket: a column's value, or a range of the
+    order, which Spark makes as many of as it has shuffle partitions, so no task sees all rows; a batch is (bucket, batch)."""
+    from sievework.operators.graphs import cut
+    from sievework.operators.ranking import place_in_group
+
+    if bucket:  # a column's values may be of any size
+        numbered = place_in_group(df.withColumn("bucket", F.col(bucket)), ["bucket"], [order], "_n").withColumn("_n", F.col("_n") - 1)
     else:
+        named = cut(df.repartitionByRange(order).withColumn("bucket", F.spark_partition_id()))
         numbered = named.withColumn("_n", F.row_number().over(Window.partitionBy("bucket").orderBy(order)) - 1)
     return numbered.withColumn("batch", F.floor(F.col("_n") / size)).withColumn("idx", F.col("_n") % size).drop("_n")
 

@@ -15,18 +15,22 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; one of its own only where none is set, as in tests."""
+    """The checkpoint folder that the session names. Only a local session, as in tests, may leave it unset."""
     context = spark.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-"))
     return context.getCheckpointDir()
 
 
-def connected(edges: DataFrame, most: int = 60) -> DataFrame:
-    """(node, root) of every node of the edges (a, b): the least node that it's connected with."""
+def connected(edges: DataFrame) -> DataFrame:
+    """(node, root) of every node of the edges (a, b): the least node that it's connected with. Labels only fall,
+    and jump along labels, so the rounds end, after about the logarithm of the longest chain."""
     both = cut(edges.select("a", "b").union(edges.select("b", "a")).distinct())
     state = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("root")))
-    for _ in range(most):
+    while True:
         near = both.join(state.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("root").alias("near"))
         lower = state.join(near, state["node"] == near["a"]).select("node", "root", F.least("root", "near").alias("next"))
         jump = lower.select(F.col("node").alias("next"), F.col("next").alias("jump"))
@@ -35,4 +39,3 @@ def connected(edges: DataFrame, most: int = 60) -> DataFrame:
         state = moved.select("node", F.col("then").alias("root"))
         if moved.filter("then < root").limit(1).count() == 0:
             return state
-    raise RuntimeError("labels didn't settle")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sievework.functions import wordlists as W
 from sievework.functions.rules import contains_any
 from sievework.functions.text import host, publisher_stem, url_escape
+from sievework.operators.dedupe import one_of
 
 
 def active_sources(sources: DataFrame, companies: DataFrame, platform: str | None = None) -> DataFrame:
@@ -71,7 +72,7 @@ def with_publisher(df: DataFrame, publisher_map: dict[str, str] | None = None, u
 def attach_scores(batches: DataFrame, replies: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows with the reply of their batch and place (one each; others are dropped), and the rows without."""
     keys = ["bucket", "batch", "idx"]
-    one = replies.groupBy(*keys).agg(*(F.first(c).alias(c) for c in replies.columns if c not in keys))
+    one = one_of(replies, keys)
     return batches.join(one, keys), batches.join(one, keys, "left_anti")
 
 

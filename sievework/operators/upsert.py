@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievework.operators.dedupe import superseded_in_series
+from sievework.operators.dedupe import one_of, superseded_in_series
 from sievework.operators.joins import with_source_health
 
 
@@ -59,12 +59,12 @@ def upsert_events(existing: DataFrame, incoming: DataFrame, now: Column, key: st
             value = F.when(fresh | (known & (F.col("old.status") == "pending")), new).otherwise(old)
         columns.append(value.alias(c))
     change = F.when(fresh, "inserted").when(~known, "stored").when(F.col("old.status") == "pending", "updated").otherwise("seen")
-    return _merged(existing, incoming.dropDuplicates([key]), key).select(*columns, change.alias("change"))
+    return _merged(existing, one_of(incoming, [key]), key).select(*columns, change.alias("change"))
 
 
 def upsert_jobs(existing: DataFrame, incoming: DataFrame, now: Column, key: str = "url") -> tuple[DataFrame, DataFrame]:
     """M3: (table, outcomes). Unknown: inserted as pending; archived: reactivated to pending; else updated, status kept."""
-    both = _merged(existing, incoming.dropDuplicates([key]), key)
+    both = _merged(existing, one_of(incoming, [key]), key)
     outcome = F.when(F.col("new").isNull(), "stored").when(F.col("old").isNull(), "inserted").when(F.col("old.status") == "archived", "reactivated").otherwise("updated")
     marked = both.withColumn("outcome", outcome)
     columns = []

@@ -9,7 +9,7 @@ from sievework.functions import jsonx as J
 from sievework.functions import rules as R
 from sievework.functions import text as X
 from sievework.functions import wordlists as W
-from sievework.functions.pages import html_to_text, main_content, page_meta
+from sievework.functions.pages import html_to_text, main_content, page_meta, register_html_udfs
 from sievework.operators import filters as P
 from sievework.operators.discovery import expand_urls
 from sievework.plans.registry import query
@@ -30,6 +30,10 @@ def hits(expr: str, terms: list[str]) -> str:
     return "(" + " + ".join(f"CAST(contains(lower({expr}), {lit(t)}) AS INTEGER)" for t in terms) + ")"
 
 
+#: SQL: the text of a page's article, with single spaces.
+MAIN_TEXT = r"""regexp_replace(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(regexp_extract(html, '<article>(.*?)</article>', 1, 's'), '<[^>]*>', ' ', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g'), '^ | $', '', 'g')"""
+
+
 # Text ----------------------------------------------------------------------------------------------
 
 
@@ -48,14 +52,30 @@ def f3(spark, d):
     return table(spark, d, "pages").select("page_id", html_to_text("html", 2000, True).alias("plain"))
 
 
-@query("f4_main_content")
+@query("f4_main_content", f"SELECT page_id, left({MAIN_TEXT}, 30000) AS main FROM pages")
 def f4(spark, d):
     return table(spark, d, "pages").select("page_id", main_content("html").alias("main"))
 
 
-@query("f5_page_meta")
+@query("f5_page_meta", r"""
+    SELECT page_id, CASE WHEN page_id % 4 <> 0 THEN regexp_replace(replace(replace(replace(replace(regexp_extract(html, '<title>(.*?)</title>', 1), '"', ''), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '^\s+|\s+$', '', 'g') END AS og_title,
+           CASE page_id % 4 WHEN 1 THEN 'https://cdn.example.org/i.png' WHEN 2 THEN regexp_extract(url, '^([a-zA-Z]+://[^/?#]+)', 1) || '/i/' || page_id || '.png' END AS image_url
+    FROM pages""")
 def f5(spark, d):
-    return table(spark, d, "pages").select("page_id", page_meta("html", "url").alias("m")).select("page_id", "m.*")
+    title = F.replace(F.regexp_extract("html", "<title>(.*?)</title>", 1), F.lit('"'), F.lit(""))
+    image = F.when(F.col("page_id") % 4 == 1, '<meta property="og:image" content="https://cdn.example.org/i.png"><meta name="twitter:image" content="/other.png">').when(
+        F.col("page_id") % 4 == 2, F.concat(F.lit('<META NAME="twitter:image" CONTENT=" /i/'), F.col("page_id"), F.lit('.png ">'))
+    )
+    named = F.when(F.col("page_id") % 4 != 0, F.concat(F.lit('<meta property="og:title" content="'), title, F.lit('"><meta property="og:title" content="later">')))
+    headed = F.concat(F.coalesce(named, F.lit("")), F.coalesce(image, F.lit("")), F.col("html"))
+    return table(spark, d, "pages").select("page_id", page_meta(headed, "url").alias("m")).select("page_id", "m.*")
+
+
+@query("x8_html_udfs", f"SELECT page_id, md5({MAIN_TEXT}) AS main FROM pages")
+def x8(spark, d):
+    register_html_udfs(spark)
+    table(spark, d, "pages").createOrReplaceTempView("pages")
+    return spark.sql("SELECT page_id, md5(html_main_text(html)) AS main FROM pages")
 
 
 _TITLE = "regexp_extract(html, '<title>(.*?)</title>', 1)"
@@ -117,18 +137,22 @@ def f12(spark, d):
     return table(spark, d, "pages").select("page_id", X.strip_tracking("url").alias("clean"))
 
 
-@query("f13_absolute_url", """SELECT page_id, regexp_extract(url, '^([a-zA-Z]+://[^/?#]+)', 1) || regexp_extract(html, 'href="([^"]*)"', 1) AS link FROM pages""")
+# How a page may write an address, and what it stands for on https://h.example/a/b/c.
+_WRITTEN = [("", "https://h.example/a/b/", ""), ("../", "https://h.example/a/", ""), ("./x/../", "https://h.example/a/b/", ""), ("../../../../", "https://h.example/", ""), ("/r/./s/../", "https://h.example/r/", ""), ("//o.example/../", "https://o.example/../", ""), ("", "https://h.example/a/b/", "?q=../z#./y"), ("../..", "https://h.example/", "")]
+
+
+@query("f13_absolute_url", """SELECT page_id, CASE WHEN page_id % 9 = 8 THEN regexp_extract(url, '^([a-zA-Z]+://[^/?#]+)', 1) || regexp_extract(html, 'href="([^"]*)"', 1) ELSE CASE page_id % 9 """ + " ".join(f"WHEN {k} THEN '{b}'" for k, (_, b, _) in enumerate(_WRITTEN)) + """ END || CASE WHEN page_id % 9 = 7 THEN '' ELSE 'p' || page_id || CASE WHEN page_id % 9 = 6 THEN '?q=../z#./y' ELSE '' END END END AS link FROM pages""")
 def f13(spark, d):
-    return table(spark, d, "pages").select("page_id", X.absolute_url(F.regexp_extract("html", 'href="([^"]*)"', 1), "url").alias("link"))
+    k, own = (F.col("page_id") % 9).cast("int"), F.concat(F.lit("p"), F.col("page_id").cast("string"))
+    href = F.coalesce(*(F.when(k == i, F.concat(F.lit(a), own if a != "../.." else F.lit(""), F.lit(c))) for i, (a, _, c) in enumerate(_WRITTEN)), F.regexp_extract("html", 'href="([^"]*)"', 1))
+    base = F.when(k == 8, F.col("url")).otherwise("https://h.example/a/b/c")
+    return table(spark, d, "pages").select("page_id", X.absolute_url(href, base).alias("link"))
 
 
-@query("f14_slug_variants", r"""
-    WITH f AS (SELECT n_nationkey AS company_id, regexp_replace(lower(n_name), '[^a-z0-9]', '', 'g') AS a, regexp_replace(regexp_replace(lower(n_name), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS b,
-                      replace(lower(n_name), ' ', '-') AS c FROM nation)
-    SELECT company_id, array_to_string(list_filter([a, CASE WHEN b <> a THEN b END, CASE WHEN c NOT IN (a, b) THEN c END], lambda x: x IS NOT NULL), '|') AS slugs FROM f""")
+@query("f14_slug_variants", r"""SELECT c_custkey AS company_id, regexp_replace(lower(c_name), '[^a-z0-9]', '', 'g') || '|' || regexp_replace(lower(c_name), '[^a-z0-9]+', '-', 'g') || '|x' || c_custkey AS slugs FROM customer""")
 def f14(spark, d):
-    site = F.concat(F.lit("https://www."), F.replace(F.lower("n_name"), F.lit(" "), F.lit("-")), F.lit(".com/x"))
-    return table(spark, d, "nation").select(F.col("n_nationkey").alias("company_id"), F.array_join(X.slug_variants("n_name", site), "|").alias("slugs"))
+    site = F.concat(F.lit("https://www.x"), F.col("c_custkey").cast("string"), F.lit(".com/y"))
+    return table(spark, d, "customer").select(F.col("c_custkey").alias("company_id"), F.array_join(X.slug_variants("c_name", site), "|").alias("slugs"))
 
 
 @query("f15_expand_urls", "WITH t AS (SELECT * FROM (VALUES " + ", ".join(f"({i}, {lit(p)}, {lit(t)})" for i, (p, t) in enumerate(W.API_TEMPLATES)) + ") AS t(platform_rank, platform, template)) SELECT s_suppkey AS source_id, CAST(platform_rank AS BIGINT) AS platform_rank, platform, replace(template, '{slug}', lower(replace(s_name, '#', '-'))) AS api_url FROM supplier, t")
@@ -137,10 +161,10 @@ def f15(spark, d):
     return expand_urls(s).select("source_id", F.col("platform_rank").cast("bigint").alias("platform_rank"), "platform", "api_url")
 
 
-_BOARD = "'<a href=\"' || CASE s_suppkey % 5 WHEN 0 THEN 'https://boards.greenhouse.io/' WHEN 1 THEN 'https://jobs.lever.co/' WHEN 2 THEN 'https://t.wd3.myworkdayjobs.com/en-US/' WHEN 3 THEN 'https://jobs.lever.co/jobs' ELSE 'https://example.org/' END || 'slug-' || CAST(s_suppkey AS STRING) || '\">'"
+_BOARD = "'<a href=\"' || CASE s_suppkey % 5 WHEN 0 THEN 'https://boards.greenhouse.io/' WHEN 1 THEN 'https://jobs.lever.co/' WHEN 2 THEN 'https://t.wd3.myworkdayjobs.com/en-US/' WHEN 3 THEN 'https://jobs.lever.co/jobs' ELSE 'https://example.org/' END || 'slug-' || CAST(s_suppkey AS STRING) || '\">' || CASE WHEN s_suppkey % 10 = 4 THEN 'Career site by Teamtailor' WHEN s_suppkey % 10 = 9 THEN '<script src=\"https://jobs.teamtailor.com/t/x\">' ELSE '' END"
 
 
-@query("f16_fingerprint", f"WITH b AS (SELECT s_suppkey AS source_id, {_BOARD} AS html FROM supplier) SELECT source_id, CASE source_id % 5 WHEN 0 THEN 'greenhouse' WHEN 1 THEN 'lever' WHEN 3 THEN 'lever' END AS platform, CASE source_id % 5 WHEN 0 THEN 'slug-' || source_id WHEN 1 THEN 'slug-' || source_id WHEN 3 THEN 'jobsslug-' || source_id END AS slug, CASE WHEN source_id % 5 = 2 THEN 't' END AS tenant, CASE WHEN source_id % 5 = 2 THEN 'slug-' || source_id END AS site FROM b")
+@query("f16_fingerprint", f"WITH b AS (SELECT s_suppkey AS source_id, {_BOARD} AS html FROM supplier) SELECT source_id, CASE source_id % 5 WHEN 0 THEN 'greenhouse' WHEN 1 THEN 'lever' WHEN 3 THEN 'lever' WHEN 4 THEN 'teamtailor' END AS platform, CASE source_id % 5 WHEN 0 THEN 'slug-' || source_id WHEN 1 THEN 'slug-' || source_id WHEN 3 THEN 'jobsslug-' || source_id WHEN 4 THEN CASE WHEN source_id % 10 = 9 THEN 'jobs' ELSE '' END END AS slug, CASE WHEN source_id % 5 = 2 THEN 't' END AS tenant, CASE WHEN source_id % 5 = 2 THEN 'slug-' || source_id END AS site FROM b")
 def f16(spark, d):
     b = table(spark, d, "supplier").select(F.col("s_suppkey").alias("source_id"), F.expr(_BOARD).alias("html"))
     found = b.select("source_id", X.board_slug("html", F.lit("")).alias("b"), X.workday_parts("html", F.lit("")).alias("w"))

@@ -16,7 +16,7 @@ from sievework.operators import joins as J
 from sievework.operators import metrics as A
 from sievework.operators import ranking as O
 from sievework.operators import upsert as M
-from sievework.plans.query_functions import CORE, GEO, GEO_WIDE, RULES_SQL, SPORTS, any_of, hits, score_sql  # noqa: F401
+from sievework.plans.query_functions import CORE, GEO, GEO_WIDE, MAIN_TEXT, RULES_SQL, SPORTS, any_of, hits, lit, score_sql  # noqa: F401
 from sievework.plans.registry import query
 from sievework.plans.views import VIEWS, over, over_all, table, view
 from sievework.sources import feeds as S
@@ -81,9 +81,13 @@ _PICK = """r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY score
     k AS (SELECT *, row_number() OVER (ORDER BY f DESC, score DESC, published_at DESC, seq) AS place FROM r)"""
 
 
-@query("w8_weekly_pick", over("v_news", f"SELECT 1").rsplit(" SELECT 1", 1)[0] + f", {_PICK} SELECT seq, place <= 5 AS picked, CASE WHEN place <= 5 THEN place END AS place FROM k")
+_NULLED = "v_nulled AS (SELECT seq, score, published_at, CASE WHEN seq % 50 <> 7 THEN source END AS source, CASE WHEN seq % 40 <> 3 THEN story_key END AS story_key FROM v_news)"
+
+
+@query("w8_weekly_pick", over("v_news", "SELECT 1").rsplit(" SELECT 1", 1)[0] + f", {_NULLED}, {_PICK.replace('FROM v_news', 'FROM v_nulled')} SELECT seq, place <= 5 AS picked, CASE WHEN place <= 5 THEN place END AS place FROM k")
 def w8(spark, d):
-    return O.weekly_pick(view(spark, d, "v_news")).select("seq", "picked", F.col("place").cast("bigint").alias("place"))
+    news = view(spark, d, "v_news").withColumn("source", F.when(F.col("seq") % 50 != 7, F.col("source"))).withColumn("story_key", F.when(F.col("seq") % 40 != 3, F.col("story_key")))
+    return O.weekly_pick(news).select("seq", "picked", F.col("place").cast("bigint").alias("place"))
 
 
 @query("w9_latest_by", over("v_news", "SELECT url, seq FROM v_news QUALIFY row_number() OVER (PARTITION BY url ORDER BY published_at DESC, seq DESC) = 1"))
@@ -178,10 +182,17 @@ def j7(spark, d):
     return J.attach_assets(news.select("seq", F.col("url").alias("news_url")), items, assets).select("seq", "asset_url")
 
 
-@query("j8_with_publisher", r"SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'RTÉ' ELSE 'Sub.Example' END AS publisher FROM pages")
+# Addresses that are met, and the publishers that they stand for: known hosts, hosts of several-part domains, and others.
+_HOSTS = [
+    ("www.rte.ie", "RTÉ"), ("sub.example.co.uk", "Sub.Example"), ("siliconrepublic.com", "Silicon Republic"), ("sbcnews.co.uk", "SBC News"), ("www.mshale.com", "Mshale"),
+    ("sustainhealth.fit", "Sustain Health Magazine"), ("sportstourismnews.com", "Sports Tourism News"), ("ft.com", "Financial Times"), ("the-daily-run.com.au", "The Daily Run"), ("news.org", "News"),
+]
+
+
+@query("j8_with_publisher", "SELECT page_id, CASE page_id % 10 " + " ".join(f"WHEN {k} THEN {lit(name)}" for k, (_, name) in enumerate(_HOSTS)) + " END AS publisher FROM pages")
 def j8(spark, d):
-    pages = table(spark, d, "pages").select("page_id", F.when(F.col("page_id") % 3 == 0, "https://www.rte.ie/x").otherwise("https://sub.example.co.uk/y").alias("url"))
-    return J.with_publisher(pages).select("page_id", "publisher")
+    met = F.element_at(F.array(*(F.lit(f"https://{h}/x") for h, _ in _HOSTS)), (F.col("page_id") % 10 + 1).cast("int"))
+    return J.with_publisher(table(spark, d, "pages").select("page_id", met.alias("url"))).select("page_id", "publisher")
 
 
 @query("j9_attach_scores", over("v_article", "SELECT seq, CASE WHEN n % 15 = 3 THEN NULL ELSE n % 5 + 1 END AS score FROM (SELECT seq, row_number() OVER (PARTITION BY source ORDER BY seq) - 1 AS n FROM v_article)"))
@@ -199,14 +210,15 @@ def j10(spark, d):
     return J.diff_by_key(old, new, "url").select("url", "change")
 
 
-@query("j11_build_queries", "SELECT n_nationkey AS company_id, k AS template_no, CASE k WHEN 0 THEN 'https://a/?q=' ELSE 'https://b/search?t=news&q=' END || replace(n_name, ' ', '%20') AS query_url FROM nation, (SELECT unnest([0, 1]) AS k)")
+@query("j11_build_queries", "SELECT c_custkey AS company_id, k AS template_no, CASE k WHEN 0 THEN 'https://a/?q=' ELSE 'https://b/search?t=news&q=' END || replace(replace(c_name, ' ', '%20'), '#', '%23') AS query_url FROM customer, (SELECT unnest([0, 1]) AS k)")
 def j11(spark, d):
-    return J.build_queries(view(spark, d, "v_company"), ["https://a/?q={q}", "https://b/search?t=news&q={q}"]).select("company_id", "template_no", "query_url")
+    companies = table(spark, d, "customer").select(F.col("c_custkey").alias("company_id"), F.col("c_name").alias("name"))
+    return J.build_queries(companies, ["https://a/?q={q}", "https://b/search?t=news&q={q}"]).select("company_id", "template_no", "query_url")
 
 
-@query("j12_attach_detail", "SELECT p_partkey AS job_id, md5(CASE WHEN p_partkey % 2 = 0 THEN html END) AS description FROM part LEFT JOIN pages ON page_id = p_partkey % 400")
+@query("j12_attach_detail", "SELECT p_partkey AS job_id, md5(html) AS description FROM part LEFT JOIN pages ON page_id = p_partkey")
 def j12(spark, d):
-    jobs = table(spark, d, "part").select(F.col("p_partkey").alias("job_id"), F.when(F.col("p_partkey") % 2 == 0, F.col("p_partkey") % 400).alias("url"))
+    jobs = table(spark, d, "part").select(F.col("p_partkey").alias("job_id"), F.col("p_partkey").alias("url"))
     return J.attach_detail(jobs, table(spark, d, "pages").select(F.col("page_id").alias("url"), F.col("html").alias("description"))).select("job_id", F.md5("description").alias("description"))
 
 
@@ -398,9 +410,10 @@ def o7(spark, d):
     return O.first_n_text(view(spark, d, "v_source"), "name", 12, ["ats_platform"])
 
 
-@query("o8_cap_rows", over("v_company", "SELECT company_id, name FROM v_company ORDER BY name LIMIT 10"))
+@query("o8_cap_rows", "SELECT c_custkey AS company_id, c_name AS name FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 10")
 def o8(spark, d):
-    return O.cap_rows(view(spark, d, "v_company"), ["name"], 10).select("company_id", "name")
+    customers = table(spark, d, "customer").select(F.col("c_custkey").alias("company_id"), F.col("c_name").alias("name"), "c_acctbal")
+    return O.cap_rows(customers, [F.desc("c_acctbal"), "company_id"], 10).select("company_id", "name")
 
 
 @query("u1_append_all", over("v_article", "SELECT seq, CASE WHEN feed_type = 'site_rss' THEN link END AS link FROM v_article"))
@@ -593,13 +606,36 @@ def d5(spark, d):
 # Enrichment ----------------------------------------------------------------------------------------
 
 
-@query("x1_score_batches", over("v_article", "SELECT seq, CAST(CASE WHEN " + any_of("title", W.NOISE_TOPICS) + f" THEN 1 ELSE least(5, 1 + {hits('title', W.SALVAGE_SIGNALS)}) END AS BIGINT) AS score FROM v_article"))
+X1_SQL = over("v_article", "SELECT seq, CAST(CASE WHEN " + any_of("title", W.NOISE_TOPICS) + f" THEN 1 ELSE least(5, 1 + {hits('title', W.SALVAGE_SIGNALS)}) END AS BIGINT) AS score FROM v_article")
+
+
+@query("x1_score_batches", X1_SQL)
 def x1(spark, d):
     articles = view(spark, d, "v_article").select("seq", "title", F.lit(None).cast("string").alias("snippet"))
     scored, missing = E.score_batches(articles, E.with_retry(E.RuleNewsScorer()))
     return scored.select("seq", F.col("score").cast("bigint").alias("score")).unionByName(missing.select("seq", F.lit(None).cast("bigint").alias("score")))
 
 
+class _Faltering:
+    """Rules that fail at the first call in each task."""
+
+    def __init__(self) -> None:
+        self.rules, self.calls = E.RuleNewsScorer(), 0
+
+    def score(self, rows):
+        self.calls += 1
+        if self.calls == 1:
+            raise OSError("not yet")
+        return self.rules.score(rows)
+
+
+@query("x7_with_retry", X1_SQL)
+def x7(spark, d):
+    articles = view(spark, d, "v_article").select("seq", "title", F.lit(None).cast("string").alias("snippet"))
+    scored, missing = E.score_batches(articles, E.Retry(_Faltering(), 3, 0.01))
+    return scored.select("seq", F.col("score").cast("bigint").alias("score")).unionByName(missing.select("seq", F.lit(None).cast("bigint").alias("score")))
+
+
 _SENIOR = "CASE " + " ".join(f"WHEN contains(lower(title), '{k}') THEN '{k}'" for k in W.SENIORITY) + " ELSE 'mid' END"
 _FUNCTION = "CASE " + " ".join(f"WHEN contains(lower(title), '{f.split(' ')[0].lower()[:6]}') THEN '{f}'" for f in W.FUNCTIONS) + " ELSE 'Other' END"
 
@@ -609,7 +645,10 @@ def x2(spark, d):
     return E.classify_rows(view(spark, d, "v_job")).select("job_id", "reply.seniority", "reply.job_function", "reply.relevant")
 
 
-@query("x3_extract_events")
+@query("x3_extract_events", f"""
+    SELECT page_id, left(regexp_replace(regexp_extract(html, '<h1>(.*?)</h1>', 1), '^\\s+|\\s+$', '', 'g'), 120) AS name, NULL::VARCHAR AS date, NULL::VARCHAR AS location, left(main, 300) AS description,
+           CASE WHEN {any_of('main', W.SALVAGE_SIGNALS)} THEN 'relevant' ELSE 'not_relevant' END AS relevance_category, 'low' AS extraction_confidence
+    FROM (SELECT page_id, html, {MAIN_TEXT} AS main FROM pages)""")
 def x3(spark, d):
     from sievework.functions.pages import main_content
 
@@ -627,7 +666,16 @@ def x5(spark, d):
     return E.excerpt_rows(table(spark, d, "documents"))
 
 
-@query("x6_group_stories")
+_STORIES = over("v_article", "SELECT 1").rsplit(" SELECT 1", 1)[0].replace("WITH", "WITH RECURSIVE", 1) + r""", t AS (SELECT seq, string_split(regexp_replace(regexp_replace(lower(coalesce(title, '')), '^\s+|\s+$', '', 'g'), '\s+', ' ', 'g'), ' ') AS w FROM v_article),
+    s AS (SELECT seq, list_distinct([array_to_string(w[i : i + least(len(w), 5) - 1], ' ') FOR i IN range(1, len(w) - least(len(w), 5) + 2)]) AS g FROM t),
+    d AS (SELECT g, min(seq) AS seq, len(g) AS n FROM s GROUP BY g), x AS (SELECT seq, n, unnest(g) AS h FROM d),
+    p AS (SELECT a.seq AS a, b.seq AS b FROM x a JOIN x b ON a.h = b.h AND a.seq <> b.seq GROUP BY a.seq, b.seq, a.n, b.n HAVING count(*) >= 0.8 * (a.n + b.n - count(*))),
+    e AS MATERIALIZED (SELECT * FROM p), r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+    m AS (SELECT d.seq, least(d.seq, coalesce(min(r.b), d.seq)) AS story FROM d LEFT JOIN r ON r.a = d.seq GROUP BY d.seq)
+    SELECT s.seq, m.story FROM s JOIN d ON s.g = d.g JOIN m ON m.seq = d.seq"""
+
+
+@query("x6_group_stories", _STORIES)
 def x6(spark, d):
     return Q.group_stories(view(spark, d, "v_article"), "title").select("seq", "story")
 
@@ -663,12 +711,34 @@ def s2(spark, d):
     return S.first_nonempty([a.filter("lang = 'en' AND source IN ('src0', 'src1')"), a], names=["feed", "page"]).select("seq", "method")
 
 
-@query("s3_extract_listing")
+_HEAD = "'The story of ' || trim(replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&', 'and'))"
+_ROOT = "regexp_extract(url, '^([a-zA-Z]+://[^/?#]+)', 1)"
+# Listing pages in three layouts, out of the pages' titles.
+_LISTED = f"""CASE page_id % 3
+    WHEN 0 THEN '<article>none</article><article><h2>no link</h2><h3><a href="/p/' || CAST(page_id AS STRING) || '">' || {_HEAD} || '</a></h3><time datetime="2024-01-05">x</time><p>Snip <b>' || CAST(page_id AS STRING)
+        || '</b></p></article><article><a href="q?a=1">Second</a><i class="my-Post-Date">5 Jan 2024</i></article><li><a href="/no">No</a></li>'
+    WHEN 1 THEN '<div><a href="/en/news/' || CAST(page_id AS STRING) || '">x</a><h4>' || {_HEAD} || '</h4><i>on 16th April 2026 </i><p>Text</p></div><div><a href="/en/news/' || CAST(page_id AS STRING) || '">again here</a></div><a href="/about/us">About us</a>'
+    ELSE '<section><a href="/tech/story-' || CAST(page_id AS STRING) || '">Read</a><h3>' || {_HEAD} || '</h3><time>2024-02-01</time></section><ul><li><a href="/tech/ab">too short a path</a></li></ul>' END"""
+_LISTED_AT = "CASE page_id % 3 WHEN 0 THEN 'https://any.example.org/list/' WHEN 1 THEN 'https://www.enterprise-ireland.com/en/news' ELSE 'https://www.businesspost.ie/tech/' END"
+
+
+@query("s3_extract_listing", f"""
+    SELECT page_id, 0 AS seq, {_HEAD} AS title,
+           CASE page_id % 3 WHEN 0 THEN 'https://any.example.org/p/' WHEN 1 THEN 'https://www.enterprise-ireland.com/en/news/' ELSE 'https://www.businesspost.ie/tech/story-' END || page_id AS link,
+           CASE page_id % 3 WHEN 0 THEN '2024-01-05' WHEN 1 THEN '16th April 2026' ELSE '2024-02-01' END AS date, CASE page_id % 3 WHEN 0 THEN 'Snip ' || page_id WHEN 1 THEN 'Text' ELSE '' END AS snippet
+    FROM pages
+    UNION ALL SELECT page_id, 1, 'Second', 'https://any.example.org/list/q?a=1', '5 Jan 2024', 'Second5 Jan 2024' FROM pages WHERE page_id % 3 = 0""")
 def s3(spark, d):
-    return S.extract_listing(table(spark, d, "pages"))
+    return S.extract_listing(table(spark, d, "pages").select("page_id", F.expr(_LISTED_AT).alias("url"), F.expr(_LISTED).alias("html")))
 
 
-@query("s4_discover_links")
+@query("s4_discover_links", f"""
+    WITH h AS (SELECT page_id, {_ROOT} AS root, regexp_extract_all(html, 'href="([^"]*)"', 1) AS hs FROM pages),
+    l AS (SELECT page_id, root || unnest(hs) AS link, generate_subscripts(hs, 1) - 1 AS seq FROM h),
+    k AS (SELECT page_id, link, min(seq) AS seq, CASE WHEN regexp_matches(link, '/(the|de|la|der)$') THEN 1 ELSE 2 END AS tier FROM l
+          WHERE NOT regexp_matches(link, '/(about|contact|login)(/|$)', 'i') AND regexp_matches(link, '/[a-z]+$') GROUP BY page_id, link),
+    b AS (SELECT *, min(tier) OVER (PARTITION BY page_id) AS best FROM k)
+    SELECT page_id, CAST(seq AS INTEGER) AS seq, tier, link FROM b WHERE tier = best QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY seq) <= 30""")
 def s4(spark, d):
     return S.discover_links(table(spark, d, "pages"), r"/(?:the|de|la|der)$", r"(?i)/(?:about|contact|login)(?:/|$)", r"/[a-z]+$", 30)
 
@@ -737,9 +807,30 @@ def s6(spark, d):
     return S.normalise_board_results(pages).select("title", "company", "location")
 
 
-@query("s7_job_cards")
+# A result page of each board for each job; a job without a place shows none.
+_CARDS = {
+    "linkedin": """'<div class="base-card big"><h3 class="base-search-card__title"> ' || title || ' </h3><h4 class="base-search-card__subtitle"><a href="#">' || company || '</a></h4>'
+        || coalesce('<span class="job-search-card__location">' || location_raw || '</span>', '') || '<a class="base-card__full-link" href="/jobs/view/' || CAST(job_id AS STRING) || '">x</a></div>'""",
+    "lever": """'<a class="posting-title" href="/l/' || CAST(job_id AS STRING) || '"><h5>' || title || '</h5>' || coalesce('<span class="sort-by-location">' || location_raw || '</span>', '') || '</a>'""",
+    "workable": """'<ul><li class="job"><h3>' || title || '</h3>' || coalesce('<span class="location">' || location_raw || '</span>', '') || '<a href="j/' || CAST(job_id AS STRING) || '">x</a></li></ul>'""",
+    "indeed": """'<div class="job_seen_beacon"><h2 class="jobTitle"><a class="jcs-JobTitle" href="/rc/' || CAST(job_id AS STRING) || '">' || title || '</a></h2>' || coalesce('<div class="companyLocation">' || location_raw || '</div>', '') || '</div>'""",
+    "careers": """'<div class="Position-card"><h4>' || title || '</h4>' || coalesce('<p class="the-Location">' || location_raw || '</p>', '') || '</div><div class="job"><a>Apply</a></div>'""",
+}
+
+
+@query("s7_job_cards", over("v_job", r"""
+    SELECT job_id AS page_id, 0 AS seq, regexp_replace(title, '^\s+|\s+$', '', 'g') AS title, CASE job_id % 5 WHEN 0 THEN company WHEN 3 THEN 'Company Not Listed' WHEN 4 THEN company ELSE '' END AS company,
+           coalesce(location_raw, CASE job_id % 5 WHEN 1 THEN 'Location TBD' WHEN 2 THEN 'Northern Ireland' ELSE 'Ireland' END) AS location,
+           CASE job_id % 5 WHEN 0 THEN 'https://www.linkedin.com/jobs/view/' || job_id WHEN 1 THEN 'https://acme.example/l/' || job_id WHEN 2 THEN 'https://acme.example/a/j/' || job_id
+                WHEN 3 THEN 'https://ie.indeed.com/rc/' || job_id ELSE 'https://acme.example/a/' END AS link,
+           '' AS summary, CASE job_id % 5 WHEN 0 THEN 'linkedin' WHEN 1 THEN 'lever' WHEN 2 THEN 'workable' WHEN 3 THEN 'indeed' ELSE 'careers' END AS platform
+    FROM v_job"""))
 def s7(spark, d):
-    return S.extract_job_cards(table(spark, d, "pages"), "linkedin")
+    jobs, found = view(spark, d, "v_job"), []
+    for k, (platform, html) in enumerate(_CARDS.items()):
+        pages = jobs.filter(F.col("job_id") % 5 == k).select(F.col("job_id").alias("page_id"), F.lit("https://acme.example/a/").alias("url"), F.expr(html).alias("html"), "company")
+        found.append(S.extract_job_cards(pages, platform, "company" if platform == "careers" else None))
+    return O.append_all(found)
 
 
 @query("s10_resolve_columns", over("v_job", "SELECT title, company AS employer, NULL::VARCHAR AS salary FROM v_job"))
@@ -808,6 +899,26 @@ def t2(spark, d):
     return _drained(T.stream_new_urls(stream, "ts", "url", delay="3650 days").select("url"), "t2")
 
 
+_SPANS = [(1, 5), (15, 16), (17, 17), (25, 31)]  # days of January that arrive one after the other; the third brings other addresses
+
+
+@query("t2_new_urls_72h", over("v_news", r"""SELECT 1""").rsplit(" SELECT 1", 1)[0] + r""", n AS (SELECT CASE WHEN day(published_at) = 17 THEN 'tick/' ELSE '' END || url AS url, day(published_at) AS d FROM v_news WHERE month(published_at) = 1 AND year(published_at) = 2024),
+    a AS (SELECT DISTINCT url FROM n WHERE d BETWEEN 1 AND 5), m AS (SELECT DISTINCT url FROM n WHERE d BETWEEN 15 AND 16 AND url NOT IN (SELECT url FROM a)), t AS (SELECT DISTINCT url FROM n WHERE d = 17),
+    b AS (SELECT DISTINCT url FROM n WHERE d BETWEEN 25 AND 31 AND url NOT IN (SELECT url FROM m))
+    SELECT 'a' AS part, count(*) AS n FROM a UNION ALL SELECT 'm', count(*) FROM m UNION ALL SELECT 't', count(*) FROM t UNION ALL SELECT 'b', count(*) FROM b""")
+def t2_72h(spark, d):
+    """An address is new again once its first sight is 72 hours behind the newest time seen."""
+    place, counts = _place(spark, "t2"), []
+    news = view(spark, d, "v_news").select("url", F.col("published_at").cast("timestamp").alias("ts"), F.dayofmonth("published_at").alias("d"), F.month("published_at").alias("m"), F.year("published_at").alias("y")).filter("m = 1 AND y = 2024")
+    for k, (first, last) in enumerate(_SPANS):
+        rows = news.filter(F.col("d").between(first, last)).select(F.when(F.col("d") == 17, F.concat(F.lit("tick/"), "url")).otherwise(F.col("url")).alias("url"), "ts")
+        rows.write.mode("append").parquet(f"{place}/in")
+        stream = T.stream_new_urls(T.stream_landing(spark, f"{place}/in", rows.schema), "ts", "url")
+        keep = lambda batch, number, k=k: batch.select("url").write.mode("append").parquet(f"{place}/out/part={'amtb'[k]}")
+        stream.writeStream.foreachBatch(keep).option("checkpointLocation", f"{place}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("url string, part string").parquet(f"{place}/out").groupBy("part").agg(F.count("*").alias("n"))
+
+
 def _fetch_stream(spark: SparkSession, d: str) -> DataFrame:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     _event_stream(spark, d).createOrReplaceTempView("events")
@@ -863,9 +974,9 @@ def s8(spark, d):
 def s9(spark, d):
     place = _place(spark, "latest")
     sources = view(spark, d, "v_source").select(F.col("source_id").cast("string").alias("source_id"))
-    sources.limit(1).coalesce(1).write.parquet(f"{place}/run_1")
-    sources.coalesce(1).write.parquet(f"{place}/run_2")
-    return S.read_latest(spark, f"{place}/*/part-*.parquet", "parquet")
+    sources.limit(1).write.parquet(f"{place}/run_1")
+    sources.repartition("source_id").write.parquet(f"{place}/run_2")
+    return S.read_latest(spark, f"{place}/*/part-*.parquet", "parquet", folders=True)
 
 
 @query("s13_seen_state", over("v_news", "SELECT DISTINCT url FROM v_news"))

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from html.parser import HTMLParser
 from typing import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sievework.functions.text import absolute_url, col, first_token, collapse, strip, strip_tracking
+from sievework.functions.text import absolute_url, col, collapse, first_token, host, strip, strip_tracking
+from sievework.sources.cards import BOARDS, SITES, Site, container_rows, job_cards, site_rows
 
 _ITEM = "struct<title: string, link: string, pubDate: string, description: string>"
 _ENTRY = "struct<title: string, link: array<struct<_href: string>>, updated: string, published: string, summary: string>"
@@ -37,78 +37,25 @@ def first_nonempty(dfs: list[DataFrame], key: str = "feed", names: list[str] | N
     return rows.join(best, [key, "_rank"], "left_semi").drop("_rank")
 
 
-class _Listing(HTMLParser):
-    """Containers with their first heading, link, time and paragraph."""
-
-    CONTAINERS = {"article", "li"}
-
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.rows: list[dict] = []
-        self.now: dict | None = None
-        self.depth, self.into = 0, None
-
-    def handle_starttag(self, tag, attrs):
-        a = dict(attrs)
-        if tag in self.CONTAINERS:
-            if self.now is None:
-                self.now = {"title": "", "link": None, "date": None, "snippet": ""}
-                self.depth = 0
-            self.depth += 1
-        if self.now is None:
-            return
-        if tag == "a" and a.get("href") and self.now["link"] is None:
-            self.now["link"] = a["href"]
-            if not self.now["title"]:
-                self.into = "title"
-        elif tag in ("h1", "h2", "h3", "h4") and not self.now["title"].strip():
-            self.now["title"], self.into = "", "title"
-        elif tag == "time" and self.now["date"] is None:
-            self.now["date"] = a.get("datetime")
-        elif tag == "p" and not self.now["snippet"]:
-            self.into = "snippet"
-
-    def handle_endtag(self, tag):
-        if tag in ("h1", "h2", "h3", "h4", "p", "a"):
-            self.into = None
-        if tag in self.CONTAINERS and self.now is not None:
-            self.depth -= 1
-            if self.depth <= 0:
-                self.rows.append(self.now)
-                self.now = None
-
-    def handle_data(self, data):
-        if self.now is not None and self.into:
-            self.now[self.into] += data
-
-
-def _containers(html: str, most: int) -> list[dict]:
-    parser = _Listing()
-    parser.feed(html)
-    parser.close()
-    if parser.now is not None:
-        parser.rows.append(parser.now)
-    return parser.rows[:most]
-
-
-def extract_listing(pages: DataFrame, most: int = 40, keep_untitled: bool = False) -> DataFrame:
-    """S3: (page_id, seq, title, link, date, snippet) of the first containers of each page; links made absolute."""
+def extract_listing(pages: DataFrame, site_rules: dict[str, Site] | None = None, most: int = 40) -> DataFrame:
+    """S3: (page_id, seq, title, link, date, snippet) of a listing page's articles: by the layout of its host, if
+    ``site_rules`` (SITES by default) has one, or else of the first containers. Dates are as the page writes them;
+    links are made absolute."""
     schema = "page_id bigint, url string, seq int, title string, link string, date string, snippet string"
+    rules = SITES if site_rules is None else site_rules
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["page_id", "url", "seq", "title", "link", "date", "snippet"]
         kinds = [pa.int64(), pa.string(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.string()]
         for batch in batches:
             rows = []
-            for page, url, html in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                for k, r in enumerate(_containers(html or "", most)):
-                    title = " ".join(r["title"].split())
-                    if title or keep_untitled:
-                        rows.append((page, url, k, title, r["link"], r["date"], " ".join(r["snippet"].split())[:300]))
+            for page, url, own, html in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                found = site_rows(html, rules[own]) if own in rules else container_rows(html, most)
+                rows += [(page, url, k, *row) for k, row in enumerate(found)]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names)
 
-    found = pages.select("page_id", "url", "html").mapInArrow(run, schema)
-    return found.withColumn("link", F.when(F.col("link").isNotNull(), absolute_url("link", "url"))).drop("url")
+    found = pages.select("page_id", "url", host("url").alias("own"), "html").mapInArrow(run, schema)
+    return found.withColumn("link", absolute_url("link", "url")).drop("url")
 
 
 def discover_links(pages: DataFrame, allow: str, block: str, fallback: str, cap: int = 30) -> DataFrame:
@@ -134,13 +81,27 @@ def normalise_board_results(payloads: DataFrame) -> DataFrame:
     )
 
 
-def extract_job_cards(pages: DataFrame, platform: str) -> DataFrame:
-    """Cards of a board's landed pages, with defaults for what is missing."""
-    place = {"linkedin": "Ireland"}.get(platform, "Location TBD")
-    rows = extract_listing(pages)
-    return rows.select(
-        "page_id", "seq", "title", F.lit("Company Not Listed").alias("company"), F.lit(place).alias("location"), "link",
-        F.coalesce("snippet", F.lit("")).alias("summary"), F.lit(platform).alias("platform"),
+def extract_job_cards(pages: DataFrame, platform: str, company: Column | str | None = None) -> DataFrame:
+    """Cards of a board's landed pages (one of BOARDS), by its selectors, with its defaults for what is missing.
+    ``company`` names the company of pages whose cards don't."""
+    board = BOARDS[platform]
+    schema = "page_id bigint, url string, seq int, title string, company string, location string, link string, known string"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["page_id", "url", "seq", "title", "company", "location", "link", "known"]
+        kinds = [pa.int64(), pa.string(), pa.int32(), *[pa.string()] * 5]
+        for batch in batches:
+            rows = []
+            for page, url, known, html in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                rows += [(page, url, k, *card, known) for k, card in enumerate(job_cards(html, board))]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names)
+
+    named = F.lit(None).cast("string") if company is None else col(company)
+    found = pages.select("page_id", "url", named.alias("known"), "html").mapInArrow(run, schema)
+    base = F.lit(board.base) if board.base else F.col("url")
+    return found.select(
+        "page_id", "seq", "title", F.coalesce("company", "known", F.lit(board.no_company)).alias("company"), "location",
+        F.coalesce(absolute_url("link", base), F.when(F.lit(platform == "linkedin"), "").otherwise(base)).alias("link"), F.lit("").alias("summary"), F.lit(platform).alias("platform"),
     )
 
 
@@ -150,10 +111,10 @@ def read_csv_table(spark: SparkSession, path: str) -> DataFrame:
     return df.toDF(*(c.lstrip("﻿") for c in df.columns))
 
 
-def read_latest(spark: SparkSession, glob: str, fmt: str = "csv", **options) -> DataFrame:
-    """The file of a glob whose name comes last."""
+def read_latest(spark: SparkSession, glob: str, fmt: str = "csv", folders: bool = False, **options) -> DataFrame:
+    """The file of a glob whose name comes last; with ``folders`` all files of the folder whose name comes last."""
     names = spark.read.format("binaryFile").load(glob).select("path")  # paths only: contents aren't read
-    newest = names.agg(F.max("path")).first()[0]
+    newest = names.agg(F.max(F.regexp_replace("path", "/[^/]*$", "") if folders else F.col("path"))).first()[0]
     return spark.read.format(fmt).options(**options).load(newest)
 
 

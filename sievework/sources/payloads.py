@@ -122,7 +122,7 @@ def from_teamtailor(payloads: DataFrame) -> DataFrame:
     places = api.select("payload_id", F.explode("p.included").alias("i")).select(
         "payload_id", F.col("i.type").alias("rel_type"), F.col("i.id").alias("rel_id"), location_text(F.col("i.attributes.city"), F.col("i.attributes.country-name")).alias("place")
     )
-    found = jobs.join(places.dropDuplicates(["payload_id", "rel_type", "rel_id"]), ["payload_id", "rel_type", "rel_id"], "left")
+    found = jobs.join(places.groupBy("payload_id", "rel_type", "rel_id").agg(F.min("place").alias("place")), ["payload_id", "rel_type", "rel_id"], "left")
     url = F.concat(F.col("base_url"), F.lit("/jobs/"), F.col("j.id"))
     return listed.unionByName(_listing(found, url, F.col("j.attributes.title"), F.col("place"), _text(F.col("j.attributes.body"))))
 
@@ -167,7 +167,9 @@ def from_search_items(payloads: DataFrame, search_name: str = "slug", now: Colum
     summary = F.coalesce(_text(F.nullif("j.descriptionText", F.lit(""))), _text(F.col("j.descriptionHtml")))
     marked = rows.withColumn("reason", reason)
     kept = _listing(marked.withColumn("_r", F.col("reason")), canonical_job_url("link"), F.col("j.title"), F.col("j.location"), summary, salary)
-    return kept.join(marked.select("source_id", canonical_job_url("link").alias("url"), "reason").dropDuplicates(["source_id", "url"]), ["source_id", "url"], "left").select(*LISTING, "reason")
+    # of items with one address, one that is kept keeps it
+    told = marked.groupBy("source_id", canonical_job_url("link").alias("url")).agg(F.when(~F.bool_or(F.col("reason").isNull()), F.min("reason")).alias("reason"))
+    return kept.join(told, ["source_id", "url"], "left").select(*LISTING, "reason")
 
 
 def from_job_page(pages: DataFrame, now: Column) -> DataFrame:

@@ -14,17 +14,25 @@ from sievework.operators.ranking import order_for_csv
 def publish_version(df: DataFrame, table_dir: str, version: str | None = None) -> str:
     """Writes a version beside the others; the path that it's read from is never overwritten.
 
-    The pointer is a one-row table, appended once the version is complete, so readers see either version whole.
+    Every write has a folder of its own, also one of a version that is written again. The pointer is a table of one
+    row a write, appended once the folder is complete, so readers see one write or the other whole. One writer at a time.
     """
-    version = version or uuid4().hex
-    path = f"{table_dir}/v-{version}"
-    df.write.mode("overwrite").parquet(path)
+    folder = uuid4().hex
+    path = f"{table_dir}/v-{folder}"
+    df.write.parquet(path)
     spark = df.sparkSession
-    turn = (spark.read.schema("turn bigint, version string").json(f"{table_dir}/pointer").agg(F.max("turn")).first()[0] if _exists(spark, f"{table_dir}/pointer") else None) or 0
-    spark.createDataFrame([(turn + 1, version)], "turn bigint, version string").coalesce(1).write.mode("append").json(f"{table_dir}/pointer")
+    turn = (_pointer(spark, table_dir).agg(F.max("turn")).first()[0] if _exists(spark, f"{table_dir}/pointer") else None) or 0
+    spark.createDataFrame([(turn + 1, version or folder, folder)], _POINTER).coalesce(1).write.mode("append").json(f"{table_dir}/pointer")
     return path
 
 
+_POINTER = "turn bigint, version string, folder string"
+
+
+def _pointer(spark: SparkSession, table_dir: str) -> DataFrame:
+    return spark.read.schema(_POINTER).json(f"{table_dir}/pointer")
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.text(path).schema  # noqa: B018
@@ -33,10 +41,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def read_version(spark: SparkSession, table_dir: str) -> DataFrame:
-    """The latest complete version."""
-    pointer = spark.read.schema("turn bigint, version string").json(f"{table_dir}/pointer")
-    return spark.read.parquet(f"{table_dir}/v-{pointer.agg(F.max_by('version', 'turn')).first()[0]}")
+def read_version(spark: SparkSession, table_dir: str, other_than: str | None = None) -> DataFrame:
+    """The latest complete version; with ``other_than`` the latest of another name."""
+    pointer = _pointer(spark, table_dir)
+    if other_than is not None:
+        pointer = pointer.filter(F.col("version") != other_than)
+    return spark.read.parquet(f"{table_dir}/v-{pointer.agg(F.max_by('folder', 'turn')).first()[0]}")
 
 
 def save_seen(df: DataFrame, path: str) -> str:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from typing import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,11 +27,13 @@ def stream_new_urls(stream: DataFrame, ts: str, key: str, delay: str = "72 hours
 
 
 def stream_upsert(stream: DataFrame, table_dir: str, upsert: Callable[[DataFrame, DataFrame], DataFrame], checkpoint: str):
-    """Every micro-batch is merged into the table. The batch's number names its version, so a batch that is run again replaces its own."""
+    """Every micro-batch is merged into the table. The batch's number names its version; a batch that is run again
+    is merged into the version before its own, in a new folder."""
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        publish_version(upsert(read_version(spark, table_dir), batch), table_dir, f"batch-{number}")
+        version = f"batch-{number}"
+        publish_version(upsert(read_version(spark, table_dir, other_than=version), batch), table_dir, version)
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -83,12 +86,14 @@ class _Breaker(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):  # noqa: N802
         run = self.count.get()[0] if self.count.exists() else 0
-        opened = []
-        for _, row in pd.concat(rows).sort_values("seq").iterrows():
-            run = run + 1 if row["outcome"] == "failure" else 0 if row["outcome"] == "success" else run
-            if run == self.n and row["outcome"] == "failure":
-                opened.append(int(row["seq"]))
-        self.count.update((run,))
+        told = pd.concat(rows)
+        told = told[told["outcome"].isin(["failure", "success"])].sort_values("seq")
+        failed = (told["outcome"] == "failure").to_numpy()
+        total = np.cumsum(failed)
+        # Failures since the last success: all so far less those up to it; before any success the state's run counts.
+        runs = total - np.maximum.accumulate(np.where(failed, -run, total)) if len(total) else total
+        self.count.update((int(runs[-1]) if len(runs) else run,))
+        opened = told["seq"].to_numpy()[failed & (runs == self.n)]
         yield pd.DataFrame({"source_id": [key[0]] * len(opened), "abort_at": opened})
 
     def close(self) -> None:
@@ -96,7 +101,8 @@ class _Breaker(StatefulProcessor):
 
 
 def stream_breaker(stream: DataFrame, n: int = 3) -> DataFrame:
-    """T5: where a source has failed n times in a row; another outcome than failure or success changes nothing."""
+    """T5: where a source has failed n times in a row; another outcome than failure or success changes nothing. A task
+    holds a source's rows of one micro-batch, so bound that (``files`` of ``stream_landing``) where a source is hot."""
     rows = stream.select("source_id", "seq", "outcome")
     return rows.groupBy("source_id").transformWithStateInPandas(_Breaker(n), "source_id bigint, abort_at bigint", "Append", "None")
 

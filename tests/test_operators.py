@@ -2,6 +2,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from sievework.functions import rules as R
 from sievework.operators import dedupe as Q
 from sievework.operators import enrich as E
 from sievework.operators import ranking as O
@@ -172,9 +173,29 @@ def test_feeds(spark):
 
 
 def test_listing_pages(spark):
-    html = '<ul><li><a href="/one">First</a><time datetime="2024-01-01"></time><p>Text</p></li><li><h2>Second</h2><a href="two">x</a></li></ul>'
-    rows = S.extract_listing(spark.createDataFrame([(1, "https://a.org/x/", html), (2, "https://a.org", None)], "page_id bigint, url string, html string")).collect()
-    assert [(r.title, r.link, r.date, r.snippet) for r in rows] == [("First", "https://a.org/one", "2024-01-01", "Text"), ("Second", "https://a.org/x/two", None, "")]
+    card = '<article><a href="/zero"></a><h2>none</h2><h3><a href="/one">First <b>one</b></a></h3><time datetime="2024-01-01"></time><p>Text</p></article>'
+    pages = [
+        (1, "https://a.org/x/", card * 50), (2, "https://a.org", None), (3, "https://a.org/x/", '<div class="post big"><a href="two">Second</a><i class="Entry-Date"> May 1 </i></div>'), (4, "https://a.org", "<ul><li><a href=x>y</a></li></ul>"),
+        (5, "https://www.businesspost.ie/tech/", '<li><a href="/news/abcdef">long enough text</a><a href="/news/abcdef">again, long enough</a><a href="/tech/abcdef">short</a></li>'), (6, "https://b.org", "<div>" * 30_000 + "</ul>" * 30_000),
+    ]
+    rows = S.extract_listing(spark.createDataFrame(pages, "page_id bigint, url string, html string")).orderBy("page_id", "seq").collect()
+    assert len([r for r in rows if r.page_id == 1]) == 40
+    assert [tuple(r) for r in rows if r.seq == 0] == [
+        (1, 0, "First one", "https://a.org/one", "2024-01-01", "Text"), (3, 0, "Second", "https://a.org/x/two", "May 1", "Second May 1"), (5, 0, "long enough text", "https://www.businesspost.ie/news/abcdef", None, "")
+    ]
+    assert len(rows) == 42
+
+
+def test_job_cards_fall_back_from_selector_to_selector(spark):
+    pages = [
+        (1, '<li><h2>Late</h2></li><div class="result-card"><h3 class="job-search-card__title">Dev</h3><a href="//x.org/1">go</a></div>'), (2, "<li><h2>Only <i> this </i></h2></li><li></li>"), (3, None),
+    ]
+    frame = spark.createDataFrame([(k, "https://p.org/jobs", h) for k, h in pages], "page_id bigint, url string, html string")
+    rows = S.extract_job_cards(frame, "linkedin").orderBy("page_id").collect()
+    assert [(r.page_id, r.title, r.company, r.location, r.link) for r in rows] == [(1, "Dev", "", "Ireland", "https://x.org/1"), (2, "Onlythis", "", "Ireland", "")]
+    careers = '<article><a href="/jobs/9">Apply</a></article><article><h3>Engineer</h3><p class="Location">Cork</p><a href="/jobs/9">x</a></article>'
+    rows = S.extract_job_cards(spark.createDataFrame([(1, "https://p.org/jobs", careers, "Acme")], "page_id bigint, url string, html string, org string"), "careers", "org").collect()
+    assert [(r.title, r.company, r.location, r.link) for r in rows] == [("Engineer", "Acme", "Cork", "https://p.org/jobs/9")]
 
 
 def test_payload_shapes(spark):
@@ -222,6 +243,27 @@ def test_documents_and_tables(spark, tmp_path):
     assert S.read_csv_table(spark, f"{tmp_path}/jobs_2.csv").columns == ["title", "n"]
 
 
+def test_weekly_pick_keeps_rows_without_source_or_story(spark):
+    rows = [(1, None, "x", 5, "t"), (2, "a", None, 4, "t"), (3, None, None, 9, None), (4, None, "y", 1, "t")]
+    out = O.weekly_pick(spark.createDataFrame(rows, "seq bigint, source string, story_key string, score int, published_at string"), 2).collect()
+    assert sorted((r.seq, r.place, r.picked) for r in out) == [(1, 2, True), (2, None, False), (3, 1, True), (4, None, False)]
+
+
+def test_no_terms_match_nothing(spark):
+    assert spark.createDataFrame([("a",), (None,)], "t string").filter(R.contains_any("t", [])).count() == 0
+
+
+def test_versions_that_are_written_again(spark, tmp_path):
+    table = f"{tmp_path}/t"
+    frame = lambda *v: spark.createDataFrame([(x,) for x in v], "x int")
+    K.publish_version(frame(1), table, "batch-0")
+    K.publish_version(frame(1, 2), table, "batch-1")
+    base = K.read_version(spark, table, other_than="batch-1")
+    K.publish_version(base.union(frame(3)), table, "batch-1")
+    assert sorted(r.x for r in K.read_version(spark, table).collect()) == [1, 3]
+    assert [r.x for r in K.read_version(spark, table, other_than="batch-1").collect()] == [1]
+
+
 def _drain(stream, place, mode="append"):
     stream.writeStream.outputMode(mode).format("memory").queryName(place).trigger(availableNow=True).start().awaitTermination()
     return stream.sparkSession.table(place)
