@@ -8,8 +8,8 @@ and writes a payload that several records share once, as a response that the oth
 like any other output; each record is a gzip member of its own, so readers can jump to it.
 
 Payloads of at least LEAST bytes are shared; the response is the record with the smallest id. All that
-is grouped by digest is (id, digest); records move once, by id and already in their final form, so
-copies of one page don't meet in one task.
+is grouped by digest is (id, digest). Where the list of revisits is too large to broadcast, records move
+once, by id and already in their final form, so copies of one page don't meet in one task.
 
 Any ARC file can be converted: HTTP heads with or without Content-Length and with either line end,
 ``dns:`` records (responses of type text/dns), and records of other schemes (resources). Records that
@@ -29,6 +29,7 @@ import hashlib
 import re
 from typing import Iterator
 from urllib.parse import quote
+from uuid import uuid4
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -258,6 +259,10 @@ def convert(arcs: DataFrame) -> DataFrame:
     narrow = cut(records(arcs, whole=False).filter(F.col("page_id").isNotNull() & (F.col("payload_bytes") >= LEAST)).select("page_id", "digest"), spark)
     shared = narrow.groupBy("digest").agg(F.min("page_id").alias("first"), F.max("page_id").alias("other")).filter("other > first").select("digest", "first")
     later = join_hot(narrow, cut(shared, spark), "digest").filter(F.col("page_id") > F.col("first")).select(F.col("page_id").alias("key"), "digest", "first").distinct()
+    # Written as files, whose size Spark sees: where few records are revisits, their list is broadcast and no payload is shuffled.
+    places = f"{shared_folder(spark)}/revisits-{uuid4().hex}"
+    later.write.parquet(places)
+    later = spark.read.parquet(places)
     # Records without an id meet nobody; a hash of their own deals them over all tasks.
     found = records(arcs).withColumn("key", F.coalesce("page_id", F.xxhash64("record"))).withColumn("digest", F.when(F.col("page_id").isNull(), "").otherwise(F.col("digest")))
     rows = found.join(later, ["key", "digest"], "left").select("record", "first")
@@ -311,8 +316,6 @@ def read(warcs: DataFrame) -> DataFrame:
 
 def archive(pages: DataFrame, folder: str | None = None) -> DataFrame:
     """Pages as WARC archives below ``folder`` (the shared checkpoint folder by default), which stay there, read back."""
-    from uuid import uuid4
-
     spark = pages.sparkSession
     arcs = cut(to_arc(pages), spark)
     path = f"{folder or shared_folder(spark)}/warc-{uuid4().hex}"
