@@ -155,22 +155,22 @@ def fit(texts: list[str] | pa.Array | pa.ChunkedArray, labels: list[int], bits:
         at = [np.searchsorted(texts, np.arange(len(marks))) for _, texts in kinds]
         for i in range(len(marks) - 1):
             own = grams[marks[i] : marks[i + 1]]
-            rows.append([*(_frequencies(f[a[i] : a[i + 1]]) for (f, _), a in zip(kinds, at, strict=True)), _frequencies(own[own >= 0])])
+            found = [*(_frequencies(f[a[i] : a[i + 1]]) for (f, _), a in zip(kinds, at, strict=True)), _frequencies(own[own >= 0])]
+            rows.append((np.concatenate([f + k * n for k, (f, _) in enumerate(found)]), np.concatenate([v for _, v in found])))
     y = np.array(labels, dtype=float)
     w, g2, bias = np.zeros(3 * n), np.full(3 * n, 1e-6), 0.0
-    joined = [(np.concatenate([f + k * n for k, (f, _) in enumerate(x)]), np.concatenate([v for _, v in x])) for x in rows]
     order = np.random.default_rng(7).permutation(len(y))
     learn, rest = order[len(y) // 5 :], order[: len(y) // 5]
     for turn in range(passes):
         rate = 2.0 / (1 + turn)
         for i in learn:
-            at, x = joined[i]
+            at, x = rows[i]
             g = 1 / (1 + np.exp(-np.clip(w[at] @ x + bias, -35, 35))) - y[i]
             step = g * x + 1e-6 * w[at]
             g2[at] += step * step
             w[at] -= rate * step / np.sqrt(g2[at])
             bias -= 0.02 * rate * g
-    margin = np.array([w[at] @ x + bias for at, x in (joined[i] for i in rest)])
+    margin = np.array([w[at] @ x + bias for at, x in (rows[i] for i in rest)])
     slope, shift = platt(margin, y[rest])
     word, pair, char = w.astype(np.float32).reshape(3, n)
     return Model(word, pair, char, float(bias), slope, shift, bits)
@@ -178,7 +178,7 @@ def fit(texts: list[str] | pa.Array | pa.ChunkedArray, labels: list[int], bits:
 
 def _frequencies(feature: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     at, times = np.unique(feature, return_counts=True)
-    return at.astype(np.int64), times / max(1, times.sum())
+    return at.astype(np.int32), (times / max(1, times.sum())).astype(np.float32)
 
 
 def platt(margin: np.ndarray, y: np.ndarray, steps: int = 200) -> tuple[float, float]:
@@ -215,7 +215,10 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
         texts.join(F.broadcast(marked), "doc_id").groupBy("turn", "doc_id", "quality").agg(F.min("text").alias("text"))
         .orderBy("turn", "doc_id").limit(rows).toArrow()
     )
-    return fit(got["text"], [int(x > 0) for x in got["quality"].to_pylist()])
+    model = fit(got["text"], [int(x > 0) for x in got["quality"].to_pylist()])
+    del got
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def judge_batch(column: pa.Array, model: Model, threshold: float) -> pa.StructArray:

@@ -33,6 +33,8 @@ TRAIN_ROWS = 4_000
 TRAIN_CHARS = 20_000
 THRESHOLD = 0.7
 _TWICE = 0x5A5A5A5A
+#: Texts are worked on so many bytes at a time; a byte makes over one feature.
+SLICE_BYTES = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -77,11 +79,12 @@ def fit(texts: list[str | None] | pa.Array | pa.ChunkedArray, labels: list[int],
     bias_z = bias_s = bias = 0.0
     rows: list[np.ndarray] = []
     data, offsets = _lowered(pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts)
-    for _, part, marks in tb.slices(data, offsets):
+    for _, part, marks in tb.slices(data, offsets, SLICE_BYTES):
         owner, feature = _features(part, marks, bits)
         key = _distinct(owner, feature, bits)
         cuts = np.searchsorted(key, np.arange(len(marks)) * n)
         rows += [(key[a:b] % n).astype(np.int32) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    del data, offsets, texts
     if len(set(labels)) < 2:
         return Model(np.zeros(0, np.int64), np.zeros(0, np.float32), -3.0, bits)
     for _ in range(passes):
@@ -109,7 +112,7 @@ def score_batch(column: pa.Array, weights: np.ndarray, bias: float, bits: int) -
     n = 1 << bits
     known = weights != 0
     known |= known[np.arange(n) ^ (_TWICE & n - 1)]
-    for first, part, marks in tb.slices(data, offsets):
+    for first, part, marks in tb.slices(data, offsets, SLICE_BYTES):
         owner, feature = _features(part, marks, bits)
         held = known[feature]  # the rest can't add to a sum
         key = _distinct(owner[held], feature[held], bits)
@@ -140,7 +143,10 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
         texts.join(F.broadcast(marked), "doc_id").groupBy("turn", "doc_id", "toxic").agg(F.min("text").alias("text"))
         .orderBy("turn", "doc_id").limit(2 * rows).toArrow()
     )
-    return fit(got["text"], [int(x) for x in got["toxic"].to_pylist()])
+    model = fit(got["text"], [int(x) for x in got["toxic"].to_pylist()])
+    del got
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def scorer(model: Model):
