@@ -27,6 +27,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import re
+import zlib
 from typing import Iterator
 from urllib.parse import quote
 from uuid import uuid4
@@ -53,6 +54,7 @@ _FOUND = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("pa
 _ID_HEADER = b"X-Page-Id"
 #: A revisit's payload has this many bytes.
 _SIZE_HEADER = "X-Payload-Bytes"
+_PART = 1 << 13
 
 
 def member(data: bytes) -> bytes:
@@ -60,8 +62,24 @@ def member(data: bytes) -> bytes:
 
 
 def content_of(archive: bytes | None) -> bytes:
-    """Uncompressed content of an archive of gzip members, or of one that isn't compressed."""
-    return gzip.decompress(archive) if archive and archive.startswith(b"\x1f\x8b") else archive or b""
+    """Uncompressed content of an archive of gzip members, or of one that isn't compressed.
+
+    Members are read from short parts of the archive, so that what follows a member is never copied as a whole.
+    """
+    if not archive or not archive.startswith(b"\x1f\x8b"):
+        return archive or b""
+    out, at, view = [], 0, memoryview(archive)
+    while at < len(view):
+        reader = zlib.decompressobj(31)
+        while not reader.eof:
+            part = view[at : at + _PART]
+            if not len(part):
+                raise ValueError("the archive ends inside a gzip member")
+            out.append(reader.decompress(part))
+            at += len(part) - len(reader.unused_data)
+        while at < len(view) and not view[at]:  # padding
+            at += 1
+    return b"".join(out)
 
 
 # ARC -----------------------------------------------------------------------------------------------

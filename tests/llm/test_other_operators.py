@@ -301,6 +301,15 @@ def test_foreign_archives_are_converted(spark):
     assert Counter(r.payload_bytes for r in back) == Counter({212: 6, 0: 6, len(blocks[3][3]): 3, len(blocks[4][3]): 3}) and all(r.page_id is None for r in back)
 
 
+def test_members_of_any_size_are_read():
+    rng = np.random.default_rng(2)
+    parts = [rng.bytes(n) for n in (0, 1, 8_192, 100_000)] * 3
+    assert warc.content_of(b"".join(map(warc.member, parts)) + b"\0" * 9) == b"".join(parts)
+    assert warc.content_of(b"plain") == b"plain" and warc.content_of(None) == b""
+    with pytest.raises(ValueError):
+        warc.content_of(warc.member(parts[3])[:-3])
+
+
 def test_records_are_gzip_members(spark):
     import zlib as z
 
