@@ -5,7 +5,7 @@ more than its language does? Terms are the regular expression TERM's matches, lo
 language keeps the terms that at least LEAST of its documents hold.
 
 Chunk factorization: a term never spans white space, so a text is a bag of chunks. Tasks count the chunks
-of each document and add them up by (lang, source, chunk), in dictionaries of a bounded size; then each
+of each document and add them up by (lang, source, chunk), a bounded number at a time; then each
 globally distinct chunk is cut into terms once, and the terms are joined back to the counts.
 Occurrences add up. Documents that hold a term lie between the largest of its chunks' document counts and
 their sum, and only for terms where these two don't decide are documents told apart: such a chunk is in
@@ -25,6 +25,7 @@ table gives no rows; other columns aren't read. All arithmetic is on 64-bit inte
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -36,51 +37,61 @@ from pyspark.sql import functions as F
 from sievework.llm.skew import Scratch
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: The same in UTF-8, where every byte of other scripts is 128 or more.
+_LETTERS = re.compile(rb"[A-Za-z\x80-\xff]+")
 #: Documents of a language that a kept term is in, at least; ranks of the term part; parts of one in a share.
 LEAST, RANKS, SCALE = 10, 10, 1_000_000_000
-#: Entries of a task's dictionary before it is emptied; terms of a bucket, about; sources of a tile.
-HELD, BUCKET, TILE = 400_000, 4_096, 64
+#: Chunks of documents that a task adds up at once; terms of a bucket, about; sources of a tile.
+HELD, BUCKET, TILE = 1_000_000, 4_096, 64
 
 _COUNTS = "lang string, source string, chunk binary, n bigint, docs bigint, numbers array<bigint>"
 
 
-def _rows(groups: dict) -> Iterator[pa.RecordBatch]:
-    columns: list[list] = [[], [], [], [], [], []]
-    for (lang, source), (times, docs, numbers) in groups.items():
-        columns[0] += [lang] * len(times)
-        columns[1] += [source] * len(times)
-        columns[2] += times.keys()
-        columns[3] += times.values()
-        columns[4] += map(docs.__getitem__, times)
-        columns[5] += [numbers[c] if docs[c] < LEAST else None for c in times]
-    if columns[0]:
-        types = (pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
-        arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
-        yield pa.RecordBatch.from_arrays(arrays, ["lang", "source", "chunk", "n", "docs", "numbers"])
+class _Held:
+    """Entries (group, chunk, times, document) of a task until they are added up by group and chunk."""
+
+    def __init__(self) -> None:
+        self.groups: dict[tuple[str, str], int] = {}
+        self.chunks: list[bytes] = []
+        self.times: list[int] = []
+        self.documents: list[tuple[int, int, int]] = []  # group, number, entries
+
+    def add(self, group: tuple[str, str], text: bytes, number: int) -> None:
+        own = Counter(text.split()) or {b"": 1}
+        self.chunks += own.keys()
+        self.times += own.values()
+        self.documents.append((self.groups.setdefault(group, len(self.groups)), number, len(own)))
+
+    def sums(self) -> pa.RecordBatch:
+        coded = pa.array(self.chunks, pa.binary()).dictionary_encode()
+        group, number, entries = np.array(self.documents, np.int64).reshape(-1, 3).T
+        key = np.repeat(group, entries) * len(coded.dictionary) + coded.indices.to_numpy()
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        docs = np.diff(np.append(starts, len(key)))
+        few = docs < LEAST
+        numbers = np.repeat(number, entries)[order][np.repeat(few, docs)]
+        offsets = np.concatenate([[0], np.cumsum(np.where(few, docs, 0))]).astype(np.int32)
+        at, chunk = np.divmod(key[starts], len(coded.dictionary))
+        names = [pa.array(x, pa.string()).take(pa.array(at)) for x in zip(*self.groups, strict=True)]
+        summed = np.add.reduceat(np.array(self.times, np.int64)[order], starts)
+        listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(numbers), mask=pa.array(~few))
+        columns = [*names, coded.dictionary.take(pa.array(chunk)), pa.array(summed), pa.array(docs), listed]
+        return pa.RecordBatch.from_arrays(columns, ["lang", "source", "chunk", "n", "docs", "numbers"])
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (lang, source, text, number) as counts by (lang, source, chunk); a text without a chunk counts the chunk ''."""
-    groups: dict = {}
-    held = 0
+    held = _Held()
     for batch in batches:
         for lang, source, text, number in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-            times, docs, numbers = groups.setdefault((lang, source), (Counter(), Counter(), {}))
-            before = len(times)
-            own = Counter(text.split()) or Counter({b"": 1})
-            times.update(own)
-            docs.update(own.keys())
-            for chunk in own:
-                seen = numbers.get(chunk)
-                if seen is None:
-                    numbers[chunk] = [number]
-                elif len(seen) < LEAST:
-                    seen.append(number)
-            held += len(times) - before
-            if held > HELD:
-                yield from _rows(groups)
-                groups, held = {}, 0
-    yield from _rows(groups)
+            held.add((lang, source), text, number)
+            if len(held.chunks) > HELD:
+                yield held.sums()
+                held = _Held()
+    if held.chunks:
+        yield held.sums()
 
 
 def chunk_counts(docs: DataFrame) -> DataFrame:
@@ -89,11 +100,17 @@ def chunk_counts(docs: DataFrame) -> DataFrame:
     return docs.select(lang.alias("lang"), source.alias("source"), text.cast("binary").alias("text"), F.monotonically_increasing_id().alias("number")).mapInArrow(_count, _COUNTS)
 
 
-def terms_of(chunk: Column) -> Column:
-    """The distinct terms of a chunk, with how often each is in it."""
-    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    found = F.regexp_extract_all(F.translate(F.decode(chunk, "utf-8"), upper, upper.lower()), F.lit(TERM), F.lit(0))
-    return F.transform(F.array_distinct(found), lambda t: F.struct(t.alias("term"), F.size(F.filter(found, lambda x: x == t)).alias("k")))
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct terms of each chunk, with how often each is in it."""
+    for batch in batches:
+        chunks, terms, times = [], [], []
+        for chunk in batch.column(0).to_pylist():
+            own = Counter(_LETTERS.findall(chunk.lower()))
+            chunks += [chunk] * len(own)
+            terms += own.keys()
+            times += own.values()
+        arrays = [pa.array(chunks, pa.binary()), pa.array(terms, pa.binary()).cast(pa.string()), pa.array(times, pa.int64())]
+        yield pa.RecordBatch.from_arrays(arrays, ["chunk", "term", "k"])
 
 
 def _share(count: Column, total: Column, terms: Column) -> Column:
@@ -142,8 +159,7 @@ def audit(docs: DataFrame) -> DataFrame:
     groups = counted.select("lang", "source").distinct()
     sums = counted.groupBy("lang", "source", "chunk").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     sums = kept(sums.filter(F.octet_length("chunk") > 0), "sums")
-    chunks = sums.select("chunk").distinct().select("chunk", F.explode(terms_of(F.col("chunk"))).alias("t")).select("chunk", "t.term", "t.k")
-    cut = kept(chunks, "terms")
+    cut = kept(sums.select("chunk").distinct().mapInArrow(_cut, "chunk binary, term string, k bigint"), "terms")
 
     spread = sums.groupBy("lang", "chunk").agg(F.sum("docs").alias("docs")).join(cut, "chunk").groupBy("lang", "term")
     bounds = kept(spread.agg(F.max("docs").alias("low"), F.sum("docs").alias("high")).filter(F.col("high") >= LEAST), "bounds")
@@ -154,8 +170,8 @@ def audit(docs: DataFrame) -> DataFrame:
     more = told.groupBy("lang", "term").agg(F.count("*").alias("docs")).filter(F.col("docs") >= LEAST).select("lang", "term")
     terms = kept(bounds.filter(F.col("low") >= LEAST).select("lang", "term").unionByName(more), "kept")
 
-    used = sums.join(cut, "chunk").groupBy("lang", "source", "term").agg(F.sum(F.col("n") * F.col("k")).alias("n"))
-    used = kept(used.join(terms, ["lang", "term"], "left_semi"), "used")
+    held = cut.join(terms, "term").select("lang", "chunk", "term", "k")
+    used = kept(sums.join(held, ["lang", "chunk"]).groupBy("lang", "source", "term").agg(F.sum(F.col("n") * F.col("k")).alias("n")), "used")
     sizes = terms.groupBy("lang").agg(F.count("*").alias("terms"))
     totals = used.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     known = groups.join(totals, ["lang", "source"], "left").join(sizes, "lang", "left").fillna(0, ["total", "terms"])
