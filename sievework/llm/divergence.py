@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievework.llm.skew import Scratch
+from sievework.operators import bloom
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 #: The same in UTF-8, where every byte of other scripts is 128 or more.
@@ -42,7 +43,9 @@ _LETTERS = re.compile(rb"[A-Za-z\x80-\xff]+")
 #: Documents of a language that a kept term is in, at least; ranks of the term part; parts of one in a share.
 LEAST, RANKS, SCALE = 10, 10, 1_000_000_000
 #: Chunks of documents that a task adds up at once; terms of a bucket, about; sources of a tile.
-HELD, BUCKET, TILE = 1_000_000, 4_096, 64
+HELD, BUCKET, TILE = 2_000_000, 4_096, 64
+#: Words of the Bloom filter that keeps other chunks' document numbers from being shuffled.
+WORDS = 1 << 18
 
 _COUNTS = "lang string, source string, chunk binary, n bigint, docs bigint, numbers array<bigint>"
 
@@ -157,27 +160,31 @@ def audit(docs: DataFrame) -> DataFrame:
     kept = scratch.keep
     counted = kept(chunk_counts(docs), "chunks")
     groups = counted.select("lang", "source").distinct()
-    sums = counted.groupBy("lang", "source", "chunk").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    sums = kept(sums.filter(F.octet_length("chunk") > 0), "sums")
-    cut = kept(sums.select("chunk").distinct().mapInArrow(_cut, "chunk binary, term string, k bigint"), "terms")
-
-    spread = sums.groupBy("lang", "chunk").agg(F.sum("docs").alias("docs")).join(cut, "chunk").groupBy("lang", "term")
-    bounds = kept(spread.agg(F.max("docs").alias("low"), F.sum("docs").alias("high")).filter(F.col("high") >= LEAST), "bounds")
+    sums = counted.filter(F.octet_length("chunk") > 0).groupBy("lang", "source", "chunk").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    sums = kept(sums, "sums")
+    whole = kept(sums.groupBy("chunk", "lang").agg(F.sum("docs").alias("docs")), "whole")
+    cut = whole.select("chunk").distinct().mapInArrow(_cut, "chunk binary, term string, k bigint")
+    cut = kept(whole.join(cut.hint("shuffle_hash"), "chunk").select("lang", "chunk", "term", "k", "docs"), "terms")
+
+    bounds = cut.groupBy("lang", "term").agg(F.max("docs").alias("low"), F.sum("docs").alias("high")).filter(F.col("high") >= LEAST)
+    bounds = kept(bounds, "bounds")
     open_terms = bounds.filter(F.col("low") < LEAST).select("lang", "term")
-    open_chunks = cut.join(open_terms, "term").select("lang", "chunk", "term")
+    open_chunks = kept(cut.filter(F.col("docs") < LEAST).join(open_terms.hint("shuffle_hash"), ["lang", "term"]).select("lang", "chunk", "term"), "open")
     numbers = counted.filter(F.col("numbers").isNotNull()).select("lang", "chunk", "numbers")
-    told = numbers.join(open_chunks, ["lang", "chunk"]).select("lang", "term", F.explode("numbers").alias("number")).distinct()
+    numbers = bloom.may_hold(numbers, bloom.build(open_chunks, WORDS, "lang", "chunk"), WORDS, "lang", "chunk")
+    told = numbers.join(open_chunks.hint("shuffle_hash"), ["lang", "chunk"]).select("lang", "term", F.explode("numbers").alias("number")).distinct()
     more = told.groupBy("lang", "term").agg(F.count("*").alias("docs")).filter(F.col("docs") >= LEAST).select("lang", "term")
     terms = kept(bounds.filter(F.col("low") >= LEAST).select("lang", "term").unionByName(more), "kept")
 
-    held = cut.join(terms, "term").select("lang", "chunk", "term", "k")
-    used = kept(sums.join(held, ["lang", "chunk"]).groupBy("lang", "source", "term").agg(F.sum(F.col("n") * F.col("k")).alias("n")), "used")
+    held = cut.join(terms.hint("shuffle_hash"), ["lang", "term"]).select("lang", "chunk", "term", "k")
+    used = sums.join(held.hint("shuffle_hash"), ["lang", "chunk"]).groupBy("lang", "source", "term")
+    used = kept(used.agg(F.sum(F.col("n") * F.col("k")).alias("n")), "used")
     sizes = terms.groupBy("lang").agg(F.count("*").alias("terms"))
     totals = used.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     known = groups.join(totals, ["lang", "source"], "left").join(sizes, "lang", "left").fillna(0, ["total", "terms"])
     place = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
     known = kept(known.withColumn("place", place), "groups")
-    scratch.drop("chunks", "sums", "terms", "bounds", "kept")
+    scratch.drop("chunks", "sums", "whole", "terms", "bounds", "open", "kept")
     return _pairs(used, known).unionByName(_terms(used, known))
 
 
