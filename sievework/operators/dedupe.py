@@ -6,7 +6,6 @@ before the shuffle, so a group that holds a third of all rows sends one row from
 
 from __future__ import annotations
 
-import math
 from functools import lru_cache
 from hashlib import blake2b
 from typing import Iterator
@@ -100,7 +99,7 @@ def assign_batches(df: DataFrame, size: int = 15, bucket: str | None = None, ord
 
 
 _PRIME = 0x9E3779B97F4A7C15
-_SAMPLE, _COMMON, _TILE = 16, 65_536, 1_024
+_SAMPLE, _COMMON = 16, 65_536
 
 
 @lru_cache(maxsize=4)
@@ -128,91 +127,79 @@ def _shingles(text: bytes, size: int) -> np.ndarray:
     return np.unique((value ^ (value >> np.uint64(32))).view(np.int64))
 
 
-def _prefix(own: np.ndarray, threshold: float, common: np.ndarray, often: np.ndarray) -> np.ndarray:
-    """The shingles of which a set of this similarity shares one: the first by (how common, hash)."""
-    n = len(own) - math.ceil(threshold * len(own) - 1e-9) + 1
-    if not len(common):
-        return own[:n]
-    at = np.minimum(np.searchsorted(common, own), len(common) - 1)
-    return own[np.lexsort((own, np.where(common[at] == own, often[at], 0)))[:n]]
-
-
-def _set_id(own: np.ndarray, block: str | None) -> int:
-    return int.from_bytes(blake2b(own.tobytes() + repr(block).encode(), digest_size=8).digest(), "little", signed=True)
+def _items(text: bytes, size: int, block: str) -> np.ndarray:
+    """The shingles of a text as sorted numbers; texts of other blocks have none of them."""
+    mark = int.from_bytes(blake2b(block.encode(), digest_size=8).digest(), "little") if block else 0
+    return np.sort(_shingles(text, size) ^ np.int64(mark - (mark >> 63 << 64)))
 
 
 def group_stories(df: DataFrame, text: str, threshold: float = 0.8, block: str | None = None, size: int = 5, key: str = "seq") -> DataFrame:
     """Rows with ``story``, the smallest key of texts that resemble one another (Jaccard of word shingles).
 
-    Equal shingle sets are one set first. Two sets of similarity t must share one of their first
-    (1 - t) * n + 1 shingles in any order that is the same for all sets (prefix filter), which is exact; the
-    order here puts shingles last that are common in a sample of the texts. First each set is compared with the
-    least set that shares a shingle, so a crowd of near copies becomes one component; then only pairs of different
-    components are made, large groups of them in tiles. Labels spread along the links, written out each round.
+    Equal shingle sets are one set first, told apart by 128 bits. Sets then join as in ``setjoin``: prefixes in an order that
+    puts shingles last that are common in a sample of the texts, stars first, then only pairs of different components.
+    Texts are read again for the sets that meet. Texts of different blocks never resemble one another; a null key joins
+    a story but doesn't name it.
     """
-    from sievework.operators.graphs import connected, cut
+    from sievework.operators import bloom, setjoin
+    from sievework.operators.graphs import Scratch, connected
 
-    whole, blocks = norm_key(text), F.col(block).cast("string") if block else F.lit("")
+    scratch, bar = Scratch(df.sparkSession, "stories"), setjoin.Bar(threshold)
+    blocks = F.coalesce(F.concat(F.lit("b"), F.col(block).cast("string")), F.lit("")) if block else F.lit("")
+    # a text and its block travel as one string; a normal text has no line feed
+    whole = F.concat_ws("\n", blocks, norm_key(text))
+
+    def items(joined: bytes) -> np.ndarray:
+        name, _, own = joined.partition(b"\n")
+        return _items(own, size, name.decode())
 
     @F.arrow_udf("array<bigint>")
     def shingles(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
-            yield pa.array([_shingles(t.encode(), size) for t in batch.to_pylist()], pa.list_(pa.int64()))
+            yield pa.array([items(t.encode()) for t in batch.to_pylist()], pa.list_(pa.int64()))
 
-    sample = df.select(whole.alias("t")).filter(F.pmod(F.xxhash64("t"), F.lit(_SAMPLE)) == 0)
+    sample = df.select(whole.alias("t")).filter(F.pmod(F.xxhash64("t"), F.lit(_SAMPLE)) == 0).distinct()
     counts = sample.select(F.explode(shingles("t")).alias("g")).groupBy("g").agg(F.count("*").alias("n")).filter("n > 3")
-    known = counts.orderBy(F.desc("n"), "g").limit(_COMMON).collect()
-    known = sorted((r.g, r.n) for r in known)
+    known = sorted((r.g, r.n) for r in counts.orderBy(F.desc("n"), "g").limit(_COMMON).collect())
     order = df.sparkSession.sparkContext.broadcast((np.array([g for g, _ in known], np.int64), np.array([n for _, n in known], np.int64)))
+    names = ["hi", "lo", "m", *setjoin.SKETCH]
 
-    @F.arrow_udf("struct<id: bigint, m: int, rare: array<bigint>>")
-    def described(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for texts, names in columns:
-            ids, sizes, rare = [], [], []
-            for t, b in zip(texts.to_pylist(), names.to_pylist(), strict=True):
-                own = _shingles(t.encode(), size)
-                ids.append(_set_id(own, b))
-                sizes.append(len(own))
-                rare.append(_prefix(own, threshold, *order.value))
-            yield pa.StructArray.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int32()), pa.array(rare, pa.list_(pa.int64()))], ["id", "m", "rare"])
-
-    @F.arrow_udf("struct<id: bigint, s: array<bigint>>")
-    def full(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for texts, names in columns:
-            own = [_shingles(t.encode(), size) for t in texts.to_pylist()]
-            ids = [_set_id(o, b) for o, b in zip(own, names.to_pylist(), strict=True)]
-            yield pa.StructArray.from_arrays([pa.array(ids, pa.int64()), pa.array(own, pa.list_(pa.int64()))], ["id", "s"])
-
-    rows = df.withColumn("_block", blocks).withColumn("_about", described(whole, blocks))
-    sets = cut(rows.groupBy(F.col("_about.id").alias("_id")).agg(F.first("_block").alias("b"), F.first("_about.m").alias("m"), F.first("_about.rare").alias("rare"), F.min(key).alias("first")))
-    spread = sets.select("_id", "b", "m", F.explode("rare").alias("g"))
-    heads = spread.groupBy("b", "g").agg(F.min("_id").alias("x"), F.min_by("m", "_id").alias("mx"), F.count("*").alias("n")).filter("n > 1")
-    prefix = cut(spread.join(heads.select(F.col("b").alias("hb"), F.col("g").alias("hg"), "x", "mx", "n"), F.col("b").eqNullSafe(F.col("hb")) & (F.col("g") == F.col("hg"))).drop("hb", "hg"))
-    alike = F.least("mx", "my") >= threshold * F.greatest("mx", "my")
-
-    def verified(near: DataFrame) -> DataFrame:
-        """Those of the pairs (x, y) of sets that resemble one another."""
-        near = cut(near.distinct())
-        ids = near.select(F.col("x").alias("_id")).union(near.select("y")).distinct()
-        firsts = sets.join(ids, "_id", "left_semi").select(F.col("first").alias("_first"), F.col("_id").alias("_want"))
-        texts = df.select(F.col(key).alias("_key"), whole.alias("t"), blocks.alias("b")).join(firsts, F.col("_key").eqNullSafe(F.col("_first")))
-        held = texts.select("_want", full("t", "b").alias("f")).filter(F.col("f.id") == F.col("_want"))  # a key may have several texts
-        held = cut(held.select("_want", F.col("f.s").alias("s")).dropDuplicates(["_want"]))
-        sx, sy = held.select(F.col("_want").alias("x"), F.col("s").alias("sx")), held.select(F.col("_want").alias("y"), F.col("s").alias("sy"))
-        both = near.join(sx, "x").join(sy, "y").withColumn("both", F.size(F.array_intersect("sx", "sy")))
-        return both.filter(F.col("both") >= threshold * (F.size("sx") + F.size("sy") - F.col("both"))).select(F.col("x").alias("a"), F.col("y").alias("b"))
-
-    stars = cut(verified(prefix.filter("x < _id").withColumn("my", F.col("m")).filter(alike).select("x", F.col("_id").alias("y"))))
-    roots = connected(stars)
-    rooted = prefix.join(roots, prefix["_id"] == roots["node"], "left").withColumn("r", F.coalesce("root", "_id"))
-    rooted = rooted.withColumn("tiles", F.ceil(F.col("n") / _TILE).cast("int"))
-    left = rooted.select("b", "g", F.pmod(F.xxhash64("_id"), "tiles").cast("int").alias("tile"), F.col("_id").alias("x"), F.col("m").alias("mx"), F.col("r").alias("rx"))
-    right = rooted.select("b", "g", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"), F.col("_id").alias("y"), F.col("m").alias("my"), F.col("r").alias("ry"))
-    right = right.withColumnsRenamed({"b": "b2", "g": "g2", "tile": "tile2"})
-    met = F.col("b").eqNullSafe(F.col("b2")) & (F.col("g") == F.col("g2")) & (F.col("tile") == F.col("tile2"))
-    apart = left.join(right, met & (F.col("x") < F.col("y")) & (F.col("rx") != F.col("ry")) & alike).select("x", "y")
-    labels = connected(stars.union(verified(apart)))
-    named = sets.join(labels, sets["_id"] == labels["node"], "left").select("_id", F.coalesce("root", "_id").alias("root"), "first")
+    @F.arrow_udf("struct<" + ", ".join(f"{n}: bigint" for n in names) + ", rare: array<bigint>>")
+    def described(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            numbers, rare = np.zeros((len(batch), len(names)), np.int64), []
+            for k, t in enumerate(batch.to_pylist()):
+                own = items(t.encode())
+                numbers[k] = [*np.frombuffer(blake2b(own.tobytes(), digest_size=16).digest(), np.int64), len(own), *setjoin.sketch(own)]
+                rare.append(setjoin.ordered(own, *order.value)[: bar.prefix(len(own))])
+            yield pa.StructArray.from_arrays([*(pa.array(c) for c in numbers.T), pa.array(rare, pa.list_(pa.int64()))], [*names, "rare"])
+
+    about = df.select(F.col(key).alias("key"), F.xxhash64(whole).alias("mark"), described(whole).alias("d"))
+    about = scratch.keep(about.select("key", "mark", "d.*"), "about")
+    same = about.groupBy("hi", "lo").agg(F.min("key").alias("first"), F.min(F.struct("mark", "key")).alias("text"), *(F.first(c).alias(c) for c in ("m", *setjoin.SKETCH, "rare")))
+    sets = scratch.keep(same.withColumn("sid", F.monotonically_increasing_id()), "sets")
+
+    def texts(wanted: DataFrame) -> DataFrame:
+        asked = sets.join(wanted, "sid").select("sid", "text.mark", "text.key")
+        rows = df.select(F.col(key).alias("key"), whole.alias("t")).withColumn("mark", F.xxhash64("t"))
+        held = bloom.may_hold(rows, bloom.build(asked, setjoin.WORDS, "mark", "key"), setjoin.WORDS, "mark", "key")
+        asked = asked.withColumnsRenamed({"mark": "mark2", "key": "key2"})
+        return held.join(asked, (F.col("mark") == F.col("mark2")) & F.col("key").eqNullSafe(F.col("key2"))).select("sid", "t").dropDuplicates(["sid"])
+
+    sizes = sets.select(F.col("sid").alias("x"), F.col("m").alias("mx")), sets.select(F.col("sid").alias("y"), F.col("m").alias("my"))
+
+    def links(near: DataFrame, name: str) -> DataFrame:
+        met = setjoin.overlaps(near, texts, items, scratch.keep, name).join(sizes[0], "x").join(sizes[1], "y")
+        return scratch.keep(met.filter(setjoin.similar(bar, F.col("both"), F.col("mx"), F.col("my"))).select(F.col("x").alias("a"), F.col("y").alias("b")), f"{name}-links")
+
+    near, crowded = setjoin.stars(sets, bar, scratch.keep)
+    first = links(near, "first")
+    second = links(setjoin.apart(sets, crowded, connected(first), bar), "second")
+    labels = connected(first.union(second))
+    named = sets.join(labels, sets["sid"] == labels["node"], "left").select("hi", "lo", F.coalesce("root", "sid").alias("root"), "first")
     story = named.groupBy("root").agg(F.min("first").alias("story"))
-    ids = named.join(story, "root").select(F.col("_id").alias("_set"), "story")
-    return rows.withColumn("_id", F.col("_about.id")).join(ids, F.col("_id") == F.col("_set")).drop("_id", "_set", "_block", "_about")
+    stories = scratch.keep(named.join(story, "root").select("hi", "lo", "story"), "named")
+    keyed = about.join(stories, ["hi", "lo"]).select(F.col("key").alias("_key"), F.col("mark").alias("_mark"), "story").distinct()
+    keyed = scratch.keep(keyed, "keyed")
+    scratch.drop("about", "sets", "stars", "named", *(f"{a}{b}" for a in ("first", "second") for b in ("", "-near", "-texts", "-links")))
+    return df.join(keyed, (F.xxhash64(whole) == F.col("_mark")) & F.col(key).eqNullSafe(F.col("_key"))).drop("_key", "_mark")

@@ -1,8 +1,9 @@
-"""Connected components by spreading the least label."""
+"""Connected components by spreading the least label; tables of intermediate results."""
 
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,23 @@ def folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+class Scratch:
+    """Intermediate tables of one run: Parquet in the shared folder, as lasting as a checkpoint, compressed, with columns that can be pruned."""
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self.spark, self.folder = spark, f"{folder(spark)}/{name}-{uuid4().hex}"
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{self.folder}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
+
+    def drop(self, *names: str) -> None:
+        """Deletes tables that no result reads any more."""
+        for name in names:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of the edges (a, b): the least node that it's connected with. Labels only fall,
     and jump along labels, so the rounds end, after about the logarithm of the longest chain."""

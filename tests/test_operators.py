@@ -124,19 +124,26 @@ def test_stories_of_a_crowd_make_few_pairs(spark, monkeypatch):
     crowd = [" ".join(base[:k] + [f"x{i}"] + base[k + 1 :]) for i, k in enumerate(rng.choices(range(200), k=300))]
     chain = [" ".join(f"c{k}" for k in range(i, i + 60)) for i in range(0, 60, 3)]  # neighbours resemble one another, the ends don't
     alone = [" ".join(f"y{rng.random()}" for _ in range(50)) for _ in range(30)]
-    made, cut = [], graphs.cut
+    made, keep = [], graphs.Scratch.keep
 
-    def counted(df):
-        out = cut(df)
+    def counted(scratch, df, name):
+        out = keep(scratch, df, name)
         if out.columns == ["x", "y"]:
             made.append(out.count())
         return out
 
-    monkeypatch.setattr(graphs, "cut", counted)
+    monkeypatch.setattr(graphs.Scratch, "keep", counted)
     df = spark.createDataFrame(list(enumerate(crowd + chain + alone)), "seq bigint, title string")
     got = {r.seq: r.story for r in Q.group_stories(df, "title").collect()}
     assert got == {i: 0 for i in range(300)} | {i: 300 for i in range(300, 320)} | {i: i for i in range(320, 350)}
     assert made and sum(made) < 300 * 299 // 8
+    # each shares a passage with all, none resembles another
+    made.clear()
+    passage = " ".join(f"p{k}" for k in range(64))
+    near = [passage + " " + " ".join(f"z{i}x{k}" for k in range(40)) for i in range(200)]
+    monkeypatch.setattr(Q, "_SAMPLE", 1 << 40)  # so that the order doesn't know the passage
+    got = {r.seq: r.story for r in Q.group_stories(spark.createDataFrame(list(enumerate(near)), "seq bigint, title string"), "title").collect()}
+    assert got == {i: i for i in range(200)} and sum(made) < 2 * 200
     twice = [(7, alone[0]), (7, alone[1]), (8, alone[0] + " z"), (None, alone[1] + " z"), (9, alone[2]), (None, alone[3]), (None, alone[3] + " z")]
     got = [r.story for r in Q.group_stories(spark.createDataFrame(twice, "seq bigint, title string"), "title").orderBy("title").collect()]
     assert got == [r[1] for r in sorted((t, 7 if t[:40] in (alone[0][:40], alone[1][:40]) else k) for k, t in twice)]
