@@ -34,8 +34,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievework.llm.skew import Scratch
 from sievework.operators import bloom
+from sievework.operators.graphs import Scratch
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 #: The same in UTF-8, where every byte of other scripts is 128 or more.

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievework.llm.skew import Scratch
+from sievework.operators.graphs import Scratch
 
 #: Anchors' ids are divisible by ANCHOR; labels move where the id is divisible by MOVED; positives and negatives of each.
 ANCHOR, MOVED, LABELS, POSITIVES, NEGATIVES = 50, 7, 10, 5, 3

@@ -7,7 +7,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import bpe, divergence, html_extract, licenses, media, negatives, packing, quality, secrets, simhash, toxicity, warc
+from sievework.llm import bpe, divergence, html_extract, licenses, media, negatives, packing, quality, secrets, setrelation, simhash, toxicity, warc
 from sievework.llm.skew import shared_folder
 
 
@@ -95,6 +95,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setrelation.join(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(_table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding"))
 
@@ -108,7 +112,7 @@ QUERIES = {
     for f in (
         op1_html_extraction, op2_best_fit_packing, op3_secret_scan, op4_quality_rules, op5_media_columns, op6_warc,
         op7_simhash_near_dedup, op8_bpe, op9_license_scan, op10_toxicity,
-        op12_hard_negatives, op13_source_divergence,
+        op11_jaccard_join, op12_hard_negatives, op13_source_divergence,
     )
 }
 ORACLES: dict[str, str] = {
@@ -121,6 +125,7 @@ ORACLES: dict[str, str] = {
                CASE WHEN n >= 100 AND page_id > first THEN first END AS refers_to
         FROM m
     """,
+    "op11_jaccard_join": setrelation.brute_sql(),
     "op12_hard_negatives": negatives.brute_sql(),
     "op13_source_divergence": divergence.brute_sql(),
 }

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import tempfile
-from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,19 +46,3 @@ def join_hot(rows: DataFrame, table: DataFrame, key: str, how: str = "inner") ->
     warm = rows.join(F.broadcast(hot), key, "left_semi").join(F.broadcast(known), key, how)
     cold = rows.join(F.broadcast(hot), key, "left_anti").join(table, key, how)
     return warm.unionByName(cold)
-
-
-class Scratch:
-    """Intermediate tables of one run: Parquet in the shared folder, as lasting as a checkpoint, compressed, with columns that can be pruned."""
-
-    def __init__(self, spark: SparkSession, name: str) -> None:
-        self.spark, self.folder = spark, f"{shared_folder(spark)}/{name}-{uuid4().hex}"
-
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{self.folder}/{name}")
-        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
-
-    def drop(self, *names: str) -> None:
-        """Deletes tables that no result reads any more."""
-        for name in names:
-            remove(self.spark, f"{self.folder}/{name}")
