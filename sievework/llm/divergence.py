@@ -28,6 +28,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -84,23 +85,23 @@ class _Held:
         return pa.RecordBatch.from_arrays(columns, ["lang", "source", "chunk", "n", "docs", "numbers"])
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count(batches: Iterator[pa.RecordBatch], most: int = HELD) -> Iterator[pa.RecordBatch]:
     """Rows (lang, source, text, number) as counts by (lang, source, chunk); a text without a chunk counts the chunk ''."""
     held = _Held()
     for batch in batches:
         for lang, source, text, number in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
             held.add((lang, source), text, number)
-            if len(held.chunks) > HELD:
+            if len(held.chunks) > most:
                 yield held.sums()
                 held = _Held()
     if held.chunks:
         yield held.sums()
 
 
-def chunk_counts(docs: DataFrame) -> DataFrame:
+def chunk_counts(docs: DataFrame, most: int = HELD) -> DataFrame:
     """Counts by (lang, source, chunk) of each task: n occurrences, docs documents and, under LEAST, their numbers."""
     lang, source, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("lang", "source", "text"))
-    return docs.select(lang.alias("lang"), source.alias("source"), text.cast("binary").alias("text"), F.monotonically_increasing_id().alias("number")).mapInArrow(_count, _COUNTS)
+    return docs.select(lang.alias("lang"), source.alias("source"), text.cast("binary").alias("text"), F.monotonically_increasing_id().alias("number")).mapInArrow(partial(_count, most=most), _COUNTS)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,7 +129,7 @@ def _shares(counts: np.ndarray, totals: np.ndarray, terms: int) -> np.ndarray:
     return 1 + SCALE * (counts + 2) // (totals + 2 * terms)
 
 
-def _compare(key, members: pa.Table, counts: pa.Table) -> pa.Table:
+def _compare(key, members: pa.Table, counts: pa.Table, tile_size: int = TILE) -> pa.Table:
     """One bucket of two tiles: for each pair (a, b) of sources, the sum over the terms that either tile has, and how many these are."""
     if not counts.num_rows:
         return pa.table({"lang": pa.array([], pa.string()), **{c: pa.array([], pa.int64()) for c in ("a", "b", "value", "met")}})
@@ -139,26 +140,26 @@ def _compare(key, members: pa.Table, counts: pa.Table) -> pa.Table:
     width, sides = int(terms.max()) + 1, []
     for tile, totals in ((first, member["left"]), (second, member["right"])):
         dense = np.zeros((len(totals), width), np.int64)
-        own = places // TILE == tile
-        dense[places[own] % TILE, terms[own]] = n[own]
+        own = places // tile_size == tile
+        dense[places[own] % tile_size, terms[own]] = n[own]
         sides.append(_shares(dense, np.array(totals, np.int64)[:, None], member["terms"]))
     a, b, value = [], [], []
     for i, p in enumerate(sides[0]):
         q = sides[1]
         value.append(((p - q) ** 2 // (p + q)).sum(axis=1))
-        a.append(np.full(len(q), first * TILE + i))
-        b.append(second * TILE + np.arange(len(q)))
+        a.append(np.full(len(q), first * tile_size + i))
+        b.append(second * tile_size + np.arange(len(q)))
     size = sum(map(len, a))
     flat = [np.concatenate(x).astype(np.int64) for x in (a, b, value)]
     return pa.table({"lang": pa.array([lang] * size, pa.string()), "a": flat[0], "b": flat[1], "value": flat[2], "met": np.full(size, width, np.int64)})
 
 
-def audit(docs: DataFrame) -> DataFrame:
+def audit(docs: DataFrame, held: int = HELD, bucket: int = BUCKET, tile: int = TILE) -> DataFrame:
     """(lang, source, part, item, value, rank) of every group of ``docs``: part 'pair' has each other source of the
-    language, part 'term' the RANKS terms that the group uses more than its language by most."""
+    language, part 'term' the RANKS terms that the group uses more than its language by most. The sizes decide what a task holds only."""
     scratch = Scratch(docs.sparkSession, "divergence")
     kept = scratch.keep
-    counted = kept(chunk_counts(docs), "chunks")
+    counted = kept(chunk_counts(docs, held), "chunks")
     groups = counted.select("lang", "source").distinct()
     sums = counted.filter(F.octet_length("chunk") > 0).groupBy("lang", "source", "chunk").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     sums = kept(sums, "sums")
@@ -176,8 +177,8 @@ def audit(docs: DataFrame) -> DataFrame:
     more = told.groupBy("lang", "term").agg(F.count("*").alias("docs")).filter(F.col("docs") >= LEAST).select("lang", "term")
     terms = kept(bounds.filter(F.col("low") >= LEAST).select("lang", "term").unionByName(more), "kept")
 
-    held = cut.join(terms.hint("shuffle_hash"), ["lang", "term"]).select("lang", "chunk", "term", "k")
-    used = sums.join(held.hint("shuffle_hash"), ["lang", "chunk"]).groupBy("lang", "source", "term")
+    wanted = cut.join(terms.hint("shuffle_hash"), ["lang", "term"]).select("lang", "chunk", "term", "k")
+    used = sums.join(wanted.hint("shuffle_hash"), ["lang", "chunk"]).groupBy("lang", "source", "term")
     used = kept(used.agg(F.sum(F.col("n") * F.col("k")).alias("n")), "used")
     sizes = terms.groupBy("lang").agg(F.count("*").alias("terms"))
     totals = used.groupBy("lang", "source").agg(F.sum("n").alias("total"))
@@ -185,7 +186,7 @@ def audit(docs: DataFrame) -> DataFrame:
     place = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
     known = kept(known.withColumn("place", place), "groups")
     scratch.drop("chunks", "sums", "whole", "terms", "bounds", "open", "kept")
-    return _pairs(used, known).unionByName(_terms(used, known))
+    return _pairs(used, known, bucket, tile).unionByName(_terms(used, known))
 
 
 def _terms(used: DataFrame, known: DataFrame) -> DataFrame:
@@ -203,26 +204,30 @@ def _ranked(rows: DataFrame, part: str) -> DataFrame:
     return rows.select("lang", "source", F.lit(part).alias("part"), "item", "value", F.row_number().over(order).alias("rank"))
 
 
-def _pairs(used: DataFrame, known: DataFrame) -> DataFrame:
-    tiles = known.groupBy("lang", F.floor(F.col("place") / TILE).alias("tile")).agg(
+def _pairs(used: DataFrame, known: DataFrame, bucket: int, size: int) -> DataFrame:
+    tiles = known.groupBy("lang", F.floor(F.col("place") / size).alias("tile")).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("place", "total"))), lambda x: x["total"]).alias("totals"), F.max("terms").alias("terms")
     )
-    buckets = F.ceil(F.col("terms") / BUCKET).cast("bigint")
+    buckets = F.ceil(F.col("terms") / bucket).cast("bigint")
     left = tiles.select("lang", F.col("tile").alias("first"), F.col("totals").alias("left"), "terms")
     right = tiles.select(F.col("lang").alias("lang2"), F.col("tile").alias("second"), F.col("totals").alias("right"))
     units = left.join(right, (F.col("lang") == F.col("lang2")) & (F.col("first") <= F.col("second"))).filter("terms > 0")
     units = units.select("lang", F.explode(F.sequence(F.lit(0).cast("bigint"), buckets - 1)).alias("bucket"), "first", "second", "left", "right", "terms")
 
-    last = known.groupBy("lang").agg(F.floor(F.max("place") / TILE).alias("last"))
+    last = known.groupBy("lang").agg(F.floor(F.max("place") / size).alias("last"))
     rows = used.join(known.select("lang", "source", "place", "terms"), ["lang", "source"]).join(last, "lang")
-    tile = F.floor(F.col("place") / TILE)
+    tile = F.floor(F.col("place") / size)
     rows = rows.select(
         "lang", F.pmod(F.xxhash64("term"), buckets).alias("bucket"), tile.alias("tile"), "term", F.col("place").cast("bigint").alias("place"), "n",
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("last"))).alias("other"),
     )
     rows = rows.select("lang", "bucket", F.least("tile", "other").alias("first"), F.greatest("tile", "other").alias("second"), "term", "place", "n")
     key = ["lang", "bucket", "first", "second"]
-    found = units.groupBy(*key).cogroup(rows.groupBy(*key)).applyInArrow(_compare, "lang string, a bigint, b bigint, value bigint, met bigint")
+
+    def compare(key, members, counts):
+        return _compare(key, members, counts, size)
+
+    found = units.groupBy(*key).cogroup(rows.groupBy(*key)).applyInArrow(compare, "lang string, a bigint, b bigint, value bigint, met bigint")
     found = found.filter("a < b").groupBy("lang", "a", "b").agg(F.sum("value").alias("value"), F.sum("met").alias("met"))
     found = found.unionByName(found.select("lang", F.col("b").alias("a"), F.col("a").alias("b"), "value", "met"))
 
