@@ -41,8 +41,8 @@ def with_source_health(jobs: DataFrame, sources: DataFrame, now: Column, grace:
 
 
 def not_seen(df: DataFrame, seen: DataFrame, key: str) -> DataFrame:
-    """Rows whose key isn't among the seen ones."""
-    return df.join(seen.select(key), key, "left_anti")
+    """Rows whose key isn't among the seen ones; a null that was seen counts as seen."""
+    return df.join(seen.select(F.col(key).alias("_key")), F.col(key).eqNullSafe(F.col("_key")), "left_anti")
 
 
 def match_company(df: DataFrame, terms: list[str], col: str = "company") -> DataFrame:
@@ -77,10 +77,18 @@ def attach_scores(batches: DataFrame, replies: DataFrame) -> tuple[DataFrame, Da
 
 
 def diff_by_key(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
-    """Every key as inserted, updated or stored, with the two rows as structs."""
-    old, new = existing.select(key, F.struct("*").alias("old")), incoming.select(key, F.struct("*").alias("new"))
+    """Every key once as inserted, updated or stored, with the two rows as structs. A null is a key; of a side's rows
+    of one key the least row (by its columns in order) counts."""
     kind = F.when(F.col("old").isNull(), "inserted").when(F.col("new").isNull(), "stored").otherwise("updated")
-    return old.join(new, key, "full_outer").withColumn("change", kind)
+    return both_sides(existing, incoming, key, F.min(F.struct("*")), F.min(F.struct("*"))).withColumn("change", kind)
+
+
+def both_sides(existing: DataFrame, incoming: DataFrame, key: str, old: Column, new: Column) -> DataFrame:
+    """(key, old, new): one row a key, with what the aggregates make of either side's rows, or null. A null is a key."""
+    left = existing.groupBy(F.col(key).alias("_old_key")).agg(old.alias("old"))
+    right = incoming.groupBy(F.col(key).alias("_new_key")).agg(new.alias("new"))
+    met = left.join(right, F.col("_old_key").eqNullSafe(F.col("_new_key")), "full_outer")
+    return met.select(F.coalesce("_old_key", "_new_key").alias(key), "old", "new")
 
 
 def build_queries(companies: DataFrame, templates: list[str]) -> DataFrame:
@@ -95,5 +103,8 @@ def attach_detail(listings: DataFrame, details: DataFrame, key: str = "url") ->
 
 
 def attach_outcome(listings: DataFrame, outcomes: DataFrame, key: str = "url") -> DataFrame:
-    """Listings with what their write came to; failed where there is no outcome."""
-    return listings.join(outcomes.select(key, "outcome"), key, "left").withColumn("outcome", F.coalesce("outcome", F.lit("failed")))
+    """Listings with what their write came to; failed where there is no outcome. A null is a key; of several outcomes
+    of a key the least by name counts."""
+    one = outcomes.groupBy(F.col(key).alias("_key")).agg(F.min("outcome").alias("outcome"))
+    met = listings.join(one, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+    return met.withColumn("outcome", F.coalesce("outcome", F.lit("failed")))

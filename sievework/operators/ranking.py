@@ -105,25 +105,12 @@ def order_hero(picks: DataFrame, has_image: Column, order: str = "seq", n: int =
 
 def failure_runs(fetch_log: DataFrame, n: int = 3) -> DataFrame:
     """For each source and run of n failures or more without a success between, where it began, the
-    failure that makes n, and its length. Outcomes other than failure and success leave a run as it is.
-
-    Rows are dealt by ranges of (source, order), written out; each range's pieces of runs keep their first n
-    failures, and pieces with as many successes before them in the source are one run. A task holds a range
-    and never a whole source."""
+    failure that makes n, and its length. Outcomes other than failure and success leave a run as it is; rows without a
+    place (null ``seq``) are left out. Ranges of a source are summed up apart and merged (``runs``)."""
     from sievework.operators.graphs import cut
+    from sievework.operators.runs import merged, summed_up
 
-    told = fetch_log.select("source_id", "seq", "outcome").filter(F.col("outcome").isin("failure", "success"))
-    ranges = cut(told.repartitionByRange("source_id", "seq").withColumn("_range", F.spark_partition_id()))
-    won = F.sum((F.col("outcome") == "success").cast("bigint"))
-    before = F.coalesce(F.sum("_won").over(Window.partitionBy("source_id").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    sizes = ranges.groupBy("source_id", "_range").agg(won.alias("_won")).select(F.col("source_id").alias("_source"), F.col("_range").alias("_at"), before.alias("_before"))
-    failed = ranges.withColumn("_local", won.over(Window.partitionBy("_range", "source_id").orderBy("seq"))).filter(F.col("outcome") == "failure")
-    turn = F.row_number().over(Window.partitionBy("_range", "source_id", "_local").orderBy("seq"))
-    firsts = F.collect_list(F.when(F.col("turn") <= n, F.col("seq")))
-    pieces = failed.withColumn("turn", turn).groupBy("source_id", "_range", "_local").agg(F.min("seq").alias("began"), firsts.alias("firsts"), F.count("*").alias("length"))
-    whole = pieces.join(sizes, (F.col("_range") == F.col("_at")) & F.col("source_id").eqNullSafe(F.col("_source"))).withColumn("island", F.col("_local") + F.col("_before"))
-    runs = whole.groupBy("source_id", "island").agg(F.min("began").alias("began"), F.try_element_at(F.sort_array(F.flatten(F.collect_list("firsts"))), F.lit(n)).alias("abort_at"), F.sum("length").alias("length"))
-    return runs.filter(F.col("length") >= n).drop("island")
+    return merged(cut(summed_up(fetch_log, n)), n).filter(F.col("length").isNotNull()).drop("trailing")
 
 
 def stale_sources(fetch_log: DataFrame, now: Column, days: int = 8) -> DataFrame:
@@ -152,5 +139,6 @@ def distinct_ids(df: DataFrame, col: str) -> DataFrame:
 
 
 def replace_rows(base: DataFrame, updates: DataFrame, key: str) -> DataFrame:
-    """U4: the base with rows replaced by their updates."""
-    return base.join(updates.select(key), key, "left_anti").unionByName(updates)
+    """U4: the base with rows replaced by their updates; a null is a key, and all updates of a key take its place."""
+    gone = updates.select(F.col(key).alias("_key"))
+    return base.join(gone, F.col(key).eqNullSafe(F.col("_key")), "left_anti").unionByName(updates)

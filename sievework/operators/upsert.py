@@ -7,26 +7,18 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievework.operators.dedupe import one_of, superseded_in_series
-from sievework.operators.joins import with_source_health
-
-
-def _side(df: DataFrame, key: str, name: str) -> DataFrame:
-    return df.select(F.col(key).alias(key), F.struct("*").alias(name))
-
-
-def _merged(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    return _side(old, key, "old").join(_side(new, key, "new"), key, "full_outer")
+from sievework.operators.dedupe import superseded_in_series
+from sievework.operators.joins import both_sides, with_source_health
 
 
 def upsert_news(existing: DataFrame, incoming: DataFrame, key: str = "url", keep_reviewed: bool = True) -> DataFrame:
     """M1: the new table with ``change``: inserted, updated (a strictly higher score), skipped or stored.
 
-    Of several incoming rows of a key the highest score counts, then the lowest ``seq``. A reviewed
-    status is kept unless ``keep_reviewed`` is false.
+    Of several rows of a key the highest score counts, then the lowest ``seq``, stored and incoming alike; a null is a
+    key. A reviewed status is kept unless ``keep_reviewed`` is false.
     """
-    best = incoming.groupBy(key).agg(F.max_by(F.struct("*"), F.struct("score", -F.col("seq"))).alias("new"))
-    both = _side(existing, key, "old").join(best, key, "full_outer")
+    best = F.max_by(F.struct("*"), F.struct("score", -F.col("seq")))
+    both = both_sides(existing, incoming, key, best, best)
     better = F.col("new.score") > F.col("old.score")
     change = F.when(F.col("old").isNull(), "inserted").when(F.col("new").isNull(), "stored").when(better, "updated").otherwise("skipped")
     out = both.withColumn("change", change)
@@ -40,8 +32,13 @@ def upsert_news(existing: DataFrame, incoming: DataFrame, key: str = "url", keep
     return out.select(*columns, "change")
 
 
+def _merged(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
+    return both_sides(existing, incoming, key, F.min(F.struct("*")), F.min(F.struct("*")))
+
+
 def upsert_events(existing: DataFrame, incoming: DataFrame, now: Column, key: str = "url") -> DataFrame:
-    """M2: seen times are always refreshed; content changes only while a row is pending; new rows are pending."""
+    """M2: seen times are always refreshed; content changes only while a row is pending; new rows are pending. A null is
+    a key; of several rows of a key the least (by its columns in order) counts."""
     fixed = {key, "status", "scraped_at", "first_seen_at", "last_seen_at"}
     fresh, known = F.col("old").isNull(), F.col("new").isNotNull()
     columns = []
@@ -59,12 +56,13 @@ def upsert_events(existing: DataFrame, incoming: DataFrame, now: Column, key: st
             value = F.when(fresh | (known & (F.col("old.status") == "pending")), new).otherwise(old)
         columns.append(value.alias(c))
     change = F.when(fresh, "inserted").when(~known, "stored").when(F.col("old.status") == "pending", "updated").otherwise("seen")
-    return _merged(existing, one_of(incoming, [key]), key).select(*columns, change.alias("change"))
+    return _merged(existing, incoming, key).select(*columns, change.alias("change"))
 
 
 def upsert_jobs(existing: DataFrame, incoming: DataFrame, now: Column, key: str = "url") -> tuple[DataFrame, DataFrame]:
-    """M3: (table, outcomes). Unknown: inserted as pending; archived: reactivated to pending; else updated, status kept."""
-    both = _merged(existing, one_of(incoming, [key]), key)
+    """M3: (table, outcomes). Unknown: inserted as pending; archived: reactivated to pending; else updated, status kept.
+    A null is a key; of several rows of a key the least (by its columns in order) counts."""
+    both = _merged(existing, incoming, key)
     outcome = F.when(F.col("new").isNull(), "stored").when(F.col("old").isNull(), "inserted").when(F.col("old.status") == "archived", "reactivated").otherwise("updated")
     marked = both.withColumn("outcome", outcome)
     columns = []
@@ -140,9 +138,9 @@ def import_sources(existing: DataFrame, discovered: DataFrame, now: Column) -> D
 
 
 def backfill_null(df: DataFrame, values: DataFrame, key: str, col: str) -> DataFrame:
-    """One column is filled where it's null; the rest stays."""
-    new = values.select(key, F.col(col).alias("_new"))
-    return df.join(new, key, "left").withColumn(col, F.coalesce(col, "_new")).select(*df.columns)
+    """One column is filled where it's null; the rest stays. A null is a key; of several values of a key the least counts."""
+    new = values.groupBy(F.col(key).alias("_key")).agg(F.min(col).alias("_new"))
+    return df.join(new, F.col(key).eqNullSafe(F.col("_key")), "left").withColumn(col, F.coalesce(col, "_new")).select(*df.columns)
 
 
 def add_seen(seen: DataFrame, delivered: DataFrame, key: str = "url") -> DataFrame:

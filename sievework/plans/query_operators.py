@@ -1042,3 +1042,139 @@ def flagship(spark: SparkSession, d: str) -> DataFrame:
     score = R.relevance_score(*(F.col(c) for c in ("title", "summary", "company", "source")), CORE, SPORTS)
     scored = jobs.withColumn("band", R.relevance_band(score)).filter(F.col("band").isNotNull())
     return scored.groupBy("source", "band").agg(F.count("*").alias("n"))
+
+
+def _spans(spark, d):
+    """The news of each span of days, in the order in which the spans arrive."""
+    news = view(spark, d, "v_news").select("seq", "url", F.col("published_at").cast("timestamp").alias("ts"), F.dayofmonth("published_at").alias("d"), F.month("published_at").alias("m"), F.year("published_at").alias("y")).filter("m = 1 AND y = 2024")
+    for first, last in _SPANS:
+        rows = news.filter(F.col("d").between(first, last))
+        yield rows.select("seq", F.when(F.col("d") == 17, F.concat(F.lit("tick/"), "url")).otherwise(F.col("url")).alias("url"), "ts")
+
+
+_SPANNED = "n AS (SELECT seq, CASE WHEN day(published_at) = 17 THEN 'tick/' ELSE '' END || url AS url, published_at AS ts, CASE WHEN day(published_at) <= 5 THEN 0 WHEN day(published_at) BETWEEN 15 AND 16 THEN 1 WHEN day(published_at) = 17 THEN 2 WHEN day(published_at) >= 25 THEN 3 END AS k FROM v_news WHERE month(published_at) = 1 AND year(published_at) = 2024)"
+
+
+@query("t2_unseen_ever", over("v_news", "SELECT 1").rsplit(" SELECT 1", 1)[0] + f", {_SPANNED} SELECT url, CAST(min(k) AS BIGINT) AS batch FROM n WHERE k IS NOT NULL GROUP BY url")
+def t2_ever(spark, d):
+    """An address is new once, also where it comes back after the watermark."""
+    place = _place(spark, "unseen")
+    for rows in _spans(spark, d):
+        rows.select("url", "ts").write.mode("append").parquet(f"{place}/in")
+        keep = lambda batch, number: batch.select("url").write.mode("overwrite").parquet(f"{place}/out/batch={number}")
+        T.stream_unseen(T.stream_landing(spark, f"{place}/in", rows.select("url", "ts").schema), "ts", "url", place, keep, words=64).awaitTermination()
+    found = spark.read.schema("url string, batch bigint").parquet(f"{place}/out")
+    # a watermark that moves makes one more batch without rows, so the place among batches with rows counts
+    order = found.select("batch").distinct().withColumn("k", F.row_number().over(Window.orderBy("batch")) - 1)
+    return found.join(F.broadcast(order), "batch").select("url", F.col("k").cast("bigint").alias("batch"))
+
+
+@query("t5_breaker_runs", over("v_fetch", "SELECT 1").rsplit(" SELECT 1", 1)[0] + """, i AS (SELECT *, sum(CASE WHEN outcome = 'success' THEN 1 ELSE 0 END) OVER (PARTITION BY source_id ORDER BY seq) AS island FROM v_fetch),
+    f AS (SELECT *, row_number() OVER (PARTITION BY source_id, island ORDER BY seq) AS k FROM i WHERE outcome = 'failure') SELECT source_id, seq AS abort_at FROM f WHERE k = 3""")
+def t5_runs(spark, d):
+    """The log arrives in three parts; runs go on from one to the next."""
+    place, log = _place(spark, "breaker"), view(spark, d, "v_fetch").select("source_id", "seq", "outcome")
+    top = log.agg(F.max("seq")).first()[0] or 0
+    for k in range(3):
+        log.filter(F.floor(F.col("seq") * 3 / (top + 1)) == k).write.mode("append").parquet(f"{place}/in")
+        T.stream_breaker_runs(T.stream_landing(spark, f"{place}/in", log.schema), place).awaitTermination()
+    return spark.read.schema("source_id bigint, abort_at bigint, batch bigint").parquet(f"{place}/opened").select("source_id", "abort_at")
+
+
+@query("t7_stream_split_late", over("v_news", "SELECT 1").rsplit(" SELECT 1", 1)[0] + f""", {_SPANNED}, r AS (SELECT *, 3 - k AS turn FROM n WHERE k IS NOT NULL), b AS (SELECT turn, max(ts) AS newest FROM r GROUP BY turn),
+    w AS (SELECT turn, max(newest) OVER (ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest FROM b)
+    SELECT seq, CASE WHEN ts < newest - INTERVAL 72 HOUR THEN 'late' ELSE 'on_time' END AS part, CAST(turn AS BIGINT) AS batch FROM r JOIN w USING (turn)""")
+def t7_stream(spark, d):
+    """The spans arrive from the newest to the oldest."""
+    place = _place(spark, "late")
+    for rows in reversed(list(_spans(spark, d))):
+        rows.select("seq", "ts").write.mode("append").parquet(f"{place}/in")
+
+        def sink(part):
+            return lambda batch, number: batch.select("seq").write.mode("overwrite").parquet(f"{place}/out/part={part}/batch={number}")
+
+        T.stream_split_late(T.stream_landing(spark, f"{place}/in", rows.select("seq", "ts").schema), "ts", 72, place, sink("on_time"), sink("late")).awaitTermination()
+    return spark.read.schema("seq bigint, part string, batch bigint").parquet(f"{place}/out").select("seq", "part", "batch")
+
+
+# Keyed updates where keys are null and repeat --------------------------------------------------------
+
+_ODD_NEWS = "n AS (SELECT seq, CASE WHEN seq % 17 = 0 THEN NULL ELSE url END AS url, score, status, published_at FROM v_news)"
+_ODD_JOBS = "j AS (SELECT job_id, CASE WHEN job_id % 11 = 0 THEN NULL ELSE 'u' || CAST(job_id % 500 AS VARCHAR) END AS url, title, status, job_function FROM v_job)"
+
+
+def _odd(name: str, ctes: str, sql: str) -> str:
+    return over(name, "SELECT 1").rsplit(" SELECT 1", 1)[0] + f", {ctes} {sql}"
+
+
+def _odd_news(spark, d):
+    news = view(spark, d, "v_news").withColumn("url", F.when(F.col("seq") % 17 != 0, F.col("url")))
+    cut = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    return news.filter(F.col("published_at") < cut), news.filter(F.col("published_at") >= cut)
+
+
+def _odd_jobs(spark, d):
+    url = F.when(F.col("job_id") % 11 != 0, F.concat(F.lit("u"), (F.col("job_id") % 500).cast("string")))
+    return view(spark, d, "v_job").withColumn("url", url).select("job_id", "url", "title", "status", "job_function")
+
+
+@query("m1_upsert_odd_keys", _odd("v_news", _ODD_NEWS, f"""
+    , o AS (SELECT * FROM n WHERE published_at < {_CUT} QUALIFY row_number() OVER (PARTITION BY url ORDER BY score DESC, seq) = 1),
+    i AS (SELECT * FROM n WHERE published_at >= {_CUT} QUALIFY row_number() OVER (PARTITION BY url ORDER BY score DESC, seq) = 1)
+    SELECT coalesce(o.url, i.url) AS url, CASE WHEN o.seq IS NULL OR i.score > o.score THEN i.seq ELSE o.seq END AS seq,
+           CASE WHEN o.seq IS NULL THEN 'inserted' WHEN i.seq IS NULL THEN 'stored' WHEN i.score > o.score THEN 'updated' ELSE 'skipped' END AS change
+    FROM o FULL JOIN i ON o.url IS NOT DISTINCT FROM i.url"""))
+def m1_odd(spark, d):
+    old, new = _odd_news(spark, d)
+    return M.upsert_news(old, new).select("url", "seq", "change")
+
+
+@query("m3_upsert_odd_keys", _odd("v_job", _ODD_JOBS, """
+    , o AS (SELECT url, title, status FROM j WHERE job_id % 3 <> 0 QUALIFY row_number() OVER (PARTITION BY url ORDER BY title, status) = 1),
+    i AS (SELECT url, min(title) AS title FROM j WHERE job_id % 3 <> 2 GROUP BY url)
+    SELECT coalesce(o.url, i.url) AS url, coalesce(i.title, o.title) AS title, CASE WHEN o.title IS NULL OR (i.title IS NOT NULL AND o.status = 'archived') THEN 'pending' ELSE o.status END AS status
+    FROM o FULL JOIN i ON o.url IS NOT DISTINCT FROM i.url"""))
+def m3_odd(spark, d):
+    jobs = _odd_jobs(spark, d)
+    old = jobs.filter("job_id % 3 <> 0").select("url", "title", "status", F.lit(None).cast("timestamp").alias("last_seen"))
+    return M.upsert_jobs(old, jobs.filter("job_id % 3 <> 2").select("url", "title"), at(NOW))[0].select("url", "title", "status")
+
+
+@query("m11_backfill_odd_keys", _odd("v_job", _ODD_JOBS, """
+    , v AS (SELECT url, min(job_function) AS f FROM j WHERE job_id % 5 = 0 GROUP BY url)
+    SELECT job_id, coalesce(job_function, f) AS job_function FROM j LEFT JOIN v ON j.url IS NOT DISTINCT FROM v.url"""))
+def m11_odd(spark, d):
+    jobs = _odd_jobs(spark, d)
+    return M.backfill_null(jobs, jobs.filter("job_id % 5 = 0").select("url", "job_function"), "url", "job_function").select("job_id", "job_function")
+
+
+@query("j4_not_seen_odd_keys", _odd("v_news", _ODD_NEWS, f"SELECT seq FROM n WHERE published_at >= {_CUT} AND NOT EXISTS (SELECT 1 FROM n AS o WHERE o.published_at < {_CUT} AND o.url IS NOT DISTINCT FROM n.url)"))
+def j4_odd(spark, d):
+    old, new = _odd_news(spark, d)
+    return J.not_seen(new, old, "url").select("seq")
+
+
+@query("j10_diff_odd_keys", _odd("v_news", _ODD_NEWS, f"""
+    , o AS (SELECT url, min(seq) AS seq FROM n WHERE published_at < {_CUT} GROUP BY url), i AS (SELECT url, min(seq) AS seq FROM n WHERE published_at >= {_CUT} GROUP BY url)
+    SELECT coalesce(o.url, i.url) AS url, o.seq AS old_seq, i.seq AS new_seq, CASE WHEN o.seq IS NULL THEN 'inserted' WHEN i.seq IS NULL THEN 'stored' ELSE 'updated' END AS change
+    FROM o FULL JOIN i ON o.url IS NOT DISTINCT FROM i.url"""))
+def j10_odd(spark, d):
+    old, new = (x.select("url", "seq") for x in _odd_news(spark, d))
+    return J.diff_by_key(old, new, "url").select("url", F.col("old.seq").alias("old_seq"), F.col("new.seq").alias("new_seq"), "change")
+
+
+@query("j13_outcome_odd_keys", _odd("v_job", _ODD_JOBS, """
+    , o AS (SELECT url, min(CASE WHEN status = 'approved' THEN 'inserted' ELSE 'updated' END) AS outcome FROM j WHERE job_id % 4 = 0 GROUP BY url)
+    SELECT job_id, coalesce(o.outcome, 'failed') AS outcome FROM j LEFT JOIN o ON j.url IS NOT DISTINCT FROM o.url"""))
+def j13_odd(spark, d):
+    jobs = _odd_jobs(spark, d)
+    outcomes = jobs.filter("job_id % 4 = 0").select("url", F.when(F.col("status") == "approved", "inserted").otherwise("updated").alias("outcome"))
+    return J.attach_outcome(jobs, outcomes).select("job_id", "outcome")
+
+
+@query("u4_replace_odd_keys", _odd("v_job", _ODD_JOBS, """
+    , u AS (SELECT url, job_id + 1000000 AS job_id FROM j WHERE job_id % 9 = 0)
+    SELECT url, job_id FROM j WHERE NOT EXISTS (SELECT 1 FROM u WHERE u.url IS NOT DISTINCT FROM j.url) UNION ALL SELECT url, job_id FROM u"""))
+def u4_odd(spark, d):
+    jobs = _odd_jobs(spark, d).select("url", "job_id")
+    return O.replace_rows(jobs, jobs.filter("job_id % 9 = 0").withColumn("job_id", F.col("job_id") + 1000000), "url")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
+from typing import Callable
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
 from sievework.operators.ranking import order_for_csv
@@ -20,13 +23,17 @@ def publish_version(df: DataFrame, table_dir: str, version: str | None = None) -
     folder = uuid4().hex
     path = f"{table_dir}/v-{folder}"
     df.write.parquet(path)
-    spark = df.sparkSession
-    turn = (_pointer(spark, table_dir).agg(F.max("turn")).first()[0] if _exists(spark, f"{table_dir}/pointer") else None) or 0
-    spark.createDataFrame([(turn + 1, version or folder, folder)], _POINTER).coalesce(1).write.mode("append").json(f"{table_dir}/pointer")
+    _point(df.sparkSession, table_dir, version or folder, folder)
     return path
 
 
 _POINTER = "turn bigint, version string, folder string"
+_MANIFEST = "bucket int, folder string"
+
+
+def _point(spark: SparkSession, table_dir: str, version: str, folder: str) -> None:
+    turn = (_pointer(spark, table_dir).agg(F.max("turn")).first()[0] if _exists(spark, f"{table_dir}/pointer") else None) or 0
+    spark.createDataFrame([(turn + 1, version, folder)], _POINTER).coalesce(1).write.mode("append").json(f"{table_dir}/pointer")
 
 
 def _pointer(spark: SparkSession, table_dir: str) -> DataFrame:
@@ -41,12 +48,87 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def read_version(spark: SparkSession, table_dir: str, other_than: str | None = None) -> DataFrame:
-    """The latest complete version; with ``other_than`` the latest of another name."""
+def _latest(spark: SparkSession, table_dir: str, other_than: str | None = None) -> str:
     pointer = _pointer(spark, table_dir)
     if other_than is not None:
         pointer = pointer.filter(F.col("version") != other_than)
-    return spark.read.parquet(f"{table_dir}/v-{pointer.agg(F.max_by('folder', 'turn')).first()[0]}")
+    return pointer.agg(F.max_by("folder", "turn")).first()[0]
+
+
+def read_version(spark: SparkSession, table_dir: str, other_than: str | None = None) -> DataFrame:
+    """The latest complete version, whole or in buckets; with ``other_than`` the latest of another name."""
+    folder = _latest(spark, table_dir, other_than)
+    if folder.startswith("m-"):
+        return _read_buckets(spark, table_dir, _manifest(spark, table_dir, folder))
+    return spark.read.parquet(f"{table_dir}/v-{folder}")
+
+
+def manifest(spark: SparkSession, table_dir: str) -> dict[int, str]:
+    """Where the latest version in buckets has each bucket: at most as many entries as there are buckets."""
+    return _manifest(spark, table_dir, _latest(spark, table_dir))
+
+
+def _manifest(spark: SparkSession, table_dir: str, folder: str) -> dict[int, str]:
+    return {r.bucket: r.folder for r in spark.read.schema(_MANIFEST).json(f"{table_dir}/{folder}").collect()}
+
+
+def _read_buckets(spark: SparkSession, table_dir: str, places: dict[int, str]) -> DataFrame:
+    schema = spark.read.schema("columns string").json(f"{table_dir}/schema").first()[0]
+    schema = StructType.fromJson(json.loads(schema))
+    paths = [f"{table_dir}/{folder}/bucket={bucket}" for bucket, folder in places.items()]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
+def bucket_of(key: str, buckets: int) -> Column:
+    """The bucket of a key; null keys have one too."""
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+
+
+def publish_buckets(df: DataFrame, table_dir: str, key: str, buckets: int = 64, version: str | None = None) -> str:
+    """A version as buckets of the key's hash, with a manifest that names each bucket's folder. The columns are
+    fixed by the first version."""
+    spark = df.sparkSession
+    if not _exists(spark, f"{table_dir}/schema"):
+        spark.createDataFrame([(df.schema.json(),)], "columns string").coalesce(1).write.json(f"{table_dir}/schema")
+    return _rewrite(df, table_dir, key, buckets, {}, version)
+
+
+def merge_buckets(batch: DataFrame, table_dir: str, key: str, upsert: Callable[[DataFrame, DataFrame], DataFrame], buckets: int = 64, version: str | None = None) -> str:
+    """The latest version (other than ``version``) merged with ``batch``. Only buckets that the batch's keys fall in are
+    read and written; the new manifest points to the old folders of the rest."""
+    spark = batch.sparkSession
+    places = _manifest(spark, table_dir, _latest(spark, table_dir, version))
+    touched = {r.bucket for r in batch.select(bucket_of(key, buckets).alias("bucket")).distinct().collect()}  # ``buckets`` at most
+    old = _read_buckets(spark, table_dir, {b: f for b, f in places.items() if b in touched})
+    rest = {b: f for b, f in places.items() if b not in touched}
+    return _rewrite(upsert(old, batch).select(*old.columns), table_dir, key, buckets, rest, version)
+
+
+def _rewrite(df: DataFrame, table_dir: str, key: str, buckets: int, rest: dict[int, str], version: str | None) -> str:
+    spark, name = df.sparkSession, uuid4().hex
+    marked = df.withColumn("bucket", bucket_of(key, buckets))
+    marked.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{table_dir}/w-{name}")
+    made = {}
+    if _exists(spark, f"{table_dir}/w-{name}/bucket=*"):  # a version without rows has no bucket
+        made = {r.bucket: f"w-{name}" for r in spark.read.parquet(f"{table_dir}/w-{name}").select("bucket").distinct().collect()}
+    rows = sorted((rest | made).items())
+    spark.createDataFrame(rows, _MANIFEST).coalesce(1).write.json(f"{table_dir}/m-{name}")
+    _point(spark, table_dir, version or name, f"m-{name}")
+    return f"{table_dir}/m-{name}"
+
+
+def drop_old_versions(spark: SparkSession, table_dir: str, keep: int = 2) -> list[str]:
+    """Deletes the folders that none of the latest ``keep`` versions reads; gives their names."""
+    rows = _pointer(spark, table_dir).orderBy(F.desc("turn")).limit(keep).collect()
+    used = {r.folder if r.folder.startswith("m-") else f"v-{r.folder}" for r in rows}
+    used |= {f for r in rows if r.folder.startswith("m-") for f in _manifest(spark, table_dir, r.folder).values()}
+    path = spark._jvm.org.apache.hadoop.fs.Path(table_dir)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in store.listStatus(path)]
+    gone = [n for n in names if n[:2] in ("m-", "v-", "w-") and n not in used]
+    for n in gone:
+        store.delete(spark._jvm.org.apache.hadoop.fs.Path(path, n), True)
+    return gone
 
 
 def save_seen(df: DataFrame, path: str) -> str:
