@@ -1,6 +1,6 @@
 """Exact joins of sets by Jaccard similarity: ordered prefixes with positions, stars first, texts verified in streams.
 
-A set is described by its size, a 256-bit parity sketch and the first items (``rare``) of an order that is the
+A set is described by its size, a 1,024-bit parity sketch and the first items (``rare``) of an order that is the
 same for all sets; two sets of similarity t or more share one of them (prefix filter). A posting carries the item's place
 and the set's size: at the first item that two sets share, what can still follow bounds their overlap, so most pairs of a
 posting list are refused before they're written. The sketch refuses more: where two sketches differ in
@@ -26,7 +26,7 @@ from sievework.operators import bloom
 
 #: Entries of a block of a posting list; members of a star that one task compares; words of the Bloom filter; rows handed on at once.
 BLOCK, STAR, WORDS, ROWS = 512, 512, 1 << 18, 50_000
-SKETCH = ["k0", "k1", "k2", "k3"]
+SKETCH = [f"k{i}" for i in range(16)]
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -50,9 +50,9 @@ class Bar:
 
 
 def sketch(items: np.ndarray) -> np.ndarray:
-    """256 parities of the items: sets that differ in k items differ in at most k of them."""
-    place = ((items.view(np.uint64) * _MIX) >> np.uint64(56)).astype(np.int64)
-    odd = np.bincount(place, minlength=256) & 1
+    """1,024 parities of the items: sets that differ in k items differ in at most k of them."""
+    place = ((items.view(np.uint64) * _MIX) >> np.uint64(54)).astype(np.int64)
+    odd = np.bincount(place, minlength=1024) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
@@ -143,7 +143,7 @@ def _apart(bar: Bar):
     def work(batches):
         """Of each list (g, sid, m, pos, root, sketch), the pairs of different roots that may be similar."""
         found: list[tuple[np.ndarray, np.ndarray]] = []
-        for starts, (g, sid, m, pos, root, *bits) in _lists(batches, 9):
+        for starts, (g, sid, m, pos, root, *bits) in _lists(batches, 5 + len(SKETCH)):
             ends = np.append(starts[1:], len(g))
             mixed = np.maximum.reduceat(root, starts) != np.minimum.reduceat(root, starts)
             for i, j in zip(starts[mixed].tolist(), ends[mixed].tolist(), strict=True):
