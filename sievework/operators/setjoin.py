@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from sievework.operators import bloom
 
-#: Entries of a block of a posting list; members of a star that one task compares; words of the Bloom filter; rows handed on at once.
-BLOCK, STAR, WORDS, ROWS = 512, 512, 1 << 18, 50_000
+#: Entries of a block of a posting list; members of a star that one task compares; words of the Bloom filter; pairs that a task holds to hand each on once.
+BLOCK, STAR, WORDS, ROWS = 512, 512, 1 << 18, 500_000
 SKETCH = [f"k{i}" for i in range(16)]
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -142,7 +142,7 @@ def block_pairs(m: np.ndarray, pos: np.ndarray, bar: Bar) -> tuple[np.ndarray, l
 def _apart(bar: Bar):
     def work(batches):
         """Of each list (g, sid, m, pos, root, sketch), the pairs of different roots that may be similar."""
-        found: list[tuple[np.ndarray, np.ndarray]] = []
+        found: list[np.ndarray] = []
         for starts, (g, sid, m, pos, root, *bits) in _lists(batches, 5 + len(SKETCH)):
             ends = np.append(starts[1:], len(g))
             mixed = np.maximum.reduceat(root, starts) != np.minimum.reduceat(root, starts)
@@ -164,19 +164,18 @@ def _apart(bar: Bar):
                     differ = sum(np.bitwise_count((k[a] ^ k[b]).view(np.uint64)).astype(np.int64) for k in bits)
                     may = differ <= m[a] + m[b] - 2 * least[x, y]
                     a, b = sid[a[may]], sid[b[may]]
-                    found.append((np.minimum(a, b), np.maximum(a, b)))
-                if sum(len(x) for x, _ in found) > ROWS:
-                    yield _pairs(found)
-                    found = []
-        yield _pairs(found)
+                    found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1))
+                if sum(map(len, found)) > 2 * ROWS:
+                    found = [_once(found)]
+                    if len(found[0]) > ROWS:
+                        yield _batch(["x", "y"], *found.pop().T)
+        yield _batch(["x", "y"], *_once(found).T)
 
     return work
 
 
-def _pairs(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    table = np.concatenate([np.stack(x, axis=1) for x in found] or [np.zeros((0, 2), np.int64)])
-    table = np.unique(table, axis=0)
-    return _batch(["x", "y"], table[:, 0], table[:, 1])
+def _once(found: list[np.ndarray]) -> np.ndarray:
+    return np.unique(np.concatenate([np.zeros((0, 2), np.int64), *found]), axis=0)
 
 
 def apart(sets: DataFrame, crowded: DataFrame, roots: DataFrame, bar: Bar) -> DataFrame:
