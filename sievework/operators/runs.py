@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, LongType, StructField, StructType
 
-_PIECE = [("range", LongType()), ("won", BooleanType()), ("lead", ArrayType(LongType())), ("lead_n", LongType()), ("trail", ArrayType(LongType())), ("trail_n", LongType())]
+_PIECE = [("_range", LongType()), ("won", BooleanType()), ("lead", ArrayType(LongType())), ("lead_n", LongType()), ("trail", ArrayType(LongType())), ("trail_n", LongType())]
 _RUN = [("began", LongType()), ("abort_at", LongType()), ("length", LongType()), ("trailing", LongType())]
 
 
@@ -31,7 +31,7 @@ def _sum_up(n: int):
 
         def complete(run: dict | None) -> None:
             if run and run["n"] >= n:
-                out.append({"source_id": at, "range": None, "won": True, "lead": run["first"], "lead_n": run["n"], "trail": [], "trail_n": 0})
+                out.append({"source_id": at, "_range": None, "won": True, "lead": run["first"], "lead_n": run["n"], "trail": [], "trail_n": 0})
 
         def ended() -> None:
             if piece:
@@ -40,13 +40,13 @@ def _sum_up(n: int):
         for batch in batches:
             source = batch.schema.field(0)
             lists = pa.list_(pa.int64())
-            kinds = {"range": pa.int64(), "won": pa.bool_(), "lead": lists, "lead_n": pa.int64(), "trail": lists, "trail_n": pa.int64()}
+            kinds = {"_range": pa.int64(), "won": pa.bool_(), "lead": lists, "lead_n": pa.int64(), "trail": lists, "trail_n": pa.int64()}
             schema = pa.schema([pa.field("source_id", source.type), *(pa.field(k, v) for k, v in kinds.items())])
             for name, seq, failed, place in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
                 if piece is None or name != at:
                     ended()
                     at, run = name, None
-                    piece = {"range": place, "won": False, "lead": [], "lead_n": 0}
+                    piece = {"_range": place, "won": False, "lead": [], "lead_n": 0}
                 if not failed:
                     if piece["won"]:
                         complete(run)
@@ -97,7 +97,7 @@ def _merge(n: int):
 def summed_up(log: DataFrame, n: int) -> DataFrame:
     """One summary for each source and range of ``log`` (source_id, seq, outcome), and the complete runs inside of n or more."""
     told = log.filter(F.col("outcome").isin("failure", "success") & F.col("seq").isNotNull()).select("source_id", F.col("seq").cast("bigint").alias("seq"), (F.col("outcome") == "failure").alias("failed"))
-    ranges = told.repartitionByRange("source_id", "seq").sortWithinPartitions("source_id", "seq").withColumn("range", F.spark_partition_id().cast("bigint"))
+    ranges = told.repartitionByRange("source_id", "seq").sortWithinPartitions("source_id", "seq").withColumn("_range", F.spark_partition_id().cast("bigint"))
     return ranges.mapInArrow(_sum_up(n), _schema(log.schema["source_id"], _PIECE))
 
 
@@ -105,9 +105,9 @@ def merged(pieces: DataFrame, n: int, before: DataFrame | None = None) -> DataFr
     """(source_id, began, abort_at, length, trailing): a row for each run of n failures or more that opens, with ``abort_at``
     its n-th failure, and a row for each source with the failures that trail. ``before`` (source_id, trailing)
     holds what trailed earlier; a source's summaries are one array, at most one for each range."""
-    inside = pieces.filter(F.col("range").isNull())
+    inside = pieces.filter(F.col("_range").isNull())
     inside = inside.select("source_id", F.element_at("lead", 1).alias("began"), F.element_at("lead", n).alias("abort_at"), F.col("lead_n").alias("length"), F.lit(None).cast("bigint").alias("trailing"))
-    whole = pieces.filter(F.col("range").isNotNull()).groupBy("source_id").agg(F.array_sort(F.collect_list(F.struct(*(name for name, _ in _PIECE)))).alias("pieces"))
+    whole = pieces.filter(F.col("_range").isNotNull()).groupBy("source_id").agg(F.array_sort(F.collect_list(F.struct(*(name for name, _ in _PIECE)))).alias("pieces"))
     if before is None:
         whole = whole.withColumn("before", F.lit(0).cast("bigint"))
     else:

@@ -120,7 +120,7 @@ def test_runs_over_ranges_match_brute_force(spark, log, n):
     df = spark.createDataFrame(log, "source_id bigint, seq bigint, outcome string").repartition(5)
     spark.conf.set("spark.sql.shuffle.partitions", "16")
     try:
-        pieces = runs.summed_up(df, n).filter("range IS NOT NULL AND source_id = 1").count()
+        pieces = runs.summed_up(df, n).filter("_range IS NOT NULL AND source_id = 1").count()
         got = sorted((r.source_id or -1, r.began, r.abort_at, r.length) for r in O.failure_runs(df, n).collect())
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
@@ -139,9 +139,9 @@ def test_summaries_merge_in_any_cut(log):
         for k, (i, j) in enumerate(zip([0, *cuts], [*cuts, len(own)], strict=True)):
             part = pa.table({"s": [r[0] for r in own[i:j]], "q": [r[1] for r in own[i:j]], "f": [r[2] for r in own[i:j]], "r": [k] * (j - i)})
             made += pa.Table.from_batches(runs._sum_up(3)(part.to_batches(max_chunksize=7))).to_pylist()
-        inside = [(p["lead"][0], p["lead"][2], p["lead_n"]) for p in made if p["range"] is None]
-        pieces = [{k: v for k, v in p.items() if k != "source_id"} for p in made if p["range"] is not None]
-        kinds = pa.schema([("s", pa.int64()), ("b", pa.int64()), ("p", pa.list_(pa.struct([("range", pa.int64()), ("won", pa.bool_()), ("lead", pa.list_(pa.int64())), ("lead_n", pa.int64()), ("trail", pa.list_(pa.int64())), ("trail_n", pa.int64())])))])
+        inside = [(p["lead"][0], p["lead"][2], p["lead_n"]) for p in made if p["_range"] is None]
+        pieces = [{k: v for k, v in p.items() if k != "source_id"} for p in made if p["_range"] is not None]
+        kinds = pa.schema([("s", pa.int64()), ("b", pa.int64()), ("p", pa.list_(pa.struct([("_range", pa.int64()), ("won", pa.bool_()), ("lead", pa.list_(pa.int64())), ("lead_n", pa.int64()), ("trail", pa.list_(pa.int64())), ("trail_n", pa.int64())])))])
         out = pa.Table.from_batches(runs._merge(3)(pa.Table.from_pylist([{"s": 1, "b": 0, "p": pieces}], kinds).to_batches())).to_pylist()
         got = sorted(inside + [(r["began"], r["abort_at"], r["length"]) for r in out if r["length"]])
         assert got == [r[1:] for r in brute_runs([r for r in log if r[0] == 1], 3)[0]]
