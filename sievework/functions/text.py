@@ -43,7 +43,7 @@ def choose_title(feed: Column | str, og: Column | str) -> Column:
 def norm_company(c: Column | str) -> Column:
     """a company's name without case, trailing parenthesis, one legal suffix and closing punctuation."""
     base = strip(F.regexp_replace(norm_key(c), r"\s*\([^)]*\)\s*$", ""))
-    ends = "|".join(s.replace(".", r"\.") for s in W.LEGAL_SUFFIXES)
+    ends = "|".join(s.replace(".", r"\.") for s in sorted(W.LEGAL_SUFFIXES, key=len, reverse=True))
     return strip(F.regexp_replace(F.rtrim(F.regexp_replace(base, f"(?:{ends})$", "")), "[.,;:]+$", ""))
 
 

@@ -23,35 +23,56 @@ SALVAGE_SIGNALS = [
 ]
 
 # Places that count as eligible, ambiguous or rejected.
-_LOCAL_PLACES = [
-    "dublin", "cork", "galway", "limerick", "waterford", "kilkenny", "ireland", "irish", ", ie", "co. ", "skerries", "skibbereen", "navan", "swords",
-    "castlebar", "carlow", "cavan", "sixmilebridge", "sandyford", "castleknock", "killarney", "donegal", "dundalk", "enniscorthy", "louth", "ennis",
-    "scarriff", "belfast", "newry",
-]
-_REMOTE_EUROPE = ["remote - emea", "remote - europe", "remote - eu", "remote emea", "remote europe"]
-_BRITAIN = [
-    "derry", "londonderry", "antrim", "northern ireland", "london", "leeds", "manchester", "birmingham", "edinburgh", "glasgow", "bristol",
-    "sheffield", "liverpool", "newcastle", "cardiff", "uk", "united kingdom", "england", "scotland", "wales", "remote - uk",
-]
-ELIGIBLE = _LOCAL_PLACES + _REMOTE_EUROPE
-ELIGIBLE_WIDE = _LOCAL_PLACES + _BRITAIN + _REMOTE_EUROPE
+ELIGIBLE = [
+    "dublin", "cork", "galway", "limerick", "belfast", "waterford", "kilkenny", "newry", "ireland", "irish", ", ie", "co. ",
+    "skerries", "skibbereen", "navan", "swords", "castlebar", "carlow", "cavan", "sixmilebridge", "sandyford", "castleknock", "killarney",
+    "donegal", "dundalk", "enniscorthy", "louth", "ennis", "scarriff",
+    "remote - emea", "remote - europe", "remote - eu", "remote emea", "remote europe",
+]
+ELIGIBLE_WIDE = [
+    "dublin", "cork", "galway", "limerick", "waterford", "kilkenny", "ireland", "irish", ", ie", "co. ",
+    "skerries", "skibbereen", "navan", "swords", "castlebar", "carlow", "cavan", "sixmilebridge", "sandyford", "castleknock", "killarney",
+    "donegal", "dundalk", "enniscorthy", "louth", "ennis", "scarriff",
+    "belfast", "newry", "derry", "londonderry", "antrim", "northern ireland",
+    "london", "leeds", "manchester", "birmingham", "edinburgh", "glasgow", "bristol", "sheffield", "liverpool", "newcastle", "cardiff",
+    "uk", "united kingdom", "england", "scotland", "wales",
+    "remote - uk", "remote - emea", "remote - europe", "remote - eu", "remote emea", "remote europe",
+]
 MANY_PLACES_REJECT = ["multiple locations", "multiple cities", "various locations"]
 MANY_PLACES_PENDING = ["locations", "multiple"]
+REJECTED = [
+    "remote - us", "remote - usa", "remote - canada", "remote - latam", "remote - apac", "remote - anz", "remote - uk", "remote - ukraine",
+    "remote - bulgaria", "remote ca",
+    "united states", ", usa",
+    ", ma", ", ny", ", ca", ", tx", ", wa", ", il", ", ne", ", nc", ", fl", ", ga", ", oh", ", pa", ", nj", ", az", ", or", ", id", ", nh", ", wv",
+    ", nv", ", me", ", ky", ", tn", ", mn", ", mo", ", va", ", md", ", sc", ", la", ", al", ", co",
+    "boston", "los angeles", "new york", "san francisco", "chicago", "seattle", "austin", "nashville", "denver", "atlanta", "raleigh", "las vegas",
+    "pueblo", "boise", "tempe", "portland", "sacramento", "bakersfield", "chico", "oroville", "susanville", "richvale", "redding", "jackson, c",
+    "tracy, c", "eureka, c", "noblesville", "lincoln, ne", "omaha", "mercer island", "redwood city", "miami", "dallas", "kansas city",
+    "north andover", "newburgh", "nashua", "north berwick", "white hall", "reynoldsburg",
+    "london", "manchester", "edinburgh", "united kingdom", "england",
+    "strava sf", "strava berlin", "strava london", "strava paris",
+    "sofia", "plovdiv", "tel aviv", "barcelona", "berlin", "paris", "amsterdam", "madrid", "tallinn", "estonia", "belgium", "netherlands",
+    "den bosch", "chiavari", "singapore", "shanghai", "guangzhou", "beijing", "tokyo", "japan", "korea", "seoul", "india", "mumbai", "jakarta",
+    "indonesia", "philippines", "manila", "sydney", "melbourne", "australia", "canada", "colombia", "doha", "dubai", "abu dhabi", "ukraine",
+    "bulgaria",
+]
 REJECTED_WIDE = [
-    "remote - us", "remote - usa", "remote - canada", "remote - latam", "remote - apac", "remote - anz", "remote - ukraine", "remote - bulgaria",
-    "remote ca", "united states", ", usa",
+    "remote - us", "remote - usa", "remote - canada", "remote - latam", "remote - apac", "remote - anz", "remote - ukraine",
+    "remote - bulgaria", "remote ca",
+    "united states", ", usa",
     ", ma", ", ny", ", ca", ", tx", ", wa", ", il", ", ne", ", nc", ", fl", ", ga", ", oh", ", pa", ", nj", ", az", ", or", ", id", ", nh", ", wv",
     ", nv", ", me", ", ky", ", tn", ", mn", ", mo", ", va", ", md", ", sc", ", la", ", al", ", co",
     "boston", "los angeles", "new york", "san francisco", "chicago", "seattle", "austin", "nashville", "denver", "atlanta", "raleigh", "las vegas",
     "pueblo", "boise", "tempe", "portland", "sacramento", "bakersfield", "chico", "oroville", "susanville", "richvale", "redding", "jackson, c",
     "tracy, c", "eureka, c", "noblesville", "lincoln, ne", "omaha", "mercer island", "redwood city", "miami", "dallas", "kansas city",
-    "north andover", "newburgh", "nashua", "north berwick", "white hall", "reynoldsburg", "strava sf", "strava berlin", "strava paris",
+    "north andover", "newburgh", "nashua", "north berwick", "white hall", "reynoldsburg",
+    "strava sf", "strava berlin", "strava paris",
     "sofia", "plovdiv", "tel aviv", "barcelona", "berlin", "paris", "amsterdam", "madrid", "tallinn", "estonia", "belgium", "netherlands",
     "den bosch", "chiavari", "singapore", "shanghai", "guangzhou", "beijing", "tokyo", "japan", "korea", "seoul", "india", "mumbai", "jakarta",
     "indonesia", "philippines", "manila", "sydney", "melbourne", "australia", "canada", "colombia", "doha", "dubai", "abu dhabi", "ukraine",
     "bulgaria",
 ]
-REJECTED = [*REJECTED_WIDE, "remote - uk", "london", "manchester", "edinburgh", "united kingdom", "england", "strava london"]
 OFFICE_ELIGIBLE = ["ireland", " ie", "-ie", "dublin", "limerick", "cork", "galway", "belfast", "waterford", "kilkenny", "derry", "londonderry"]
 OFFICE_BRITAIN = [
     " uk", "-uk", "united kingdom", "england", "scotland", "wales", "london", "leeds", "manchester", "birmingham", "edinburgh", "glasgow", "bristol",
@@ -108,7 +129,7 @@ FUNCTIONS = [
 SENIORITY_ORDER = ["Executive", "Lead", "Senior", "Mid-level"]
 
 # Legal suffixes of company names.
-LEGAL_SUFFIXES = [" limited", " company", " group", " gmbh", " inc.", " ltd", " inc", " llc", " plc", " co.", " bv", " co"]
+LEGAL_SUFFIXES = [" limited", " ltd", " inc.", " inc", " llc", " gmbh", " bv", " plc", " group", " company", " co.", " co"]
 
 # Top-level domains of several parts, and publishers by host.
 MULTI_TLDS = [".co.uk", ".co.nz", ".com.au", ".co.ie", ".co.za", ".org.uk", ".ac.uk", ".gov.uk"]
