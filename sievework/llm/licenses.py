@@ -1,27 +1,38 @@
-"""License scans: MinHash bands choose a template's anchors, then exact shingle containment.
+"""License scans: MinHash bands over overlapping text windows retrieve templates, exact containment verifies them.
 
 Texts and templates are lower-cased and cut into words of letters and digits, and words into shingles
 of SHINGLE words (all of a shorter template's words). A match has CONTAINMENT of the template's distinct
-shingles or more, however far apart they lie. A band is one permutation of the shingles, and its least
-shingle of a template is an anchor. There are BANDS bands or more: so many that a template has more anchors
-than a match may lack, and every text with a match holds an anchor. Texts that hold one are compared with
-the template shingle by shingle, as words.
-
-A place is the shortest run of template shingles that holds enough of them, and the missing ones that follow
+shingles or more, however far apart they lie.
+
+Retrieval. A template of n distinct shingles meets windows of w shingles of the text, w being the least power of two
+that isn't under n (two at least), each overlapping the next by half. Each of BANDS bands is the least value of one
+permutation; a window retrieves a template for its texts if they agree in a band. What the guarantee rests on: a band's least
+shingle of the template is in a matching text with probability CONTAINMENT or more; nothing of the template goes below
+it, so of the window that holds it only foreign shingles can, and there are at most w - 1 < 2 n. A band thus agrees with
+probability of CONTAINMENT * n / (n + w - 1) > 0.26, wherever and however far apart the copy's pieces lie, and all bands fail
+with probability below 4e-7 (``miss_bound``). A text that shares no shingle with a template meets it only if 32-bit values clash.
+
+Verification. Retrieved pairs of text and template are compared shingle by shingle, as words. A place is the shortest
+run of template shingles that holds enough of them, and the missing ones that follow
 or precede it. Runs without a gap over the template's length come first; then what is left over is joined
 across any gap, so words inserted into a copy don't hide it.
 
+Templates are the short texts and notices of TEMPLATES and the whole texts in ``license_texts``; ``build`` makes them of any
+texts by name. They are broadcast: a few megabytes, whatever the corpus.
+
 Defined cases: null and empty texts match nothing; a template found several times counts once a place;
 repeated rows get equal results; texts that share most of their words (the notices of one family) can each be
-found in one place; other columns pass through, but for one with the name of the new column, which is replaced.
+found in one place; windows run on over the texts of a slice, and one that touches several texts retrieves for each;
+other columns pass through, but for one with the name of the new column, which is replaced.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from functools import lru_cache
+from importlib.resources import files
 from typing import Iterator
 
 import numpy as np
@@ -32,11 +43,11 @@ from pyspark.sql import functions as F
 
 from sievework.llm import textbatch as tb
 
-SHINGLE, CONTAINMENT, BANDS, MOST_BANDS = 5, 0.8, 16, 240
+SHINGLE, CONTAINMENT, BANDS = 5, 0.8, 48
 RESULT = "struct<n_matches: bigint, licenses: string, best: double, spans: string>"
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 
-# Public license texts and notices by identifier.
+# Short public license texts and notices by identifier.
 _AS_IS = (
     "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
     "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."
@@ -140,11 +151,22 @@ def shingles(words: list[bytes], size: int) -> list[bytes]:
     return [b" ".join(words[k : k + size]) for k in range(len(words) - size + 1)]
 
 
-def minhashes(hashes: np.ndarray, band: int) -> np.ndarray:
-    """One permutation of 64-bit values, as 32 bits."""
-    salt = np.uint64(int.from_bytes(bytes((37 * band + 11 * k) % 251 + 1 for k in range(8)), "little"))
+def permuted(hashes: np.ndarray, band: int) -> np.ndarray:
+    """The values of one permutation of 64-bit hashes, as 32 bits: an odd multiplier and an addend of the band's own."""
+    low, high = np.array([2 * band + 1, 2 * band + 2], np.uint64), np.uint64(1)
     with np.errstate(over="ignore"):
-        return ((hashes ^ salt) * tb.PRIME >> np.uint64(32)).astype(np.uint32)
+        factor, addend = tb.mixed(low * tb.PRIME)
+        return ((hashes * (factor | high) + addend) >> np.uint64(32)).astype(np.uint32)
+
+
+def window_of(n: int) -> int:
+    """Shingles of the windows that a template of ``n`` distinct shingles meets."""
+    return max(2, 1 << (n - 1).bit_length())
+
+
+def miss_bound(n: int) -> float:
+    """At most this part of the matches of a template of ``n`` distinct shingles agrees in no band."""
+    return (1 - CONTAINMENT * n / (n + window_of(n) - 1)) ** BANDS
 
 
 @dataclass(frozen=True)
@@ -154,12 +176,12 @@ class Template:
     n: int  # shingles
     words: frozenset
     often: Counter  # how often the template has each shingle
-    hashes: np.ndarray
-    anchors: np.ndarray
+    hashes: np.ndarray  # distinct, in order
+    bands: np.ndarray  # the least value of each band
 
     @property
-    def stride(self) -> int:
-        return max(1, self.n // 2)
+    def window(self) -> int:
+        return window_of(len(self.hashes))
 
     @property
     def least(self) -> int:
@@ -178,25 +200,49 @@ def build(templates: dict[str, str]) -> list[Template]:
         view = np.frombuffer(data, np.uint8)
         _, hashes = tb.Words(view, np.array([0, len(view)]), tb.ALNUM).windows(*range(size))
         own = shingles(words, size)
-        made = Template(name, size, len(own), frozenset(own), Counter(own), np.unique(hashes), hashes[:0])
-        out.append(replace(made, anchors=_anchors(made)))
+        hashes = np.unique(hashes)
+        bands = np.array([permuted(hashes, band).min() for band in range(BANDS)], np.uint32)
+        out.append(Template(name, size, len(own), frozenset(own), Counter(own), hashes, bands))
     return out
 
 
-def _anchors(t: Template) -> np.ndarray:
-    """The least shingle of each band, over BANDS bands and then until more are known than a match may lack;
-    after MOST_BANDS all shingles."""
-    found: set[int] = set()
-    for band in range(MOST_BANDS):
-        if band >= BANDS and len(found) > len(t.words) - t.least:
-            return np.array(sorted(found), dtype=np.uint64)
-        found.add(int(t.hashes[minhashes(t.hashes, band).argmin()]))
-    return t.hashes
+def whole_texts() -> dict[str, str]:
+    """The whole licence texts that come with the package, by identifier."""
+    folder = files("sievework.llm") / "license_texts"
+    return {f"{x.name.removesuffix('.txt')}-text": x.read_text("utf-8") for x in sorted(folder.iterdir(), key=lambda x: x.name) if x.name.endswith(".txt")}
 
 
 @lru_cache(maxsize=1)
 def default_templates() -> list[Template]:
-    return build(TEMPLATES)
+    return build(TEMPLATES | whole_texts())
+
+
+def retrieve(hashes: np.ndarray, texts: np.ndarray, n_texts: int, templates: list[Template]) -> np.ndarray:
+    """(text, template) booleans: which templates agree in a band with a window that touches the text.
+
+    ``hashes`` are a slice's shingles and ``texts`` their texts, in order. A band's least values of blocks of 1, 2, 4, ...
+    shingles are made from those of half the length; two neighbours are a window.
+    """
+    out = np.zeros((n_texts, len(templates)), dtype=bool)
+    n = len(hashes)
+    if not n:
+        return out
+    by_window: dict[int, list[int]] = {}
+    for i, t in enumerate(templates):
+        by_window.setdefault(t.window, []).append(i)
+    for band in range(BANDS):
+        block, size = permuted(hashes, band), 1
+        while size <= max(by_window) // 2:
+            ids = by_window.get(2 * size, ())
+            window = np.minimum(block[:-1], block[1:]) if ids and len(block) > 1 else block
+            for i in ids:
+                for k in np.flatnonzero(window == templates[i].bands[band]).tolist():
+                    first, last = texts[k * size], texts[min((k + 2) * size, n) - 1]
+                    out[first : last + 1, i] = True
+            if len(block) % 2:
+                block = np.append(block, block[-1])
+            block, size = np.minimum(block[::2], block[1::2]), 2 * size
+    return out
 
 
 def _taken(ids: list, s: int, e: int, low: int, high: int, often: Counter) -> tuple[int, int]:
@@ -245,32 +291,25 @@ def scan_slice(data: np.ndarray, offsets: np.ndarray, templates: list[Template])
     """(template, containment, first byte, end byte) of each match of each text of a lower-cased slice."""
     found: list[list[tuple[str, float, int, int]]] = [[] for _ in range(len(offsets) - 1)]
     words = tb.Words(data, offsets, tb.ALNUM)
-    low = np.uint64(0xFFFF)
     for size in sorted({t.size for t in templates}):
         first_word, hashes = words.windows(*range(size))
+        texts = words.texts[first_word]
         group = [t for t in templates if t.size == size]
-        known = np.unique(np.concatenate([t.hashes for t in group]))
-        maybe = np.zeros(1 << 16, dtype=bool)
-        maybe[known & low] = True
-        hits = np.flatnonzero(maybe[hashes & low])
-        hits = hits[np.isin(hashes[hits], known)]
-        texts = words.texts[first_word[hits]]
-        for t in group:
-            own = np.isin(hashes[hits], t.hashes)
-            held = np.bincount(texts[own], minlength=len(found))
-            anchored = np.bincount(texts[own & np.isin(hashes[hits], t.anchors)], minlength=len(found))
-            for text in np.flatnonzero((anchored > 0) & (held >= t.least)).tolist():
-                a, b = np.searchsorted(texts, [text, text + 1])
-                at, ids = [], []
-                for i in hits[a:b][own[a:b]].tolist():
-                    k = first_word[i]
-                    s = b" ".join(data[words.starts[k + j] : words.ends[k + j]].tobytes() for j in range(size))
-                    if s in t.words:
-                        at.append(int(k))
-                        ids.append(s)
-                for s, e in places(at, ids, t):
-                    start, stop = words.starts[at[s]] - offsets[text], words.ends[at[e - 1] + size - 1] - offsets[text]
-                    found[text].append((t.name, len(set(ids[s:e])) / len(t.words), int(start), int(stop)))
+        for text, k in zip(*(x.tolist() for x in np.nonzero(retrieve(hashes, texts, len(found), group))), strict=True):
+            t = group[k]
+            a, b = np.searchsorted(texts, [text, text + 1])
+            hits = a + np.flatnonzero(np.isin(hashes[a:b], t.hashes))
+            if len(hits) < t.least:
+                continue
+            at, ids = [], []
+            for i in first_word[hits].tolist():
+                s = b" ".join(data[words.starts[i + j] : words.ends[i + j]].tobytes() for j in range(size))
+                if s in t.words:
+                    at.append(i)
+                    ids.append(s)
+            for s, e in places(at, ids, t):
+                start, stop = words.starts[at[s]] - offsets[text], words.ends[at[e - 1] + size - 1] - offsets[text]
+                found[text].append((t.name, len(set(ids[s:e])) / len(t.words), int(start), int(stop)))
     return [sorted(x, key=lambda m: (m[2], m[0])) for x in found]
 
 

@@ -91,7 +91,7 @@ class Words:
         with np.errstate(over="ignore"):
             sums = np.zeros(len(data) + 1, dtype=np.uint64)
             np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
-            self.hashes = _finish((sums[self.ends] - sums[self.starts]) * down[self.starts])
+            self.hashes = mixed((sums[self.ends] - sums[self.starts]) * down[self.starts])
         self._sums, self._down = sums, down
 
     def __len__(self) -> int:
@@ -108,17 +108,18 @@ class Words:
             value = np.zeros(len(same), np.uint64)
             for k, place in enumerate(places):
                 value += self.hashes[same + place] * MIX[k % len(MIX)]
-        return same, _finish(value + np.uint64(last))
+        return same, mixed(value + np.uint64(last))
 
     def stems(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """(index, hash of the first ``size`` bytes) of the words that are longer."""
         longer = np.flatnonzero(self.ends - self.starts > size)
         starts = self.starts[longer]
         with np.errstate(over="ignore"):
-            return longer, _finish((self._sums[starts + size] - self._sums[starts]) * self._down[starts] + np.uint64(size))
+            return longer, mixed((self._sums[starts + size] - self._sums[starts]) * self._down[starts] + np.uint64(size))
 
 
-def _finish(value: np.ndarray) -> np.ndarray:
+def mixed(value: np.ndarray) -> np.ndarray:
+    """Values whose every bit depends on all bits of 64-bit numbers."""
     with np.errstate(over="ignore"):
         value = value ^ (value >> np.uint64(29))
         value = value * np.uint64(0xBF58476D1CE4E5B9)
