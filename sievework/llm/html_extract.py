@@ -42,7 +42,11 @@ SILENT = frozenset("script style noscript template svg math iframe object textar
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _SPACE = frozenset("br img td wbr input".split())
 _USED = frozenset(["class", "id", "role", "data-main", "hidden", "style"])
-_END_OF = {tag: re.compile(rf"</{tag}\s*+>", re.IGNORECASE) for tag in SILENT}
+#: An end tag may hold white space, a slash and attributes; one that the page cuts off ends with it.
+_END_OF = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*+(?:>|\Z)", re.IGNORECASE) for tag in SILENT}
+#: The end of a comment, from behind its first two hyphens on: ``<!-->`` and ``<!--->`` are whole comments.
+_COMMENT_END = re.compile(r"-?>")
+_LONG_COMMENT_END = re.compile(r"--!?>")
 #: A new element of the first kind closes an open one of the second.
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 #: An attribute's name and, after an equals sign, the quote that opens its value or the bare value.
@@ -142,8 +146,12 @@ def leaf_blocks(html: str | None) -> list[Block]:
         mark = html[at + 1 : at + 2]
         if mark in ("!", "?"):
             add(html[begin:at])
-            end = html.find("-->", at + 4) if html.startswith("<!--", at) else html.find(">", at)
-            begin = at = n if end < 0 else end + (3 if html.startswith("-->", end) else 1)
+            if html.startswith("<!--", at):
+                ended = _COMMENT_END.match(html, at + 4) or _LONG_COMMENT_END.search(html, at + 4)
+                begin = at = n if ended is None else ended.end()
+            else:
+                end = html.find(">", at)
+                begin = at = n if end < 0 else end + 1
             continue
         closing = mark == "/"
         m = _NAME.match(html, at + 1 + closing)
