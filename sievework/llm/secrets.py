@@ -43,7 +43,7 @@ _HEX_RUN = re.compile(r"[0-9a-f]{24,}")
 #: Further credential shapes: (kind, lower-case text that must occur, pattern).
 WIDER = (
     ("private_key", "-----begin", re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----(?:(?!-----BEGIN ).)*?-----END \1-----", re.DOTALL)),
-    ("jwt", "eyj", re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")),
+    ("jwt", "eyj", re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+")),
     ("url_login", "://", re.compile(r"\b[a-z][a-z0-9+.-]{1,15}+://[^\s:/@]++:(?P<value>[^\s:/@]{3,}+)@", re.IGNORECASE)),
     ("bearer", "bearer ", re.compile(r"\bbearer [A-Za-z0-9._~+/-]{20,}+=*+", re.IGNORECASE)),
 )
