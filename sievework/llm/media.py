@@ -15,9 +15,10 @@ that neither side ever holds more than a group of segments in its working arrays
 holds the payload's length.
 
 Defined cases: a null or empty text is 64 zero bytes; equal texts give equal files and features; a media
-cell that is null, cut off, damaged or no progressive JPEG file of at most MOST_PIXELS gives a null
-struct; other columns pass through, but for one with the name of the new column, which is replaced. A
-text of any length is one image: its sides reach 65,520 pixels at 6.4 GB, and a cell holds 2 GB at most.
+cell that is null, cut off, damaged or no progressive JPEG file gives a null struct, and so does a foreign
+file of over MOST_PIXELS, which a few bytes can declare; other columns pass through, but for one with the name of the
+new column, which is replaced. A text of any length is one image and is read back whole: its sides reach 65,520 pixels at
+6.4 GB, and a cell holds 2 GB at most. A file is known as one of these by its comment and the sides that follow from it.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import math
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterable
@@ -431,7 +433,7 @@ def parse(data: bytes) -> tuple[Image, list]:
         elif marker == 0xDD:
             interval = int.from_bytes(body, "big")
         elif marker == 0xC2:
-            image = _frame(body)
+            image = _frame(body, comment)
         elif 0xC0 <= marker <= 0xCF:
             raise ValueError("not a progressive JPEG file")
         elif marker == 0xDA:
@@ -445,9 +447,17 @@ def parse(data: bytes) -> tuple[Image, list]:
     return image, scans
 
 
-def _frame(body: bytes) -> Image:
+def _is_own(comment: bytes, width: int, height: int) -> bool:
+    """True if the comment states a payload whose file has these sides and that a cell can hold."""
+    stated = re.fullmatch(rb"payload (\d{1,10}) of (\d{1,10})", comment)
+    if not stated or not int(stated[1]) <= int(stated[2]) < 1 << 31 or int(stated[2]) < UNIT or int(stated[2]) % UNIT:
+        return False
+    return (width, height) == tuple(16 * x for x in sides(int(stated[2]) // UNIT))
+
+
+def _frame(body: bytes, comment: bytes = b"") -> Image:
     image = Image(int.from_bytes(body[1:3], "big"), int.from_bytes(body[3:5], "big"))
-    if not 0 < image.width * image.height <= MOST_PIXELS:
+    if not 0 < image.width * image.height <= MOST_PIXELS and not _is_own(comment, image.width, image.height):
         raise ValueError("an image of no size, or of too many pixels")
     most = [max(body[7 + 3 * i] >> s & 15 for i in range(body[5])) for s in (4, 0)]
     units = [-(-image.width // (8 * most[0])), -(-image.height // (8 * most[1]))]
