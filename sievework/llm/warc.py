@@ -17,9 +17,10 @@ Any ARC file can be converted: HTTP heads with or without Content-Length and wit
 
 Defined cases: a null payload is empty; repeated rows of one id and payload are all responses if the id
 is the smallest, or else all revisits; a row without id is always a response; a null address becomes
-``urn:none`` and white space in an address is percent-encoded; a null archive has no records; an archive
-that ends inside a record, or whose field line is of no known version, is an error; other columns
-aren't stored.
+``urn:none`` and white space in an address is percent-encoded; a null archive has no records; what is
+damaged (a gzip member, a record cut off or without a length, a file whose field line is of no known version, a record
+that isn't what its digests say) is left out, told by ``rejects`` with its place and reason, and the rest is read; with
+``strict``, as ``archive`` reads what it wrote itself, it is an error; other columns aren't stored.
 """
 
 from __future__ import annotations
@@ -55,28 +56,45 @@ _ID_HEADER = b"X-Page-Id"
 #: A revisit's payload has this many bytes.
 _SIZE_HEADER = "X-Payload-Bytes"
 _PART = 1 << 13
+_GZIP = b"\x1f\x8b\x08"
+#: A line that looks like a record's: address, host, time, more fields and a length.
+_ARC_LINE = re.compile(rb"\n(?=[A-Za-z][A-Za-z0-9+.-]{0,30}:[^\n]{1,2000}? [0-9A-Fa-f.:]{1,45} \d{8,14} [^\n]{1,300} \d{1,12}\r?\n)")
+_REJECTS = pa.schema([("archive", pa.string()), ("place", pa.int64()), ("reason", pa.string())])
 
 
 def member(data: bytes) -> bytes:
     return gzip.compress(data, 4, mtime=0)
 
 
-def content_of(archive: bytes | None) -> bytes:
+#: What can't be read of an archive: (where it begins, reason). A reader without such a list raises ValueError instead.
+Rejects = list[tuple[int, str]]
+
+
+def content_of(archive: bytes | None, rejects: Rejects | None = None) -> bytes:
     """Uncompressed content of an archive of gzip members, or of one that isn't compressed.
 
-    Members are read from short parts of the archive, so that what follows a member is never copied as a whole.
+    Members are read from short parts of the archive, so that what follows a member is never copied as a whole. A
+    damaged member is left out; reading goes on where the next one begins.
     """
-    if not archive or not archive.startswith(b"\x1f\x8b"):
+    if not archive or not archive.startswith(_GZIP):
         return archive or b""
     out, at, view = [], 0, memoryview(archive)
     while at < len(view):
-        reader = zlib.decompressobj(31)
-        while not reader.eof:
-            part = view[at : at + _PART]
-            if not len(part):
-                raise ValueError("the archive ends inside a gzip member")
-            out.append(reader.decompress(part))
-            at += len(part) - len(reader.unused_data)
+        begin, parts, reader = at, [], zlib.decompressobj(31)
+        try:
+            while not reader.eof:
+                part = view[at : at + _PART]
+                if not len(part):
+                    raise ValueError("the archive ends inside a gzip member")
+                parts.append(reader.decompress(part))
+                at += len(part) - len(reader.unused_data)
+            out += parts
+        except (ValueError, zlib.error) as e:
+            if rejects is None:
+                raise ValueError(str(e)) from e
+            rejects.append((begin, f"gzip: {e}"))
+            at = archive.find(_GZIP, begin + 1)
+            at = len(view) if at < 0 else at
         while at < len(view) and not view[at]:  # padding
             at += 1
     return b"".join(out)
@@ -103,9 +121,10 @@ def arc_file(name: str, version: int, rows: list[tuple[int | None, str | None, b
     return out
 
 
-def parse_arc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
+def parse_arc(data: bytes, rejects: Rejects | None = None) -> Iterator[tuple[dict[str, str], bytes]]:
     """(fields by name, block) of each record, read by the version block's field line and declared lengths.
-    Files that follow one another in ``data`` each have a version block."""
+    Files that follow one another in ``data`` each have a version block. After a record that can't be read, reading goes on at the
+    next line that looks like a header: an address, a time and, at its end, a length."""
     names: list[str] = []
     at = 0
     while True:
@@ -113,22 +132,44 @@ def parse_arc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
             at += 1
         if at >= len(data):
             return
-        end = data.find(b"\n", at)
-        if end < 0:
-            raise ValueError("the archive ends inside a header line")
-        line = data[at:end].decode("utf-8", "replace").rstrip("\r")
-        size = int(line.rsplit(" ", 1)[1])
-        block = data[end + 1 : end + 1 + size]
-        if len(block) < size:
-            raise ValueError(f"the archive ends inside a record of {size} bytes")
-        at = end + 1 + size
-        if line.startswith("filedesc:") or not names:
-            version, fields = block.decode().splitlines()[:2]
-            names = fields.split(" ")
-            if names != FIELDS.get(int(version.split(" ", 1)[0]), "").split(" "):
-                raise ValueError(f"unknown field line {fields!r}")
+        try:
+            record, names, end = _arc_record(data, at, names)
+        except (ValueError, IndexError) as e:
+            if rejects is None:
+                raise ValueError(str(e)) from e
+            rejects.append((at, str(e)))
+            following = _ARC_LINE.search(data, at)
+            at = following.end() if following else len(data)
             continue
-        yield dict(zip(names, line.rsplit(" ", len(names) - 1), strict=True)), block
+        at = end
+        if record:
+            yield record
+
+
+def _arc_record(data: bytes, at: int, names: list[str]) -> tuple[tuple[dict[str, str], bytes] | None, list[str], int]:
+    """(record, or None for a version block; field names; end) of what begins at ``at``."""
+    end = data.find(b"\n", at)
+    if end < 0:
+        raise ValueError("the archive ends inside a header line")
+    line = data[at:end].decode("utf-8", "replace").rstrip("\r")
+    length = line.rsplit(" ", 1)[-1]
+    if not (length.isascii() and length.isdigit()):
+        raise ValueError("a header line without a length")
+    size = int(length)
+    block = data[end + 1 : end + 1 + size]
+    if len(block) < size:
+        raise ValueError(f"the archive ends inside a record of {size} bytes")
+    if line.startswith("filedesc:") or not names:
+        version, fields = [*block.decode("utf-8", "replace").splitlines(), "", ""][:2]
+        names = fields.split(" ")
+        number = version.split(" ", 1)[0]
+        if not number.isdigit() or names != FIELDS.get(int(number), "").split(" "):
+            raise ValueError(f"unknown field line {fields[:80]!r}")
+        return None, names, end + 1 + size
+    values = line.rsplit(" ", len(names) - 1)
+    if len(values) < len(names):
+        raise ValueError("a header line of too few fields")
+    return (dict(zip(names, values, strict=True)), block), names, end + 1 + size
 
 
 def to_arc(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -198,19 +239,28 @@ def warc_record(kind: str, headers: list[tuple[str, str]], block: bytes) -> byte
     return b"WARC/1.1\r\n" + lines.encode() + b"\r\n" + block + b"\r\n\r\n"
 
 
-def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, block) of each record of uncompressed WARC content."""
+def parse_warc(data: bytes, rejects: Rejects | None = None) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(headers, block) of each record of uncompressed WARC content. After a record that can't be read, reading goes on at
+    the next version line that follows a blank one."""
     at = 0
     while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        version, *lines = data[at:end].decode().split("\r\n")
-        if not version.startswith("WARC/"):
-            raise ValueError(f"no record at byte {at}")
-        headers = dict(line.split(": ", 1) for line in lines)
-        size = int(headers["Content-Length"])
-        block = data[end + 4 : end + 4 + size]
-        if len(block) < size or data[end + 4 + size : end + 8 + size] != b"\r\n\r\n":
-            raise ValueError("a record doesn't have its declared length")
+        try:
+            end = data.index(b"\r\n\r\n", at)
+            version, *lines = data[at:end].decode().split("\r\n")
+            if not version.startswith("WARC/"):
+                raise ValueError("no record")
+            headers = dict(line.split(": ", 1) for line in lines)
+            size = int(headers["Content-Length"])
+            block = data[end + 4 : end + 4 + size]
+            if len(block) < size or data[end + 4 + size : end + 8 + size] != b"\r\n\r\n":
+                raise ValueError("a record doesn't have its declared length")
+        except (ValueError, KeyError) as e:
+            if rejects is None:
+                raise ValueError(f"{e} at byte {at}") from e
+            rejects.append((at, str(e)))
+            at = data.find(b"\r\n\r\nWARC/", at)
+            at = len(data) if at < 0 else at + 4
+            continue
         at = end + 8 + size
         yield headers, block
 
@@ -252,14 +302,16 @@ RECORDS = "page_id: bigint, digest: string, payload_bytes: bigint, record: binar
 _RECORDS = pa.schema([("page_id", pa.int64()), ("digest", pa.string()), ("payload_bytes", pa.int64()), ("record", pa.binary())])
 
 
-def records(arcs: DataFrame, whole: bool = True) -> DataFrame:
-    """A row for each record of ARC archives, with its WARC record as a gzip member; without ``whole`` that is null."""
+def records(arcs: DataFrame, whole: bool = True, strict: bool = False) -> DataFrame:
+    """A row for each record of ARC archives, with its WARC record as a gzip member; without ``whole`` that is null. Damaged parts are
+    left out and listed by ``rejects``; with ``strict`` they fail the job."""
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column(0):
                 rows = []
-                for fields, block in parse_arc(content_of(content.as_py())):
+                bad = None if strict else []
+                for fields, block in parse_arc(content_of(content.as_py(), bad), bad):
                     if whole:
                         key, digest, size, record = converted(fields, block)
                         rows.append({"page_id": key, "digest": digest, "payload_bytes": size, "record": member(record)})
@@ -271,10 +323,35 @@ def records(arcs: DataFrame, whole: bool = True) -> DataFrame:
     return arcs.select("content").mapInArrow(parse, RECORDS)
 
 
-def convert(arcs: DataFrame) -> DataFrame:
-    """WARC archives (archive, content) of all records of ARC archives."""
+def rejects(archives: DataFrame) -> DataFrame:
+    """(archive, place, reason) of what can't be read of ARC or WARC archives: places of bytes in the archive for damaged gzip
+    members, in the uncompressed content for records, which may be well formed but not what their digests say."""
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                bad: Rejects = []
+                data = content_of(content.as_py(), bad)
+                if data.startswith(b"WARC/"):
+                    for headers, block in parse_warc(data, bad):
+                        try:
+                            found_in(headers, block)
+                        except (ValueError, KeyError) as e:
+                            bad.append((-1, f"{headers.get('WARC-Record-ID')}: {e}"))
+                else:
+                    for _ in parse_arc(data, bad):
+                        pass
+                rows += [{"archive": name, "place": place, "reason": reason} for place, reason in bad]
+            yield pa.RecordBatch.from_pylist(rows, schema=_REJECTS)
+
+    return archives.select("archive", "content").mapInArrow(parse, "archive: string, place: bigint, reason: string")
+
+
+def convert(arcs: DataFrame, strict: bool = False) -> DataFrame:
+    """WARC archives (archive, content) of all records of ARC archives; damaged parts as in ``records``."""
     spark = arcs.sparkSession
-    narrow = cut(records(arcs, whole=False).filter(F.col("page_id").isNotNull() & (F.col("payload_bytes") >= LEAST)).select("page_id", "digest"), spark)
+    narrow = cut(records(arcs, False, strict).filter(F.col("page_id").isNotNull() & (F.col("payload_bytes") >= LEAST)).select("page_id", "digest"), spark)
     shared = narrow.groupBy("digest").agg(F.min("page_id").alias("first"), F.max("page_id").alias("other")).filter("other > first").select("digest", "first")
     later = join_hot(narrow, cut(shared, spark), "digest").filter(F.col("page_id") > F.col("first")).select(F.col("page_id").alias("key"), "digest", "first").distinct()
     # Written as files, whose size Spark sees: where few records are revisits, their list is broadcast and no payload is shuffled.
@@ -282,7 +359,7 @@ def convert(arcs: DataFrame) -> DataFrame:
     later.write.parquet(places)
     later = spark.read.parquet(places)
     # Records without an id meet nobody; a hash of their own deals them over all tasks.
-    found = records(arcs).withColumn("key", F.coalesce("page_id", F.xxhash64("record"))).withColumn("digest", F.when(F.col("page_id").isNull(), "").otherwise(F.col("digest")))
+    found = records(arcs, True, strict).withColumn("key", F.coalesce("page_id", F.xxhash64("record"))).withColumn("digest", F.when(F.col("page_id").isNull(), "").otherwise(F.col("digest")))
     rows = found.join(later, ["key", "digest"], "left").select("record", "first")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,23 +387,36 @@ def convert(arcs: DataFrame) -> DataFrame:
     return rows.mapInArrow(write, ARCHIVES)
 
 
-def read(warcs: DataFrame) -> DataFrame:
-    """FOUND: a row for each response, revisit or resource record. Digests of stored payloads and blocks are checked."""
+def found_in(headers: dict[str, str], block: bytes) -> dict | None:
+    """The row of a response, revisit or resource record, None for other kinds. Digests of stored payloads and blocks are checked."""
+    kind, refers = headers["WARC-Type"], headers.get("WARC-Refers-To")
+    if kind not in ("response", "revisit", "resource"):
+        return None
+    _, body, key = split_http(block)
+    digest = headers["WARC-Payload-Digest"].removeprefix("sha256:")
+    if "sha256:" + hashlib.sha256(block).hexdigest() != headers["WARC-Block-Digest"] or kind != "revisit" and hashlib.sha256(body).hexdigest() != digest:
+        raise ValueError(f"{headers['WARC-Record-ID']} isn't what its digests say")
+    size = int(headers[_SIZE_HEADER]) if kind == "revisit" else len(body)
+    return {"page_id": key, "payload_bytes": size, "payload_digest": digest, "record_type": kind, "refers_to": id_of(refers.strip("<>")) if refers else None}
+
+
+def read(warcs: DataFrame, strict: bool = False) -> DataFrame:
+    """FOUND: a row for each response, revisit or resource record whose digests are right. Others are left out and
+    listed by ``rejects``; with ``strict`` they fail the job."""
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column(0):
-                rows = []
-                for headers, block in parse_warc(content_of(content.as_py())):
-                    kind, refers = headers["WARC-Type"], headers.get("WARC-Refers-To")
-                    if kind not in ("response", "revisit", "resource"):
+                rows, bad = [], None if strict else []
+                for headers, block in parse_warc(content_of(content.as_py(), bad), bad):
+                    try:
+                        row = found_in(headers, block)
+                    except (ValueError, KeyError):
+                        if strict:
+                            raise
                         continue
-                    _, body, key = split_http(block)
-                    digest = headers["WARC-Payload-Digest"].removeprefix("sha256:")
-                    if "sha256:" + hashlib.sha256(block).hexdigest() != headers["WARC-Block-Digest"] or kind != "revisit" and hashlib.sha256(body).hexdigest() != digest:
-                        raise ValueError(f"{headers['WARC-Record-ID']} isn't what its digests say")
-                    size = int(headers[_SIZE_HEADER]) if kind == "revisit" else len(body)
-                    rows.append({"page_id": key, "payload_bytes": size, "payload_digest": digest, "record_type": kind, "refers_to": id_of(refers.strip("<>")) if refers else None})
+                    if row:
+                        rows.append(row)
                 yield pa.RecordBatch.from_pylist(rows, schema=_FOUND)
 
     return warcs.select("content").mapInArrow(parse, FOUND)
@@ -337,5 +427,5 @@ def archive(pages: DataFrame, folder: str | None = None) -> DataFrame:
     spark = pages.sparkSession
     arcs = cut(to_arc(pages), spark)
     path = f"{folder or shared_folder(spark)}/warc-{uuid4().hex}"
-    convert(arcs).write.parquet(path)
-    return read(spark.read.parquet(path))
+    convert(arcs, strict=True).write.parquet(path)
+    return read(spark.read.parquet(path), strict=True)
