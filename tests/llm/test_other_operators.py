@@ -192,6 +192,19 @@ def test_sides_hold_what_a_cell_can():
     assert 16 * max(wide, high) < 65536 and wide * high * 6 * media.UNIT >= 1 << 31
 
 
+def test_files_of_long_texts_have_no_size_limit():
+    """A text over 402,653,184 bytes: its frame is read; a foreign one of so many pixels is refused, and so is a false comment."""
+    size = 450_000_000 // 64 * 64
+    wide, high = (16 * x for x in media.sides(size // media.UNIT))
+    assert wide * high > media.MOST_PIXELS
+    frame = bytes([8]) + high.to_bytes(2, "big") + wide.to_bytes(2, "big") + bytes([3, 1, 0x22, 0, 2, 0x11, 0, 3, 0x11, 0])
+    image = media._frame(frame, b"payload %d of %d" % (size - 5, size))
+    assert (image.width, image.height) == (wide, high) and sum(c["rows"] * c["columns"] for c in image.components) * media.UNIT >= size
+    for comment in (b"", b"payload 9 of 64", b"payload %d of %d" % (size + 1, size), b"payload 1 of %d" % (1 << 31), b"payload 0 of 0"):
+        with pytest.raises(ValueError):
+            media._frame(frame, comment)
+
+
 def test_damaged_media_are_null(spark):
     text = " ".join(f"word{i}" for i in range(3000)).encode()
     whole = media.encode(media.pad(text), len(text))
@@ -301,6 +314,34 @@ def test_foreign_archives_are_converted(spark):
     assert Counter(r.payload_bytes for r in back) == Counter({212: 6, 0: 6, len(blocks[3][3]): 3, len(blocks[4][3]): 3}) and all(r.page_id is None for r in back)
 
 
+def test_damaged_archives_are_rejected_alone(spark):
+    rows = [(k, f"http://x/{k}", b"body %d " % k * 30) for k in range(6)]
+    parts = warc.arc_file("n.arc", 1, rows)
+    cut_off = b"".join(parts)[:-40]
+    no_length = b"".join(parts).replace(b" %d\nHTTP" % len(parts[3][parts[3].index(b"\n") + 1 : -1]), b" x\nHTTP", 1)
+    members = [warc.member(p) for p in parts]
+    members[2] = members[2][:30] + b"\xff" * 8 + members[2][38:]
+    files = {
+        "good": b"".join(parts), "cut": cut_off, "length": no_length, "member": b"".join(members), "short": b"".join(map(warc.member, parts))[:-9],
+        "version": b"".join(parts).replace(b"1 0 curator", b"9 0 \xff\xfe ator", 1), "noise": b"\x00\xff nothing", "none": None,
+    }
+    arcs = spark.createDataFrame([(n, bytearray(c) if c else None) for n, c in files.items()], "archive string, content binary")
+    found = Counter(r.page_id for r in warc.records(arcs, False).collect())
+    # good, cut, length, member, short: five files, of which each damaged one lacks one record
+    assert sum(found.values()) == 6 + 5 + 5 + 5 + 5 and found[1] == 4 and found[5] == 3
+    bad = warc.rejects(arcs).collect()
+    assert {r.archive for r in bad} == {"cut", "length", "member", "short", "version", "noise"} and all(r.reason and r.place >= 0 for r in bad)
+    with pytest.raises(Exception, match="length"):
+        warc.records(arcs.filter("archive = 'length'"), False, strict=True).count()
+
+    made = warc.convert(arcs.filter("archive = 'good'"))
+    whole = b"".join(warc.content_of(bytes(r.content)) for r in made.collect())
+    damaged = whole.replace(b"body 3 body 3", b"body 3 body X", 1).replace(b"Content-Length: ", b"Content-Lengte: ", 2)
+    warcs = spark.createDataFrame([("w", bytearray(damaged))], "archive string, content binary")
+    assert warc.read(warcs).count() < 6 == warc.read(made, strict=True).count()
+    assert warc.read(warcs).count() + warc.rejects(warcs).count() == 7  # six records and the first, which says what the file is
+
+
 def test_members_of_any_size_are_read():
     rng = np.random.default_rng(2)
     parts = [rng.bytes(n) for n in (0, 1, 8_192, 100_000)] * 3
@@ -376,6 +417,18 @@ def test_bpe_columns(spark, odd_docs, no_docs):
     assert bpe.digest(no_docs, path).count() == 0
 
 
+def test_comments_and_end_tags_close_as_html_says():
+    def texts(html):
+        return [b.text for b in html_extract.leaf_blocks(html)]
+
+    for mark in ("<!-->", "<!--->", "<!---->", "<!-- a > b --!>", "<!-- a -- > -->", "<!-- - -->", "<!doctype html>", "<?xml?>", "<!>"):
+        assert texts(f"<p>one</p>{mark}<p>two</p>") == ["one", "two"], mark
+    for end in ("</script>", "</script >", "</script foo>", "</SCRIPT/>", '</script a="b">', "</script\n>"):
+        assert texts(f"<p>one</p><script>if (a<b) x('</scripty>')</script-x>{end}<p>two</p>") == ["one", "two"], end
+    assert texts("<p>one</p><!-- never closed <p>two</p>") == ["one"]
+    assert texts("<p>one</p>" + "<script>" + "</script " * 100_000) == ["one"]
+
+
 # Licenses ------------------------------------------------------------------------------------------
 
 
@@ -383,7 +436,9 @@ def test_licenses_match_brute_force(spark, odd_docs, no_docs):
     rng = np.random.default_rng(3)
     noise = [" ".join(rng.choice(["river", "stone", "cloud", "the", "license", "software", "this"], 60)) for _ in range(len(licenses.TEMPLATES) + 1)]
     texts = []
-    for k, (_, body) in enumerate(licenses.TEMPLATES.items()):
+    templates = licenses.TEMPLATES | licenses.whole_texts()
+    noise += noise[: len(templates) + 1 - len(noise)]
+    for k, (_, body) in enumerate(templates.items()):
         words = body.split()
         texts += [f"{noise[k]} {body} {noise[k + 1]}", f"{noise[k]}\n{body.upper()}\n{noise[k]} {body}"]
         if len(words) > 30:
@@ -402,7 +457,7 @@ def test_licenses_match_brute_force(spark, odd_docs, no_docs):
 
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
     for row in licenses.scan(frame).collect():
-        want = sorted(name for name, body in licenses.TEMPLATES.items() if holds(row.text, body))
+        want = sorted(name for name, body in templates.items() if holds(row.text, body))
         assert row.licenses.licenses == ",".join(want)
     odd = licenses.scan(odd_docs, into="found")
     assert odd.count() == odd_docs.count() and all(r.found.n_matches == 0 for r in odd.collect())
@@ -432,6 +487,65 @@ def test_licenses_find_copies_with_inserted_words_at_every_alignment():
         assert len(found[-1]) == 3 and all(len(m) == 1 for m in found[:-3]) and not found[-2]
 
 
+def _slice(texts):
+    data = [x.lower().encode() for x in texts]
+    return np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)])
+
+
+def test_license_windows_retrieve_damaged_copies_at_every_alignment():
+    """Copies of whole texts and notices with up to a fifth of the shingles lost, contiguous or in pieces, at many places: all are found."""
+    rng = np.random.default_rng(11)
+    every = licenses.default_templates()
+    bodies = licenses.TEMPLATES | licenses.whole_texts()
+    assert all(licenses.miss_bound(len(t.hashes)) < 4e-7 for t in every)
+    wanted = matched = 0
+    for t in every:
+        words = licenses._WORD.findall(bodies[t.name].lower().encode())
+        texts = []
+        for lead in range(0, 40, 4 if t.n < 400 else 20):
+            copy = list(words)
+            for at in sorted(rng.integers(0, len(copy), int(rng.integers(0, 1 + t.n // 24))).tolist(), reverse=True):
+                copy[at] = b"zz%d" % at
+            for at in sorted(rng.integers(0, len(copy), t.n // 60).tolist(), reverse=True):
+                copy[at:at] = [b"river%d" % k for k in rng.integers(0, 10**6, int(rng.integers(1, 4 * t.n + 2))).tolist()]
+            noise = [b"stone%d" % k for k in rng.integers(0, 10**6, lead).tolist()]
+            texts.append(b" ".join(noise + copy + noise).decode())
+        data, offsets = _slice(texts)
+        for text, matches in zip(texts, licenses.scan_slice(data, offsets, [t]), strict=True):
+            part = len(t.words & set(licenses.shingles(licenses._WORD.findall(text.encode()), t.size))) / len(t.words)
+            wanted += part >= 0.8
+            matched += bool(matches)
+            assert bool(matches) == (part >= 0.8), (t.name, part)
+    assert wanted == matched > 100
+
+
+def test_licenses_are_retrieved_by_bands_only(monkeypatch):
+    mit = [t for t in licenses.default_templates() if t.name == "MIT"]
+    data, offsets = _slice([licenses.TEMPLATES["MIT"], "river stone cloud " * 50])
+    assert [len(x) for x in licenses.scan_slice(data, offsets, mit)] == [1, 0]
+    plain = licenses.permuted
+    monkeypatch.setattr(licenses, "permuted", lambda hashes, band: plain(hashes ^ np.uint64(1), band))
+    assert licenses.scan_slice(data, offsets, mit) == [[], []]
+
+
+def test_license_windows_are_what_a_plain_loop_makes_of_them():
+    rng = np.random.default_rng(5)
+    hashes = rng.integers(0, 1 << 63, 301).astype(np.uint64)
+    texts = np.sort(rng.integers(0, 9, len(hashes)))
+    templates = []
+    for n in (1, 2, 3, 7, 16, 90, 700):
+        own = np.unique(np.concatenate([rng.choice(hashes, n // 2 + 1), rng.integers(0, 1 << 63, n).astype(np.uint64)])[:n])
+        templates.append(licenses.Template(str(n), 5, n, frozenset(), Counter(), own, np.array([licenses.permuted(own, b).min() for b in range(licenses.BANDS)], np.uint32)))
+    want = np.zeros((9, len(templates)), bool)
+    for i, t in enumerate(templates):
+        step = t.window // 2
+        for at in range(0, len(hashes), step):
+            for band in range(licenses.BANDS):
+                if licenses.permuted(hashes[at : at + t.window], band).min() == t.bands[band]:
+                    want[texts[at] : texts[min(at + t.window, len(hashes)) - 1] + 1, i] = True
+    assert (licenses.retrieve(hashes, texts, 9, templates) == want).all() and want.any()
+
+
 def test_word_hashes_depend_on_bytes_only():
     data = np.frombuffer(b"ab cd ab xab abx", np.uint8)
     words = textbatch.Words(data, np.array([0, 5, len(data)]))

@@ -81,6 +81,16 @@ def test_toxicity_held_out_accuracy(spark):
     assert (got[got.toxic == 0].predicted == 1).mean() < 0.01
 
 
+def test_repeated_token_beginnings_take_linear_time():
+    import time
+
+    start = time.perf_counter()
+    assert secrets.wider_spans("eyJ" * 350_000) == [] and secrets.wider_spans("eyJaaaaaaaa." * 90_000)
+    assert time.perf_counter() - start < 1.0
+    token = "eyJ" + "a" * 8 + "." + "b" * 8 + "." + "c" * 8
+    assert [x[:3] for x in secrets.wider_spans(f"x {token} y")] == [("jwt", 2, 2 + len(token))]
+
+
 def test_ftrl_equals_a_plain_one():
     """Scores against a per-coordinate FTRL over strings, one feature at a time."""
     import math
