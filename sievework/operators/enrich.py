@@ -13,6 +13,7 @@ from typing import Any, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sievework.functions import wordlists as W
 from sievework.functions.jsonx import has_fields, repair_json
@@ -108,6 +109,38 @@ def replies(df: DataFrame, keys: list[str], inputs: list[str], scorer: Any, size
     return df.select(*dict.fromkeys([*keys, *inputs])).mapInArrow(run, schema)
 
 
+def carried(df: DataFrame, inputs: list[str], scorer: Any, size: int = 15, into: str = "reply", error: str = "reply_error") -> DataFrame:
+    """``df`` with two new columns, in one Arrow stage and without a shuffle: ``into`` is the JSON text of a row's reply, ``error`` a struct
+    of kind and message, null if there is none.
+
+    The scorer sees ``size`` rows at a time. Where it fails, or replies to another number of rows, the rows of that batch stay, with
+    a null reply and the error; so does a row whose reply is null or can't be written as JSON. Columns of the new names are replaced.
+    """
+    kept = [c for c in df.columns if c not in (into, error)]
+    problem = pa.struct([("kind", pa.string()), ("message", pa.string())])
+    schema = df.select(*kept).schema.add(into, "string").add(error, StructType().add("kind", "string").add("message", "string"))
+
+    def answers(part: pa.RecordBatch) -> tuple[list[str | None], list[dict | None]]:
+        try:
+            found = scorer.score(part.select(inputs).to_pylist())
+            if len(found) != len(part):
+                raise ValueError(f"{len(found)} replies to {len(part)} rows")
+            return [None if x is None else json.dumps(x) for x in found], [None] * len(part)
+        except Exception as e:  # whatever a scorer raises belongs to its rows
+            return [None] * len(part), [{"kind": type(e).__name__, "message": str(e)[:500]}] * len(part)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, problems = [], []
+            for at in range(0, len(batch), size):
+                more, bad = answers(batch.slice(at, size))
+                texts += more
+                problems += bad
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string()), pa.array(problems, problem)], [*kept, into, error])
+
+    return df.select(*kept).mapInArrow(run, schema)
+
+
 def score_batches(df: DataFrame, scorer: Any | None = None, size: int = 15, order: str = "seq") -> tuple[DataFrame, DataFrame]:
     """(scored rows, rows without a usable reply). A reply is joined on its batch and place."""
     batches = assign_batches(df, size, order=order)
@@ -119,27 +152,27 @@ def score_batches(df: DataFrame, scorer: Any | None = None, size: int = 15, orde
 
 
 def classify_rows(df: DataFrame, scorer: Any | None = None, key: str = "job_id") -> DataFrame:
-    """Rows with the struct ``reply``, null if it couldn't be read."""
-    found = replies(df, [key], ["title"], scorer or RuleJobScorer(), 1)
-    return df.join(found.select(key, repair_json(F.col("reply"), JOB_REPLY).alias("reply")), key, "left")
+    """Rows with the struct ``reply``, null if it couldn't be had or read, and ``reply_error``."""
+    found = carried(df, ["title"], scorer or RuleJobScorer())
+    return found.withColumn("reply", repair_json(F.col("reply"), JOB_REPLY))
 
 
 def extract_events(pages: DataFrame, scorer: Any | None = None, key: str = "page_id") -> DataFrame:
-    """Event records of pages with title and text; a category off the list is null."""
-    found = replies(pages, [key], ["title", "text"], scorer or RuleEventScorer(), 1)
-    parsed = found.select(key, repair_json(F.col("reply"), EVENT_REPLY).alias("r")).select(key, "r.*")
+    """Event records of pages with title and text, and ``reply_error``; a category off the list is null."""
+    found = carried(pages.select(*dict.fromkeys([key, "title", "text"])), ["title", "text"], scorer or RuleEventScorer())
+    parsed = found.select(key, repair_json(F.col("reply"), EVENT_REPLY).alias("r"), "reply_error").select(key, "r.*", "reply_error")
     known = F.col("relevance_category").isin("relevant", "maybe", "not_relevant")
     return parsed.withColumn("relevance_category", F.when(known, F.col("relevance_category")))
 
 
 def enrich_rows(df: DataFrame, scorer: Any | None = None, key: str = "seq") -> DataFrame:
-    """Summary and tags of rows with title and snippet."""
-    found = replies(df, [key], ["title", "snippet"], scorer or RuleNewsScorer(), 1)
-    return found.select(key, repair_json(F.col("reply"), NEWS_REPLY).alias("r")).select(key, "r.summary", "r.tags")
+    """Summary and tags of rows with title and snippet, and ``reply_error``."""
+    found = carried(df.select(*dict.fromkeys([key, "title", "snippet"])), ["title", "snippet"], scorer or RuleNewsScorer())
+    return found.select(key, repair_json(F.col("reply"), NEWS_REPLY).alias("r"), "reply_error").select(key, "r.summary", "r.tags", "reply_error")
 
 
 def excerpt_rows(df: DataFrame, scorer: Any | None = None, max_chars: int = 400, key: str = "doc_id") -> DataFrame:
-    """An excerpt of at most so many characters; the word null is null."""
-    found = replies(df, [key], ["text"], scorer or ExcerptScorer(max_chars), 1)
+    """An excerpt of at most so many characters, and ``reply_error``; the word null is null."""
+    found = carried(df.select(*dict.fromkeys([key, "text"])), ["text"], scorer or ExcerptScorer(max_chars))
     text = F.left(F.get_json_object("reply", "$.excerpt"), F.lit(max_chars))
-    return found.select(key, F.when(F.lower(text) != "null", text).alias("excerpt"))
+    return found.select(key, F.when(F.lower(text) != "null", text).alias("excerpt"), "reply_error")

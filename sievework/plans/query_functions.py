@@ -47,7 +47,11 @@ def f2(spark, d):
     return table(spark, d, "pages").select("page_id", F.md5(X.strip_tags("html")).alias("plain"))
 
 
-@query("f3_html_to_text")
+#: SQL: all text of a page but for scripts and styles, with single spaces.
+PLAIN_TEXT = r"""regexp_replace(regexp_replace(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(html, '<(script|style)[^>]*>.*?</(script|style)>|<!--.*?-->', ' ', 'gs'), '<[^>]*>', ' ', 'g'), '&nbsp;', ' '), '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'), '^ | $', '', 'g')"""
+
+
+@query("f3_html_to_text", f"SELECT page_id, CASE WHEN length(p) > 2000 THEN left(p, 1997) || '...' ELSE p END AS plain FROM (SELECT page_id, {PLAIN_TEXT} AS p FROM pages)")
 def f3(spark, d):
     return table(spark, d, "pages").select("page_id", html_to_text("html", 2000, True).alias("plain"))
 

@@ -653,7 +653,7 @@ def x3(spark, d):
     from sievework.functions.pages import main_content
 
     pages = table(spark, d, "pages").select("page_id", F.regexp_extract("html", "<h1>(.*?)</h1>", 1).alias("title"), main_content("html").alias("text"))
-    return E.extract_events(pages)
+    return E.extract_events(pages).drop("reply_error")
 
 
 @query("x4_enrich_rows", over("v_article", r"SELECT seq, left(regexp_replace(lower(title), '^\s+|\s+$', '', 'g'), 150) AS summary FROM v_article"))
@@ -663,7 +663,7 @@ def x4(spark, d):
 
 @query("x5_excerpt_rows", r"SELECT doc_id, nullif(regexp_replace(regexp_replace(left(text, 400), '\.[^.]*$', ''), '^\s+|\s+$', '', 'g'), '') AS excerpt FROM documents")
 def x5(spark, d):
-    return E.excerpt_rows(table(spark, d, "documents"))
+    return E.excerpt_rows(table(spark, d, "documents")).drop("reply_error")
 
 
 _STORIES = over("v_article", "SELECT 1").rsplit(" SELECT 1", 1)[0].replace("WITH", "WITH RECURSIVE", 1) + r""", t AS (SELECT seq, string_split(regexp_replace(regexp_replace(lower(coalesce(title, '')), '^\s+|\s+$', '', 'g'), '\s+', ' ', 'g'), ' ') AS w FROM v_article),
@@ -732,6 +732,30 @@ def s3(spark, d):
     return S.extract_listing(table(spark, d, "pages").select("page_id", F.expr(_LISTED_AT).alias("url"), F.expr(_LISTED).alias("html")))
 
 
+@query("x8_lateral_listing", f"""
+    SELECT page_id, 0 AS seq, {_HEAD} AS title,
+           CASE page_id % 3 WHEN 0 THEN 'https://any.example.org/p/' WHEN 1 THEN 'https://www.enterprise-ireland.com/en/news/' ELSE 'https://www.businesspost.ie/tech/story-' END || page_id AS link
+    FROM pages
+    UNION ALL SELECT page_id, 1, 'Second', 'https://any.example.org/list/q?a=1' FROM pages WHERE page_id % 3 = 0""")
+def x8_listing(spark, d):
+    from sievework.sources.lateral import register_html_tables
+
+    register_html_tables(spark)
+    table(spark, d, "pages").select("page_id", F.expr(_LISTED_AT).alias("url"), F.expr(_LISTED).alias("html")).createOrReplaceTempView("listed_pages")
+    return spark.sql("SELECT p.page_id, r.seq, r.title, r.link FROM listed_pages p, LATERAL listing_rows(p.html, p.url) r")
+
+
+@query("x8_lateral_links", f"""
+    WITH h AS (SELECT page_id, {_ROOT} AS root, regexp_extract_all(html, 'href="([^"]*)"', 1) AS hs FROM pages)
+    SELECT page_id, CAST(generate_subscripts(hs, 1) - 1 AS INTEGER) AS seq, root || unnest(hs) AS link FROM h""")
+def x8_links(spark, d):
+    from sievework.sources.lateral import register_html_tables
+
+    register_html_tables(spark)
+    table(spark, d, "pages").createOrReplaceTempView("pages")
+    return spark.sql("SELECT p.page_id, r.seq, r.link FROM pages p, LATERAL page_links(p.html, p.url) r")
+
+
 @query("s4_discover_links", f"""
     WITH h AS (SELECT page_id, {_ROOT} AS root, regexp_extract_all(html, 'href="([^"]*)"', 1) AS hs FROM pages),
     l AS (SELECT page_id, root || unnest(hs) AS link, generate_subscripts(hs, 1) - 1 AS seq FROM h),
@@ -999,6 +1023,20 @@ def s14(spark, d):
     return spark.read.schema("link string, month string").json(f"{place}/articles").select("link", "month")
 
 
+@query("s11_article_folder", over("v_article", f", v_fetch AS ({VIEWS['v_fetch']}) SELECT 'article' AS kind, link AS what, title AS detail FROM v_article UNION ALL SELECT 'failed', 'https://feeds.example/' || source_id, 'status ' || seq FROM v_fetch WHERE NOT ok"))
+def s11(spark, d):
+    from sievework.sources.sinks import write_article_doc
+
+    place = _place(spark, "doc")
+    url, error = (F.concat(F.lit(a), F.col(b).cast("string")) for a, b in (("https://feeds.example/", "source_id"), ("status ", "seq")))
+    failed = view(spark, d, "v_fetch").filter("NOT ok").select(F.col("source_id").cast("string").alias("source"), url.alias("url"), error.alias("error"))
+    write_article_doc(view(spark, d, "v_article").select("title", "link"), failed, place, "2024-01-31T00:00:00")
+    articles, missed = S.read_article_folder(spark, place)
+    return articles.select(F.lit("article").alias("kind"), F.col("link").alias("what"), F.col("title").alias("detail")).unionByName(
+        missed.select(F.lit("failed").alias("kind"), F.col("url").alias("what"), F.col("error").alias("detail"))
+    )
+
+
 @query("s15_jobs_csv", over("v_job", "SELECT CAST(job_id AS VARCHAR) AS job_id, source FROM v_job"))
 def s15(spark, d):
     from sievework.sources.sinks import write_jobs_csv

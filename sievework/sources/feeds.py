@@ -118,11 +118,27 @@ def read_latest(spark: SparkSession, glob: str, fmt: str = "csv", folders: bool
     return spark.read.format(fmt).options(**options).load(newest)
 
 
-def read_article_doc(spark: SparkSession, path: str) -> DataFrame:
-    """The articles of a document."""
-    schema = "articles array<struct<title: string, link: string, pubDate: string, source: string, snippet: string>>, failed_sources array<struct<source: string, url: string, error: string>>, run_date string"
+_ARTICLE = "title string, link string, pubDate string, source string, snippet string"
+_FAILED = "source string, url string, error string"
+
+
+def read_article_doc(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(articles, failed sources) of a document, with its run_date and each one's place.
+
+    One JSON object is one task's work, so it must fit one; what S14 writes is read by ``read_article_folder`` and may be of any size. A document
+    without one of the two lists has no such rows.
+    """
+    schema = f"articles array<struct<{_ARTICLE}>>, failed_sources array<struct<{_FAILED}>>, run_date string"
     doc = spark.read.schema(schema).json(path, multiLine=True)
-    return doc.select("run_date", F.posexplode("articles").alias("seq", "a")).select("run_date", "seq", "a.*")
+    articles, failed = (doc.select("run_date", F.posexplode(c).alias("seq", "a")).select("run_date", "seq", "a.*") for c in ("articles", "failed_sources"))
+    return articles, failed
+
+
+def read_article_folder(spark: SparkSession, path: str, article: str = _ARTICLE, failed: str = _FAILED) -> tuple[DataFrame, DataFrame]:
+    """(articles, failed sources) that S14 wrote below ``path``: a row a line, so any size is read in parallel and a
+    filter on ``month`` reads that month's folders only. No failed sources is an empty frame."""
+    read = lambda part, schema: spark.read.schema(f"{schema}, run_date string, month string").json(f"{path}/{part}")
+    return read("articles", article), read("failed_sources", failed)
 
 
 def import_sheet(sheet: DataFrame, default_score: int = 4) -> tuple[DataFrame, DataFrame]:

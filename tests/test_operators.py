@@ -241,9 +241,60 @@ def test_sinks(spark, tmp_path):
     assert [r.job_id for r in S.read_csv_table(spark, f"{tmp_path}/csv").collect()] == ["3", "2", "1"]
 
 
+def test_a_scorer_that_fails_loses_no_row(spark):
+    class Picky:
+        """Fails for batches that hold a title with x, and replies to too few rows where one holds y."""
+
+        def score(self, rows):
+            if any("x" in r["title"] for r in rows):
+                raise KeyError("x")
+            return [{"excerpt": r["title"], "relevant": True} for r in rows if "y" not in r["title"]]
+
+    rows = spark.createDataFrame([(i, t, "old") for i, t in enumerate(["a", "b", "x", "c", "y", "d", "e"])], "job_id int, title string, reply string").coalesce(1)
+    got = E.carried(rows, ["title"], Picky(), size=2)
+    assert got.columns == ["job_id", "title", "reply", "reply_error"] and "Exchange" not in got._jdf.queryExecution().executedPlan().toString().replace("Exchange SinglePartition", "")
+    found = {r.job_id: (r.reply is None, r.reply_error and r.reply_error.kind) for r in got.collect()}
+    assert found == {0: (False, None), 1: (False, None), 2: (True, "KeyError"), 3: (True, "KeyError"), 4: (True, "ValueError"), 5: (True, "ValueError"), 6: (False, None)}
+    jobs = E.classify_rows(rows, Picky()).collect()  # one batch of 15
+    assert len(jobs) == 7 and all(r.reply is None and r.reply_error.kind == "KeyError" for r in jobs)
+    for frame in (E.classify_rows(rows), E.extract_events(rows.withColumn("text", F.lit("t")), key="job_id"), E.enrich_rows(rows.withColumn("snippet", F.lit(None).cast("string")), key="job_id"), E.excerpt_rows(rows.withColumn("text", F.lit("A. b")), key="job_id")):
+        assert frame.count() == 7 and frame.filter("reply_error IS NOT NULL").count() == 0
+        assert "Exchange" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_table_functions(spark):
+    from sievework.functions.text import absolute_url, strip_tracking
+    from sievework.sources import lateral
+
+    lateral.register_html_tables(spark)
+    page = '<article><h2><a href="/a?utm_x=1&b=2#c">T</a></h2></article><a href="q">Q</a><a href="">same</a><a href="//o.org/z">o</a><a href="../up">u</a>'
+    pages = spark.createDataFrame([(1, page, "https://h.org/d/e/p.html"), (2, None, "https://h.org/"), (3, "", None), (4, '<a href="/k">', None)], "page_id bigint, html string, url string")
+    pages.createOrReplaceTempView("lateral_pages")
+    links = spark.sql("SELECT page_id, r.* FROM lateral_pages p, LATERAL page_links(p.html, p.url) r").collect()
+    assert [(r.page_id, r.seq, r.link) for r in sorted(links)] == [
+        (1, 0, "https://h.org/a?b=2#c"), (1, 1, "https://h.org/d/e/q"), (1, 2, "https://h.org/d/e/p.html"), (1, 3, "https://o.org/z"), (1, 4, "https://h.org/d/up"), (4, 0, "/k"),
+    ]
+    hrefs = ["/a", "b?c=d", "?q=1", "#f", "http://x.org", "//y.org/z", "../../../w", "a/./b/../c", "  /sp  ", "", "mailto:a@b"]
+    cases = spark.createDataFrame([(h, b) for h in hrefs for b in ("https://h.org", "https://h.org/", "https://h.org/a/b.html?x=y#z")], "href string, base string")
+    for r in cases.select("href", "base", strip_tracking(absolute_url("href", "base")).alias("link")).collect():
+        if r.href not in ("?q=1", "#f", "mailto:a@b"):
+            assert lateral.untracked(lateral.resolved(r.href, r.base)) == r.link, r
+    cards = S.extract_job_cards(pages.limit(1), "careers").select("seq", "title", "company", "location", "link").collect()
+    assert spark.sql("SELECT r.* FROM lateral_pages p, LATERAL card_rows(p.html, p.url, 'careers') r WHERE p.page_id = 1").collect() == cards
+    listed = S.extract_listing(pages.filter("url IS NOT NULL")).collect()
+    assert sorted(spark.sql("SELECT p.page_id, r.* FROM lateral_pages p, LATERAL listing_rows(p.html, p.url) r WHERE p.url IS NOT NULL").collect()) == sorted(listed) and listed
+
+
 def test_documents_and_tables(spark, tmp_path):
     (tmp_path / "d.json").write_text('{"articles": [{"title": "A", "link": "l"}], "failed_sources": [], "run_date": "2024-01"}')
-    assert S.read_article_doc(spark, f"{tmp_path}/d.json").first().title == "A"
+    articles, failed = S.read_article_doc(spark, f"{tmp_path}/d.json")
+    assert articles.first().title == "A" and failed.count() == 0
+    (tmp_path / "e.json").write_text('{"failed_sources": [{"source": "s", "url": "u", "error": "e"}, {"source": "t"}], "run_date": "2024-01"}')
+    articles, failed = S.read_article_doc(spark, f"{tmp_path}/e.json")
+    assert articles.count() == 0 and [(r.seq, r.source, r.error) for r in failed.collect()] == [(0, "s", "e"), (1, "t", None)]
+    K.write_article_doc(articles.select("title", "link"), failed.select("source", "url", "error"), f"{tmp_path}/both", "2024-02-01T00:00:00")
+    articles, failed = S.read_article_folder(spark, f"{tmp_path}/both")
+    assert articles.count() == 0 and failed.filter("month = '2024-02'").count() == 2
     for name in ("jobs_1.csv", "jobs_2.csv"):
         (tmp_path / name).write_text(f"﻿title,n\n{name},1\n")
     assert S.read_latest(spark, f"{tmp_path}/jobs_*.csv", header=True).count() == 1
