@@ -105,16 +105,18 @@ def chunk_counts(docs: DataFrame, most: int = HELD) -> DataFrame:
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct terms of each chunk, with how often each is in it."""
+    """Rows (lang, chunk, docs), equal chunks next to one another, by the distinct terms of the chunk, with how often each is in it. A chunk is cut once."""
+    last, own = None, {}
     for batch in batches:
-        chunks, terms, times = [], [], []
-        for chunk in batch.column(0).to_pylist():
-            own = Counter(_LETTERS.findall(chunk.lower()))
-            chunks += [chunk] * len(own)
+        at, terms, times = [], [], []
+        for i, chunk in enumerate(batch.column(1).to_pylist()):
+            if chunk != last:
+                last, own = chunk, Counter(_LETTERS.findall(chunk.lower()))
+            at += [i] * len(own)
             terms += own.keys()
             times += own.values()
-        arrays = [pa.array(chunks, pa.binary()), pa.array(terms, pa.binary()).cast(pa.string()), pa.array(times, pa.int64())]
-        yield pa.RecordBatch.from_arrays(arrays, ["chunk", "term", "k"])
+        found = [pa.array(terms, pa.binary()).cast(pa.string()), pa.array(times, pa.int64())]
+        yield pa.RecordBatch.from_arrays([*batch.take(pa.array(at, pa.int64())).columns, *found], ["lang", "chunk", "docs", "term", "k"])
 
 
 def _share(count: Column, total: Column, terms: Column) -> Column:
@@ -163,9 +165,8 @@ def audit(docs: DataFrame, held: int = HELD, bucket: int = BUCKET, tile: int = T
     groups = counted.select("lang", "source").distinct()
     sums = counted.filter(F.octet_length("chunk") > 0).groupBy("lang", "source", "chunk").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     sums = kept(sums, "sums")
-    whole = kept(sums.groupBy("chunk", "lang").agg(F.sum("docs").alias("docs")), "whole")
-    cut = whole.select("chunk").distinct().mapInArrow(_cut, "chunk binary, term string, k bigint")
-    cut = kept(whole.join(cut.hint("shuffle_hash"), "chunk").select("lang", "chunk", "term", "k", "docs"), "terms")
+    whole = sums.repartition("chunk").groupBy("chunk", "lang").agg(F.sum("docs").alias("docs")).select("lang", "chunk", "docs")
+    cut = kept(whole.sortWithinPartitions("chunk").mapInArrow(_cut, "lang string, chunk binary, docs bigint, term string, k bigint"), "terms")
 
     bounds = cut.groupBy("lang", "term").agg(F.max("docs").alias("low"), F.sum("docs").alias("high")).filter(F.col("high") >= LEAST)
     bounds = kept(bounds, "bounds")
@@ -185,7 +186,7 @@ def audit(docs: DataFrame, held: int = HELD, bucket: int = BUCKET, tile: int = T
     known = groups.join(totals, ["lang", "source"], "left").join(sizes, "lang", "left").fillna(0, ["total", "terms"])
     place = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
     known = kept(known.withColumn("place", place), "groups")
-    scratch.drop("chunks", "sums", "whole", "terms", "bounds", "open", "kept")
+    scratch.drop("chunks", "sums", "terms", "bounds", "open", "kept")
     return _pairs(used, known, bucket, tile).unionByName(_terms(used, known))
 
 
