@@ -75,8 +75,8 @@ def test_answers_are_derived_from_heads(spark, monkeypatch):
 
     monkeypatch.setattr(setrelation.Scratch, "keep", counted)
     monkeypatch.setattr(setrelation, "SAMPLE", 1 << 40)  # so that the order doesn't know what both crowds share
-    base = [f"w{i}" for i in range(1600)]  # long enough for the sketches to say nothing
-    other = base[:1400] + [f"v{i}" for i in range(200)]
+    base = [f"w{i}" for i in range(6400)]  # long enough for the sketches to say nothing
+    other = base[:5600] + [f"v{i}" for i in range(800)]
     texts = [" ".join([*words, f"x{i}"]) for words in (base, other) for i in range(25)]
     sizes, root = brute_join(texts)
     got = setrelation.join(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
