@@ -1,4 +1,4 @@
-"""Listings out of landed job-board payloads: one schema and one projection for each platform.
+"""Listings out of landed job-board payloads: one schema and one projection for each platform, all in one pass.
 
 A payload table has (source_id, platform, slug, base_url, payload). Every reader returns LISTING columns;
 payloads of another shape yield no rows, and ``payload_errors`` names them.
@@ -19,16 +19,9 @@ LISTING = ["source_id", "platform", "url", "title", "location_raw", "summary", "
 MOST = 2000
 
 
-def _rows(payloads: DataFrame, platform: str, schema: str, items: str) -> DataFrame:
-    """One row ``j`` for each item at ``items`` of the platform's payloads."""
-    own = payloads.filter(F.col("platform") == platform).withColumn("p", F.from_json("payload", schema))
-    return own.select(*[c for c in own.columns if c not in ("payload", "p")], F.explode(items).alias("j"))
-
-
-def _text(html: Column, unescape: bool = False) -> Column:
-    """Plain text of HTML; once more where the HTML itself came escaped. Null if there is none."""
-    plain = html_to_text(html_to_text(html, 1_000_000) if unescape else html, MOST)
-    return F.nullif(plain, F.lit(""))
+def _text(html: Column) -> Column:
+    """Plain text of HTML; null if there is none."""
+    return F.nullif(html_to_text(html, MOST), F.lit(""))
 
 
 def _listing(rows: DataFrame, url: Column, title: Column, place: Column, summary: Column | None = None, salary: Column | None = None) -> DataFrame:
@@ -39,117 +32,217 @@ def _listing(rows: DataFrame, url: Column, title: Column, place: Column, summary
     )
 
 
-def from_greenhouse(payloads: DataFrame) -> DataFrame:
-    """A place is an object with a name, or text."""
-    rows = _rows(payloads, "greenhouse", "jobs array<struct<absolute_url: string, title: string, location: variant, content: string>>", "p.jobs")
-    place = F.coalesce(F.try_variant_get("j.location", "$.name", "string"), F.when(F.schema_of_variant("j.location") == "STRING", F.try_variant_get("j.location", "$", "string")))
-    return _listing(rows, F.col("j.absolute_url"), F.col("j.title"), place, _text(F.col("j.content"), unescape=True))
+#: What a payload's item gives: ``plain`` is a summary in text, ``html`` one in markup.
+_ITEMS = "array<struct<url: string, title: string, location_raw: string, plain: string, html: string, salary_range: string>>"
 
 
-def from_lever(payloads: DataFrame) -> DataFrame:
-    """An array on top; anything else is no listing."""
-    item = "struct<hostedUrl: string, text: string, categories: struct<location: string>, descriptionPlain: string, descriptionBodyPlain: string, salaryRange: struct<min: string, max: string, currency: string, interval: string>>"
-    own = payloads.filter((F.col("platform") == "lever") & F.json_array_length("payload").isNotNull()).withColumn("p", F.from_json("payload", f"array<{item}>"))
-    rows = own.select("source_id", "platform", F.explode("p").alias("j"))
-    parts = [F.nullif(strip(F.col(f"j.{c}")), F.lit("")) for c in ("descriptionPlain", "descriptionBodyPlain")]
-    s = [F.coalesce(f"j.salaryRange.{c}", F.lit("")) for c in ("currency", "min", "max", "interval")]
-    salary = F.when(F.col("j.salaryRange").isNotNull(), F.nullif(strip(F.concat(s[0], F.lit(" "), s[1], F.lit(" - "), s[2], F.lit(" "), s[3])), F.lit("")))
-    return _listing(rows, F.col("j.hostedUrl"), F.col("j.text"), F.col("j.categories.location"), F.nullif(F.left(F.concat_ws("\n\n", *parts), F.lit(MOST)), F.lit("")), salary)
+def _item(url: Column, title: Column, place: Column, plain: Column | None = None, html: Column | None = None, salary: Column | None = None) -> Column:
+    none = F.lit(None).cast("string")
+    fields = (F.coalesce(url, F.lit("")), strip(F.coalesce(title, F.lit(""))), F.nullif(place, F.lit("")), plain, html, salary)
+    return F.struct(*((none if c is None else c).alias(n) for n, c in zip(("url", "title", "location_raw", "plain", "html", "salary_range"), fields, strict=True)))
 
 
-def from_ashby(payloads: DataFrame) -> DataFrame:
-    """Plain text before HTML; a salary only if it's shown."""
+def _filled(c: Column) -> Column:
+    return F.nullif(c, F.lit(""))
+
+
+def _parsed(schema: str) -> Column:
+    return F.from_json("payload", schema)
+
+
+def _on_top(item: str) -> Column:
+    """The array that a payload is; null if it's anything else."""
+    return F.when(F.json_array_length("payload").isNotNull(), F.from_json("payload", f"array<{item}>"))
+
+
+def _greenhouse() -> Column:
+    def item(j: Column) -> Column:
+        place = F.coalesce(F.try_variant_get(j["location"], "$.name", "string"), F.when(F.schema_of_variant(j["location"]) == "STRING", F.try_variant_get(j["location"], "$", "string")))
+        return _item(j["absolute_url"], j["title"], place, html=j["content"])
+
+    return F.transform(_parsed("jobs array<struct<absolute_url: string, title: string, location: variant, content: string>>")["jobs"], item)
+
+
+def _lever() -> Column:
+    def item(j: Column) -> Column:
+        plain = F.concat_ws("\n\n", *(_filled(strip(j[c])) for c in ("descriptionPlain", "descriptionBodyPlain")))
+        s = [F.coalesce(j["salaryRange"][c], F.lit("")) for c in ("currency", "min", "max", "interval")]
+        salary = F.when(j["salaryRange"].isNotNull(), _filled(strip(F.concat(s[0], F.lit(" "), s[1], F.lit(" - "), s[2], F.lit(" "), s[3]))))
+        return _item(j["hostedUrl"], j["text"], j["categories"]["location"], _filled(F.left(plain, F.lit(MOST))), salary=salary)
+
+    return F.transform(_on_top("struct<hostedUrl: string, text: string, categories: struct<location: string>, descriptionPlain: string, descriptionBodyPlain: string, salaryRange: struct<min: string, max: string, currency: string, interval: string>>"), item)
+
+
+def _ashby() -> Column:
     schema = (
         "jobs array<struct<jobUrl: string, title: string, location: string, address: struct<postalAddress: struct<addressLocality: string, addressRegion: string, "
         "addressCountry: string>>, descriptionPlain: string, descriptionHtml: string, shouldDisplayCompensationOnJobPostings: boolean, compensation: struct<compensationTierSummary: string>>>"
     )
-    rows = _rows(payloads, "ashby", schema, "p.jobs")
-    address = "j.address.postalAddress."
-    place = F.coalesce(F.nullif(strip(F.col("j.location")), F.lit("")), location_text(*(F.col(address + c) for c in ("addressLocality", "addressRegion", "addressCountry"))))
-    plain = F.nullif(F.left(strip(F.col("j.descriptionPlain")), F.lit(MOST)), F.lit(""))
-    salary = F.when(F.col("j.shouldDisplayCompensationOnJobPostings"), F.nullif("j.compensation.compensationTierSummary", F.lit("")))
-    return _listing(rows, F.col("j.jobUrl"), F.col("j.title"), place, F.coalesce(plain, _text(F.col("j.descriptionHtml"))), salary)
+
+    def item(j: Column) -> Column:
+        address = j["address"]["postalAddress"]
+        place = F.coalesce(_filled(strip(j["location"])), location_text(*(address[c] for c in ("addressLocality", "addressRegion", "addressCountry"))))
+        salary = F.when(j["shouldDisplayCompensationOnJobPostings"], _filled(j["compensation"]["compensationTierSummary"]))
+        return _item(j["jobUrl"], j["title"], place, _filled(F.left(strip(j["descriptionPlain"]), F.lit(MOST))), j["descriptionHtml"], salary)
+
+    return F.transform(_parsed(schema)["jobs"], item)
+
+
+def _personio() -> Column:
+    def item(j: Column) -> Column:
+        return _item(F.concat(F.lit("https://"), F.col("slug"), F.lit(".jobs.personio.com/job/"), j["id"]), j["name"], j["office"])
+
+    return F.transform(_on_top("struct<id: string, name: string, office: string>"), item)
+
+
+def _breezy() -> Column:
+    def item(j: Column) -> Column:
+        place = location_text(j["location"]["city"], j["location"]["state"]["name"], j["location"]["country"]["name"])
+        return _item(j["url"], j["name"], place, html=j["description"])
+
+    return F.transform(_on_top("struct<url: string, name: string, description: string, location: struct<city: string, state: struct<name: string>, country: struct<name: string>>>"), item)
+
+
+def _bamboohr() -> Column:
+    def item(j: Column) -> Column:
+        place = F.when(j["isRemote"], "Remote").otherwise(location_text(j["location"]["city"], j["location"]["state"]))
+        return _item(F.concat(F.lit("https://"), F.col("slug"), F.lit(".bamboohr.com/careers/"), j["id"]), j["jobOpeningName"], place)
+
+    return F.transform(_parsed("result array<struct<id: string, jobOpeningName: string, isRemote: boolean, location: struct<city: string, state: string>>>")["result"], item)
+
+
+def _teamtailor() -> Column:
+    address = "struct<addressLocality: string, addressRegion: string, addressCountry: string>"
+    feed = _parsed(f"items array<struct<title: string, url: string, content_html: string, _jobposting: struct<jobLocation: array<struct<address: {address}>>>>>")["items"]
+    api = _parsed(
+        "data array<struct<id: string, attributes: struct<title: string, status: string, body: string>, relationships: struct<location: struct<data: struct<type: string, id: string>>>>>, "
+        "included array<struct<type: string, id: string, attributes: struct<city: string, `country-name`: string>>>"
+    )
+
+    def of_feed(j: Column) -> Column:
+        first = F.try_element_at(j["_jobposting"]["jobLocation"], F.lit(1))["address"]
+        return _item(j["url"], j["title"], location_text(first["addressLocality"], first["addressRegion"], first["addressCountry"]), html=j["content_html"])
+
+    def of_api(j: Column) -> Column:
+        link = j["relationships"]["location"]["data"]
+        own = F.filter(api["included"], lambda i: (i["id"] == link["id"]) & (i["type"] == F.coalesce(link["type"], F.lit("locations"))))
+        place = F.array_min(F.transform(own, lambda i: location_text(i["attributes"]["city"], i["attributes"]["country-name"])))
+        return _item(F.concat(F.col("base_url"), F.lit("/jobs/"), j["id"]), j["attributes"]["title"], place, html=j["attributes"]["body"])
+
+    keys = F.json_object_keys("payload")
+    is_feed = F.array_contains(keys, "items") & ~F.array_contains(keys, "data")
+    named = F.filter(feed, lambda j: (F.coalesce(strip(j["title"]), F.lit("")) != "") & (F.coalesce(j["url"], F.lit("")) != ""))
+    return F.when(is_feed, F.transform(named, of_feed)).otherwise(F.transform(F.filter(api["data"], lambda j: j["attributes"]["status"] == "open"), of_api))
+
+
+def _workday() -> Column:
+    def item(j: Column) -> Column:
+        return _item(F.concat(F.col("base_url"), F.coalesce(j["externalPath"], F.lit(""))), j["title"], j["locationsText"])
+
+    return F.transform(_parsed("jobPostings array<struct<title: string, externalPath: string, locationsText: string>>")["jobPostings"], item)
+
+
+def _rippling() -> Column:
+    def item(j: Column) -> Column:
+        first = F.try_element_at(j["locations"], F.lit(1))
+        url = F.coalesce(_filled(j["url"]), F.concat(F.lit("https://ats.rippling.com/"), F.nullif("slug", F.lit("")), F.lit("/jobs/"), j["id"]))
+        return _item(url, j["name"], F.coalesce(_filled(first["name"]), location_text(first["state"], first["country"])))
+
+    return F.transform(_parsed("items array<struct<id: string, url: string, name: string, locations: array<struct<name: string, state: string, country: string>>>>")["items"], item)
+
+
+def _phenom() -> Column:
+    record = "struct<id: string, applyUrl: string, title: string, locationName: string, city: string, country: string, description: string>"
+    p = _parsed(f"status string, data struct<results: array<{record}>, jobs: array<{record}>>")
+
+    def item(j: Column) -> Column:
+        url = F.coalesce(_filled(j["applyUrl"]), F.concat(F.regexp_replace("base_url", "/+$", ""), F.lit("/job/"), j["id"]))
+        return _item(url, j["title"], F.coalesce(_filled(j["locationName"]), location_text(j["city"], j["country"])), html=j["description"])
+
+    found = F.coalesce(F.when(F.size(p["data"]["results"]) > 0, p["data"]["results"]), p["data"]["jobs"])
+    return F.when(p["status"] == "success", F.transform(found, item))
+
+
+_PLATFORMS = {
+    "greenhouse": _greenhouse, "lever": _lever, "ashby": _ashby, "personio": _personio, "breezy": _breezy, "bamboohr": _bamboohr,
+    "teamtailor": _teamtailor, "workday": _workday, "rippling": _rippling, "phenom": _phenom,
+}
+_MARKUP, _ESCAPED, _DETAILED = {"greenhouse", "ashby", "breezy", "teamtailor", "phenom"}, {"greenhouse"}, ["personio", "workday"]
+
+
+def _listings(payloads: DataFrame, platforms: list[str], details: DataFrame | None = None) -> DataFrame:
+    """The listings of these platforms in one pass: a payload is parsed by its platform's schema only, and its items are exploded once."""
+    items = F.lit(None).cast(_ITEMS)
+    for name in reversed(platforms):
+        items = F.when(F.col("platform") == name, _PLATFORMS[name]().cast(_ITEMS)).otherwise(items)
+    rows = payloads.filter(F.col("platform").isin(platforms)).select("source_id", "platform", F.explode(items).alias("j"))
+    rows, summary = rows.select("source_id", "platform", "j.*"), F.col("plain")
+    if _ESCAPED & set(platforms):
+        escaped = F.col("platform").isin(*_ESCAPED)
+        rows = rows.withColumn("html", F.when(escaped, html_to_text(F.when(escaped, F.col("html")), 1_000_000)).otherwise(F.col("html")))
+    if _MARKUP & set(platforms):
+        summary = F.coalesce("plain", _text(F.when(F.col("plain").isNull(), F.col("html"))))
+    out = rows.withColumn("summary", summary).select(*LISTING)
+    return out if details is None else _with_detail(out, details)
 
 
 def _with_detail(listings: DataFrame, details: DataFrame) -> DataFrame:
-    """Listings with the description that the linked data of their landed page (url, html) has."""
-    found = details.groupBy("url").agg(F.min("html").alias("html")).select("url", _text(F.coalesce(job_posting(F.col("html"))["description"], F.lit(""))).alias("detail"))
-    return listings.join(found, "url", "left").withColumn("summary", F.coalesce("summary", "detail")).select(*LISTING)
+    """Listings with the description that the linked data of their landed page (url, html) has, on the platforms that need it.
+    Other listings get keys of their own, so that they are spread and meet no page."""
+    found = details.groupBy(F.col("url").alias("_at")).agg(F.min("html").alias("html")).select("_at", _text(F.coalesce(job_posting(F.col("html"))["description"], F.lit(""))).alias("detail"))
+    own = F.concat(F.lit("\0"), F.xxhash64("source_id", "url", "title").cast("string"))
+    keyed = listings.withColumn("_key", F.when(F.col("platform").isin(_DETAILED), F.col("url")).otherwise(own))
+    return keyed.join(found, F.col("_key") == F.col("_at"), "left").withColumn("summary", F.coalesce("summary", "detail")).select(*LISTING)
+
+
+def from_greenhouse(payloads: DataFrame) -> DataFrame:
+    """A place is an object with a name, or text; the description's markup comes escaped."""
+    return _listings(payloads, ["greenhouse"])
+
+
+def from_lever(payloads: DataFrame) -> DataFrame:
+    """An array on top; anything else is no listing."""
+    return _listings(payloads, ["lever"])
+
+
+def from_ashby(payloads: DataFrame) -> DataFrame:
+    """Plain text before HTML; a salary only if it's shown."""
+    return _listings(payloads, ["ashby"])
 
 
 def from_personio(payloads: DataFrame, details: DataFrame) -> DataFrame:
     """S5d: addresses out of slug and id; the description from the detail page."""
-    own = payloads.filter((F.col("platform") == "personio") & F.json_array_length("payload").isNotNull()).withColumn("p", F.from_json("payload", "array<struct<id: string, name: string, office: string>>"))
-    rows = own.select("source_id", "platform", "slug", F.explode("p").alias("j"))
-    url = F.concat(F.lit("https://"), F.col("slug"), F.lit(".jobs.personio.com/job/"), F.col("j.id"))
-    return _with_detail(_listing(rows, url, F.col("j.name"), F.col("j.office")), details)
+    return _listings(payloads, ["personio"], details)
 
 
 def from_breezy(payloads: DataFrame) -> DataFrame:
     """S5e: city, state and country."""
-    item = "struct<url: string, name: string, description: string, location: struct<city: string, state: struct<name: string>, country: struct<name: string>>>"
-    own = payloads.filter((F.col("platform") == "breezy") & F.json_array_length("payload").isNotNull()).withColumn("p", F.from_json("payload", f"array<{item}>"))
-    rows = own.select("source_id", "platform", F.explode("p").alias("j"))
-    place = location_text(F.col("j.location.city"), F.col("j.location.state.name"), F.col("j.location.country.name"))
-    return _listing(rows, F.col("j.url"), F.col("j.name"), place, _text(F.col("j.description")))
+    return _listings(payloads, ["breezy"])
 
 
 def from_bamboohr(payloads: DataFrame) -> DataFrame:
     """S5f: remote, or city and state; no description."""
-    rows = _rows(payloads, "bamboohr", "result array<struct<id: string, jobOpeningName: string, isRemote: boolean, location: struct<city: string, state: string>>>", "p.result")
-    place = F.when(F.col("j.isRemote"), "Remote").otherwise(location_text(F.col("j.location.city"), F.col("j.location.state")))
-    return _listing(rows, F.concat(F.lit("https://"), F.col("slug"), F.lit(".bamboohr.com/careers/"), F.col("j.id")), F.col("j.jobOpeningName"), place)
+    return _listings(payloads, ["bamboohr"])
 
 
 def from_teamtailor(payloads: DataFrame) -> DataFrame:
     """S5g: a JSON feed if there are items and no data, or else JSON:API, whose places are among the included records."""
-    own = payloads.filter(F.col("platform") == "teamtailor").withColumn("keys", F.json_object_keys("payload"))
-    is_feed = F.array_contains("keys", "items") & ~F.array_contains("keys", "data")
-    address = "struct<addressLocality: string, addressRegion: string, addressCountry: string>"
-    feed = _rows(own.filter(is_feed).drop("keys"), "teamtailor", f"items array<struct<title: string, url: string, content_html: string, _jobposting: struct<jobLocation: array<struct<address: {address}>>>>>", "p.items")
-    first = F.try_element_at("j._jobposting.jobLocation", F.lit(1))["address"]
-    feed = feed.filter((F.coalesce(strip(F.col("j.title")), F.lit("")) != "") & (F.coalesce("j.url", F.lit("")) != ""))
-    listed = _listing(feed, F.col("j.url"), F.col("j.title"), location_text(first["addressLocality"], first["addressRegion"], first["addressCountry"]), _text(F.col("j.content_html")))
-
-    schema = (
-        "data array<struct<id: string, attributes: struct<title: string, status: string, body: string>, relationships: struct<location: struct<data: struct<type: string, id: string>>>>>, "
-        "included array<struct<type: string, id: string, attributes: struct<city: string, `country-name`: string>>>"
-    )
-    api = own.filter(~is_feed).drop("keys").withColumn("payload_id", F.xxhash64("source_id", "payload")).withColumn("p", F.from_json("payload", schema)).drop("payload")
-    jobs = api.select("source_id", "platform", "base_url", "payload_id", F.explode("p.data").alias("j")).filter(F.col("j.attributes.status") == "open")
-    link = "j.relationships.location.data."
-    jobs = jobs.withColumn("rel_id", F.col(link + "id")).withColumn("rel_type", F.coalesce(link + "type", F.lit("locations")))
-    places = api.select("payload_id", F.explode("p.included").alias("i")).select(
-        "payload_id", F.col("i.type").alias("rel_type"), F.col("i.id").alias("rel_id"), location_text(F.col("i.attributes.city"), F.col("i.attributes.country-name")).alias("place")
-    )
-    found = jobs.join(places.groupBy("payload_id", "rel_type", "rel_id").agg(F.min("place").alias("place")), ["payload_id", "rel_type", "rel_id"], "left")
-    url = F.concat(F.col("base_url"), F.lit("/jobs/"), F.col("j.id"))
-    return listed.unionByName(_listing(found, url, F.col("j.attributes.title"), F.col("place"), _text(F.col("j.attributes.body"))))
+    return _listings(payloads, ["teamtailor"])
 
 
 def from_workday(payloads: DataFrame, details: DataFrame) -> DataFrame:
     """S5h: a row of the table is a page of results; descriptions come from detail pages."""
-    rows = _rows(payloads, "workday", "jobPostings array<struct<title: string, externalPath: string, locationsText: string>>", "p.jobPostings")
-    return _with_detail(_listing(rows, F.concat(F.col("base_url"), F.coalesce("j.externalPath", F.lit(""))), F.col("j.title"), F.col("j.locationsText")), details)
+    return _listings(payloads, ["workday"], details)
 
 
 def from_rippling(payloads: DataFrame) -> DataFrame:
     """S5i: the first place's name, or state and country."""
-    rows = _rows(payloads, "rippling", "items array<struct<id: string, url: string, name: string, locations: array<struct<name: string, state: string, country: string>>>>", "p.items")
-    first = F.try_element_at("j.locations", F.lit(1))
-    url = F.coalesce(F.nullif("j.url", F.lit("")), F.concat(F.lit("https://ats.rippling.com/"), F.nullif("slug", F.lit("")), F.lit("/jobs/"), F.col("j.id")))
-    return _listing(rows, url, F.col("j.name"), F.coalesce(F.nullif(first["name"], F.lit("")), location_text(first["state"], first["country"])))
+    return _listings(payloads, ["rippling"])
 
 
 def from_phenom(payloads: DataFrame) -> DataFrame:
     """S5j: results or jobs of successful replies."""
-    item = "struct<id: string, applyUrl: string, title: string, locationName: string, city: string, country: string, description: string>"
-    schema = f"status string, data struct<results: array<{item}>, jobs: array<{item}>>"
-    own = payloads.filter(F.col("platform") == "phenom").withColumn("p", F.from_json("payload", schema)).filter("p.status = 'success'")
-    rows = own.select("source_id", "platform", "base_url", F.explode(F.coalesce(F.when(F.size("p.data.results") > 0, F.col("p.data.results")), F.col("p.data.jobs"))).alias("j"))
-    url = F.coalesce(F.nullif("j.applyUrl", F.lit("")), F.concat(F.regexp_replace("base_url", "/+$", ""), F.lit("/job/"), F.col("j.id")))
-    place = F.coalesce(F.nullif("j.locationName", F.lit("")), location_text(F.col("j.city"), F.col("j.country")))
-    return _listing(rows, url, F.col("j.title"), place, _text(F.col("j.description")))
+    return _listings(payloads, ["phenom"])
 
 
 def from_search_items(payloads: DataFrame, search_name: str = "slug", now: Column | None = None, max_days: int = 30, exempt: list = ()) -> DataFrame:
@@ -187,13 +280,8 @@ def from_job_page(pages: DataFrame, now: Column) -> DataFrame:
 
 
 def normalise_payloads(payloads: DataFrame, details: DataFrame) -> DataFrame:
-    """Listings of all platforms."""
-    plain = [from_greenhouse, from_lever, from_ashby, from_breezy, from_bamboohr, from_teamtailor, from_rippling, from_phenom]
-    frames = [f(payloads) for f in plain] + [f(payloads, details) for f in (from_personio, from_workday)]
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame)
-    return out
+    """Listings of all platforms, in one pass over the payloads."""
+    return _listings(payloads, list(_PLATFORMS), details)
 
 
 def payload_errors(payloads: DataFrame) -> DataFrame:
