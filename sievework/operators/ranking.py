@@ -64,18 +64,17 @@ def weekly_pick(news: DataFrame, n: int = 5, story: str = "story_key", source: s
     """All rows with ``picked`` and ``place``. The best row of each source that is also the best of its
     story comes first, by score and time; if they are under n, the best of the others fill up.
 
-    Rows without a source are one source, and rows without a story one story. Only the n best of either kind can be picked, and top-n is taken without sorting all rows in one task.
+    Rows without a source are one source, and rows without a story one story; ``seq`` tells rows apart. The news itself is never
+    shuffled: the best of the sources and stories are aggregates, the fill is among the 2 n best rows, and n rows are joined back.
     """
-    order = [F.desc("score"), F.desc("published_at"), F.asc("seq")]
-    key = F.struct(F.col("score"), F.col("published_at"), -F.col("seq"))
-    best_source = news.groupBy(F.col(source).alias("_source")).agg(F.max(key).alias("best_source"))
-    best_story = news.groupBy(F.col(story).alias("_story")).agg(F.max(key).alias("best_story"))
-    joined = news.join(best_source, F.col(source).eqNullSafe(F.col("_source")), "left").join(best_story, F.col(story).eqNullSafe(F.col("_story")), "left")
-    both = key.eqNullSafe(F.col("best_source")) & key.eqNullSafe(F.col("best_story"))
-    marked = joined.withColumn("first_of_both", both).drop("best_source", "best_story", "_source", "_story")
-    top = marked.orderBy(F.desc("first_of_both"), *order).limit(n)
-    placed = top.withColumn("place", F.row_number().over(Window.orderBy(F.desc("first_of_both"), *order))).select("seq", "place")  # n rows
-    out = marked.join(placed, "seq", "left")
+    key = F.struct(F.col("score"), F.col("published_at"), (-F.col("seq")).alias("back"), F.col("seq"))
+    best = [news.groupBy(c).agg(F.max(key).alias("k")).select("k").distinct() for c in (source, story)]
+    firsts = best[0].join(best[1], "k").orderBy(F.desc("k")).limit(n).withColumn("fill", F.lit(False))
+    others = news.select(key.alias("k")).orderBy(F.desc("k")).limit(2 * n).withColumn("fill", F.lit(True))
+    chosen = firsts.unionByName(others).groupBy("k").agg(F.min("fill").alias("fill"))  # 3 n rows at most
+    top = chosen.orderBy("fill", F.desc("k")).limit(n)
+    placed = top.select(F.col("k.seq").alias("seq"), F.row_number().over(Window.orderBy("fill", F.desc("k"))).alias("place"))
+    out = news.join(F.broadcast(placed), "seq", "left")  # n rows
     return out.withColumn("picked", F.col("place").isNotNull())
 
 
