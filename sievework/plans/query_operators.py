@@ -802,15 +802,13 @@ _PLATFORM = "CASE job_id % 10 " + " ".join(f"WHEN {i} THEN '{p}'" for i, p in en
 
 @query("s5_normalise_payloads", over("v_job", f"SELECT {_PLATFORM} AS platform, source_id, trim(title) AS title, CASE WHEN job_id % 10 = 6 THEN NULL ELSE location_raw END AS location_raw, CASE WHEN job_id % 10 IN (5, 8) THEN NULL ELSE summary END AS summary FROM v_job"))
 def s5(spark, d):
-    from sievework.operators.graphs import cut
+    landed, details = _payloads(spark, d)
+    return PL.normalise_payloads(landed, details).select("platform", "source_id", "title", "location_raw", "summary")
 
-    landed, details = _payloads(spark, d)  # written out, as landed payloads are: each platform's reader scans them
-    return PL.normalise_payloads(cut(landed), details).select("platform", "source_id", "title", "location_raw", "summary")
 
-
-@query("s5k_search_items", over("v_job", "SELECT trim(title) AS title, CASE WHEN job_id % 4 = 0 THEN 'no_hiring_org' WHEN job_id % 4 = 1 THEN 'stale (' || (job_id % 9) * 7 || 'd)' END AS reason FROM v_job WHERE job_id % 4 <> 1 OR (job_id % 9) * 7 > 30"))
+@query("s5k_search_items", over("v_job", "SELECT trim(title) AS title, CASE WHEN job_id % 4 = 0 THEN 'no_hiring_org' WHEN job_id % 4 = 1 AND (job_id % 9) * 7 > 30 THEN 'stale (' || (job_id % 9) * 7 || 'd)' END AS reason FROM v_job"))
 def s5k(spark, d):
-    jobs = view(spark, d, "v_job").filter("job_id % 4 <> 1 OR (job_id % 9) * 7 > 30")
+    jobs = view(spark, d, "v_job")
     item = F.to_json(F.array(F.struct(F.concat(F.lit("https://www.linkedin.com/jobs/view/j-"), F.col("job_id")).alias("link"), "title", F.when(F.col("job_id") % 4 == 0, "").otherwise("Acme Ltd").alias("companyName"), F.when(F.col("job_id") % 4 == 1, F.concat(F.col("job_id") % 9, F.lit(" weeks ago"))).otherwise("Today").alias("postedAt"))))
     payloads = jobs.select(F.col("job_id").cast("string").alias("source_id"), F.lit("search").alias("platform"), F.lit("ACME").alias("slug"), item.alias("payload"))
     return PL.from_search_items(payloads, now=at(NOW)).select("title", "reason")

@@ -384,6 +384,37 @@ def test_hot_sources_land_in_pages_with_whole_titles(spark, tmp_path, monkeypatc
         assert max(r.payload.count(mark) for r in seen[name][0].collect()) <= 2 * plans.PAYLOAD_ITEMS
 
 
+def test_payloads_are_read_once_and_places_looked_up(spark, tmp_path):
+    api = (
+        '{"data": [{"id": "7", "attributes": {"title": "Coach", "status": "open", "body": "<p>Run</p>"}, "relationships": {"location": {"data": {"type": "locations", "id": "1"}}}},'
+        ' {"id": "8", "attributes": {"title": "Cook", "status": "draft", "body": ""}}, {"id": "9", "attributes": {"title": "Medic", "status": "open", "body": null}}],'
+        ' "included": [{"type": "locations", "id": "1", "attributes": {"city": "Cork", "country-name": "Ireland"}}, {"type": "users", "id": "1", "attributes": {"city": "Nowhere"}}]}'
+    )
+    rows = [("s1", "teamtailor", "a", "https://a.example.org", api), ("s2", "greenhouse", "b", "", '{"jobs": [{"absolute_url": "u", "title": "T", "location": "Bray", "content": "&lt;b&gt;x&lt;/b&gt;"}]}'),
+            ("s3", "teamtailor", "c", "", "not json"), ("s4", None, "d", "", "{}"), ("s5", "lever", "e", "", "{}"), ("s6", "bamboohr", "f", "", None)]
+    spark.createDataFrame(rows, "source_id string, platform string, slug string, base_url string, payload string").write.parquet(f"{tmp_path}/landed")
+    details = spark.createDataFrame([], "url string, html string")
+    out = P.normalise_payloads(spark.read.parquet(f"{tmp_path}/landed"), details)
+    got = sorted((r.source_id, r.url, r.title, r.location_raw, r.summary) for r in out.collect())
+    assert got == [("s1", "https://a.example.org/jobs/7", "Coach", "Cork, Ireland", "Run"), ("s1", "https://a.example.org/jobs/9", "Medic", None, None), ("s2", "u", "T", "Bray", "x")]
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and plan.count("Generate explode") == 1
+
+
+def test_weekly_pick_shuffles_no_whole_news(spark, tmp_path):
+    rows = [(i, f"s{i % 7}", f"t{i % 11}", i % 5, "2024-01-01", "x" * 20) for i in range(200)]
+    spark.createDataFrame(rows, "seq bigint, source string, story_key string, score int, published_at string, body string").write.parquet(f"{tmp_path}/news")
+    news = spark.read.parquet(f"{tmp_path}/news")
+    out = O.weekly_pick(news, 4)
+    exchanges = [line for line in out._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+    assert exchanges and all("body" not in line and ("source#" in line or "story_key#" in line or "k#" in line) for line in exchanges)
+    order = sorted(rows, key=lambda r: (-r[3], r[0]))
+    best = [{r[c]: r for r in reversed(order)} for c in (1, 2)]
+    both = [r for r in order if best[0][r[1]] is r and best[1][r[2]] is r]
+    want = (both + [r for r in order if r not in both])[:4]
+    assert [r.seq for r in out.filter("picked").orderBy("place").collect()] == [r[0] for r in want] and out.count() == 200
+
+
 def test_late_rows(spark):
     rows = spark.createDataFrame([(1, "2024-01-10 00:00:00"), (2, "2024-01-01 00:00:00"), (3, None)], "k int, ts string")
     fine, late = T.split_late(rows, "ts", 72, F.lit("2024-01-10").cast("timestamp"))
