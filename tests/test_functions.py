@@ -75,6 +75,13 @@ def test_ages(spark):
     assert column(spark, ["2024-02-05"], lambda c: D.days_ago(c, now, clamp=False)) == [-5]
 
 
+def test_ages_count_parts_of_seconds(spark):
+    now = F.lit("2024-01-31 00:00:00").cast("timestamp")
+    cases = {"2024-01-11T00:00:00.250000Z": 19, "2024-01-11T00:00:00Z": 20, "2024-01-10T23:59:59.999999Z": 20}
+    check(spark, cases, lambda c: D.days_ago(c, now))
+    assert column(spark, ["2024-01-31T00:00:00.000001Z"], lambda c: D.days_ago(c, now, clamp=False)) == [-1]
+
+
 def test_display_texts(spark):
     day = lambda a: F.lit(a).cast("date")
     row = spark.range(1).select(D.event_date_text(day("2026-05-14"), day("2026-05-16")), D.event_date_text(day("2026-05-14"), day("2026-05-14")), D.month_bucket(F.lit(None).cast("date")), D.runtime_text(F.lit(3725)), D.runtime_text(F.lit(59))).first()
