@@ -30,8 +30,16 @@ def hits(expr: str, terms: list[str]) -> str:
     return "(" + " + ".join(f"CAST(contains(lower({expr}), {lit(t)}) AS INTEGER)" for t in terms) + ")"
 
 
+def decoded(expr: str) -> str:
+    """SQL: a text with these references decoded, which HTML also reads without their semicolon (a cut title may end so)."""
+    for name, mark in (("nbsp", " "), ("lt", "<"), ("gt", ">"), ("quot", '"'), ("amp", "&")):
+        expr = f"regexp_replace({expr}, '&{name};?', '{mark}', 'g')"
+    return expr
+
+
+_ARTICLE = "regexp_replace(regexp_extract(html, '<article>(.*?)</article>', 1, 's'), '<[^>]*>', ' ', 'g')"
 #: SQL: the text of a page's article, with single spaces.
-MAIN_TEXT = r"""regexp_replace(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(regexp_extract(html, '<article>(.*?)</article>', 1, 's'), '<[^>]*>', ' ', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g'), '^ | $', '', 'g')"""
+MAIN_TEXT = rf"""regexp_replace(regexp_replace({decoded(_ARTICLE)}, '\s+', ' ', 'g'), '^ | $', '', 'g')"""
 
 
 # Text ----------------------------------------------------------------------------------------------

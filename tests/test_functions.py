@@ -139,6 +139,22 @@ def test_page_functions(spark):
     assert row[0] == "One two" and row[1] == "menu ..." and row[2].og_title == "T & U" and row[2].image_url == "https://a.org/i.png"
 
 
+@pytest.mark.parametrize("name", ["f4_main_content", "x3_extract_events", "x8_html_udfs"])
+def test_titles_cut_within_references_agree_with_sql(spark, tmp_path, name):
+    import duckdb
+
+    from __spark_entry__ import oracle_sql, queries
+
+    titles = ["Tom &amp; Ann&amp", "5 &lt; 6 &lt", "6 &gt; 5 &gt", "say &quot;yes&quot; &quot", "a&amp;amp; b&am", "plain"]
+    page = "<html><head><title>{0}</title></head><body><nav>menu</nav><article><h1>{0}</h1><p>{0}</p><p>more &amp;lt; text</p></article></body></html>"
+    rows = [(i, f"https://a.org/{i}", page.format(t)) for i, t in enumerate(titles * 4)]
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    with duckdb.connect() as db:
+        db.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+        want = db.execute(oracle_sql()[name]).fetchall()
+    assert sorted(map(repr, map(tuple, queries()[name](spark, str(tmp_path)).collect()))) == sorted(map(repr, want))
+
+
 def test_relevance(spark):
     s = R.relevance_score(F.lit("Software Engineer"), F.lit("python"), F.lit("CoreCo"), F.lit("site"), ["coreco"], ["coreco"])
     assert spark.range(1).select(s, R.relevance_band(s)).first()[:] == (8 + 10 + 2 * 2 + 1 + 5, "high")
