@@ -139,7 +139,7 @@ def test_page_functions(spark):
     assert row[0] == "One two" and row[1] == "menu ..." and row[2].og_title == "T & U" and row[2].image_url == "https://a.org/i.png"
 
 
-@pytest.mark.parametrize("name", ["f4_main_content", "x3_extract_events", "x8_html_udfs"])
+@pytest.mark.parametrize("name", ["f4_main_content", "f5_page_meta", "x3_extract_events", "x8_html_udfs"])
 def test_titles_cut_within_references_agree_with_sql(spark, tmp_path, name):
     import duckdb
 
