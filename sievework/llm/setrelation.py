@@ -12,7 +12,7 @@ with the overlap o of heads h(x), h(y) counted once,
     o - |h(x) - x| - |h(y) - y|  <=  overlap of x and y  <=  o + |x - h(x)| + |y - h(y)|,
 
 and all four differences are known, so a crowd of near copies beside another crowd costs one comparison of heads and a row of
-arithmetic for each pair; only pairs that the bounds leave open are counted on their texts. A pair of heads with a
+arithmetic for each pair; only pairs that the bounds and wide sketches leave open are counted on their texts. A pair of heads with a
 single pair below it isn't asked for: the pair itself is counted.
 
 Shingles are 64-bit hashes (a chance of 2**-64 for two of a pair to fall together); sets are told apart by 128 bits. The
@@ -79,14 +79,15 @@ def _shingles(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
 
 
 def _describe(bar: setjoin.Bar, order):
-    @F.arrow_udf("struct<" + ", ".join(f"{n}: bigint" for n in _NUMBERS) + ", rare: array<bigint>>")
+    @F.arrow_udf("struct<" + ", ".join(f"{n}: bigint" for n in _NUMBERS) + ", rare: array<bigint>, wide: array<bigint>>")
     def described(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            numbers, rare = np.zeros((len(batch), len(_NUMBERS)), np.int64), []
+            numbers, rare, wide = np.zeros((len(batch), len(_NUMBERS)), np.int64), [], []
             for k, own in enumerate(sets_of(batch)):
                 numbers[k] = [*np.frombuffer(blake2b(own.tobytes(), digest_size=16).digest(), np.int64), len(own), *setjoin.sketch(own)]
                 rare.append(setjoin.ordered(own, *order.value)[: bar.prefix(len(own))])
-            yield pa.StructArray.from_arrays([*(pa.array(c) for c in numbers.T), pa.array(rare, pa.list_(pa.int64()))], [*_NUMBERS, "rare"])
+                wide.append(setjoin.wide(own))
+            yield pa.StructArray.from_arrays([*(pa.array(c) for c in numbers.T), *(pa.array(c, pa.list_(pa.int64())) for c in (rare, wide))], [*_NUMBERS, "rare", "wide"])
 
     return described
 
@@ -132,7 +133,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold:
     about = rows.select("doc_id", F.xxhash64("t").alias("mark"), _describe(bar, order)("t").alias("d")).select("doc_id", "mark", "d.*")
     about = keep(about, "about")
     same = about.filter("m > 0").groupBy("hi", "lo").agg(
-        F.min("doc_id").alias("first"), F.min(F.struct("mark", "doc_id")).alias("text"), *(F.first(c).alias(c) for c in ("m", *setjoin.SKETCH, "rare"))
+        F.min("doc_id").alias("first"), F.min(F.struct("mark", "doc_id")).alias("text"), *(F.first(c).alias(c) for c in ("m", *setjoin.SKETCH, "rare", "wide"))
     )
     sets = keep(same.withColumn("sid", F.monotonically_increasing_id()), "sets")
     sizes = sets.select("sid", "m")
@@ -145,7 +146,8 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold:
         return held.join(asked, (F.col("mark") == F.col("mark2")) & F.col("doc_id").eqNullSafe(F.col("doc_id2"))).select("sid", "t").dropDuplicates(["sid"])
 
     def count(near: DataFrame, name: str) -> DataFrame:
-        return setjoin.overlaps(near, texts, _items, keep, name)
+        asked = near if name == "heads" else setjoin.alike(near, sets, bar)  # what unlike heads share is wanted, too
+        return setjoin.overlaps(asked, texts, _items, keep, name)
 
     near, crowded = setjoin.stars(sets, bar, keep)
     met = count(near, "first").join(sizes.select(F.col("sid").alias("x"), F.col("m").alias("mx")), "x").join(sizes.select(F.col("sid").alias("y"), F.col("m").alias("my")), "y")

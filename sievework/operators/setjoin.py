@@ -4,9 +4,12 @@ A set is described by its size, a 1,024-bit parity sketch and the first items (`
 same for all sets; two sets of similarity t or more share one of them (prefix filter). A posting carries the item's place
 and the set's size: at the first item that two sets share, what can still follow bounds their overlap, so most pairs of a
 posting list are refused before they're written. The sketch refuses more: where two sketches differ in
-more bits than the sets may differ in items, they aren't similar. Both filters lose nothing.
+more bits than the sets may differ in items, they aren't similar. Sets of more than 1,024 items have a wider sketch, too, of one to
+two bits an item; it travels to the pairs before any text does. These filters lose nothing.
 
-Lists are worked through twice. First each set meets the least set of its list (a star, linear in the list); links
+Lists are worked through twice. First each set meets the head of its list, the set with the most room: the list's item comes
+first in its order, so the least of it is unlike the others (a star, linear in the list). In a crowd of near copies that is one with the
+fewest edits, which most of the others resemble, where a head by number is as a rule edited too much to be like any. Links
 that hold make components. Then only pairs of different components meet, in blocks ordered by size class and place: a pair of
 blocks whose sizes or places can't fit is skipped whole. Lists of two are done after the first pass; a Bloom filter keeps
 their postings from being shuffled again. Texts travel once for each star that they are in.
@@ -24,8 +27,8 @@ from pyspark.sql import functions as F
 
 from sievework.operators import bloom
 
-#: Entries of a block of a posting list; members of a star that one task compares; words of the Bloom filter; pairs that a task holds to hand each on once.
-BLOCK, STAR, WORDS, ROWS = 512, 512, 1 << 18, 500_000
+#: Entries of a block of a posting list, and of a list that isn't cut into blocks; members of a star that one task compares; words of the Bloom filter; pairs that a task holds to hand each on once.
+BLOCK, FEW, STAR, WORDS, ROWS = 512, 64, 512, 1 << 18, 500_000
 SKETCH = [f"k{i}" for i in range(16)]
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -56,6 +59,16 @@ def sketch(items: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def wide(items: np.ndarray) -> np.ndarray:
+    """Parities of more than 1,024 items, a power of two of them: its halves united by XOR are the sketch of half the size."""
+    if len(items) <= 1024:
+        return np.zeros(0, np.int64)
+    bits = 1 << (len(items) - 1).bit_length()
+    place = (((items.view(np.uint64) * _MIX) >> np.uint64(32)) & np.uint64(bits - 1)).astype(np.int64)
+    odd = np.bincount(place, minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def ordered(items: np.ndarray, common: np.ndarray, often: np.ndarray) -> np.ndarray:
     """The items by (how common they are, value); ``common`` is sorted, others count as seldom."""
     if not len(common):
@@ -104,7 +117,7 @@ def _batch(names: list[str], *columns: np.ndarray) -> pa.RecordBatch:
 
 def _stars(bar: Bar):
     def work(batches):
-        """Of each list (g, sid, m, pos), least sid first, the pairs with its least set that may be similar; x is null: a list of three or more."""
+        """Of each list (g, sid, m, pos), most room first, the pairs with its head that may be similar (kind 0); lists of three or more (kind 1)."""
         for starts, (g, sid, m, pos) in _lists(batches, 4):
             sizes = np.diff(np.append(starts, len(g)))
             head = np.repeat(starts, sizes)
@@ -118,8 +131,8 @@ def _stars(bar: Bar):
 
 
 def stars(sets: DataFrame, bar: Bar, keep: Callable[[DataFrame, str], DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """The pairs (x, y) of the least set of a list with others that may be similar, and the items of lists of three or more."""
-    dealt = _postings(sets).select("g", "sid", "m", "pos").repartition("g").sortWithinPartitions("g", "sid")
+    """The pairs (x, y) of the head of a list with others that may be similar, and the items of lists of three or more."""
+    dealt = _postings(sets).select("g", "sid", "m", "pos").repartition("g").sortWithinPartitions("g", "pos", "sid")
     found = keep(dealt.mapInArrow(_stars(bar), "kind bigint, x bigint, y bigint"), "stars")
     return found.filter("kind = 0").select("x", "y").distinct(), found.filter("kind = 1").select(F.col("x").alias("g"))
 
@@ -139,36 +152,69 @@ def block_pairs(m: np.ndarray, pos: np.ndarray, bar: Bar) -> tuple[np.ndarray, l
     return order, [(cuts[a], cuts[b]) for a, b in zip(i[fits].tolist(), j[fits].tolist(), strict=True)]
 
 
+def alike(near: DataFrame, sets: DataFrame, bar: Bar) -> DataFrame:
+    """The pairs (x, y) of ``near`` that may be similar by their sketches: by wide ones, where both sets have them."""
+    names = ["m", "wide", *SKETCH]
+    sides = [sets.select(F.col("sid").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in names)) for s in "xy"]
+    pairs = near.join(sides[0], "x").join(sides[1], "y")
+    wx, wy = F.col("wide_x"), F.col("wide_y")
+
+    def half(w):
+        n = (F.size(w) / 2).cast("int")
+        return F.zip_with(F.slice(w, F.lit(1), n), F.slice(w, n + 1, n), lambda a, b: a.bitwiseXOR(b))
+
+    apart = F.zip_with(F.when(F.size(wx) > F.size(wy), half(wx)).otherwise(wx), F.when(F.size(wy) > F.size(wx), half(wy)).otherwise(wy), lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    plain = sum((F.bit_count(F.col(f"{k}_x").bitwiseXOR(F.col(f"{k}_y"))) for k in SKETCH), F.lit(0))
+    fits = (F.size(wx) <= 2 * F.size(wy)) & (F.size(wy) <= 2 * F.size(wx)) & (F.size(wx) > 0)
+    differ = F.when(fits, F.aggregate(apart, F.lit(0), lambda a, b: a + b)).otherwise(plain)
+    twice = F.least(F.col("m_x") + F.col("m_y") - differ, 2 * F.least("m_x", "m_y"))  # the overlap is at most half of this
+    return pairs.filter(twice * (bar.p + bar.q) >= (F.col("m_x") + F.col("m_y")) * 2 * bar.p).select("x", "y")
+
+
 def _apart(bar: Bar):
     def work(batches):
         """Of each list (g, sid, m, pos, root, sketch), the pairs of different roots that may be similar."""
         found: list[np.ndarray] = []
         for starts, (g, sid, m, pos, root, *bits) in _lists(batches, 5 + len(SKETCH)):
             ends = np.append(starts[1:], len(g))
+            bits = np.stack(bits, axis=1).view(np.uint64)
             mixed = np.maximum.reduceat(root, starts) != np.minimum.reduceat(root, starts)
-            for i, j in zip(starts[mixed].tolist(), ends[mixed].tolist(), strict=True):
+            reach, share = (bar.p + bar.q) * (m - pos) - bar.p * m, bar.p * m  # the overlap that a place leaves is enough for a size n: reach >= p * n
+
+            def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+                may = m[a] + m[b] - 2 * bar.overlap(m[a], m[b])
+                for words in slice(0, 2), slice(2, len(SKETCH)):  # a few words refuse most pairs
+                    may = may - np.bitwise_count(bits[a, words] ^ bits[b, words]).sum(axis=1, dtype=np.int64)
+                    a, b, may = a[may >= 0], b[may >= 0], may[may >= 0]
+                return np.stack([np.minimum(sid[a], sid[b]), np.maximum(sid[a], sid[b])], axis=1)
+
+            few = mixed & (ends - starts <= FEW)  # short lists all at once: each row with the row after it, the second after it, ...
+            a, last, step = np.flatnonzero(np.repeat(few, ends - starts)), np.repeat(ends[few], (ends - starts)[few]), 1
+            while len(a):
+                a, last = a[a + step < last], last[a + step < last]
+                b = a + step
+                near = (root[a] != root[b]) & (reach[a] >= share[b]) & (reach[b] >= share[a])
+                found.append(alike(a[near], b[near]))
+                step += 1
+            for i, j in zip(starts[mixed & ~few].tolist(), ends[mixed & ~few].tolist(), strict=True):
                 order, pairs = block_pairs(m[i:j], pos[i:j], bar)
                 order = order + i
                 for one, two in pairs:
                     a, b = order[one], order[two]
-                    least = bar.overlap(m[a][:, None], m[b])
-                    near = (root[a][:, None] != root[b]) & bar.sizes_fit(m[a][:, None], m[b])
-                    near &= (m[a] - pos[a])[:, None] >= least
-                    near &= (m[b] - pos[b]) >= least
+                    near = root[a][:, None] != root[b]
+                    near &= reach[a][:, None] >= share[b]
+                    near &= reach[b] >= share[a][:, None]
                     x, y = np.nonzero(near)
                     if one == two:
                         x, y = x[x < y], y[x < y]
-                    if not len(x):
-                        continue
-                    a, b = a[x], b[y]
-                    differ = sum(np.bitwise_count((k[a] ^ k[b]).view(np.uint64)).astype(np.int64) for k in bits)
-                    may = differ <= m[a] + m[b] - 2 * least[x, y]
-                    a, b = sid[a[may]], sid[b[may]]
-                    found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1))
+                    found.append(alike(a[x], b[y]))
                 if sum(map(len, found)) > 2 * ROWS:
                     found = [_once(found)]
                     if len(found[0]) > ROWS:
                         yield _batch(["x", "y"], *found.pop().T)
+            found = [_once(found)]
+            if len(found[0]) > ROWS:
+                yield _batch(["x", "y"], *found.pop().T)
         yield _batch(["x", "y"], *_once(found).T)
 
     return work
@@ -180,9 +226,9 @@ def _once(found: list[np.ndarray]) -> np.ndarray:
 
 def apart(sets: DataFrame, crowded: DataFrame, roots: DataFrame, bar: Bar) -> DataFrame:
     """The pairs (x, y) of sets of different components (``roots``: node, root) that share a crowded item and may be similar."""
-    rooted = sets.join(roots, sets["sid"] == roots["node"], "left").withColumn("root", F.coalesce("root", "sid"))
-    listed = bloom.may_hold(_postings(rooted, "root", *SKETCH), bloom.build(crowded, WORDS, "g"), WORDS, "g")
-    dealt = listed.select("g", "sid", "m", "pos", "root", *SKETCH).repartition("g").sortWithinPartitions("g", "sid")
+    listed = bloom.may_hold(_postings(sets, *SKETCH), bloom.build(crowded, WORDS, "g"), WORDS, "g")
+    rooted = listed.join(roots, listed["sid"] == roots["node"], "left").withColumn("root", F.coalesce("root", "sid"))
+    dealt = rooted.select("g", "sid", "m", "pos", "root", *SKETCH).repartition("g").sortWithinPartitions("g", "sid")
     return dealt.mapInArrow(_apart(bar), "x bigint, y bigint").distinct()
 
 

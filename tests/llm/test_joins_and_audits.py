@@ -118,6 +118,68 @@ def test_blocks_are_skipped_and_nothing_lost(monkeypatch):
                 assert (i, j) in met or (j, i) in met
 
 
+def test_a_crowd_is_joined_by_its_least_edited_member(spark, monkeypatch):
+    """Copies with three edits are like no other; with one as head of a list, copies with one edit stayed apart and all their pairs were made."""
+    made, apart = [], setjoin.apart
+
+    def counted(*args):
+        out = apart(*args)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(setjoin, "apart", counted)
+    rng, base = random.Random(7), [f"w{i}" for i in range(150)]
+    texts = []
+    for i in range(300):
+        words = list(base)
+        for k in rng.sample(range(150), 1 if i % 3 == 0 else 3):
+            words[k] = f"x{rng.random()}"
+        texts.append(" ".join(words))
+    sizes, root = brute_join(texts)
+    got = setrelation.join(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {i: (n, r) for i, (n, r) in enumerate(zip(sizes, root, strict=True))}
+    assert made[0] < len(texts), made
+
+
+def test_wide_sketches_refuse_unlike_sets_before_their_texts_travel(spark):
+    rng, bar = np.random.default_rng(3), setjoin.Bar(0.85)
+    base = rng.integers(-(2**63), 2**63 - 1, 9000)
+    sets = [np.sort(base[a:b]) for a, b in ((0, 4400), (200, 4500), (1300, 5700), (2200, 6600), (0, 4050), (0, 1000), (0, 1100), (300, 1300), (0, 8000))]
+    rows = [(i, len(s), setjoin.wide(s).tolist(), *setjoin.sketch(s).tolist()) for i, s in enumerate(sets)]
+    names = ", ".join(f"{k} bigint" for k in setjoin.SKETCH)
+    df = spark.createDataFrame(rows, f"sid bigint, m bigint, wide array<bigint>, {names}")
+    pairs = [(i, j) for i in range(len(sets)) for j in range(i)]
+    got = {(r.x, r.y) for r in setjoin.alike(spark.createDataFrame(pairs, "x bigint, y bigint"), df, bar).collect()}
+    share = {(i, j): len(np.intersect1d(sets[i], sets[j])) / len(np.union1d(sets[i], sets[j])) for i, j in pairs}
+    assert {p for p in pairs if share[p] >= 0.85} <= got and {(1, 0), (4, 0), (6, 5)} <= got
+    assert not [p for p in got if share[p] < 0.8], got
+    narrow = np.bitwise_count((setjoin.sketch(sets[0]) ^ setjoin.sketch(sets[3])).view(np.uint64)).sum()
+    assert narrow <= 2 * 4400 - 2 * bar.overlap(4400, 4400)  # 1,024 bits don't tell them apart
+
+
+def test_short_and_long_lists_give_the_same_pairs(monkeypatch):
+    rng, bar = np.random.default_rng(4), setjoin.Bar(0.85)
+    sets = [np.unique(rng.integers(0, 130, 400)) for _ in range(40)]
+    columns = [(g, i, len(s), int(rng.integers(0, 9)), int(rng.integers(0, 20)), *setjoin.sketch(s).tolist()) for g in range(5) for i, s in enumerate(sets) if (i + g) % 3]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*columns, strict=True)], [f"c{k}" for k in range(21)])
+
+    def pairs():
+        return {p for out in setjoin._apart(bar)(iter([batch])) for p in zip(*(out.column(k).to_pylist() for k in range(2)), strict=True)}
+
+    short = pairs()
+    monkeypatch.setattr(setjoin, "FEW", 1)
+    monkeypatch.setattr(setjoin, "BLOCK", 8)
+    assert short and short == pairs()
+    roots = {(c[0], c[1]): c for c in columns}
+    want = set()
+    for (g, i), a in roots.items():
+        for j in range(i):
+            if (b := roots.get((g, j))) and a[4] != b[4] and min(a[2] - a[3], b[2] - b[3]) >= (least := bar.overlap(a[2], b[2])):
+                differ = np.bitwise_count((setjoin.sketch(sets[i]) ^ setjoin.sketch(sets[j])).view(np.uint64)).sum()
+                want |= {(j, i)} if differ <= a[2] + b[2] - 2 * least else set()
+    assert short == want
+
+
 def test_jaccard_join_on_odd_rows(odd_docs, no_docs):
     assert setrelation.join(no_docs).count() == 0
     rows = setrelation.join(odd_docs).collect()
