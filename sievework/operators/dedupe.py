@@ -164,19 +164,20 @@ def group_stories(df: DataFrame, text: str, threshold: float = 0.8, block: str |
     order = df.sparkSession.sparkContext.broadcast((np.array([g for g, _ in known], np.int64), np.array([n for _, n in known], np.int64)))
     names = ["hi", "lo", "m", *setjoin.SKETCH]
 
-    @F.arrow_udf("struct<" + ", ".join(f"{n}: bigint" for n in names) + ", rare: array<bigint>>")
+    @F.arrow_udf("struct<" + ", ".join(f"{n}: bigint" for n in names) + ", rare: array<bigint>, wide: array<bigint>>")
     def described(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
-            numbers, rare = np.zeros((len(batch), len(names)), np.int64), []
+            numbers, rare, wide = np.zeros((len(batch), len(names)), np.int64), [], []
             for k, t in enumerate(batch.to_pylist()):
                 own = items(t.encode())
                 numbers[k] = [*np.frombuffer(blake2b(own.tobytes(), digest_size=16).digest(), np.int64), len(own), *setjoin.sketch(own)]
                 rare.append(setjoin.ordered(own, *order.value)[: bar.prefix(len(own))])
-            yield pa.StructArray.from_arrays([*(pa.array(c) for c in numbers.T), pa.array(rare, pa.list_(pa.int64()))], [*names, "rare"])
+                wide.append(setjoin.wide(own))
+            yield pa.StructArray.from_arrays([*(pa.array(c) for c in numbers.T), *(pa.array(c, pa.list_(pa.int64())) for c in (rare, wide))], [*names, "rare", "wide"])
 
     about = df.select(F.col(key).alias("key"), F.xxhash64(whole).alias("mark"), described(whole).alias("d"))
     about = scratch.keep(about.select("key", "mark", "d.*"), "about")
-    same = about.groupBy("hi", "lo").agg(F.min("key").alias("first"), F.min(F.struct("mark", "key")).alias("text"), *(F.first(c).alias(c) for c in ("m", *setjoin.SKETCH, "rare")))
+    same = about.groupBy("hi", "lo").agg(F.min("key").alias("first"), F.min(F.struct("mark", "key")).alias("text"), *(F.first(c).alias(c) for c in ("m", *setjoin.SKETCH, "rare", "wide")))
     sets = scratch.keep(same.withColumn("sid", F.monotonically_increasing_id()), "sets")
 
     def texts(wanted: DataFrame) -> DataFrame:
@@ -189,7 +190,7 @@ def group_stories(df: DataFrame, text: str, threshold: float = 0.8, block: str |
     sizes = sets.select(F.col("sid").alias("x"), F.col("m").alias("mx")), sets.select(F.col("sid").alias("y"), F.col("m").alias("my"))
 
     def links(near: DataFrame, name: str) -> DataFrame:
-        met = setjoin.overlaps(near, texts, items, scratch.keep, name).join(sizes[0], "x").join(sizes[1], "y")
+        met = setjoin.overlaps(setjoin.alike(near, sets, bar), texts, items, scratch.keep, name).join(sizes[0], "x").join(sizes[1], "y")
         return scratch.keep(met.filter(setjoin.similar(bar, F.col("both"), F.col("mx"), F.col("my"))).select(F.col("x").alias("a"), F.col("y").alias("b")), f"{name}-links")
 
     near, crowded = setjoin.stars(sets, bar, scratch.keep)
