@@ -34,7 +34,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType
 
 from sievework.llm.simhash import components
 from sievework.llm.textbatch import Words, slices, utf8
@@ -44,15 +43,16 @@ from sievework.operators.graphs import Scratch
 THRESHOLD, WORDS = 0.85, 4
 #: One text in SAMPLE is read for the order of shingles; the COMMON most common go last.
 SAMPLE, COMMON = 16, 65_536
+#: Bytes of texts whose words are found at a time, which needs some dozens of bytes for each (more for one text that is longer).
+SLICE = 1 << 18
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_NUMBERS = ["hi", "lo", "m", *setjoin.SKETCH]
 
 
 def sets_of(column: pa.Array, size: int = WORDS) -> Iterator[np.ndarray]:
     """The distinct shingle hashes of each text, sorted."""
     data, offsets = utf8(column)
-    for _, part, places in slices(data, offsets):
+    for _, part, places in slices(data, offsets, SLICE):
         words = Words(_LOWER[part], places)
         counts = np.bincount(words.texts, minlength=len(places) - 1)
         first, hashes = words.windows(*range(size))
@@ -72,26 +72,6 @@ def _items(text: bytes) -> np.ndarray:
     return next(sets_of(pa.array([text.decode()], pa.string())))
 
 
-@F.arrow_udf(ArrayType(LongType()))
-def _shingles(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for batch in batches:
-        yield pa.array(list(sets_of(batch)), pa.list_(pa.int64()))
-
-
-def _describe(bar: setjoin.Bar, order):
-    @F.arrow_udf("struct<" + ", ".join(f"{n}: bigint" for n in _NUMBERS) + ", rare: array<bigint>, wide: array<bigint>>")
-    def described(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            numbers, rare, wide = np.zeros((len(batch), len(_NUMBERS)), np.int64), [], []
-            for k, own in enumerate(sets_of(batch)):
-                numbers[k] = [*np.frombuffer(blake2b(own.tobytes(), digest_size=16).digest(), np.int64), len(own), *setjoin.sketch(own)]
-                rare.append(setjoin.ordered(own, *order.value)[: bar.prefix(len(own))])
-                wide.append(setjoin.wide(own))
-            yield pa.StructArray.from_arrays([*(pa.array(c) for c in numbers.T), *(pa.array(c, pa.list_(pa.int64())) for c in (rare, wide))], [*_NUMBERS, "rare", "wide"])
-
-    return described
-
-
 def derived(near: DataFrame, heads: DataFrame, sizes: DataFrame, count, bar: setjoin.Bar, keep) -> DataFrame:
     """The pairs (x, y) of ``near`` that are links, as (a, b): answered from the heads' answers where these decide.
 
@@ -126,12 +106,8 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold:
     keep = scratch.keep
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t"))
     sample = rows.select("t").filter(F.pmod(F.xxhash64("t"), F.lit(SAMPLE)) == 0).distinct()
-    counts = sample.select(F.explode(_shingles("t")).alias("g")).groupBy("g").agg(F.count("*").alias("n")).filter("n > 3")
-    known = sorted((r.g, r.n) for r in counts.orderBy(F.desc("n"), "g").limit(COMMON).collect())
-    order = spark.sparkContext.broadcast((np.array([g for g, _ in known], np.int64), np.array([n for _, n in known], np.int64)))
-
-    about = rows.select("doc_id", F.xxhash64("t").alias("mark"), _describe(bar, order)("t").alias("d")).select("doc_id", "mark", "d.*")
-    about = keep(about, "about")
+    common = setjoin.order(sample, sets_of, COMMON)
+    about = keep(setjoin.describe(rows.select("doc_id", F.xxhash64("t").alias("mark"), "t"), sets_of, bar, common), "about")
     same = about.filter("m > 0").groupBy("hi", "lo").agg(
         F.min("doc_id").alias("first"), F.min(F.struct("mark", "doc_id")).alias("text"), *(F.first(c).alias(c) for c in ("m", *setjoin.SKETCH, "rare", "wide"))
     )

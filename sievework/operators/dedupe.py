@@ -153,30 +153,12 @@ def group_stories(df: DataFrame, text: str, threshold: float = 0.8, block: str |
         name, _, own = joined.partition(b"\n")
         return _items(own, size, name.decode())
 
-    @F.arrow_udf("array<bigint>")
-    def shingles(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in texts:
-            yield pa.array([items(t.encode()) for t in batch.to_pylist()], pa.list_(pa.int64()))
+    def sets_of(texts: pa.Array) -> Iterator[np.ndarray]:
+        return (items(t.as_py().encode()) for t in texts)
 
     sample = df.select(whole.alias("t")).filter(F.pmod(F.xxhash64("t"), F.lit(_SAMPLE)) == 0).distinct()
-    counts = sample.select(F.explode(shingles("t")).alias("g")).groupBy("g").agg(F.count("*").alias("n")).filter("n > 3")
-    known = sorted((r.g, r.n) for r in counts.orderBy(F.desc("n"), "g").limit(_COMMON).collect())
-    order = df.sparkSession.sparkContext.broadcast((np.array([g for g, _ in known], np.int64), np.array([n for _, n in known], np.int64)))
-    names = ["hi", "lo", "m", *setjoin.SKETCH]
-
-    @F.arrow_udf("struct<" + ", ".join(f"{n}: bigint" for n in names) + ", rare: array<bigint>, wide: array<bigint>>")
-    def described(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in texts:
-            numbers, rare, wide = np.zeros((len(batch), len(names)), np.int64), [], []
-            for k, t in enumerate(batch.to_pylist()):
-                own = items(t.encode())
-                numbers[k] = [*np.frombuffer(blake2b(own.tobytes(), digest_size=16).digest(), np.int64), len(own), *setjoin.sketch(own)]
-                rare.append(setjoin.ordered(own, *order.value)[: bar.prefix(len(own))])
-                wide.append(setjoin.wide(own))
-            yield pa.StructArray.from_arrays([*(pa.array(c) for c in numbers.T), *(pa.array(c, pa.list_(pa.int64())) for c in (rare, wide))], [*names, "rare", "wide"])
-
-    about = df.select(F.col(key).alias("key"), F.xxhash64(whole).alias("mark"), described(whole).alias("d"))
-    about = scratch.keep(about.select("key", "mark", "d.*"), "about")
+    common = setjoin.order(sample, sets_of, _COMMON)
+    about = scratch.keep(setjoin.describe(df.select(F.col(key).alias("key"), F.xxhash64(whole).alias("mark"), whole.alias("t")), sets_of, bar, common), "about")
     same = about.groupBy("hi", "lo").agg(F.min("key").alias("first"), F.min(F.struct("mark", "key")).alias("text"), *(F.first(c).alias(c) for c in ("m", *setjoin.SKETCH, "rare", "wide")))
     sets = scratch.keep(same.withColumn("sid", F.monotonically_increasing_id()), "sets")
 

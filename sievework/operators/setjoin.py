@@ -13,23 +13,32 @@ fewest edits, which most of the others resemble, where a head by number is as a
 that hold make components. Then only pairs of different components meet, in blocks ordered by size class and place: a pair of
 blocks whose sizes or places can't fit is skipped whole. Lists of two are done after the first pass; a Bloom filter keeps
 their postings from being shuffled again. Texts travel once for each star that they are in.
+
+Texts are described and counted in runs of a bounded number of items, each handed on at once, so that beside the batch that
+Spark sends a task holds one run, and Spark holds no row back until Python has answered it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from fractions import Fraction
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from sievework.operators import bloom
 
 #: Entries of a block of a posting list, and of a list that isn't cut into blocks; members of a star that one task compares; words of the Bloom filter; pairs that a task holds to hand each on once.
 BLOCK, FEW, STAR, WORDS, ROWS = 512, 64, 512, 1 << 18, 500_000
+#: Items of the sets that a task describes or counts at a time, and texts that it has as Python strings at a time.
+RUN, TEXTS = 1 << 18, 256
 SKETCH = [f"k{i}" for i in range(16)]
+NUMBERS = ["hi", "lo", "m", *SKETCH]
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -77,6 +86,65 @@ def ordered(items: np.ndarray, common: np.ndarray, often: np.ndarray) -> np.ndar
     return items[np.lexsort((items, np.where(common[at] == items, often[at], 0)))]
 
 
+def _runs(sets: Iterable[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """The sets in turn, in runs of about RUN items."""
+    held, total = [], 0
+    for own in sets:
+        held.append(own)
+        total += len(own) + 1
+        if total >= RUN:
+            yield held
+            held, total = [], 0
+    if held:
+        yield held
+
+
+def _counted(sets: Callable[[pa.Array], Iterable[np.ndarray]]):
+    def work(batches):
+        """Of texts (t), the items (g) and how many sets of a run have them (n)."""
+        for batch in batches:
+            for run in _runs(sets(batch.column(0))):
+                yield _batch(["g", "n"], *np.unique(np.concatenate(run), return_counts=True))
+
+    return work
+
+
+def order(sample: DataFrame, sets: Callable[[pa.Array], Iterable[np.ndarray]], most: int) -> Broadcast:
+    """The ``most`` most common items of the texts (t) that more than three of them have, sorted, and how many have each.
+
+    Runs are counted where they are, so a common item is one row a run; the rest, nearly all different, is dealt without a table of it in the task.
+    """
+    dealt = sample.select("t").mapInArrow(_counted(sets), "g bigint, n bigint").repartition("g")
+    counts = dealt.groupBy("g").agg(F.sum("n").alias("n")).filter("n > 3")
+    known = sorted((r.g, r.n) for r in counts.orderBy(F.desc("n"), "g").limit(most).collect())
+    return sample.sparkSession.sparkContext.broadcast((np.array([g for g, _ in known], np.int64), np.array([n for _, n in known], np.int64)))
+
+
+def _described(sets: Callable[[pa.Array], Iterable[np.ndarray]], bar: Bar, common: Broadcast):
+    def work(batches):
+        """The other columns of texts (t) and what NUMBERS, ``rare`` and ``wide`` say of their sets, run by run."""
+        for batch in batches:
+            at, names = 0, [c for c in batch.schema.names if c != "t"]
+            for run in _runs(sets(batch.column("t"))):
+                numbers, rare, wides = np.zeros((len(run), len(NUMBERS)), np.int64), [], []
+                for k, own in enumerate(run):
+                    numbers[k] = [*np.frombuffer(blake2b(own.tobytes(), digest_size=16).digest(), np.int64), len(own), *sketch(own)]
+                    rare.append(ordered(own, *common.value)[: bar.prefix(len(own))])
+                    wides.append(wide(own))
+                kept, lists = (batch.column(c).slice(at, len(run)) for c in names), (pa.array(c, pa.list_(pa.int64())) for c in (rare, wides))
+                yield pa.RecordBatch.from_arrays([*kept, *(pa.array(c) for c in numbers.T), *lists], [*names, *NUMBERS, "rare", "wide"])
+                at += len(run)
+
+    return work
+
+
+def describe(texts: DataFrame, sets: Callable[[pa.Array], Iterable[np.ndarray]], bar: Bar, common: Broadcast) -> DataFrame:
+    """The rows of ``texts`` with NUMBERS, ``rare`` and ``wide`` of the set of each text (t) in its place."""
+    kept = [f for f in texts.schema if f.name != "t"]
+    made = [*(StructField(n, LongType()) for n in NUMBERS), *(StructField(n, ArrayType(LongType())) for n in ("rare", "wide"))]
+    return texts.mapInArrow(_described(sets, bar, common), StructType([*kept, *made]))
+
+
 def _postings(sets: DataFrame, *more: str) -> DataFrame:
     return sets.select("sid", "m", *more, F.posexplode("rare").alias("pos", "g"))
 
@@ -245,7 +313,7 @@ def overlaps(near: DataFrame, texts: Callable[[DataFrame], DataFrame], items: Ca
 
     def compare(batches):
         head, own = None, None
-        for batch in batches:
+        for batch in (whole.slice(at, TEXTS) for whole in batches for at in range(0, len(whole), TEXTS)):
             x, y, both = [], [], []
             for key, part, first, sid, text in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
                 mine = items(text.encode())

@@ -2,7 +2,9 @@
 
 import math
 import random
+import tracemalloc
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import duckdb
 import numpy as np
@@ -180,6 +182,39 @@ def test_short_and_long_lists_give_the_same_pairs(monkeypatch):
     assert short == want
 
 
+def test_texts_are_described_in_runs_of_bounded_memory():
+    """A task held the sets of a whole batch and found words in a megabyte at a time: a few hundred bytes for each byte of that; 128 MB for a batch of the check's size."""
+    bar, common = setjoin.Bar(0.85), SimpleNamespace(value=(np.zeros(0, np.int64), np.zeros(0, np.int64)))
+    texts = [" ".join(f"w{(i * 7 + k * k) % 50021}" for k in range(i % 900)) for i in range(5000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5000)), pa.array(texts)], ["doc_id", "t"])
+    got, rare = [], 0
+    tracemalloc.start()
+    for out in setjoin._described(setrelation.sets_of, bar, common)(iter([batch])):
+        assert sum(out.column("m").to_pylist()) < setjoin.RUN + 900
+        got += zip(*(out.column(c).to_pylist() for c in ("doc_id", "m")), strict=True)
+        rare += len(out.column("rare").flatten())
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    sets = list(setrelation.sets_of(batch.column("t")))
+    assert got == [(i, len(s)) for i, s in enumerate(sets)] and rare == sum(min(bar.prefix(len(s)), len(s)) for s in sets)
+    assert most < 40e6, most
+
+
+def test_common_items_are_counted_run_by_run(spark, monkeypatch):
+    """What is in all texts is a row a run, not a row a text, and the order is what counting all rows gives."""
+    monkeypatch.setattr(setjoin, "RUN", 2000)
+    texts = [" ".join([f"c{k}" for k in range(8)] + [f"w{i}x{k}" for k in range(30)] + [f"s{i % 20}y{k}" for k in range(4)]) for i in range(400)]
+    rows = [dict(zip(("g", "n"), r, strict=True)) for out in setjoin._counted(setrelation.sets_of)(iter([pa.RecordBatch.from_arrays([pa.array(texts)], ["t"])])) for r in zip(*(c.to_pylist() for c in out.columns), strict=True)]
+    want = Counter(np.concatenate(list(setrelation.sets_of(pa.array(texts)))).tolist())
+    found = Counter()
+    for r in rows:
+        found[r["g"]] += r["n"]
+    assert found == want and sum(r["g"] == max(want, key=want.get) for r in rows) < 20
+    items, often = setjoin.order(spark.createDataFrame([(t,) for t in texts], "t string"), setrelation.sets_of, 12).value
+    best = sorted(want.items(), key=lambda x: (-x[1], x[0]))[:12]
+    assert dict(zip(items.tolist(), often.tolist(), strict=True)) == dict(best) and items.tolist() == sorted(items.tolist())
+
+
 def test_jaccard_join_on_odd_rows(odd_docs, no_docs):
     assert setrelation.join(no_docs).count() == 0
     rows = setrelation.join(odd_docs).collect()
