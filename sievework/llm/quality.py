@@ -28,6 +28,8 @@ BITS = 18
 #: Bounds of the training sample: rows, and characters of a row that may enter it.
 TRAIN_ROWS = 6_000
 TRAIN_CHARS = 20_000
+#: Training works on so many bytes at a time.
+SLICE_BYTES = 1 << 18
 #: A row is kept if its calibrated probability of label 1 is at least this.
 THRESHOLD = 0.5
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
@@ -148,15 +150,20 @@ def fit(texts: list[str] | pa.Array | pa.ChunkedArray, labels: list[int], bits:
         return accept_all(bits)
     data, offsets = tb.utf8(pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts)
     n, rows = 1 << bits, []
-    for _, part, marks in tb.slices(data, offsets):
+    for _, part, marks in tb.slices(data, offsets, SLICE_BYTES):
         words, grams = tb.Words(part, marks), _grams(part, marks, bits)
         first, pairs = words.windows(0, 1)
+        features, values = [], []
         kinds = [(tb.bucket(words.hashes, bits), words.texts), (tb.bucket(pairs, bits), words.texts[first])]
         at = [np.searchsorted(texts, np.arange(len(marks))) for _, texts in kinds]
         for i in range(len(marks) - 1):
             own = grams[marks[i] : marks[i + 1]]
             found = [*(_frequencies(f[a[i] : a[i + 1]]) for (f, _), a in zip(kinds, at, strict=True)), _frequencies(own[own >= 0])]
-            rows.append((np.concatenate([f + k * n for k, (f, _) in enumerate(found)]), np.concatenate([v for _, v in found])))
+            features.append(np.concatenate([f + k * n for k, (f, _) in enumerate(found)]))
+            values.append(np.concatenate([v for _, v in found]))
+        cuts = np.cumsum([len(x) for x in features])[:-1]  # one array a slice, as small ones would leave the driver's memory in pieces
+        rows += zip(np.split(np.concatenate(features), cuts), np.split(np.concatenate(values), cuts), strict=True)
+    del data, offsets, texts
     y = np.array(labels, dtype=float)
     w, g2, bias = np.zeros(3 * n), np.full(3 * n, 1e-6), 0.0
     order = np.random.default_rng(7).permutation(len(y))
@@ -217,7 +224,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     )
     model = fit(got["text"], [int(x > 0) for x in got["quality"].to_pylist()])
     del got
-    pa.default_memory_pool().release_unused()
+    tb.give_back()
     return model
 
 

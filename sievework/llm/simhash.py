@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 from xxhash import xxh64_intdigest
 
-from sievework.llm.skew import cut, join_hot
+from sievework.llm.skew import cut, join_hot, shared_folder
+from sievework.operators.graphs import connected
 
 RADIUS, WORDS, SEED = 3, 3, 42
 #: (first bit, bits) of the segments.
@@ -205,22 +206,11 @@ def links(prints: DataFrame, tile: int = TILE) -> DataFrame:
 def components(pairs: DataFrame, spark: SparkSession) -> DataFrame:
     """(fp, root): the smallest value connected with each value that has a link.
 
-    Each round hands every value the least label among its neighbours and jumps along labels, so
-    the rounds are about the logarithm of the longest chain. The state is written out every round; labels
-    only fall, so the rounds end.
+    The rows are pairs of numbers and a value that many share isn't looked for: AQE splits the partition that one
+    outgrows. Looking for hot values took two counts and several broadcasts a round, which the driver has to plan and hold.
     """
-    both = cut(pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))), spark)
-    state = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("fp"), F.least("a", "m").alias("root")), spark)
-    while True:
-        near = join_hot(both, state.withColumnRenamed("fp", "b"), "b").groupBy("a").agg(F.min("root").alias("near"))
-        lower = cut(state.join(near, state["fp"] == near["a"], "left").select("fp", "root", F.least("root", "near").alias("next")), spark)
-        # jump: take the label of the label
-        labels = lower.select(F.col("fp").alias("next"), F.col("next").alias("jump"))
-        moved = join_hot(lower, labels, "next", "left").select("fp", "root", F.least("next", "jump").alias("label"))
-        state = cut(moved.select("fp", F.col("label").alias("root"), (F.col("label") < F.col("root")).alias("moved")), spark)
-        if state.filter("moved").limit(1).count() == 0:
-            return state.select("fp", "root")
-        state = state.select("fp", "root")
+    shared_folder(spark)
+    return connected(pairs).select(F.col("node").alias("fp"), "root")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

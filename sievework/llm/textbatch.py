@@ -8,6 +8,8 @@ needs more than a fixed multiple of one slice or of its longest text.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -130,6 +132,14 @@ def bucket(hashes: np.ndarray, bits: int) -> np.ndarray:
     return (hashes >> np.uint64(64 - bits)).astype(np.int64)
 
 
+def give_back() -> None:
+    """Hands freed memory back to the system. Arrow's pool and glibc keep it otherwise, in a driver for as long as it runs."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # other C libraries haven't one
+    if trim is not None:
+        trim(0)
+
+
 def per_text(values: np.ndarray, texts: np.ndarray, n: int) -> np.ndarray:
     """Sums of values by text number."""
     return np.bincount(texts, weights=values, minlength=n) if len(values) else np.zeros(n)

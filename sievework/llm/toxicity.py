@@ -83,7 +83,8 @@ def fit(texts: list[str | None] | pa.Array | pa.ChunkedArray, labels: list[int],
         owner, feature = _features(part, marks, bits)
         key = _distinct(owner, feature, bits)
         cuts = np.searchsorted(key, np.arange(len(marks)) * n)
-        rows += [(key[a:b] % n).astype(np.int32) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        held = (key % n).astype(np.int32)  # one array a slice: thousands of small ones would leave the driver's memory in pieces
+        rows += [held[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
     del data, offsets, texts
     if len(set(labels)) < 2:
         return Model(np.zeros(0, np.int64), np.zeros(0, np.float32), -3.0, bits)
@@ -145,7 +146,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     )
     model = fit(got["text"], [int(x) for x in got["toxic"].to_pylist()])
     del got
-    pa.default_memory_pool().release_unused()
+    tb.give_back()
     return model
 
 

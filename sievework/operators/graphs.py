@@ -45,14 +45,15 @@ class Scratch:
 
 def connected(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of the edges (a, b): the least node that it's connected with. Labels only fall,
-    and jump along labels, so the rounds end, after about the logarithm of the longest chain."""
+    and jump along labels, so the rounds end, after about the logarithm of the longest chain. Labels are hashed, one row a node: nothing is
+    sorted or broadcast, and AQE splits the other side's partition if many rows share a node."""
     both = cut(edges.select("a", "b").union(edges.select("b", "a")).distinct())
     state = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("root")))
     while True:
-        near = both.join(state.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("root").alias("near"))
-        lower = state.join(near, state["node"] == near["a"]).select("node", "root", F.least("root", "near").alias("next"))
+        near = both.join(state.withColumnRenamed("node", "b").hint("shuffle_hash"), "b").groupBy("a").agg(F.min("root").alias("near"))
+        lower = state.join(near.hint("shuffle_hash"), state["node"] == near["a"]).select("node", "root", F.least("root", "near").alias("next"))
         jump = lower.select(F.col("node").alias("next"), F.col("next").alias("jump"))
-        moved = lower.join(jump, "next", "left").select("node", "root", F.least("next", "jump").alias("then"))
+        moved = lower.join(jump.hint("shuffle_hash"), "next", "left").select("node", "root", F.least("next", "jump").alias("then"))
         moved = cut(moved)
         state = moved.select("node", F.col("then").alias("root"))
         if moved.filter("then < root").limit(1).count() == 0:

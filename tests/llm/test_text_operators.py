@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from sievework.llm import packing, quality, secrets, simhash, toxicity
+from sievework.llm import packing, quality, secrets, simhash, textbatch, toxicity
 from sievework.llm.queries import op3_secret_scan, vocabulary
 from tests_helpers import brute_components, brute_fingerprint
 
@@ -419,3 +419,29 @@ def test_token_ids_equal_the_tokenizers_library(spark):
     texts += ["", " ", "a  b\n\n c\t\x1c\x85\xa0d ", "I'll we've 'S x's", "<|endoftext|> x <|endoftext|>", "漢字 🙂 12,345", "  　a", "\r\n\r\nx\r"]
     for text in texts:
         assert packing.token_ids(text, path).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_components_need_few_jobs(spark):
+    """A round looks for no hot value: the driver plans, broadcasts and holds little, however the links lie."""
+    pairs = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, k) for k in range(101, 160)], "a bigint, b bigint")
+    context = spark.sparkContext
+    context.setJobGroup("components", "links of a chain and a star")
+    try:
+        roots = {r.fp: r.root for r in simhash.components(pairs, spark).collect()}
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert roots == {i: 0 for i in range(61)} | {i: 100 for i in range(100, 160)}
+    jobs = len(context.statusTracker().getJobIdsForGroup("components"))
+    assert jobs <= 90, jobs
+
+
+def test_freed_memory_goes_back():
+    """What training leaves in small pieces isn't kept by the process."""
+    def held():
+        return int(next(x for x in open("/proc/self/status") if x.startswith("VmRSS")).split()[1]) / 1024
+
+    parts = [np.ones(2_000, np.int64) for _ in range(10_000)]  # 160 MB
+    last, before = parts[-1].copy(), held()
+    del parts
+    textbatch.give_back()
+    assert held() < before - 100 and last.sum() == 2_000
