@@ -28,7 +28,6 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +47,7 @@ HELD, BUCKET, TILE = 2_000_000, 4_096, 64
 #: Words of the Bloom filter that keeps other chunks' document numbers from being shuffled.
 WORDS = 1 << 18
 
-_COUNTS = "lang string, source string, chunk binary, n bigint, docs bigint, numbers array<bigint>"
+_COUNTS = "lang string, source string, chunk binary, n bigint, docs bigint, number bigint, numbers array<bigint>"
 
 
 class _Held:
@@ -98,10 +97,29 @@ def _count(batches: Iterator[pa.RecordBatch], most: int = HELD) -> Iterator[pa.R
         yield held.sums()
 
 
+def _singled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts with the number of a chunk's only document in a plain column ``number``; ``numbers`` stays for those of several."""
+    for batch in batches:
+        docs, places, listed = batch["docs"].to_numpy(), batch["numbers"].offsets.to_numpy(), batch["numbers"].values.to_numpy()
+        one, sizes = docs == 1, np.diff(places)
+        single = np.zeros(len(docs), np.int64)
+        single[one] = listed[places[:-1][one]]
+        offsets = np.concatenate([[0], np.cumsum(np.where(one, 0, sizes))]).astype(np.int32)
+        several = pa.ListArray.from_arrays(pa.array(offsets), pa.array(listed[np.repeat(~one, sizes)]), mask=pa.array(one | (docs >= LEAST)))
+        columns = [*(batch[c] for c in ("lang", "source", "chunk", "n", "docs")), pa.array(single, mask=~one), several]
+        yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "chunk", "n", "docs", "number", "numbers"])
+
+
 def chunk_counts(docs: DataFrame, most: int = HELD) -> DataFrame:
-    """Counts by (lang, source, chunk) of each task: n occurrences, docs documents and, under LEAST, their numbers."""
-    lang, source, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("lang", "source", "text"))
-    return docs.select(lang.alias("lang"), source.alias("source"), text.cast("binary").alias("text"), F.monotonically_increasing_id().alias("number")).mapInArrow(partial(_count, most=most), _COUNTS)
+    """Counts by (lang, source, chunk) of each task: n occurrences, docs documents and, under LEAST, their numbers:
+    ``number`` if it's one, as most are, since a list costs several times as much to write and read, or else ``numbers``."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text")
+
+    def count(batches):
+        return _singled(_count(batches, most))
+
+    lang, source = (F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source"))
+    return docs.select(lang, source, text, F.monotonically_increasing_id().alias("number")).mapInArrow(count, _COUNTS)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,9 +180,10 @@ def audit(docs: DataFrame, held: int = HELD, bucket: int = BUCKET, tile: int = T
     scratch = Scratch(docs.sparkSession, "divergence")
     kept = scratch.keep
     counted = kept(chunk_counts(docs, held), "chunks")
-    groups = counted.select("lang", "source").distinct()
-    sums = counted.filter(F.octet_length("chunk") > 0).groupBy("lang", "source", "chunk").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    # Dealt by chunk at once: tasks have added up their own rows, so adding them up again before the shuffle finds little.
+    sums = counted.select("lang", "source", "chunk", "n", "docs").repartition("chunk").groupBy("lang", "source", "chunk").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     sums = kept(sums, "sums")
+    groups = sums.select("lang", "source").distinct()  # the chunk '' of texts without any is among them and has no terms
     whole = sums.repartition("chunk").groupBy("chunk", "lang").agg(F.sum("docs").alias("docs")).select("lang", "chunk", "docs")
     cut = kept(whole.sortWithinPartitions("chunk").mapInArrow(_cut, "lang string, chunk binary, docs bigint, term string, k bigint"), "terms")
 
@@ -172,11 +191,12 @@ def audit(docs: DataFrame, held: int = HELD, bucket: int = BUCKET, tile: int = T
     bounds = kept(bounds, "bounds")
     open_terms = bounds.filter(F.col("low") < LEAST).select("lang", "term")
     open_chunks = kept(cut.filter(F.col("docs") < LEAST).join(open_terms.hint("shuffle_hash"), ["lang", "term"]).select("lang", "chunk", "term"), "open")
-    numbers = counted.filter(F.col("numbers").isNotNull()).select("lang", "chunk", "numbers")
+    numbers = counted.filter(F.col("number").isNotNull() | F.col("numbers").isNotNull()).select("lang", "chunk", "number", "numbers")
     numbers = bloom.may_hold(numbers, bloom.build(open_chunks, WORDS, "lang", "chunk"), WORDS, "lang", "chunk")
-    told = numbers.join(open_chunks.hint("shuffle_hash"), ["lang", "chunk"]).select("lang", "term", F.explode("numbers").alias("number")).distinct()
+    told = numbers.join(open_chunks.hint("shuffle_hash"), ["lang", "chunk"]).select("lang", "term", F.explode(F.coalesce("numbers", F.array("number"))).alias("number")).distinct()
     more = told.groupBy("lang", "term").agg(F.count("*").alias("docs")).filter(F.col("docs") >= LEAST).select("lang", "term")
     terms = kept(bounds.filter(F.col("low") >= LEAST).select("lang", "term").unionByName(more), "kept")
+    scratch.drop("chunks", "bounds", "open")
 
     wanted = cut.join(terms.hint("shuffle_hash"), ["lang", "term"]).select("lang", "chunk", "term", "k")
     used = sums.join(wanted.hint("shuffle_hash"), ["lang", "chunk"]).groupBy("lang", "source", "term")
@@ -186,7 +206,7 @@ def audit(docs: DataFrame, held: int = HELD, bucket: int = BUCKET, tile: int = T
     known = groups.join(totals, ["lang", "source"], "left").join(sizes, "lang", "left").fillna(0, ["total", "terms"])
     place = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
     known = kept(known.withColumn("place", place), "groups")
-    scratch.drop("chunks", "sums", "terms", "bounds", "open", "kept")
+    scratch.drop("sums", "terms", "kept")
     return _pairs(used, known, bucket, tile).unionByName(_terms(used, known))
 
 

@@ -373,3 +373,12 @@ def test_queries_match_their_sql(spark, sf_dir, name):
     df = QUERIES[name](spark, sf_dir)
     want = db.sql(ORACLES[name]).select(*df.columns).fetchall()
     assert want and Counter(map(tuple, df.collect())) == Counter(map(tuple, want))
+
+
+def test_divergence_lists_only_numbers_of_several_documents(spark):
+    """Most chunks of a task are in one document, whose number is a plain column; lists are for two to nine."""
+    df = spark.createDataFrame([("en", "s", "go go")] * 11 + [("en", "s", "x y"), ("en", "s", "x"), ("en", None, None)], "lang string, source string, text string").coalesce(1)
+    rows = {(r["source"], bytes(r["chunk"])): r for r in divergence.chunk_counts(df).collect()}
+    assert {k: (r["n"], r["docs"], r["number"], r["numbers"]) for k, r in rows.items()} == {
+        ("s", b"go"): (22, 11, None, None), ("s", b"x"): (2, 2, None, [11, 12]), ("s", b"y"): (1, 1, 11, None), ("", b""): (1, 1, 13, None),
+    }
