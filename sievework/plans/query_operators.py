@@ -652,7 +652,7 @@ def x2(spark, d):
 def x3(spark, d):
     from sievework.functions.pages import main_content
 
-    pages = table(spark, d, "pages").select("page_id", F.regexp_extract("html", "<h1>(.*?)</h1>", 1).alias("title"), main_content("html").alias("text"))
+    pages = table(spark, d, "pages").select("page_id", F.regexp_extract("html", "<h1>(.*?)</h1>", 1).alias("title"), main_content("html", None).alias("text"))
     return E.extract_events(pages).drop("reply_error")
 
 

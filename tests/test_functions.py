@@ -155,6 +155,24 @@ def test_titles_cut_within_references_agree_with_sql(spark, tmp_path, name):
     assert sorted(map(repr, map(tuple, queries()[name](spark, str(tmp_path)).collect()))) == sorted(map(repr, want))
 
 
+@pytest.mark.parametrize("name", ["x3_extract_events"])
+def test_long_pages_agree_with_sql_up_to_their_end(spark, tmp_path, name):
+    import duckdb
+
+    from __spark_entry__ import oracle_sql, queries
+
+    page = "<html><body><nav>menu</nav><article><h1>T {0}</h1><p>{1}</p><p>{2}</p></article><footer>end</footer></body></html>"
+    bodies = ["ab " * 9_000, "ab " * 10_000 + "c", "ab " * 40_000, "\U0001f600b " * 12_000, "ab &amp; c&lt;" * 20_000]
+    rows = [(i, f"https://a.org/{i}", page.format(i, b, last)) for i, (b, last) in enumerate((b, last) for b in bodies for last in ("Summit", "none"))]
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    with duckdb.connect() as db:
+        db.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+        want = db.execute(oracle_sql()[name]).fetchall()
+    got = sorted(map(tuple, queries()[name](spark, str(tmp_path)).collect()))
+    assert got == sorted(want)
+    assert [r[5] for r in got] == ["relevant", "not_relevant"] * len(bodies)
+
+
 def test_relevance(spark):
     s = R.relevance_score(F.lit("Software Engineer"), F.lit("python"), F.lit("CoreCo"), F.lit("site"), ["coreco"], ["coreco"])
     assert spark.range(1).select(s, R.relevance_band(s)).first()[:] == (8 + 10 + 2 * 2 + 1 + 5, "high")
