@@ -64,7 +64,7 @@ def f3(spark, d):
     return table(spark, d, "pages").select("page_id", html_to_text("html", 2000, True).alias("plain"))
 
 
-@query("f4_main_content", f"SELECT page_id, left({MAIN_TEXT}, 30000) AS main FROM pages")
+@query("f4_main_content", f"SELECT page_id, {MAIN_TEXT} AS main FROM pages")
 def f4(spark, d):
     return table(spark, d, "pages").select("page_id", main_content("html").alias("main"))
 

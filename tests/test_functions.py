@@ -173,6 +173,23 @@ def test_long_pages_agree_with_sql_up_to_their_end(spark, tmp_path, name):
     assert [r[5] for r in got] == ["relevant", "not_relevant"] * len(bodies)
 
 
+def test_main_content_is_the_whole_text(spark, tmp_path):
+    import duckdb
+
+    from __spark_entry__ import oracle_sql, queries
+
+    words = [f"{mark}{i}" for mark in ("w", "\u00e9", "\U0001f600") for i in range(20_000)]
+    texts = {0: "short", 1: "a" * 29_999, 2: "a" * 30_001, 3: " ".join(words), 4: " ".join(words * 20) + " & end"}
+    pages = [(i, f"https://a.org/{i}", f"<body><nav>menu</nav><article><p>{t.replace('&', '&amp;')}</p></article><footer>no</footer></body>") for i, t in texts.items()]
+    spark.createDataFrame(pages, "page_id bigint, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    with duckdb.connect() as db:
+        db.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+        assert dict(db.execute(oracle_sql()["f4_main_content"]).fetchall()) == texts
+    assert {r.page_id: r.main for r in queries()["f4_main_content"](spark, str(tmp_path)).collect()} == texts
+    body = spark.range(1).select(H.main_content(F.lit("<body><nav>menu</nav><p>" + texts[3] + "</p></body>"))).first()[0]
+    assert body == texts[3]
+
+
 def test_relevance(spark):
     s = R.relevance_score(F.lit("Software Engineer"), F.lit("python"), F.lit("CoreCo"), F.lit("site"), ["coreco"], ["coreco"])
     assert spark.range(1).select(s, R.relevance_band(s)).first()[:] == (8 + 10 + 2 * 2 + 1 + 5, "high")
